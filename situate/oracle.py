@@ -1,2 +1,261 @@
-"""DuckDB oracle SQL (filled below)."""
+"""DuckDB oracle: for each registered query, SQL over the raw parquet views that must give
+the same rows. Written independently of the Spark code path (plain SQL, CUBE, windows).
+
+Only the fixed reference values (keyword lists, label tables) are shared.
+"""
+
+from __future__ import annotations
+
+from situate.functions import lookups as LK
+from situate.sources.adapters import CATEGORY_BY_PART_TYPE, FORBIDDEN_KEYWORDS, REQUIRED_KEYWORDS
+
 ORACLE_SQL: dict[str, str] = {}
+NL = "chr(10)"
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _any(col: str, words) -> str:
+    return "coalesce(" + " OR ".join(f"contains({col}, {_q(w)})" for w in words) + ", false)"
+
+
+def _case(col: str, mapping: dict, default: str = "NULL") -> str:
+    whens = " ".join(f"WHEN {_q(str(k)) if isinstance(k, str) else k} THEN {_q(v)}" for k, v in mapping.items())
+    return f"(CASE {col} {whens} ELSE {default} END)"
+
+
+def _r(x: str) -> str:
+    return f"round({x}, 6)"
+
+
+def _fixed(x: str, d: int) -> str:
+    return f"printf('%.{d}f', {x})"
+
+
+def _pct(x: str, d: int = 2) -> str:
+    return f"(printf('%.{d}f', ({x}) * 100) || '%')"
+
+
+def _thousands(x: str) -> str:
+    return f"format('{{:,}}', {x})"
+
+
+OUTDOOR = lambda c: _any(c, LK.OUTDOOR_KEYWORDS)
+INDOOR = lambda c: _any(c, LK.INDOOR_KEYWORDS)
+
+V_CREATIVE = f"""v_creative AS (
+  SELECT p_partkey AS creative_id,
+         CASE WHEN p_size % 2 = 0 THEN 'event' ELSE 'tour' END AS creative_type,
+         p_name AS title,
+         {_case('p_type', CATEGORY_BY_PART_TYPE)} AS category,
+         p_retailprice >= 1500 AS has_image,
+         p_size % 5 = 0 AS is_free
+  FROM part)"""
+
+V_LOG = """v_log AS (
+  SELECT event_id AS impression_id, user_id, ts AS "timestamp",
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS creative_id,
+         CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 WHEN 0 THEN 'clear' WHEN 1 THEN 'cloudy' ELSE 'overcast' END AS sky,
+         CASE WHEN value < 20 THEN 'none' WHEN value < 60 THEN 'rain' WHEN value < 100 THEN 'snow' ELSE 'shower' END AS precip,
+         CASE WHEN isodow(ts) >= 6 THEN 1 ELSE 0 END AS weekend,
+         CASE WHEN event_type IN ('click', 'purchase') THEN 1 ELSE 0 END AS clicked,
+         CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS converted
+  FROM events)"""
+
+V_LOG_BIG = """v_log AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS impression_id,
+         o_custkey AS user_id, l_shipdate AS "timestamp", l_partkey AS creative_id,
+         CASE WHEN l_tax < 0.03 THEN 'clear' WHEN l_tax < 0.06 THEN 'cloudy' ELSE 'overcast' END AS sky,
+         CASE WHEN l_quantity <= 20 THEN 'none' WHEN l_quantity <= 35 THEN 'rain' WHEN l_quantity <= 45 THEN 'snow' ELSE 'shower' END AS precip,
+         CASE WHEN isodow(l_shipdate) >= 6 THEN 1 ELSE 0 END AS weekend,
+         CASE WHEN l_returnflag <> 'N' THEN 1 ELSE 0 END AS clicked,
+         CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS converted
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+ENRICHED = f"""enr AS (
+  SELECT l.*, c.creative_type, c.category, l.weekend AS is_weekend,
+         {OUTDOOR('c.category')} AS is_outdoor,
+         {INDOOR('c.category')} AS is_indoor,
+         coalesce(l.precip NOT IN ('none', ''), false) AS is_rainy,
+         coalesce(l.sky = 'clear', false) AND NOT coalesce(l.precip NOT IN ('none', ''), false) AS is_clear,
+         CASE WHEN {OUTDOOR('c.category')} THEN 'outdoor' WHEN {INDOOR('c.category')} THEN 'indoor' ELSE 'other' END AS category_group
+  FROM v_log l LEFT JOIN v_creative c ON l.creative_id = c.creative_id)"""
+
+CUBE = """tx AS (
+  SELECT coalesce(sky, 'nan') AS sky, coalesce(precip, 'nan') AS precip, CAST(coalesce(is_weekend, 0) AS VARCHAR) AS weekend,
+         coalesce(creative_type, 'nan') AS type, category_group, clicked, converted
+  FROM enr),
+cube AS (
+  SELECT sky, precip, weekend, type, category_group,
+         CAST(GROUPING(sky, precip, weekend, type, category_group) AS INTEGER) AS gid,
+         count(*) AS n, sum(clicked) AS clk_sum, count(clicked) AS clk_cnt,
+         count(CASE WHEN clicked = 1 THEN converted END) AS c1_cnt,
+         sum(CASE WHEN clicked = 1 THEN converted END) AS c1_sum
+  FROM tx GROUP BY CUBE (sky, precip, weekend, type, category_group)),
+tot AS (
+  SELECT n AS n_total,
+         CASE WHEN clk_cnt > 0 THEN CAST(clk_sum AS DOUBLE) / clk_cnt ELSE 0.0 END AS base_ctr,
+         CASE WHEN c1_cnt > 0 THEN CAST(c1_sum AS DOUBLE) / c1_cnt ELSE 0.0 END AS base_cvr
+  FROM cube WHERE gid = 31),
+its AS (
+  SELECT c.*, CAST(c.n AS DOUBLE) / t.n_total AS support, CAST(5 - bit_count(c.gid) AS INTEGER) AS size,
+         list_filter([CASE WHEN c.gid & 1 = 0 THEN 'category_group_' || c.category_group END,
+                      CASE WHEN c.gid & 8 = 0 THEN 'precip_' || c.precip END,
+                      CASE WHEN c.gid & 16 = 0 THEN 'sky_' || c.sky END,
+                      CASE WHEN c.gid & 2 = 0 THEN 'type_' || c.type END,
+                      CASE WHEN c.gid & 4 = 0 THEN 'weekend_' || c.weekend END], lambda x: x IS NOT NULL) AS items,
+         CASE WHEN c.clk_cnt > 0 THEN CAST(c.clk_sum AS DOUBLE) / c.clk_cnt ELSE 0.0 END AS ctr,
+         CASE WHEN c.c1_cnt > 0 THEN CAST(c.c1_sum AS DOUBLE) / c.c1_cnt ELSE 0.0 END AS cvr,
+         t.base_ctr, t.base_cvr
+  FROM cube c, tot t
+  WHERE c.gid <> 31 AND CAST(c.n AS DOUBLE) / t.n_total >= 0.01)"""
+
+RULES = """rules0 AS (
+  SELECT r.*, a.support AS antecedent_support, c.support AS consequent_support,
+         r.support / a.support AS confidence, (r.support / a.support) / c.support AS lift
+  FROM its r
+  JOIN its a ON a.gid = (r.gid | 3) AND a.sky IS NOT DISTINCT FROM r.sky AND a.precip IS NOT DISTINCT FROM r.precip
+            AND a.weekend IS NOT DISTINCT FROM r.weekend
+  JOIN its c ON c.gid = (r.gid | 28) AND c.type IS NOT DISTINCT FROM r.type
+            AND c.category_group IS NOT DISTINCT FROM r.category_group
+  WHERE (r.gid & 28) <> 28 AND (r.gid & 3) <> 3),
+rules AS (
+  SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY size, items) AS INTEGER) AS rule_no,
+         array_to_string(list_filter([CASE WHEN gid & 8 = 0 THEN 'precip_' || precip END,
+                                      CASE WHEN gid & 16 = 0 THEN 'sky_' || sky END,
+                                      CASE WHEN gid & 4 = 0 THEN 'weekend_' || weekend END], lambda x: x IS NOT NULL), ',') AS antecedents,
+         array_to_string(list_filter([CASE WHEN gid & 1 = 0 THEN 'category_group_' || category_group END,
+                                      CASE WHEN gid & 2 = 0 THEN 'type_' || type END], lambda x: x IS NOT NULL), ',') AS consequents
+  FROM rules0 WHERE confidence >= 0.15 AND lift >= 1.02)"""
+
+SKY_NAT = _case("sky", LK.SKY_LABELS, "'하늘 ' || sky")
+PRECIP_NAT = _case("precip", LK.PRECIP_LABELS, "'강수 ' || precip")
+WEEKEND_NAT = _case("weekend", LK.WEEKEND_LABELS, "weekend")
+GROUP_NAT = _case("category_group", LK.CATEGORY_GROUP_LABELS, "category_group")
+TYPE_NAT = _case("type", LK.TYPE_LABELS, "type")
+
+STRAT = f"""strat AS (
+  SELECT printf('strategy_%03d', rule_no) AS strategy_id,
+         concat_ws(' & ', CASE WHEN gid & 8 = 0 THEN 'precip=' || precip END, CASE WHEN gid & 16 = 0 THEN 'sky=' || sky END,
+                   CASE WHEN gid & 4 = 0 THEN 'weekend=' || weekend END) AS target_condition,
+         concat_ws(' & ', CASE WHEN gid & 1 = 0 THEN 'category_group=' || category_group END,
+                   CASE WHEN gid & 2 = 0 THEN 'type=' || type END) AS recommended_action,
+         concat_ws(', ', CASE WHEN gid & 8 = 0 THEN {PRECIP_NAT} END, CASE WHEN gid & 16 = 0 THEN {SKY_NAT} END,
+                   CASE WHEN gid & 4 = 0 THEN {WEEKEND_NAT} END) AS condition_text,
+         concat_ws(' · ', CASE WHEN gid & 1 = 0 THEN {GROUP_NAT} || ' 노출' END,
+                   CASE WHEN gid & 2 = 0 THEN {TYPE_NAT} || ' 노출' END) AS action_text,
+         ctr - base_ctr AS expected_ctr_gain, cvr - base_cvr AS expected_cvr_gain, support, confidence, lift,
+         0.35 * (ctr - base_ctr) + 0.35 * (cvr - base_cvr)
+           + 0.15 * (CASE WHEN max(lift) OVER () > 0 THEN lift / max(lift) OVER () ELSE 0.0 END) + 0.15 * confidence AS strategy_score,
+         printf('support=%.3f, confidence=%.3f, lift=%.3f', support, confidence, lift) AS reason, rule_no
+  FROM rules),
+strat2 AS (SELECT *, target_condition || ' → ' || recommended_action AS strategy_name,
+                  condition_text || ' → ' || action_text AS strategy_line FROM strat),
+tiered AS (
+  SELECT *, CASE WHEN expected_ctr_gain > 0 AND expected_cvr_gain > 0.01 AND lift >= 1.02 AND confidence >= 0.5 THEN 1
+                 WHEN expected_ctr_gain > 0 AND expected_cvr_gain > 0.01 AND lift >= 1.02 AND confidence >= 0.45 THEN 2
+                 WHEN expected_ctr_gain > 0 AND expected_cvr_gain > 0.01 THEN 3 END AS tier
+  FROM strat2),
+tiered2 AS (SELECT *, min(tier) OVER () AS best FROM tiered WHERE tier IS NOT NULL),
+top AS (
+  SELECT * FROM (
+    SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY tier, strategy_score DESC, strategy_id) AS INTEGER) AS rank
+    FROM tiered2 WHERE (best <= 2 AND tier <= 2) OR best = 3) WHERE rank <= 5)"""
+
+STRATEGY_COLS = ("strategy_id, strategy_name, target_condition, recommended_action, "
+                 + ", ".join(_r(c) + f" AS {c}" for c in ("expected_ctr_gain", "expected_cvr_gain", "support",
+                                                        "confidence", "lift", "strategy_score"))
+                 + ", reason")
+
+
+def with_(*ctes: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n"
+
+
+FLAGSHIP = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES, STRAT)
+FLAGSHIP_BIG = with_(V_CREATIVE, V_LOG_BIG, ENRICHED, CUBE, RULES, STRAT)
+BASE = with_(V_CREATIVE, V_LOG, ENRICHED)
+
+KPI_AGGS = """coalesce(avg(clicked), 0.0) AS ctr,
+  coalesce(avg(CASE WHEN clicked = 1 THEN converted END), 0.0) AS cvr,
+  coalesce(avg(converted), 0.0) AS ctcvr"""
+
+ORACLE_SQL["kpi_metrics"] = with_(V_LOG) + f"SELECT {_r('ctr')} AS ctr, {_r('cvr')} AS cvr, {_r('ctcvr')} AS ctcvr FROM (SELECT {KPI_AGGS} FROM v_log)"
+ORACLE_SQL["log_counts"] = with_(V_LOG) + "SELECT count(*) AS impression_count, count(DISTINCT user_id) AS user_count FROM v_log"
+ORACLE_SQL["kpi_by_creative_type"] = BASE + f"""SELECT creative_type, count(*) AS impression_count, count(DISTINCT user_id) AS user_count,
+  {_r('coalesce(avg(clicked), 0.0)')} AS ctr, {_r('coalesce(avg(CASE WHEN clicked = 1 THEN converted END), 0.0)')} AS cvr,
+  {_r('coalesce(avg(converted), 0.0)')} AS ctcvr FROM enr GROUP BY creative_type"""
+ORACLE_SQL["kpi_sentence"] = with_(V_LOG) + f"""SELECT day, impression_count, user_count, {_r('ctr')} AS ctr, {_r('cvr')} AS cvr, {_r('ctcvr')} AS ctcvr,
+  '노출 ' || {_thousands('impression_count')} || '건, 유저 ' || {_thousands('user_count')} || '명 기준 CTR ' || {_pct('ctr')}
+  || ', CVR ' || {_pct('cvr')} || ', CTCVR ' || {_pct('ctcvr')} || ' 입니다.' AS summary
+FROM (SELECT CAST("timestamp" AS DATE) AS day, count(*) AS impression_count, count(DISTINCT user_id) AS user_count, {KPI_AGGS}
+      FROM v_log GROUP BY 1)"""
+ORACLE_SQL["per_user_load"] = with_(V_LOG) + f"""SELECT {_r('avg(n)')} AS mean_impressions_per_user, count(*) AS user_count
+FROM (SELECT user_id, count(*) AS n FROM v_log GROUP BY user_id)"""
+ORACLE_SQL["scenario_ctr"] = BASE + f"""SELECT scenario, category_group, count(*) AS impressions, {_r('coalesce(avg(clicked), 0.0)')} AS ctr
+FROM (SELECT *, CASE WHEN is_rainy AND is_weekend = 0 THEN 'rain_weekday'
+                     WHEN is_clear AND is_weekend = 1 THEN 'clear_weekend'
+                     WHEN coalesce(sky IN ('overcast', 'cloudy'), false) AND NOT is_rainy AND is_weekend = 0 THEN 'overcast_weekday'
+                     ELSE 'other' END AS scenario FROM enr)
+GROUP BY scenario, category_group"""
+ORACLE_SQL["enrich_log"] = BASE + """SELECT impression_id, user_id, creative_id, clicked, converted, creative_type, category, sky, precip,
+  is_weekend, is_outdoor, is_indoor, is_clear, is_rainy, category_group FROM enr"""
+ORACLE_SQL["impression_items"] = BASE + """SELECT impression_id,
+  'sky_' || coalesce(sky, 'nan') || ',precip_' || coalesce(precip, 'nan') || ',weekend_' || CAST(is_weekend AS VARCHAR)
+  || ',type_' || coalesce(creative_type, 'nan') || ',category_group_' || category_group AS items FROM enr"""
+
+_ITEMS = {
+    "category_group_indoor": "category_group = 'indoor'", "category_group_other": "category_group = 'other'",
+    "category_group_outdoor": "category_group = 'outdoor'", "precip_none": "precip = 'none'",
+    "precip_rain": "precip = 'rain'", "precip_shower": "precip = 'shower'", "precip_snow": "precip = 'snow'",
+    "sky_clear": "sky = 'clear'", "sky_cloudy": "sky = 'cloudy'", "sky_overcast": "sky = 'overcast'",
+    "type_event": "creative_type = 'event'", "type_tour": "creative_type = 'tour'",
+    "weekend_0": "is_weekend = 0", "weekend_1": "is_weekend = 1",
+}
+ORACLE_SQL["transaction_matrix"] = BASE + "SELECT " + ", ".join(
+    f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS {name}" for name, cond in _ITEMS.items()) + " FROM enr"
+
+ORACLE_SQL["frequent_itemsets"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE) + f"""SELECT array_to_string(items, ',') AS items, size, n,
+  {_r('support')} AS support, {_r('ctr')} AS ctr, {_r('cvr')} AS cvr FROM its"""
+ORACLE_SQL["frequent_itemsets_general"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE) + f"""SELECT array_to_string(items, ',') AS items, n,
+  {_r('support')} AS support FROM its"""
+ORACLE_SQL["association_rules"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES) + f"""SELECT rule_no, antecedents, consequents,
+  {_r('antecedent_support')} AS antecedent_support, {_r('consequent_support')} AS consequent_support,
+  {_r('support')} AS support, {_r('confidence')} AS confidence, {_r('lift')} AS lift FROM rules"""
+ORACLE_SQL["association_rules_big"] = with_(V_CREATIVE, V_LOG_BIG, ENRICHED, CUBE, RULES) + f"""SELECT rule_no, antecedents, consequents,
+  {_r('support')} AS support, {_r('confidence')} AS confidence, {_r('lift')} AS lift FROM rules"""
+ORACLE_SQL["rule_measures"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES) + f"""SELECT rule_no,
+  {_r('support - antecedent_support * consequent_support')} AS leverage,
+  {_r('CASE WHEN confidence < 1 THEN (1 - consequent_support) / (1 - confidence) END')} AS conviction,
+  {_r('(support - antecedent_support * consequent_support) / greatest(support * (1 - antecedent_support), antecedent_support * (consequent_support - support))')} AS zhangs_metric,
+  {_r('support / (antecedent_support + consequent_support - support)')} AS jaccard,
+  {_r('(confidence - consequent_support) / (1 - consequent_support)')} AS certainty,
+  {_r('(support / antecedent_support + support / consequent_support) / 2')} AS kulczynski
+FROM rules"""
+ORACLE_SQL["rule_gain"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES) + f"""SELECT rule_no, n AS n_matched, {_r('ctr')} AS ctr,
+  {_r('cvr')} AS cvr, {_r('ctr - base_ctr')} AS ctr_gain, {_r('cvr - base_cvr')} AS cvr_gain FROM rules"""
+ORACLE_SQL["rule_match"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES) + f"""SELECT rule_no, n AS n_matched, {_r('ctr')} AS ctr,
+  {_r('cvr')} AS cvr FROM rules"""
+ORACLE_SQL["strategy_score"] = FLAGSHIP + f"SELECT {STRATEGY_COLS} FROM strat2"
+ORACLE_SQL["top_strategies"] = FLAGSHIP + f"SELECT {STRATEGY_COLS}, rank FROM top"
+ORACLE_SQL["top_strategies_big"] = FLAGSHIP_BIG + f"SELECT {STRATEGY_COLS}, rank FROM top"
+ORACLE_SQL["clause_natural"] = FLAGSHIP + "SELECT strategy_id, condition_text, action_text, strategy_line FROM strat2"
+ORACLE_SQL["strategy_display"] = FLAGSHIP + f"""SELECT strategy_line AS "전략", {_fixed('strategy_score', 3)} AS "전략 점수",
+  {_pct('expected_ctr_gain')} AS "CTR 개선", {_pct('expected_cvr_gain')} AS "CVR 개선", {_fixed('support', 3)} AS "Support",
+  {_fixed('confidence', 3)} AS "Confidence", {_fixed('lift', 3)} AS "Lift", condition_text AS "상황 조건",
+  action_text AS "추천 액션" FROM top"""
+
+KPI_ROW = f"""kpi AS (SELECT count(*) AS impression_count, count(DISTINCT user_id) AS user_count, {KPI_AGGS} FROM v_log)"""
+ORACLE_SQL["snapshot"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES, STRAT, KPI_ROW) + f"""SELECT impression_count, user_count,
+  {_r('ctr')} AS ctr, {_r('cvr')} AS cvr, {_r('ctcvr')} AS ctcvr, CAST(count(*) OVER () AS INTEGER) AS n_strategies, rank, strategy_id,
+  {_r('strategy_score')} AS strategy_score FROM kpi, top"""
+ORACLE_SQL["sink_json"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES, STRAT, KPI_ROW) + f"""SELECT impression_count, user_count,
+  rank, strategy_id, {_r('lift')} AS lift FROM kpi, top"""
+
+PATTERN_LINE = (f"CAST(rank AS VARCHAR) || '. ' || strategy_line || {NL} || '   (support ' || {_fixed('support', 3)}"
+                f" || ' · confidence ' || {_fixed('confidence', 3)} || ' · lift ' || {_fixed('lift', 3)} || ')'")
+ORACLE_SQL["pattern_summary"] = FLAGSHIP + f"""SELECT CAST(count(*) AS INTEGER) AS n_strategies,
+  CASE WHEN count(*) > 0 THEN '연관규칙 기반 유효 대응 사례:' || {NL} || string_agg({PATTERN_LINE}, {NL} ORDER BY rank)
+       ELSE '유효 대응 사례가 발굴되지 않았습니다.' END AS pattern_summary FROM top"""
