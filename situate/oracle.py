@@ -259,3 +259,210 @@ PATTERN_LINE = (f"CAST(rank AS VARCHAR) || '. ' || strategy_line || {NL} || '
 ORACLE_SQL["pattern_summary"] = FLAGSHIP + f"""SELECT CAST(count(*) AS INTEGER) AS n_strategies,
   CASE WHEN count(*) > 0 THEN '연관규칙 기반 유효 대응 사례:' || {NL} || string_agg({PATTERN_LINE}, {NL} ORDER BY rank)
        ELSE '유효 대응 사례가 발굴되지 않았습니다.' END AS pattern_summary FROM top"""
+
+# ---- cleaning adapters and transforms -------------------------------------------------
+
+V_RAW_EVENT = """v_raw_event AS (
+  SELECT 'event ' || CAST(k AS VARCHAR) AS TITLE,
+    CASE o_orderpriority WHEN '1-URGENT' THEN '축제' WHEN '2-HIGH' THEN '전시' WHEN '3-MEDIUM' THEN '콘서트'
+         WHEN '4-NOT SPECIFIED' THEN '교육' ELSE '기타' END AS CODENAME,
+    CASE o_orderstatus WHEN 'F' THEN '종로구' WHEN 'O' THEN '중구' ELSE '마포구' END AS GUNAME,
+    'hall ' || CAST(k % 50 AS VARCHAR) AS PLACE,
+    CASE WHEN k % 5 = 0 AND k % 10 = 5 THEN strftime(d2, '%Y-%m-%d') || '~' || strftime(d, '%Y-%m-%d')
+         WHEN k % 5 = 0 THEN strftime(d, '%Y-%m-%d') || '~' || strftime(d2, '%Y-%m-%d')
+         WHEN k % 5 = 1 THEN strftime(d, '%Y.%-m.%-d') || ' ~ ' || strftime(d2, '%Y.%-m.%-d')
+         WHEN k % 5 = 2 THEN strftime(d, '%Y/%m/%d')
+         WHEN k % 5 = 3 THEN ''
+         WHEN k % 3 = 0 THEN '2026-13-01' ELSE 'TBD' END AS DATE,
+    CASE k % 4 WHEN 0 THEN '무료' WHEN 1 THEN '10,000원' WHEN 3 THEN 'Free entry' END AS USE_FEE,
+    o_orderpriority AS ORG_NAME, o_orderstatus AS PROGRAM,
+    CASE WHEN k % 3 = 0 THEN 'http://example.org/' || CAST(k AS VARCHAR) END AS HMPG_ADDR,
+    CASE k % 3 WHEN 0 THEN '' WHEN 1 THEN ' ' ELSE 'http://img.example.org/' || CAST(k AS VARCHAR) END AS MAIN_IMG,
+    CAST(o_custkey AS VARCHAR) || '.5' AS LOT,
+    CASE WHEN k % 11 = 0 THEN 'n/a' ELSE CAST(k % 90 AS VARCHAR) || '.25' END AS LAT,
+    CASE WHEN k % 7 = 0 THEN strftime(d, '%Y%m%d') WHEN k % 7 = 1 THEN '' END AS START_DATE,
+    CASE WHEN k % 7 = 1 THEN strftime(d, '%Y-%m-%d') || ' 00:00:00.0' END AS STRTDATE,
+    CASE WHEN k % 7 = 0 THEN strftime(d2, '%Y%m%d') END AS END_DATE,
+    CASE WHEN k % 14 = 1 THEN strftime(d2, '%Y-%m-%d') END AS ENDDATE,
+    k AS ordinal
+  FROM (SELECT *, o_orderkey AS k, CAST(o_orderdate AS DATE) AS d,
+               CAST(o_orderdate AS DATE) + CAST(o_orderkey % 10 AS INTEGER) AS d2 FROM orders))"""
+
+
+def _parse_date(x: str) -> str:
+    """Loose date → DATE (trim, . and / → -, 8 digits → ISO, day prefix with optional time)."""
+    s = f"replace(replace(trim({x}), '.', '-'), '/', '-')"
+    s2 = (f"(CASE WHEN regexp_full_match({s}, '[0-9]{{8}}') THEN substr({s}, 1, 4) || '-' || substr({s}, 5, 2) || '-' "
+          f"|| substr({s}, 7, 2) ELSE {s} END)")
+    day = f"regexp_extract({s2}, '^([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})(?:[ T].*)?$', 1)"
+    return f"CAST(try_strptime(nullif({day}, ''), '%Y-%m-%d') AS DATE)"
+
+
+_TOK = r"[0-9]{4}[-./][0-9]{1,2}[-./][0-9]{1,2}"
+_RANGE = rf"({_TOK})\s*[~\-–]\s*({_TOK})"
+_SINGLE = rf"({_TOK})"
+
+EVENT_CLEAN = f"""ev0 AS (
+  SELECT *, {_parse_date("coalesce(nullif(START_DATE, ''), STRTDATE)")} AS s_exp,
+            {_parse_date("coalesce(nullif(END_DATE, ''), ENDDATE)")} AS e_exp,
+            coalesce(regexp_matches(DATE, '{_RANGE}'), false) AS is_range,
+            coalesce(regexp_matches(DATE, '{_SINGLE}'), false) AS is_single,
+            {_parse_date(f"regexp_extract(DATE, '{_RANGE}', 1)")} AS r1,
+            {_parse_date(f"regexp_extract(DATE, '{_RANGE}', 2)")} AS r2,
+            {_parse_date(f"regexp_extract(DATE, '{_SINGLE}', 1)")} AS one
+  FROM v_raw_event),
+ev1 AS (
+  SELECT *, CASE WHEN s_exp IS NOT NULL OR e_exp IS NOT NULL THEN s_exp WHEN is_range THEN r1 WHEN is_single THEN one END AS sd,
+            CASE WHEN s_exp IS NOT NULL OR e_exp IS NOT NULL THEN e_exp WHEN is_range THEN r2 WHEN is_single THEN one END AS ed,
+            lower(trim(USE_FEE)) AS fee
+  FROM ev0),
+ev AS (
+  SELECT TITLE AS title, CODENAME AS codename, GUNAME AS guname, PLACE AS place, DATE AS date_text, USE_FEE AS use_fee,
+         ORG_NAME AS org_name, PROGRAM AS program, HMPG_ADDR AS hmpg_addr, MAIN_IMG AS main_img, LOT AS lot, LAT AS lat,
+         sd AS start_date, ed AS end_date,
+         CASE WHEN fee IS NULL OR fee = '' THEN NULL WHEN contains(fee, '무료') OR contains(fee, 'free') THEN true
+              WHEN contains(fee, '유료') OR contains(fee, '원') THEN false END AS is_free,
+         CAST(month(sd) AS INTEGER) AS month, lower(dayname(sd)) AS weekday,
+         {_case('CAST(month(sd) AS INTEGER)', LK.SEASON_BY_MONTH)} AS season,
+         CAST(date_diff('day', sd, ed) + 1 AS INTEGER) AS duration_days,
+         coalesce(length(trim(MAIN_IMG)) > 0, false) AS has_image,
+         coalesce(length(trim(HMPG_ADDR)) > 0, false) AS has_website, ordinal
+  FROM ev1)"""
+
+EVENT_COLS = ("title, codename, guname, place, date_text, use_fee, org_name, program, hmpg_addr, main_img, lot, lat, "
+              "start_date, end_date, is_free, month, weekday, season, duration_days, has_image, has_website")
+ORACLE_SQL["event_clean"] = with_(V_RAW_EVENT, EVENT_CLEAN) + f"SELECT {EVENT_COLS}, ordinal FROM ev"
+ORACLE_SQL["stream_clean_events"] = ORACLE_SQL["event_clean"]
+RAW_EVENT_COLS = ("TITLE, CODENAME, GUNAME, PLACE, DATE, USE_FEE, ORG_NAME, PROGRAM, HMPG_ADDR, MAIN_IMG, LOT, LAT, "
+                  "START_DATE, STRTDATE, END_DATE, ENDDATE, ordinal")
+ORACLE_SQL["scan_raw_json"] = with_(V_RAW_EVENT) + f"SELECT {RAW_EVENT_COLS} FROM v_raw_event"
+ORACLE_SQL["limit_rows"] = with_(V_RAW_EVENT) + "SELECT ordinal, TITLE, DATE FROM v_raw_event ORDER BY ordinal LIMIT 1000"
+
+EVENT_CREATIVES = f"""evc AS (
+  SELECT printf('event_%06d', ROW_NUMBER() OVER (ORDER BY ordinal) - 1) AS creative_id, 'event' AS creative_type, title,
+         guname AS district, codename AS category, season, month, weekday, is_free, has_image, has_website,
+         TRY_CAST(lat AS DOUBLE) AS latitude, TRY_CAST(lot AS DOUBLE) AS longitude, ordinal
+  FROM ev)"""
+CREATIVE_COLS = ("creative_id, creative_type, title, district, category, season, month, weekday, is_free, has_image, "
+                 "has_website, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude")
+ORACLE_SQL["event_creatives"] = with_(V_RAW_EVENT, EVENT_CLEAN, EVENT_CREATIVES) + f"SELECT {CREATIVE_COLS} FROM evc"
+
+V_RAW_TOUR = """v_raw_tour AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS contentid,
+    CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '12' WHEN 'FURNITURE' THEN ' 14 ' WHEN 'MACHINERY' THEN '39.0'
+         WHEN 'BUILDING' THEN '38' ELSE '99' END AS contenttypeid,
+    c_name AS title,
+    CASE WHEN c_custkey % 17 <> 0 THEN n_name END AS addr1,
+    CASE c_custkey % 3 WHEN 0 THEN ' ' WHEN 1 THEN ' Apt ' || CAST(c_custkey AS VARCHAR) END AS addr2,
+    '1' AS areacode,
+    CASE c_custkey % 4 WHEN 0 THEN CAST(c_nationkey + 1 AS VARCHAR) WHEN 1 THEN CAST(c_nationkey + 1 AS VARCHAR) || '.0'
+         WHEN 2 THEN '' ELSE 'x' END AS sigungucode,
+    'A0' || CAST(c_nationkey % 3 AS VARCHAR) AS cat1, 'A02' || CAST(c_nationkey % 5 AS VARCHAR) AS cat2,
+    'A020' || CAST(c_nationkey % 7 AS VARCHAR) AS cat3,
+    c_acctbal AS acct, c_custkey % 10 = 0 AS no_x,
+    CAST(c_nationkey AS VARCHAR) || '.5' AS mapy,
+    CASE WHEN c_custkey % 2 = 0 THEN 'http://img.example.org/c' || CAST(c_custkey AS VARCHAR) ELSE '' END AS firstimage,
+    CAST(NULL AS VARCHAR) AS firstimage2, '20240101000000' AS createdtime, '20240102000000' AS modifiedtime,
+    c_custkey AS ordinal
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)"""
+
+TOUR_CLEAN = f"""tr AS (
+  SELECT contentid AS content_id, contenttypeid AS content_type_id, title,
+         concat_ws(' ', nullif(trim(addr1), ''), nullif(trim(addr2), '')) AS address,
+         areacode AS area_code, sigungucode AS sigungu_code, cat1 AS category_large, cat2 AS category_middle,
+         cat3 AS category_small,
+         CASE WHEN no_x THEN NULL ELSE acct END AS longitude, TRY_CAST(mapy AS DOUBLE) AS latitude,
+         firstimage AS image_url, firstimage2 AS thumbnail_url, createdtime AS created_time, modifiedtime AS modified_time,
+         coalesce(length(trim(firstimage)) > 0, false) AS has_image,
+         {_case('trim(contenttypeid)', LK.CONTENT_TYPE_NAMES)} AS content_type_name,
+         CASE WHEN trim(sigungucode) <> '' THEN
+           {_case('CAST(trunc(TRY_CAST(sigungucode AS DOUBLE)) AS INTEGER)', LK.DISTRICT_NAMES)} END AS district,
+         ordinal
+  FROM v_raw_tour)"""
+TOUR_COLS = ("content_id, content_type_id, title, address, area_code, sigungu_code, category_large, category_middle, "
+             "category_small, round(longitude, 6) AS longitude, round(latitude, 6) AS latitude, image_url, thumbnail_url, "
+             "created_time, modified_time, has_image, content_type_name, district")
+ORACLE_SQL["tour_clean"] = with_(V_RAW_TOUR, TOUR_CLEAN) + f"SELECT {TOUR_COLS}, ordinal FROM tr"
+TOUR_CREATIVES = """trc AS (
+  SELECT 'tour_' || CAST(CAST(trunc(TRY_CAST(content_id AS DOUBLE)) AS BIGINT) AS VARCHAR) AS creative_id,
+         'tour' AS creative_type, title, district, content_type_name AS category, CAST(NULL AS VARCHAR) AS season,
+         CAST(NULL AS INTEGER) AS month, CAST(NULL AS VARCHAR) AS weekday, CAST(NULL AS BOOLEAN) AS is_free, has_image,
+         CAST(NULL AS BOOLEAN) AS has_website, latitude, longitude, ordinal
+  FROM tr)"""
+ORACLE_SQL["tour_creatives"] = with_(V_RAW_TOUR, TOUR_CLEAN, TOUR_CREATIVES) + f"SELECT {CREATIVE_COLS} FROM trc"
+ORACLE_SQL["creative_catalog"] = with_(V_RAW_EVENT, EVENT_CLEAN, EVENT_CREATIVES, V_RAW_TOUR, TOUR_CLEAN, TOUR_CREATIVES) + f"""
+SELECT {CREATIVE_COLS} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY creative_id ORDER BY src, ordinal) AS rn
+  FROM (SELECT *, 0 AS src FROM evc UNION ALL SELECT *, 1 AS src FROM trc)) WHERE rn = 1"""
+ORACLE_SQL["conform_schema"] = with_(V_RAW_TOUR) + """SELECT contentid, CAST(NULL AS VARCHAR) AS contenttypeid, title,
+  CAST(NULL AS VARCHAR) AS addr1, CAST(NULL AS VARCHAR) AS addr2, CAST(NULL AS VARCHAR) AS areacode,
+  CAST(NULL AS VARCHAR) AS sigungucode, CAST(NULL AS VARCHAR) AS cat1, CAST(NULL AS VARCHAR) AS cat2,
+  CAST(NULL AS VARCHAR) AS cat3, CASE WHEN no_x THEN 'n/a' ELSE CAST(acct AS VARCHAR) END AS mapx, CAST(NULL AS VARCHAR) AS mapy,
+  CAST(NULL AS VARCHAR) AS firstimage, CAST(NULL AS VARCHAR) AS firstimage2, CAST(NULL AS VARCHAR) AS createdtime,
+  CAST(NULL AS VARCHAR) AS modifiedtime, ordinal FROM v_raw_tour"""
+
+V_RAW_WEATHER = """v_raw_weather AS (
+  SELECT strftime(ts, '%Y%m%d') AS baseDate, '0200' AS baseTime, strftime(ts, '%Y%m%d') AS fcstDate,
+    CASE WHEN event_id % 97 <> 0 THEN strftime(ts, '%H') || '00' END AS fcstTime,
+    CASE event_type WHEN 'view' THEN 'TMP' WHEN 'click' THEN 'SKY' WHEN 'purchase' THEN 'PTY' WHEN 'signup' THEN 'POP'
+         ELSE 'PCP' END AS category,
+    CASE WHEN event_id % 13 = 0 THEN NULL
+         WHEN event_type = 'view' THEN CAST(CAST(floor(value) AS BIGINT) % 35 AS VARCHAR) || '.5'
+         WHEN event_type = 'click' THEN CAST(CAST(floor(value) AS BIGINT) % 4 + 1 AS VARCHAR)
+         WHEN event_type = 'purchase' THEN CAST(CAST(floor(value) AS BIGINT) % 5 AS VARCHAR)
+         WHEN event_type = 'signup' THEN CAST(CAST(floor(value) AS BIGINT) % 100 AS VARCHAR)
+         ELSE '강수없음' END AS fcstValue,
+    event_id AS ordinal
+  FROM events)"""
+
+_MEASURES = LK.FORECAST_CATEGORIES
+WEATHER_PIVOT = ("""wp0 AS (
+  SELECT baseDate AS base_date, baseTime AS base_time, fcstDate AS fcst_date, fcstTime AS fcst_time, """
+                 + ", ".join(f"arg_min(fcstValue, ordinal) FILTER (WHERE category = '{c}' AND fcstValue IS NOT NULL) AS {n}"
+                             for c, n in _MEASURES.items())
+                 + """
+  FROM v_raw_weather
+  WHERE category IN ('TMP', 'SKY', 'PTY', 'POP', 'REH', 'WSD') AND baseDate IS NOT NULL AND baseTime IS NOT NULL
+    AND fcstDate IS NOT NULL AND fcstTime IS NOT NULL
+  GROUP BY ALL),
+wp1 AS (
+  SELECT base_date, base_time, fcst_date, fcst_time, """
+                 + ", ".join(f"TRY_CAST({n} AS DOUBLE) AS {n}" for n in _MEASURES.values())
+                 + " FROM wp0 WHERE " + " OR ".join(f"{n} IS NOT NULL" for n in _MEASURES.values()) + """),
+wp AS (
+  SELECT *, CASE WHEN sky_status = floor(sky_status) THEN """ + _case("CAST(sky_status AS INTEGER)", LK.SKY_STATUS_NAMES)
+                 + """ END AS sky_status_name,
+         CASE WHEN precipitation_type = floor(precipitation_type) THEN """
+                 + _case("CAST(precipitation_type AS INTEGER)", LK.PRECIPITATION_TYPE_NAMES) + """ END AS precipitation_type_name
+  FROM wp1)""")
+ORACLE_SQL["weather_pivot"] = with_(V_RAW_WEATHER, WEATHER_PIVOT) + """SELECT base_date, base_time, fcst_date, fcst_time,
+  round(temperature, 6) AS temperature, round(sky_status, 6) AS sky_status, round(precipitation_type, 6) AS precipitation_type,
+  round(precipitation_probability, 6) AS precipitation_probability, round(humidity, 6) AS humidity,
+  round(wind_speed, 6) AS wind_speed, sky_status_name, precipitation_type_name FROM wp"""
+
+CONTEXT = """ctx AS (
+  SELECT * FROM (
+    SELECT CAST(CAST(trunc(TRY_CAST(fcst_date AS DOUBLE)) AS INTEGER) AS VARCHAR) || '_'
+             || CAST(CAST(trunc(TRY_CAST(fcst_time AS DOUBLE)) AS INTEGER) AS VARCHAR) AS context_id,
+           CAST(trunc(TRY_CAST(base_date AS DOUBLE)) AS INTEGER) AS base_date_i,
+           CAST(trunc(TRY_CAST(base_time AS DOUBLE)) AS INTEGER) AS base_time_i,
+           CAST(trunc(TRY_CAST(fcst_date AS DOUBLE)) AS INTEGER) AS fcst_date_i,
+           CAST(trunc(TRY_CAST(fcst_time AS DOUBLE)) AS INTEGER) AS fcst_time_i, *,
+           ROW_NUMBER() OVER (PARTITION BY fcst_date, fcst_time ORDER BY base_date, base_time, fcst_date, fcst_time) AS rn
+    FROM wp) WHERE rn = 1)"""
+ORACLE_SQL["context_catalog"] = with_(V_RAW_WEATHER, WEATHER_PIVOT, CONTEXT) + """SELECT context_id, base_date_i AS base_date,
+  base_time_i AS base_time, fcst_date_i AS fcst_date, fcst_time_i AS fcst_time, round(temperature, 6) AS temperature,
+  round(sky_status, 6) AS sky_status, sky_status_name, round(precipitation_probability, 6) AS precipitation_probability,
+  round(precipitation_type, 6) AS precipitation_type, precipitation_type_name, round(humidity, 6) AS humidity,
+  round(wind_speed, 6) AS wind_speed FROM ctx"""
+ORACLE_SQL["context_flags"] = with_(V_RAW_WEATHER, WEATHER_PIVOT, CONTEXT) + """SELECT context_id, forecast_ts, is_weekend, rainy,
+  clear, overcast,
+  round((CASE WHEN rainy AND NOT is_weekend THEN 2.2 ELSE 1.0 END) * (CASE WHEN clear AND is_weekend THEN 2.2 ELSE 1.0 END)
+        * (CASE WHEN overcast AND NOT is_weekend THEN 1.6 ELSE 1.0 END), 6) AS context_weight
+FROM (SELECT context_id, ts AS forecast_ts, coalesce(isodow(ts) >= 6, false) AS is_weekend,
+             coalesce(precipitation_type_name NOT IN ('none', ''), false) AS rainy,
+             coalesce(sky_status_name = 'clear', false) AND NOT coalesce(precipitation_type_name NOT IN ('none', ''), false) AS clear,
+             coalesce(sky_status_name IN ('overcast', 'cloudy'), false)
+               AND NOT coalesce(precipitation_type_name NOT IN ('none', ''), false) AS overcast
+      FROM (SELECT *, try_strptime(CAST(fcst_date_i AS VARCHAR) || lpad(CAST(fcst_time_i AS VARCHAR), 4, '0'), '%Y%m%d%H%M') AS ts
+            FROM ctx))"""
