@@ -466,3 +466,136 @@ FROM (SELECT context_id, ts AS forecast_ts, coalesce(isodow(ts) >= 6, false) AS
                AND NOT coalesce(precipitation_type_name NOT IN ('none', ''), false) AS overcast
       FROM (SELECT *, try_strptime(CAST(fcst_date_i AS VARCHAR) || lpad(CAST(fcst_time_i AS VARCHAR), 4, '0'), '%Y%m%d%H%M') AS ts
             FROM ctx))"""
+
+# ---- segments ---------------------------------------------------------------------------
+
+def _sub_ctr(cond: str) -> str:
+    return f"coalesce(avg(CASE WHEN {cond} THEN clicked END), 0.0)"
+
+
+USER_FEATURES = f"""uf AS (
+  SELECT user_id, count(*) AS impression_count, coalesce(avg(clicked), 0.0) AS overall_ctr,
+         coalesce(avg(CASE WHEN clicked = 1 THEN converted END), 0.0) AS overall_cvr,
+         {_sub_ctr('is_outdoor')} AS outdoor_ctr, {_sub_ctr('is_indoor')} AS indoor_ctr,
+         avg(CAST(is_weekend AS DOUBLE)) AS weekend_ratio, {_sub_ctr('is_clear')} AS clear_weather_ctr,
+         {_sub_ctr('is_rainy')} AS rainy_weather_ctr, {_sub_ctr("creative_type = 'event'")} AS event_ctr,
+         {_sub_ctr("creative_type = 'tour'")} AS tour_ctr
+  FROM enr GROUP BY user_id)"""
+FEATURES = ["impression_count", "overall_ctr", "overall_cvr", "outdoor_ctr", "indoor_ctr", "weekend_ratio",
+            "clear_weather_ctr", "rainy_weather_ctr", "event_ctr", "tour_ctr"]
+ORACLE_SQL["user_features"] = with_(V_CREATIVE, V_LOG, ENRICHED, USER_FEATURES) + "SELECT user_id, impression_count, " + ", ".join(
+    f"{_r(c)} AS {c}" for c in FEATURES[1:]) + " FROM uf"
+ORACLE_SQL["zscore_features"] = with_(V_CREATIVE, V_LOG, ENRICHED, USER_FEATURES) + "SELECT user_id, " + ", ".join(
+    f"{_r(f'CASE WHEN stddev_pop({c}) OVER () > 0 THEN ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () ELSE 0.0 END')} AS {c}"
+    for c in FEATURES) + " FROM uf"
+
+SILHOUETTE = """pe AS (
+  SELECT vec_id, label, CAST(UNNEST(embedding) AS DOUBLE) AS x, UNNEST(range(len(embedding))) AS pos FROM embeddings),
+nrm AS (SELECT vec_id, label, sum(x * x) AS nrm FROM pe GROUP BY vec_id, label),
+cs AS (SELECT label AS c, pos, sum(x) AS s FROM pe GROUP BY label, pos),
+csz AS (SELECT label AS c, count(*) AS n, sum(nrm) AS q FROM nrm GROUP BY label),
+dots AS (SELECT pe.vec_id, cs.c, sum(pe.x * cs.s) AS dot FROM pe JOIN cs ON pe.pos = cs.pos GROUP BY pe.vec_id, cs.c),
+dist AS (
+  SELECT d.vec_id, n.label, d.c, z.n, n.nrm + z.q / z.n - 2 * d.dot / z.n AS d
+  FROM dots d JOIN nrm n ON d.vec_id = n.vec_id JOIN csz z ON d.c = z.c),
+ab AS (
+  SELECT vec_id, label, max(CASE WHEN c = label THEN d * n / (n - 1) END) AS a, max(CASE WHEN c = label THEN n END) AS n_own,
+         min(CASE WHEN c <> label THEN d END) AS b
+  FROM dist GROUP BY vec_id, label),
+sil AS (
+  SELECT vec_id, label, CASE WHEN n_own <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END AS silhouette
+  FROM ab)"""
+ORACLE_SQL["silhouette_points"] = with_(SILHOUETTE) + "SELECT vec_id, label, round(silhouette, 6) AS silhouette FROM sil"
+ORACLE_SQL["silhouette"] = with_(SILHOUETTE) + """SELECT round(avg(silhouette), 6) AS silhouette, count(DISTINCT label) AS n_clusters,
+  count(*) AS n_points FROM sil"""
+
+# ---- evaluation ----------------------------------------------------------------------------
+
+TRIALS = """tri AS (
+  SELECT printf('case_%03d', doc_id % 97) AS case_id, CAST(floor(doc_id / 97) + 1 AS INTEGER) AS trial,
+         (quality = 1 AND toxic = 0) AS passed FROM labels),
+pos AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY case_id ORDER BY trial) AS p FROM tri),
+cases AS (
+  SELECT case_id, coalesce(bool_or(passed) FILTER (WHERE p <= 3), false) AS pass_at_k,
+         (count(*) FILTER (WHERE p <= 3) >= 3 AND coalesce(bool_and(passed) FILTER (WHERE p <= 3), true)) AS pass_pow_k,
+         coalesce(bool_or(passed) FILTER (WHERE p = 1), false) AS pass_at_1,
+         string_agg(CASE WHEN passed THEN 'true' ELSE 'false' END, ',' ORDER BY p) FILTER (WHERE p <= 3) AS first_k
+  FROM pos GROUP BY case_id)"""
+ORACLE_SQL["pass_at_k"] = with_(TRIALS) + "SELECT case_id, pass_at_k, pass_pow_k, pass_at_1, first_k FROM cases"
+ORACLE_SQL["eval_suite"] = with_(TRIALS) + """SELECT 3 AS k, 3 AS trials, count(*) AS case_count,
+  round(coalesce(avg(CAST(pass_at_k AS DOUBLE)), 0.0), 6) AS pass_at_k, round(coalesce(avg(CAST(pass_pow_k AS DOUBLE)), 0.0), 6) AS pass_pow_k,
+  round(coalesce(avg(CAST(pass_at_1 AS DOUBLE)), 0.0), 6) AS pass_at_1 FROM cases"""
+
+
+def _kw_list(mapping: dict) -> str:
+    whens = " ".join(f"WHEN {_q(k)} THEN [{', '.join(_q(w) for w in v)}]" for k, v in mapping.items())
+    return f"(CASE lang {whens} ELSE CAST([] AS VARCHAR[]) END)"
+
+
+def _ids(n: str) -> str:
+    return f"list_transform(range(1, CAST({n} AS BIGINT) + 1), lambda i: printf('strategy_%03d', i))"
+
+
+def _pylist(ids: str) -> str:
+    return f"('[' || array_to_string(list_transform(list_sort(list_distinct({ids})), lambda x: '''' || x || ''''), ', ') || ']')"
+
+
+GRADE = f"""gc AS (
+  SELECT doc_id AS case_id, doc_id % 3 <> 0 AS expected_approved, {_ids('doc_id % 3 + 1')} AS expected_ids,
+         {_kw_list(REQUIRED_KEYWORDS)} AS req, {_kw_list(FORBIDDEN_KEYWORDS)} AS forb FROM documents),
+rr AS (
+  SELECT d.doc_id AS case_id, coalesce(l.quality = 1, false) AS approved, {_ids('d.n_chars % 3 + 1')} AS actual_ids,
+         concat_ws(' ', d.source, d.text, d.lang) AS blob
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+g AS (
+  SELECT gc.case_id, list_concat(
+      CASE WHEN approved <> expected_approved THEN ['critic 승인 불일치 (expected=' || CASE WHEN expected_approved THEN 'True' ELSE 'False' END
+           || ', actual=' || CASE WHEN approved THEN 'True' ELSE 'False' END || ')'] ELSE CAST([] AS VARCHAR[]) END,
+      CASE WHEN list_sort(list_distinct(expected_ids)) <> list_sort(list_distinct(actual_ids))
+           THEN ['strategy_id 불일치 (expected=' || {_pylist('expected_ids')} || ', actual=' || {_pylist('actual_ids')} || ')']
+           ELSE CAST([] AS VARCHAR[]) END,
+      list_transform(list_filter(req, lambda k: NOT contains(blob, k)), lambda k: '필수 키워드 누락: ' || k),
+      list_transform(list_filter(forb, lambda k: contains(blob, k)), lambda k: '금지 키워드 포함: ' || k)) AS reasons
+  FROM gc JOIN rr ON gc.case_id = rr.case_id)"""
+ORACLE_SQL["grade_cases"] = with_(GRADE) + """SELECT case_id, len(reasons) = 0 AS passed, CAST(len(reasons) AS INTEGER) AS n_reasons,
+  array_to_string(reasons, ' | ') AS reasons FROM g"""
+ORACLE_SQL["case_trials"] = "SELECT doc_id AS case_id, CAST(UNNEST(range(1, 4)) AS INTEGER) AS trial FROM documents"
+ORACLE_SQL["case_filter"] = """SELECT doc_id AS case_id, doc_id % 3 <> 0 AS expected_approved FROM documents
+WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)"""
+
+# ---- reconciliation -------------------------------------------------------------------------
+
+TRUTH = """truth AS (
+  SELECT l_suppkey AS ordinal, printf('strategy_%03d', l_suppkey) AS strategy_id, printf('supplier %d', l_suppkey) AS reason,
+         avg(l_discount) AS expected_ctr_gain, avg(l_tax) AS expected_cvr_gain,
+         avg(CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS support,
+         avg(CASE WHEN l_linestatus = 'F' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS confidence,
+         avg(l_quantity) / 25.5 AS lift, avg(l_extendedprice) / 100000.0 AS strategy_score
+  FROM lineitem GROUP BY l_suppkey),
+reported AS (
+  SELECT CASE WHEN ordinal % 13 = 0 THEN printf('strategy_x%03d', ordinal) ELSE strategy_id END AS strategy_id, ordinal,
+         CASE WHEN ordinal % 7 = 0 THEN expected_ctr_gain + 0.5 ELSE expected_ctr_gain END AS expected_ctr_gain,
+         expected_cvr_gain, support, confidence,
+         CASE WHEN ordinal % 11 = 0 THEN lift * 1.1 ELSE lift END AS lift, strategy_score
+  FROM truth),
+checks AS (
+""" + "\n  UNION ALL\n".join(
+    f"  SELECT r.strategy_id, r.ordinal, {i} AS metric_pos, '{m}' AS metric, t.{m} AS expected, r.{m} AS actual "
+    f"FROM reported r JOIN truth t ON r.strategy_id = t.strategy_id"
+    for i, m in enumerate(["expected_ctr_gain", "expected_cvr_gain", "support", "confidence", "lift", "strategy_score"])) + """),
+issues AS (
+  SELECT strategy_id, ordinal, -1 AS metric_pos, CAST(NULL AS VARCHAR) AS metric, CAST(NULL AS DOUBLE) AS expected,
+         CAST(NULL AS DOUBLE) AS actual
+  FROM reported WHERE strategy_id NOT IN (SELECT strategy_id FROM truth)
+  UNION ALL
+  SELECT * FROM checks WHERE abs(actual - expected) > 1e-6)"""
+ORACLE_SQL["reconcile_metrics"] = with_(TRUTH) + """SELECT strategy_id, CAST(metric_pos AS INTEGER) AS metric_pos, metric,
+  round(expected, 6) AS expected, round(actual, 6) AS actual FROM issues"""
+ORACLE_SQL["unknown_ids"] = with_(TRUTH) + """SELECT strategy_id, '하층 파이프라인에 없는 strategy_id' AS issue FROM issues
+WHERE metric IS NULL"""
+ORACLE_SQL["merge_issues"] = with_(TRUTH) + """SELECT strategy_id, 'python' AS source, count(*) AS n_issues FROM issues GROUP BY strategy_id
+UNION ALL
+SELECT strategy_id, 'model' AS source, count(*) AS n_issues FROM truth WHERE ordinal % 9 = 0 GROUP BY strategy_id"""
+ORACLE_SQL["merge_narratives"] = with_(TRUTH) + """SELECT t.strategy_id, coalesce(n.narrative, t.reason) AS operational_reason
+FROM truth t LEFT JOIN (SELECT printf('strategy_%03d', conv_id % 150) AS strategy_id, arg_max(text, conv_id * 1000 + turn) AS narrative
+                        FROM conversations GROUP BY 1) n ON t.strategy_id = n.strategy_id"""
