@@ -599,3 +599,121 @@ SELECT strategy_id, 'model' AS source, count(*) AS n_issues FROM truth WHERE ord
 ORACLE_SQL["merge_narratives"] = with_(TRUTH) + """SELECT t.strategy_id, coalesce(n.narrative, t.reason) AS operational_reason
 FROM truth t LEFT JOIN (SELECT printf('strategy_%03d', conv_id % 150) AS strategy_id, arg_max(text, conv_id * 1000 + turn) AS narrative
                         FROM conversations GROUP BY 1) n ON t.strategy_id = n.strategy_id"""
+
+# ---- scoring (re-aimed simulator rules) ---------------------------------------------------
+
+def _hash_u(*parts: str) -> str:
+    s = "concat_ws('|', " + ", ".join(f"CAST({p} AS VARCHAR)" for p in parts) + ")"
+    return f"((CAST(('0x' || substr(md5({s}), 1, 8)) AS BIGINT) + 0.5) / 4294967296.0)"
+
+
+def _mult(tag: str, lo: float, hi: float) -> str:
+    return f"({lo!r} + {hi - lo!r} * {_hash_u(repr(tag).replace(chr(34), chr(39)), 'user_id')})"
+
+
+SCORED = f"""sc AS (
+  SELECT e.impression_id, e.user_id, e.creative_type, e.category, e.category_group, c.has_image, c.is_free,
+         e.is_weekend = 1 AS wk, e.is_rainy AS rainy, e.is_clear AS clear,
+         coalesce(e.sky IN ('overcast', 'cloudy'), false) AND NOT e.is_rainy AS overcast,
+         {_mult('indoor', 0.88, 1.28)} AS indoor_mult, {_mult('outdoor', 0.88, 1.28)} AS outdoor_mult,
+         {_mult('free', 0.96, 1.12)} AS free_mult, {_mult('event', 0.9, 1.15)} AS event_mult,
+         {_mult('tour', 0.9, 1.15)} AS tour_mult
+  FROM enr e LEFT JOIN v_creative c ON e.creative_id = c.creative_id),
+wts AS (
+  SELECT *,
+    (CASE WHEN rainy AND NOT wk THEN 2.2 ELSE 1.0 END) * (CASE WHEN clear AND wk THEN 2.2 ELSE 1.0 END)
+      * (CASE WHEN overcast AND NOT wk THEN 1.6 ELSE 1.0 END) AS context_weight,
+    greatest(CASE WHEN rainy AND NOT wk THEN (CASE category_group WHEN 'indoor' THEN 4.2 WHEN 'outdoor' THEN 0.4 ELSE 1.0 END)
+                  WHEN clear AND wk THEN (CASE category_group WHEN 'outdoor' THEN 4.0 WHEN 'indoor' THEN 0.6 ELSE 1.0 END)
+                  WHEN overcast AND NOT wk THEN (CASE category_group WHEN 'indoor' THEN 1.9 WHEN 'outdoor' THEN 0.85 ELSE 1.0 END)
+                  ELSE 1.0 END, 0.05) AS creative_weight,
+    least(0.08 * (CASE WHEN rainy AND NOT wk AND category_group = 'indoor' THEN 1.75 * indoor_mult
+                       WHEN clear AND wk AND category_group = 'outdoor' THEN 1.8 * outdoor_mult
+                       WHEN overcast AND NOT wk AND category_group = 'indoor' THEN 1.28 * indoor_mult
+                       WHEN rainy AND category_group = 'outdoor' THEN 0.52
+                       WHEN clear AND wk AND category_group = 'indoor' THEN 0.78 ELSE 1.0 END)
+          * (CASE WHEN coalesce(has_image, false) THEN 1.08 ELSE 1.0 END)
+          * (CASE WHEN coalesce(is_free, false) THEN 1.06 * free_mult ELSE 1.0 END)
+          * (CASE WHEN creative_type = 'event' THEN event_mult WHEN creative_type = 'tour' THEN tour_mult ELSE 1.0 END), 0.5)
+      AS click_propensity,
+    least((CASE WHEN category IS NULL THEN 0.12 WHEN {_any('category', LK.HIGH_CVR_KEYWORDS)} THEN 0.15
+                WHEN {_any('category', LK.LOW_CVR_KEYWORDS)} THEN 0.08 WHEN {_any('category', LK.MID_CVR_KEYWORDS)} THEN 0.12
+                ELSE 0.12 END)
+          * (CASE WHEN rainy AND NOT wk AND category_group = 'indoor' THEN 1.5
+                  WHEN clear AND wk AND category_group = 'outdoor' THEN 1.45
+                  WHEN overcast AND NOT wk AND category_group = 'indoor' THEN 1.18
+                  WHEN rainy AND category_group = 'outdoor' THEN 0.68 ELSE 1.0 END), 0.45) AS conversion_propensity
+  FROM sc)"""
+SCORING = with_(V_CREATIVE, V_LOG, ENRICHED, SCORED)
+for _name in ("context_weight", "creative_weight", "click_propensity", "conversion_propensity"):
+    ORACLE_SQL[_name] = SCORING + f"SELECT impression_id, round({_name}, 6) AS {_name} FROM wts"
+ORACLE_SQL["weighted_choice"] = SCORING + f"""SELECT user_id, arg_min(impression_id, race) AS impression_id,
+  round(arg_min(creative_weight, race), 6) AS weight
+FROM (SELECT *, -ln({_hash_u("42", "user_id", "impression_id")}) / creative_weight AS race FROM wts WHERE creative_weight > 0)
+GROUP BY user_id"""
+
+# ---- row operators, ids, texts -----------------------------------------------------------
+
+ORACLE_SQL["dedupe_first"] = with_(V_LOG) + """SELECT user_id, impression_id, "timestamp", creative_id FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY "timestamp", impression_id) AS rn FROM v_log) WHERE rn = 1"""
+ORACLE_SQL["format_ids"] = """SELECT printf('imp_%06d', event_id) AS impression_key, printf('user_%04d', user_id + 1) AS user_key,
+  printf('segment_%d', user_id % 4) AS segment_key FROM events"""
+ORACLE_SQL["issue_slot"] = """SELECT event_id, strftime(CASE WHEN h < 2 THEN t - INTERVAL 1 DAY ELSE t END, '%Y%m%d') AS base_date,
+  CASE WHEN h < 2 THEN '2300' ELSE lpad(CAST(CAST(2 + 3 * floor((h - 2) / 3) AS INTEGER) AS VARCHAR), 2, '0') || '00' END AS base_time
+FROM (SELECT event_id, t, hour(t) AS h FROM (SELECT event_id, ts + INTERVAL 9 HOUR - INTERVAL 40 MINUTE AS t FROM events))"""
+ORACLE_SQL["truncate_text"] = """SELECT doc_id, CASE WHEN length(text) > 180 THEN substr(text, 1, 177) || '...' ELSE text END AS short_text
+FROM documents"""
+
+# ---- sources and sinks ----------------------------------------------------------------------
+
+ORACLE_SQL["scan_csv_roundtrip"] = BASE + """SELECT impression_id, user_id, creative_id, clicked, converted, sky, precip, is_weekend
+FROM enr"""
+ORACLE_SQL["scan_latest"] = with_(V_LOG) + "SELECT impression_id, user_id, clicked FROM v_log"
+ORACLE_SQL["sink_snapshot"] = with_(V_CREATIVE) + "SELECT creative_id, creative_type, title, category, has_image, is_free FROM v_creative"
+
+PAGES = """pg AS (
+  SELECT CAST(floor(event_id / 100) AS BIGINT) AS page_id, * FROM events),
+pgs AS (
+  SELECT page_id, count(*) AS n_rows, min(event_id) AS first_id,
+         CASE page_id % 3 WHEN 0 THEN 'seoul_event' WHEN 1 THEN 'tour' ELSE 'weather' END AS feed,
+         page_id % 17 <> 0 AS ok
+  FROM pg GROUP BY page_id)"""
+ORACLE_SQL["decode_envelope"] = with_(PAGES) + """SELECT page_id, feed, item_pos, event_id, user_id, event_type, round(value, 6) AS value
+FROM (SELECT p.page_id, s.feed, CAST(ROW_NUMBER() OVER (PARTITION BY p.page_id ORDER BY p.event_id) - 1 AS INTEGER) AS item_pos,
+             p.event_id, p.user_id, p.event_type, p.value
+      FROM pg p JOIN pgs s ON p.page_id = s.page_id
+      WHERE s.ok AND p.page_id % 19 <> 0 AND (p.page_id % 13 <> 0 OR p.event_id = s.first_id))"""
+ORACLE_SQL["landing_gaps"] = with_(PAGES) + """, tgt AS (SELECT feed, CAST(sum(n_rows) AS BIGINT) AS target FROM pgs GROUP BY feed),
+plan AS (SELECT feed, target, UNNEST(range(1, target + 1, 100)) AS start_index FROM tgt),
+plan2 AS (SELECT feed, start_index, least(start_index + 99, target) AS end_index FROM plan),
+landed AS (
+  SELECT feed, CAST(floor(page_id / 3) * 100 + 1 AS BIGINT) AS start_index,
+         CASE WHEN page_id % 19 = 0 THEN 0 WHEN page_id % 13 = 0 THEN 1 ELSE n_rows END AS n_items
+  FROM pgs WHERE ok)
+SELECT p.feed, p.start_index, p.end_index, 'missing' AS status, 0 AS n_items
+FROM plan2 p WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.feed = p.feed AND l.start_index = p.start_index)
+UNION ALL
+SELECT p.feed, p.start_index, p.end_index, 'short' AS status, CAST(l.n_items AS INTEGER) AS n_items
+FROM plan2 p JOIN landed l ON l.feed = p.feed AND l.start_index = p.start_index
+WHERE l.n_items < p.end_index - p.start_index + 1"""
+
+# ---- digest ------------------------------------------------------------------------------
+
+_BULLET = (f"CAST(rank AS VARCHAR) || '. ' || strategy_line || ' (CTR +' || {_fixed('expected_ctr_gain * 100', 1)} || '%, lift '"
+           f" || {_fixed('lift', 2)} || ')'")
+ORACLE_SQL["digest_sections"] = (
+    "WITH " + ",\n".join([V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES, STRAT, KPI_ROW, V_RAW_WEATHER, WEATHER_PIVOT, CONTEXT])
+    + ",\n" + TRUTH + f"""
+SELECT '📊 KPI' || {NL} || '노출 ' || {_thousands('k.impression_count')} || ' | CTR ' || {_pct('k.ctr')} || ' | CVR ' || {_pct('k.cvr')}
+       || ' | CTCVR ' || {_pct('k.ctcvr')} || {NL} || '소재 ' || {_thousands('(SELECT count(*) FROM v_creative)')} || ' · 상황 '
+       || {_thousands('(SELECT count(*) FROM ctx)')} AS etl_section,
+       coalesce('🎯 Top 전략' || {NL} || (SELECT string_agg({_BULLET}, {NL} ORDER BY rank) FROM top WHERE rank <= 2),
+                '🎯 Top 전략' || {NL} || '없음') AS strategy_section,
+       '🤖 에이전트' || {NL} || 'Critic: ' || CASE WHEN i.n = 0 THEN '✅ 승인' ELSE '❌ 거절' END || ' (이슈 ' || CAST(i.n AS VARCHAR)
+       || '건)' || coalesce(CASE WHEN r.rec <> '' THEN {NL} || '권고: ' || r.rec END, '') AS agent_section
+FROM kpi k, (SELECT count(*) AS n FROM issues) i,
+     (SELECT coalesce(max(CASE WHEN rank = 1 THEN strategy_name END), '') AS rec FROM top) r""")
+
+ORACLE_SQL["kpi_metrics_big"] = with_(V_LOG_BIG) + f"SELECT {_r('ctr')} AS ctr, {_r('cvr')} AS cvr, {_r('ctcvr')} AS ctcvr FROM (SELECT {KPI_AGGS} FROM v_log)"
+ORACLE_SQL["user_features_big"] = with_(V_CREATIVE, V_LOG_BIG, ENRICHED, USER_FEATURES) + "SELECT user_id, impression_count, " + ", ".join(
+    f"{_r(c)} AS {c}" for c in FEATURES[1:]) + " FROM uf"

@@ -89,6 +89,16 @@ def q_log_counts(spark, sf):
     return log_counts(A.v_log(spark, sf))
 
 
+@query("kpi_metrics_big")
+def q_kpi_metrics_big(spark, sf):
+    return rounded(kpi_metrics(A.v_log_big(spark, sf)))
+
+
+@query("user_features_big")
+def q_user_features_big(spark, sf):
+    return rounded(SG.user_features(enriched_log(spark, sf, big=True)))
+
+
 @query("kpi_by_creative_type")
 def q_kpi_by_type(spark, sf):
     en = enriched_log(spark, sf)
