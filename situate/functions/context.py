@@ -66,17 +66,16 @@ def parse_context(json_text: Column, strict: bool = False) -> Column:
     """JSON text → struct<sky,temp,precip,weekend>. null → all-null struct.
 
     PERMISSIVE by default (broken JSON → null fields); ``strict=True`` fails the job like ``json.loads``.
-    A ``NaN`` temperature becomes null.
+    The struct is returned as parsed, so Catalyst can prune it to the fields a query reads
+    (one parse per row); use :func:`clean_temp` where a ``NaN`` temperature must become null.
     """
     opts = {"mode": "FAILFAST"} if strict else {}
-    parsed = F.from_json(json_text, CONTEXT_SCHEMA, opts)
-    temp = parsed["temp"]
-    return F.struct(
-        parsed["sky"].alias("sky"),
-        F.when(~F.isnan(temp), temp).alias("temp"),
-        parsed["precip"].alias("precip"),
-        parsed["weekend"].alias("weekend"),
-    )
+    return F.from_json(json_text, CONTEXT_SCHEMA, opts)
+
+
+def clean_temp(temp: Column) -> Column:
+    """``NaN`` temperature (accepted by the JSON reader) → null."""
+    return F.when(~F.isnan(temp), temp)
 
 
 def encode_context(sky: Column, temp: Column, precip: Column, weekend: Column) -> Column:

@@ -11,22 +11,34 @@ from situate.functions.lookups import (
     SEASON_BY_MONTH,
     map_lookup,
 )
-from situate.functions.text import py_strip
+from situate.functions.text import coerce_int, py_strip
 
 DATE_TOKEN = r"\d{4}[-./]\d{1,2}[-./]\d{1,2}"
 DATE_RANGE_PATTERN = rf"({DATE_TOKEN})\s*[~\-–]\s*({DATE_TOKEN})"
 SINGLE_DATE_PATTERN = rf"({DATE_TOKEN})"
 
 
+def loose_date_text(value: Column) -> Column:
+    """X1, text half: trim, '.' and '/' → '-', 8 digits → ISO, keep the ``y-m-d`` day prefix ('' if none)."""
+    s = F.translate(py_strip(value.cast("string")), "./", "--")
+    iso = F.regexp_replace(s, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return F.regexp_extract(iso, r"^(\d{4}-\d{1,2}-\d{1,2})(?:[ T].*)?$", 1)
+
+
+def date_from_text(day_text: Column) -> Column:
+    """X1, date half: ``'y-m-d'`` text → DATE; '' or an impossible date → null.
+
+    One compact expression (keeps whole-stage generated code small enough to be JIT-compiled).
+    """
+    return F.to_date(F.try_to_timestamp(F.nullif(day_text, F.lit("")), F.lit("yyyy-M-d")))
+
+
 def parse_loose_date(value: Column) -> Column:
     """Trim, '.' and '/' → '-', 8 digits → ISO, keep the day; unparsable → null.
 
     A trailing time part (``2026-06-01 00:00:00.0``) still yields the day.
     """
-    s = F.translate(py_strip(value.cast("string")), "./", "--")
-    s = F.when(s.rlike(r"^\d{8}$"), F.concat_ws("-", F.substring(s, 1, 4), F.substring(s, 5, 2), F.substring(s, 7, 2))).otherwise(s)
-    day = F.regexp_extract(s, r"^(\d{4}-\d{1,2}-\d{1,2})(?:[ T].*)?$", 1)
-    return F.to_date(F.try_to_timestamp(F.when(day != "", day), F.lit("yyyy-M-d")))
+    return date_from_text(loose_date_text(value))
 
 
 def split_date_text(text: Column) -> Column:
@@ -72,8 +84,8 @@ def duration_days(start: Column, end: Column) -> Column:
 
 def forecast_timestamp(fcst_date: Column, fcst_time: Column) -> Column:
     """Yyyymmdd + zero-padded hhmm → timestamp; invalid → null."""
-    d = fcst_date.cast("string").try_cast("double").cast("bigint")
-    t = fcst_time.cast("string").try_cast("double").cast("bigint")
+    d = coerce_int(fcst_date, 63)
+    t = coerce_int(fcst_time, 63)
     text = F.concat(d.cast("string"), F.lpad(t.cast("string"), 4, "0"))
     return F.try_to_timestamp(text, F.lit("yyyyMMddHHmm")).cast("timestamp_ntz")
 

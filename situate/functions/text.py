@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# the characters ``str.strip()`` removes: every code point Python calls whitespace (derived, not listed)
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def py_strip(c: Column) -> Column:
-    """``str.strip()``: remove leading/trailing (unicode) whitespace."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    """``str.strip()``: remove leading/trailing (unicode) whitespace; plain ``btrim``, no regex."""
+    return F.btrim(c, F.lit(PY_WHITESPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -23,10 +24,23 @@ def has_text(c: Column) -> Column:
     return F.coalesce(F.length(py_strip(c.cast("string"))) > 0, F.lit(False))
 
 
+NUMBER_PATTERN = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))$"
+
+
 def coerce_double(c: Column) -> Column:
-    """X11: ``pd.to_numeric(errors='coerce')``: bad text → null, NaN → null."""
-    d = c.cast("string").try_cast("double")
-    return F.when(~F.isnan(d), d)
+    """X11: ``pd.to_numeric(errors='coerce')``: bad text → null.
+
+    The text is checked by a pattern first and only then cast: under ANSI mode a failing
+    ``try_cast`` costs an exception per row, the pattern test does not.
+    """
+    s = py_strip(c.cast("string"))
+    return F.when(s.rlike(NUMBER_PATTERN), s.cast("double"))
+
+
+def coerce_int(c: Column, bits: int = 31) -> Column:
+    """``int(float(text))``: truncation toward zero, bad or out-of-range text → null."""
+    d = coerce_double(c)
+    return F.when(F.abs(d) < float(1 << bits), d.cast("bigint" if bits > 31 else "int"))
 
 
 def join_address(a: Column, b: Column) -> Column:

@@ -23,13 +23,17 @@ def enrich_log(log: DataFrame, creative_catalog: DataFrame, strict_json: bool =
                broadcast_limit: int | None = None) -> DataFrame:
     """``enrich_log_with_features``: log ⟕ catalog(creative_id, creative_type, category) + context flags.
 
+    The context comes from a ``context`` struct column when the log has one, else from the
+    ``context_features`` JSON text (X20).
+
     Only three catalog columns cross the join. The catalog is broadcast only when its
     estimated size is under the limit; otherwise the join shuffles on ``creative_id``.
     """
     cat = creative_catalog.select("creative_id", "creative_type", "category")
     cat = sized_broadcast(cat) if broadcast_limit is None else sized_broadcast(cat, broadcast_limit)
     j = log.join(cat, "creative_id", "left")
-    ctx = parse_context(F.col("context_features"), strict=strict_json)
+    # a typed ``context`` struct is used as is; JSON text is parsed once (pruned to the fields read)
+    ctx = F.col("context") if "context" in log.columns else parse_context(F.col("context_features"), strict=strict_json)
     j = j.withColumn("__ctx", ctx)
     sky, precip = F.col("__ctx.sky"), F.col("__ctx.precip")
     return (

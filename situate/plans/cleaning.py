@@ -10,7 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from situate import schemas
-from situate.functions.dates import duration_days, resolve_start_end, season_of, weekday_name
+from situate.functions.dates import (
+    DATE_RANGE_PATTERN,
+    SINGLE_DATE_PATTERN,
+    date_from_text,
+    duration_days,
+    loose_date_text,
+    season_of,
+    weekday_name,
+)
 from situate.functions.lookups import (
     CONTENT_TYPE_NAMES,
     DISTRICT_NAMES,
@@ -19,7 +27,7 @@ from situate.functions.lookups import (
     SKY_STATUS_NAMES,
     map_lookup,
 )
-from situate.functions.text import coerce_double, has_text, infer_is_free, join_address, py_strip
+from situate.functions.text import coerce_double, coerce_int, has_text, infer_is_free, join_address, py_strip
 from situate.operators.rows import conform_schema, dedupe_first, sequential_index
 
 EVENT_RENAME = {
@@ -38,16 +46,35 @@ TOUR_RENAME = {
 
 
 def transform_events(raw: DataFrame, keep_ordinal: bool = True) -> DataFrame:
-    """``transform_events``: raw cultural events → typed event rows."""
+    """``transform_events``: raw cultural events → typed event rows.
+
+    Staged projections: every parse runs once per row; Catalyst does not inline the
+    regex-heavy columns into the later stages because they are referenced more than once.
+    """
     r = conform_schema(raw, schemas.RAW_EVENT)
-    dates = resolve_start_end(F.col("START_DATE"), F.col("STRTDATE"), F.col("END_DATE"), F.col("ENDDATE"),
-                              F.col("DATE"))
-    out = r.select(*[F.col(k).alias(v) for k, v in EVENT_RENAME.items()], dates.alias("__d"), "ordinal")
-    start, end = F.col("__d.start"), F.col("__d.end")
-    out = out.select(
+    text = F.col("DATE")
+    date_cols = ["__s", "__e", "__r1", "__r2", "__one"]
+    texts = r.select(
+        *[F.col(k).alias(v) for k, v in EVENT_RENAME.items()], "ordinal",
+        loose_date_text(F.coalesce(F.nullif(F.col("START_DATE"), F.lit("")), F.col("STRTDATE"))).alias("__s"),
+        loose_date_text(F.coalesce(F.nullif(F.col("END_DATE"), F.lit("")), F.col("ENDDATE"))).alias("__e"),
+        F.coalesce(text.rlike(DATE_RANGE_PATTERN), F.lit(False)).alias("__is_range"),
+        loose_date_text(F.regexp_extract(text, DATE_RANGE_PATTERN, 1)).alias("__r1"),
+        loose_date_text(F.regexp_extract(text, DATE_RANGE_PATTERN, 2)).alias("__r2"),
+        loose_date_text(F.regexp_extract(text, SINGLE_DATE_PATTERN, 1)).alias("__one"),
+    )
+    staged = texts.select(*EVENT_RENAME.values(), "ordinal", "__is_range",
+                          *[date_from_text(F.col(c)).alias(c) for c in date_cols])
+    explicit = F.col("__s").isNotNull() | F.col("__e").isNotNull()
+    dated = staged.select(
+        *EVENT_RENAME.values(), "ordinal",
+        F.when(explicit, F.col("__s")).when(F.col("__is_range"), F.col("__r1")).otherwise(F.col("__one")).alias("start_date"),
+        F.when(explicit, F.col("__e")).when(F.col("__is_range"), F.col("__r2")).otherwise(F.col("__one")).alias("end_date"),
+    )
+    start, end = F.col("start_date"), F.col("end_date")
+    out = dated.select(
         *EVENT_RENAME.values(),
-        start.alias("start_date"),
-        end.alias("end_date"),
+        "start_date", "end_date",
         infer_is_free(F.col("use_fee")).alias("is_free"),
         F.month(start).alias("month"),
         weekday_name(start).alias("weekday"),
@@ -66,7 +93,7 @@ def transform_tour(raw: DataFrame, keep_ordinal: bool = True) -> DataFrame:
     r = r.withColumn("addr1", join_address(F.col("addr1"), F.col("addr2"))).drop("addr2")
     r = r.withColumnsRenamed(TOUR_RENAME)
     district_code = F.when(py_strip(F.col("sigungu_code")) != "",
-                           F.col("sigungu_code").try_cast("double").try_cast("int"))
+                           coerce_int(F.col("sigungu_code")))
     out = r.select(
         *[c for c in TOUR_RENAME.values() if c not in ("longitude", "latitude")][:9],
         coerce_double(F.col("longitude")).alias("longitude"),
@@ -119,8 +146,13 @@ def transform_weather(raw: DataFrame) -> DataFrame:
 
 
 def event_creatives(events: DataFrame) -> DataFrame:
-    """P5/P6 ``build_event_creatives``: ``event_{position:06d}`` by ingest order, event → creative schema."""
-    indexed = sequential_index(events, ["ordinal"], "__seq")
+    """P5/P6 ``build_event_creatives``: ``event_{position:06d}`` by ingest order, event → creative schema.
+
+    The position is computed on the ordinal alone (column pruning keeps the cleaning out of
+    that pass) and joined back on the ordinal, which is unique per ingested row.
+    """
+    index = sequential_index(events.select("ordinal"), ["ordinal"], "__seq")
+    indexed = events.join(index, "ordinal")
     return indexed.select(
         F.format_string("event_%06d", F.col("__seq")).alias("creative_id"),
         F.lit("event").alias("creative_type"),
@@ -136,7 +168,7 @@ def event_creatives(events: DataFrame) -> DataFrame:
 
 def tour_creatives(tour: DataFrame) -> DataFrame:
     """P7 ``build_tour_creatives``: key ``tour_{int(content_id)}``, five null columns."""
-    cid = F.col("content_id").try_cast("double").try_cast("bigint")
+    cid = coerce_int(F.col("content_id"), 63)
     return tour.select(
         F.concat(F.lit("tour_"), cid.cast("string")).alias("creative_id"),
         F.lit("tour").alias("creative_type"),
@@ -167,7 +199,7 @@ def context_catalog(weather: DataFrame) -> DataFrame:
 
     Rows are taken in the pivot's key order, as the reference's sorted pivot output.
     """
-    as_int = lambda c: F.col(c).try_cast("double").try_cast("int")
+    as_int = lambda c: coerce_int(F.col(c))
     w = weather.withColumn("context_id", F.concat_ws("_", as_int("fcst_date").cast("string"),
                                                      as_int("fcst_time").cast("string")))
     first = dedupe_first(w, ["context_id"], ["base_date", "base_time", "fcst_date", "fcst_time"])

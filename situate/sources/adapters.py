@@ -49,6 +49,8 @@ def _sky(col_code: Column) -> Column:
 
 
 def _log_columns(impression_id, user_id, ts, creative_id, sky, precip, temp, clicked, converted):
+    """Log columns. The context is kept typed (``context`` struct, what a columnar store holds)
+    and as the reference's JSON text (``context_features``); Catalyst drops whichever is unused."""
     weekend = F.when(F.weekday(ts) >= 5, 1).otherwise(0)
     return [
         impression_id.alias("impression_id"),
@@ -56,6 +58,8 @@ def _log_columns(impression_id, user_id, ts, creative_id, sky, precip, temp, cli
         ts.alias("timestamp"),
         F.lit("").alias("user_segment"),
         encode_context(sky, temp, precip, weekend).alias("context_features"),
+        F.struct(sky.alias("sky"), temp.cast("double").alias("temp"), precip.alias("precip"),
+                 weekend.cast("int").alias("weekend")).alias("context"),
         creative_id.alias("creative_id"),
         F.when(clicked, 1).otherwise(0).alias("clicked"),
         F.when(converted, 1).otherwise(0).alias("converted"),
