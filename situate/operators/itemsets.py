@@ -84,20 +84,33 @@ def _cvr(prefix: str = "") -> Column:
     return F.when(F.col(f"{prefix}c1_cnt") > 0, F.col(f"{prefix}c1_sum") / F.col(f"{prefix}c1_cnt")).otherwise(0.0)
 
 
-def frequent_itemsets(cube: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
-    """Itemsets with support >= min_support, with their size, items and CTR/CVR.
-
-    The grand total is attached by a window over the cube table, whose size is bounded
-    by the dimension cardinalities (not by the data).
+def itemset_table(cube: DataFrame) -> DataFrame:
+    """Cube rows with support, size, items, CTR/CVR, the grand-total baselines and the supports
+    of each row's context part and content part.
+
+    All of it is window arithmetic on the cube table, whose size is bounded by the dimension
+    cardinalities (not by the data), so the log is aggregated exactly once: the context part of
+    a row is the row with ``gid | CONTENT_BITS`` and the same context values, i.e. the row of its
+    window partition (gid | CONTENT_BITS, sky, precip, weekend) whose content bits are all set;
+    likewise for the content part. No self-join, hence no second pass over the log.
     """
-    total = F.max(F.when(F.col("gid") == ALL_ROLLED, F.col("n"))).over(Window.partitionBy())
-    base_ctr = F.max(F.when(F.col("gid") == ALL_ROLLED, _ctr())).over(Window.partitionBy())
-    base_cvr = F.max(F.when(F.col("gid") == ALL_ROLLED, _cvr())).over(Window.partitionBy())
-    t = cube.select("*", total.alias("n_total"), base_ctr.alias("base_ctr"), base_cvr.alias("base_cvr"))
+    whole = Window.partitionBy()
+    total = F.max(F.when(F.col("gid") == ALL_ROLLED, F.col("n"))).over(whole)
+    base_ctr = F.max(F.when(F.col("gid") == ALL_ROLLED, _ctr())).over(whole)
+    base_cvr = F.max(F.when(F.col("gid") == ALL_ROLLED, _cvr())).over(whole)
+    ctx_dims = [d for d in DIMENSIONS if _bit(d) & CONTEXT_BITS]
+    cnt_dims = [d for d in DIMENSIONS if _bit(d) & CONTENT_BITS]
+    ante_n = F.max(F.when((F.col("gid").bitwiseAND(CONTENT_BITS)) == CONTENT_BITS, F.col("n"))).over(
+        Window.partitionBy(F.col("gid").bitwiseOR(CONTENT_BITS), *ctx_dims))
+    cons_n = F.max(F.when((F.col("gid").bitwiseAND(CONTEXT_BITS)) == CONTEXT_BITS, F.col("n"))).over(
+        Window.partitionBy(F.col("gid").bitwiseOR(CONTEXT_BITS), *cnt_dims))
+    t = cube.select("*", total.alias("n_total"), base_ctr.alias("base_ctr"), base_cvr.alias("base_cvr"),
+                    ante_n.alias("n_antecedent"), cons_n.alias("n_consequent"))
     return (
         t.where(F.col("gid") != ALL_ROLLED)
         .withColumn("support", F.col("n") / F.col("n_total"))
-        .where(F.col("support") >= F.lit(min_support))
+        .withColumn("antecedent_support", F.col("n_antecedent") / F.col("n_total"))
+        .withColumn("consequent_support", F.col("n_consequent") / F.col("n_total"))
         .withColumn("size", F.lit(N_DIMS) - F.bit_count(F.col("gid")))
         .withColumn("items", items_array())
         .withColumn("ctr", _ctr())
@@ -105,33 +118,25 @@ def frequent_itemsets(cube: DataFrame, min_support: float = MIN_SUPPORT) -> Data
     )
 
 
+def frequent_itemsets(cube: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """Itemsets with support >= min_support (inclusive), with size, items and CTR/CVR."""
+    return itemset_table(cube).where(F.col("support") >= F.lit(min_support))
+
+
 def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE,
                       min_lift: float = MIN_LIFT) -> DataFrame:
     """Context → content rules of the frequent itemsets.
 
     Each itemset with >= 1 context and >= 1 content item yields exactly one rule:
-    antecedent = its context part (cube row ``gid | CONTENT_BITS``), consequent = its
-    content part (``gid | CONTEXT_BITS``). Both parts are frequent by downward closure,
-    so two equi-joins on the (bounded) itemset table give their supports. Rule ordinal:
-    itemset size, then sorted item names (the order the Apriori output is enumerated in).
+    antecedent = its context part, consequent = its content part (both frequent by downward
+    closure; their supports come from :func:`itemset_table`). confidence = s / s(antecedent),
+    lift = confidence / s(consequent). Rule ordinal: itemset size, then sorted item names
+    (the order the Apriori output is enumerated in).
     """
-    s = itemsets.alias("s")
-    rules = s.where(((F.col("gid").bitwiseAND(CONTEXT_BITS)) != CONTEXT_BITS)
-                    & ((F.col("gid").bitwiseAND(CONTENT_BITS)) != CONTENT_BITS))
-    ctx_dims = [d for d in DIMENSIONS if _bit(d) & CONTEXT_BITS]
-    cnt_dims = [d for d in DIMENSIONS if _bit(d) & CONTENT_BITS]
-    ante = sized_broadcast(itemsets.select(F.col("gid").alias("a_gid"), *[F.col(d).alias(f"a_{d}") for d in ctx_dims],
-                                           F.col("support").alias("antecedent_support")))
-    cons = sized_broadcast(itemsets.select(F.col("gid").alias("c_gid"), *[F.col(d).alias(f"c_{d}") for d in cnt_dims],
-                                           F.col("support").alias("consequent_support")))
-    a_cond = [F.col("a_gid") == F.col("gid").bitwiseOR(CONTENT_BITS)] + [
-        F.col(f"a_{d}").eqNullSafe(F.col(d)) for d in ctx_dims]
-    c_cond = [F.col("c_gid") == F.col("gid").bitwiseOR(CONTEXT_BITS)] + [
-        F.col(f"c_{d}").eqNullSafe(F.col(d)) for d in cnt_dims]
-    j = rules.join(ante, a_cond, "inner").join(cons, c_cond, "inner")
+    rules = itemsets.where(((F.col("gid").bitwiseAND(CONTEXT_BITS)) != CONTEXT_BITS)
+                           & ((F.col("gid").bitwiseAND(CONTENT_BITS)) != CONTENT_BITS))
     sup, sa, sc = F.col("support"), F.col("antecedent_support"), F.col("consequent_support")
-    conf = sup / sa
-    j = j.withColumn("confidence", conf).withColumn("lift", F.col("confidence") / sc)
+    j = rules.withColumn("confidence", sup / sa).withColumn("lift", F.col("confidence") / sc)
     j = j.where((F.col("confidence") >= F.lit(min_confidence)) & (F.col("lift") >= F.lit(min_lift)))
     ante_items = F.filter(F.col("items"), lambda x: x.startswith("precip_") | x.startswith("sky_") | x.startswith("weekend_"))
     cons_items = F.filter(F.col("items"), lambda x: x.startswith("type_") | x.startswith("category_group_"))

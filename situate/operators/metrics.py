@@ -42,6 +42,13 @@ def log_counts(log: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     return log.groupBy(*group_by).agg(*aggs) if group_by else log.agg(*aggs)
 
 
+def kpi_summary(log: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
+    """A4 + A5 in one aggregate (one pass over the log): counts, distinct users, CTR, CVR, CTCVR."""
+    aggs = [F.count("*").alias("impression_count"), F.countDistinct("user_id").alias("user_count"),
+            ctr_expr().alias("ctr"), cvr_expr().alias("cvr"), ctcvr_expr().alias("ctcvr")]
+    return log.groupBy(*group_by).agg(*aggs) if group_by else log.agg(*aggs)
+
+
 def per_user_load(log: DataFrame) -> DataFrame:
     """Mean impressions per user and distinct users (two-level aggregate)."""
     per_user = log.groupBy("user_id").agg(F.count("*").alias("n"))

@@ -22,28 +22,29 @@ def merge_narratives(strategies: DataFrame, narratives: DataFrame) -> DataFrame:
 
 
 def metric_issues(truth: DataFrame, reported: DataFrame, tolerance: float = METRIC_TOLERANCE) -> DataFrame:
-    """J4 + J5 ``_python_metric_checks``: one issue per unknown id (anti join), one per
-    (id, metric) whose |actual - expected| exceeds the tolerance (unpivot + filter).
+    """J4 + J5 ``_python_metric_checks``: one issue per unknown id, one per (id, metric) whose
+    |actual - expected| exceeds the tolerance.
 
-    Output: strategy_id, ordinal (reported order), metric_pos, metric, expected, actual, issue.
+    One left join and one explode: a known id unpivots into its six checks, an unknown id into
+    a single marker row; then one filter. Output: strategy_id, ordinal (reported order),
+    metric_pos, metric, expected, actual, issue.
     """
     t = truth.select("strategy_id", F.lit(True).alias("__known"), *[F.col(m).alias(f"t_{m}") for m in CHECKED_METRICS])
-    j = reported.join(t, "strategy_id", "left")
-    unknown = j.where(F.col("__known").isNull()).select(
-        "strategy_id", "ordinal", F.lit(-1).alias("metric_pos"), F.lit(None).cast("string").alias("metric"),
-        F.lit(None).cast("double").alias("expected"), F.lit(None).cast("double").alias("actual"),
-        F.lit(UNKNOWN_ID_ISSUE).alias("issue"))
-    checks = F.explode(F.array(*[
+    j = reported.join(sized_broadcast(t), "strategy_id", "left")
+    check_t = "struct<metric_pos:int,metric:string,expected:double,actual:double>"
+    checks = F.array(*[
         F.struct(F.lit(i).alias("metric_pos"), F.lit(m).alias("metric"), F.col(f"t_{m}").cast("double").alias("expected"),
                  F.col(m).cast("double").alias("actual"))
         for i, m in enumerate(CHECKED_METRICS)
-    ]))
-    long = j.where(F.col("__known")).select("strategy_id", "ordinal", checks.alias("__c")).select(
-        "strategy_id", "ordinal", "__c.*")
-    bad = long.where(F.abs(F.col("actual") - F.col("expected")) > F.lit(tolerance))
-    bad = bad.withColumn("issue", F.concat(F.col("metric"), F.lit(" 불일치 (expected="), py_float_repr(F.col("expected")),
-                                           F.lit(", actual="), py_float_repr(F.col("actual")), F.lit(")")))
-    return unknown.unionByName(bad)
+    ])
+    unknown = F.array(F.struct(F.lit(-1).alias("metric_pos"), F.lit(None).cast("string").alias("metric"),
+                               F.lit(None).cast("double").alias("expected"), F.lit(None).cast("double").alias("actual")))
+    rows = F.when(F.col("__known").isNull(), unknown.cast(f"array<{check_t}>")).otherwise(checks.cast(f"array<{check_t}>"))
+    long = j.select("strategy_id", "ordinal", F.explode(rows).alias("__c")).select("strategy_id", "ordinal", "__c.*")
+    bad = long.where(F.col("metric").isNull() | (F.abs(F.col("actual") - F.col("expected")) > F.lit(tolerance)))
+    text = F.concat(F.col("metric"), F.lit(" 불일치 (expected="), py_float_repr(F.col("expected")),
+                    F.lit(", actual="), py_float_repr(F.col("actual")), F.lit(")"))
+    return bad.withColumn("issue", F.when(F.col("metric").isNull(), F.lit(UNKNOWN_ID_ISSUE)).otherwise(text))
 
 
 def merge_issues(python_issues: DataFrame, model_issues: DataFrame) -> DataFrame:

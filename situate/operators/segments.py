@@ -68,12 +68,14 @@ def squared_silhouette(points: DataFrame, vector: str, label: str, id_col: str)
     p = points.select(F.col(id_col).alias("__id"), F.col(label).alias("__c"),
                       F.transform(F.col(vector), lambda v: v.cast("double")).alias("__v"))
     p = p.withColumn("__nrm", F.aggregate("__v", F.lit(0.0), lambda a, v: a + v * v))
+    # one pass for the cluster statistics: per (cluster, dimension) sum and count; the norm sum
+    # Q_C is the sum over dimensions of the squared components
     per_dim = (p.select("__c", F.posexplode("__v").alias("__pos", "__x"))
-               .groupBy("__c", "__pos").agg(F.sum("__x").alias("__s")))
-    vec_sum = per_dim.groupBy("__c").agg(
+               .groupBy("__c", "__pos").agg(F.sum("__x").alias("__s"), F.sum(F.col("__x") * F.col("__x")).alias("__q"),
+                                            F.count("*").alias("__k")))
+    clusters = per_dim.groupBy("__c").agg(
+        F.max(F.when(F.col("__pos") == 0, F.col("__k"))).alias("__n"), F.sum("__q").alias("__Q"),
         F.transform(F.array_sort(F.collect_list(F.struct("__pos", "__s"))), lambda e: e["__s"]).alias("__S"))
-    sizes = p.groupBy("__c").agg(F.count("*").alias("__n"), F.sum("__nrm").alias("__Q"))
-    clusters = sizes.join(vec_sum, "__c")
     one = clusters.agg(F.collect_list(F.struct("__c", "__n", "__Q", "__S")).alias("__clusters"))
     j = attach_row(p, one)
 

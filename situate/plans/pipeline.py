@@ -7,9 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from situate.operators.enrich import enrich_log
-from situate.operators.metrics import kpi_metrics, log_counts
+from situate.operators.metrics import kpi_summary
 from situate.operators.strategies import TOP_N_DEFAULT, top_strategies
-from situate.operators.joins import attach_row
 
 
 @dataclass(frozen=True)
@@ -22,5 +21,5 @@ class PipelineData:
 def load_pipeline_data(log: DataFrame, creative_catalog: DataFrame, top_n: int = TOP_N_DEFAULT) -> PipelineData:
     """``load_pipeline_data``: enrich once and derive everything from it (the reference enriches twice)."""
     enriched = enrich_log(log, creative_catalog)
-    kpis = attach_row(log_counts(log), kpi_metrics(log))
+    kpis = kpi_summary(log)
     return PipelineData(enriched, kpis, top_strategies(enriched, top_n))

@@ -30,7 +30,7 @@ from situate.operators import segments as SG
 from situate.operators import strategies as ST
 from situate.operators.enrich import apply_user_segments, enrich_log
 from situate.operators.joins import attach_row
-from situate.operators.metrics import kpi_metrics, log_counts, per_user_load, scenario_ctr
+from situate.operators.metrics import kpi_metrics, kpi_summary, log_counts, per_user_load, scenario_ctr
 from situate.operators.rows import conform_schema, dedupe_first, limit_rows
 from situate.operators.sampling import weighted_choice
 from situate.plans import cleaning as CL
@@ -106,9 +106,7 @@ def q_kpi_by_type(spark, sf):
 
 
 def attach_kpis(df, keys):
-    k = kpi_metrics(df, keys)
-    c = log_counts(df, keys)
-    return c.join(k, keys, "inner") if keys else attach_row(c, k)
+    return kpi_summary(df, keys)
 
 
 @query("kpi_sentence")
@@ -234,8 +232,7 @@ def q_strategy_display(spark, sf):
 def _pipeline(spark, sf):
     log = A.v_log(spark, sf)
     en = enrich_log(log, A.v_creative(spark, sf))
-    kpis = attach_row(log_counts(log), kpi_metrics(log))
-    return en, kpis, ST.top_strategies(en)
+    return en, kpi_summary(log), ST.top_strategies(en)
 
 
 @query("snapshot")
@@ -362,7 +359,10 @@ def q_user_features(spark, sf):
 
 @query("zscore_features")
 def q_zscore(spark, sf):
-    return rounded(SG.zscore(SG.user_features(enriched_log(spark, sf))))
+    # the feature table is read twice (global stats, then scaling): materialise it once in the
+    # checkpoint folder instead of aggregating the log twice
+    feats = SG.user_features(enriched_log(spark, sf)).checkpoint()
+    return rounded(SG.zscore(feats))
 
 
 @query("silhouette")
