@@ -55,7 +55,7 @@ V_CREATIVE = f"""v_creative AS (
   FROM part)"""
 
 V_LOG = """v_log AS (
-  SELECT event_id AS impression_id, user_id, ts AS "timestamp",
+  SELECT event_id AS impression_id, user_id, ts AS "timestamp", value / 10.0 AS temp,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS creative_id,
          CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 WHEN 0 THEN 'clear' WHEN 1 THEN 'cloudy' ELSE 'overcast' END AS sky,
          CASE WHEN value < 20 THEN 'none' WHEN value < 60 THEN 'rain' WHEN value < 100 THEN 'snow' ELSE 'shower' END AS precip,
@@ -717,3 +717,7 @@ FROM kpi k, (SELECT count(*) AS n FROM issues) i,
 ORACLE_SQL["kpi_metrics_big"] = with_(V_LOG_BIG) + f"SELECT {_r('ctr')} AS ctr, {_r('cvr')} AS cvr, {_r('ctcvr')} AS ctcvr FROM (SELECT {KPI_AGGS} FROM v_log)"
 ORACLE_SQL["user_features_big"] = with_(V_CREATIVE, V_LOG_BIG, ENRICHED, USER_FEATURES) + "SELECT user_id, impression_count, " + ", ".join(
     f"{_r(c)} AS {c}" for c in FEATURES[1:]) + " FROM uf"
+
+ORACLE_SQL["context_json_encode"] = with_(V_LOG) + """SELECT impression_id,
+  CAST(json_object('sky', sky, 'temp', temp, 'precip', precip, 'weekend', weekend) AS VARCHAR) AS context_features FROM v_log"""
+ORACLE_SQL["context_json_parse"] = with_(V_LOG) + "SELECT impression_id, sky, round(temp, 6) AS temp, precip, weekend FROM v_log"

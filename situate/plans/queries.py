@@ -143,6 +143,22 @@ def q_impression_items(spark, sf):
     return en.select("impression_id", _items_text(items).alias("items"))
 
 
+@query("context_json_encode")
+def q_context_json_encode(spark, sf):
+    log = A.v_log(spark, sf)
+    return log.select("impression_id", "context_features")
+
+
+@query("context_json_parse")
+def q_context_json_parse(spark, sf):
+    from situate.functions.context import clean_temp, parse_context
+
+    log = A.v_log(spark, sf).drop("context")
+    c = parse_context(F.col("context_features"))
+    return rounded(log.select("impression_id", c["sky"].alias("sky"), clean_temp(c["temp"]).alias("temp"),
+                              c["precip"].alias("precip"), c["weekend"].alias("weekend")))
+
+
 @query("transaction_matrix")
 def q_transaction_matrix(spark, sf):
     m = IS.transaction_matrix(enriched_log(spark, sf))
