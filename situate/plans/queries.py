@@ -35,7 +35,7 @@ from situate.operators.rows import conform_schema, dedupe_first, limit_rows
 from situate.operators.sampling import weighted_choice
 from situate.plans import cleaning as CL
 from situate.plans import reports as RP
-from situate.session import scratch_path
+from situate.session import materialize, scratch_path
 from situate.sources import adapters as A
 from situate.sources import files as FS
 from situate.sources import landing as LD
@@ -377,7 +377,7 @@ def q_user_features(spark, sf):
 def q_zscore(spark, sf):
     # the feature table is read twice (global stats, then scaling): materialise it once in the
     # checkpoint folder instead of aggregating the log twice
-    feats = SG.user_features(enriched_log(spark, sf)).checkpoint()
+    feats = materialize(SG.user_features(enriched_log(spark, sf)))
     return rounded(SG.zscore(feats))
 
 
