@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+DEFAULT_BROADCAST_LIMIT = 16 * 1024 * 1024
 
 
 def estimated_size(df: DataFrame) -> int:
