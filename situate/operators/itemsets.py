@@ -63,7 +63,10 @@ def itemset_cube(enriched: DataFrame) -> DataFrame:
     """
     pre = transactions(enriched).groupBy(*DIMENSIONS).agg(*_partial_sums(enriched))
     cube = pre.cube(*DIMENSIONS).agg(*[F.sum(c).alias(c) for c in SUMS], F.grouping_id().alias("gid"))
-    return cube.withColumn("gid", F.col("gid").cast("int"))
+    # the cube table is bounded by the dimension cardinalities (at most 32 × value combinations):
+    # one tiny exchange to a single partition lets every later window / Top-N step run without
+    # further shuffles
+    return cube.withColumn("gid", F.col("gid").cast("int")).repartition(1)
 
 
 def _present(dim: str) -> Column:
