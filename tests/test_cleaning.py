@@ -108,3 +108,15 @@ def test_issue_slot(spark):
     df = spark.createDataFrame(rows, "ts timestamp_ntz")
     got = [(r.s.base_date, r.s.base_time) for r in df.select(forecast_issue_slot(F.col("ts")).alias("s")).collect()]
     assert got == [(d, t) for _, d, t in cases]
+
+
+def test_column_date_functions_agree_with_transform(spark):
+    from situate.functions.dates import resolve_start_end
+    from situate.sources import adapters as A
+    from conftest import SF001
+
+    raw = A.v_raw_event(spark, SF001)
+    d = resolve_start_end(F.col("START_DATE"), F.col("STRTDATE"), F.col("END_DATE"), F.col("ENDDATE"), F.col("DATE"))
+    by_fn = raw.select("ordinal", d["start"].alias("start_date"), d["end"].alias("end_date"))
+    by_plan = CL.transform_events(raw).select("ordinal", "start_date", "end_date")
+    assert by_fn.exceptAll(by_plan).count() == 0 and by_plan.exceptAll(by_fn).count() == 0
