@@ -200,23 +200,20 @@ def transaction_matrix(enriched: DataFrame) -> DataFrame:
 def rule_match_counts(enriched: DataFrame, rules: DataFrame) -> DataFrame:
     """F9/J6 generic path: per rule, the impressions whose items contain the rule's items.
 
-    No nested-loop join: each impression is expanded over the (bounded) set of rule
-    patterns ``gid`` and masked on the rolled-up dimensions, then equi-joined to the
-    rules; matches are aggregated per rule (partial aggregation before the shuffle).
+    No nested-loop join: the log is pre-aggregated on the five dimensions (map-side combine),
+    each combination is expanded over the (bounded) set of rule patterns ``gid`` and masked on
+    the rolled-up dimensions, then equi-joined to the rules and summed per rule.
     """
-    tx = transactions(enriched)
+    pre = transactions(enriched).groupBy(*DIMENSIONS).agg(*_partial_sums(enriched))
     gids = sorted({r[0] for r in rules.select("gid").distinct().collect()})
     pattern = F.explode(F.array(*[F.lit(g) for g in gids])) if gids else F.explode(F.array().cast("array<int>"))
-    ex = tx.select("*", pattern.alias("gid"))
+    ex = pre.select("*", pattern.alias("gid"))
     masked = ex.select(
-        "gid", "clicked", "converted",
+        "gid", *SUMS,
         *[F.when((F.col("gid").bitwiseAND(_bit(d))) == 0, F.col(d)).alias(d) for d in DIMENSIONS],
     )
     keys = sized_broadcast(rules.select("rule_no", "gid", *DIMENSIONS))
     cond = [masked.gid == keys.gid] + [masked[d].eqNullSafe(keys[d]) for d in DIMENSIONS]
     j = masked.join(keys, cond, "inner")
-    return j.groupBy("rule_no").agg(
-        F.count("*").alias("n_matched"),
-        F.coalesce(F.avg("clicked"), F.lit(0.0)).alias("ctr"),
-        F.coalesce(F.avg(F.when(F.col("clicked") == 1, F.col("converted"))), F.lit(0.0)).alias("cvr"),
-    )
+    per_rule = j.groupBy("rule_no").agg(*[F.sum(c).alias(c) for c in SUMS])
+    return per_rule.select("rule_no", F.col("n").alias("n_matched"), _ctr().alias("ctr"), _cvr().alias("cvr"))
