@@ -20,16 +20,16 @@ ENRICHED_EXTRA = ("creative_type", "category", "sky", "precip", "is_weekend", "i
 
 
 def enrich_log(log: DataFrame, creative_catalog: DataFrame, strict_json: bool = False,
-               broadcast_limit: int | None = None) -> DataFrame:
+               broadcast_limit: int | None = None, extra_columns: tuple[str, ...] = ()) -> DataFrame:
     """``enrich_log_with_features``: log ⟕ catalog(creative_id, creative_type, category) + context flags.
 
     The context comes from a ``context`` struct column when the log has one, else from the
     ``context_features`` JSON text (X20).
 
-    Only three catalog columns cross the join. The catalog is broadcast only when its
+    Only three catalog columns (plus ``extra_columns``) cross the join. The catalog is broadcast only when its
     estimated size is under the limit; otherwise the join shuffles on ``creative_id``.
     """
-    cat = creative_catalog.select("creative_id", "creative_type", "category")
+    cat = creative_catalog.select("creative_id", "creative_type", "category", *extra_columns)
     cat = sized_broadcast(cat) if broadcast_limit is None else sized_broadcast(cat, broadcast_limit)
     j = log.join(cat, "creative_id", "left")
     # a typed ``context`` struct is used as is; JSON text is parsed once (pruned to the fields read)

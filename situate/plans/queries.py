@@ -485,9 +485,7 @@ def q_merge_issues(spark, sf):
 # ---- scoring (re-aimed simulator rules) ---------------------------------------------
 
 def _scored_log(spark, sf):
-    en = enriched_log(spark, sf)
-    cat = A.v_creative(spark, sf).select("creative_id", "has_image", "is_free")
-    en = en.join(cat, "creative_id", "left")
+    en = enrich_log(A.v_log(spark, sf), A.v_creative(spark, sf), extra_columns=("has_image", "is_free"))
     flags = context_flags(F.col("sky"), F.col("precip"), F.col("is_weekend"))
     u = lambda tag, lo, hi: F.lit(lo) + F.lit(hi - lo) * hash_uniform(F.lit(tag), F.col("user_id"))
     return en.select(
