@@ -10,9 +10,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from situate.operators.joins import attach_row, sized_broadcast
+from situate.session import materialize
 
 FEATURE_COLUMNS = [
     "impression_count", "overall_ctr", "overall_cvr", "outdoor_ctr", "indoor_ctr", "weekend_ratio",
@@ -166,8 +166,10 @@ def find_best_k(vectors: DataFrame, k_min: int = K_MIN, k_max: int = K_MAX, seed
 def cluster_users(enriched: DataFrame, k_min: int = K_MIN, k_max: int = K_MAX, seed: int = SEED,
                   restarts: int = 10) -> SegmentationResult:
     """M6 ``cluster_users``: features → z-score → k search → fit → labelled users."""
-    feats = user_features(enriched)
-    vectors = _assemble(zscore(feats)).select("user_id", "features").cache()
+    # the scaled table is read by every fit (k values × restarts): materialise it once in the
+    # checkpoint folder, so neither reuse nor a lost executor re-aggregates the log
+    feats = materialize(user_features(enriched))
+    vectors = materialize(_assemble(zscore(feats)).select("user_id", "features"))
     best_k, scores = find_best_k(vectors, k_min, k_max, seed, restarts)
     model = fit_kmeans(vectors, best_k, seed, restarts)
     assigned = _stable_labels(model, model.transform(vectors).select("user_id", "cluster_raw"))
