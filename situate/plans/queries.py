@@ -29,7 +29,6 @@ from situate.operators import reconcile as RC
 from situate.operators import segments as SG
 from situate.operators import strategies as ST
 from situate.operators.enrich import apply_user_segments, enrich_log
-from situate.operators.joins import attach_row
 from situate.operators.metrics import kpi_metrics, kpi_summary, log_counts, per_user_load, scenario_ctr
 from situate.operators.rows import conform_schema, dedupe_first, limit_rows
 from situate.operators.sampling import weighted_choice
