@@ -3,7 +3,7 @@ other operator families, at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]``. Prints one JSON line.
 
 Each query is executed fully with the ``noop`` sink (no driver collection); the
-reported time per query is the best of ``$BENCH_REPEAT`` runs (default 2) after one
+reported time per query is the best of ``$BENCH_REPEAT`` runs (default 3) after one
 warm-up pass over a small query.
 """
 
@@ -35,7 +35,7 @@ def run(spark, name, sf_dir):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = get_spark("situate-bench", cpus=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
     run(spark, "kpi_metrics", sf_dir)  # warm-up: JVM, codegen caches, file listing
     times = {}

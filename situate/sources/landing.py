@@ -31,19 +31,22 @@ def decode_pages(pages: DataFrame, item_schema: T.StructType) -> DataFrame:
     item (null → no rows, one object → one row, list → rows). Returns pages with ``ok``,
     ``result_code``, ``total`` and ``items`` (array<struct>)."""
     body, feed = F.col("body"), F.col("feed")
-    code = _by_feed(feed, "code", body)
-    raw = _by_feed(feed, "items", body)
+    # one projection extracts code, item text and total (each page body is read once per path);
+    # the next one tests the code and parses the items, referring to those columns
+    staged = pages.select("*", _by_feed(feed, "code", body).alias("result_code"),
+                          _by_feed(feed, "items", body).alias("__raw"),
+                          _by_feed(feed, "total", body).cast("bigint").alias("total"))
+    raw = F.col("__raw")
     arr_t = T.ArrayType(item_schema)
     items = (
         F.when(raw.isNull() | (py_trim(raw) == ""), F.array().cast(arr_t))
         .when(py_trim(raw).startswith("["), F.from_json(raw, arr_t))
         .otherwise(F.array(F.from_json(raw, item_schema)))
     )
-    return pages.select(
-        "*",
-        code.alias("result_code"),
-        (code == _by_feed(feed, "ok", body)).alias("ok"),
-        _by_feed(feed, "total", body).cast("bigint").alias("total"),
+    return staged.select(
+        *pages.columns, "result_code",
+        (F.col("result_code") == _by_feed(feed, "ok", body)).alias("ok"),
+        "total",
         items.alias("items"),
     )
 
