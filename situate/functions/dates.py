@@ -99,8 +99,9 @@ def forecast_issue_slot(ts_utc: Column, tz: str = "Asia/Seoul") -> Column:
     """Latest forecast issue (02,05,..,23 h local) published at least 40 minutes before ``ts``.
 
     Returns struct(base_date 'yyyyMMdd', base_time 'HHmm'); before 02:40 it is 23:00 of the day before.
+    ``ts_utc`` is a UTC wall-clock timestamp; the conversion does not depend on the session time zone.
     """
-    local = F.from_utc_timestamp(ts_utc.cast("timestamp"), tz)
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), ts_utc.cast("timestamp_ntz"))
     t = local - F.expr(f"INTERVAL {FORECAST_PUBLISH_DELAY_MINUTES} MINUTES")
     h = F.hour(t)
     first, step = FORECAST_ISSUE_HOURS[0], FORECAST_ISSUE_HOURS[1] - FORECAST_ISSUE_HOURS[0]
