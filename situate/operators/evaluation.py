@@ -11,6 +11,13 @@ from pyspark.sql.window import Window
 from situate.functions.formatting import py_bool, py_str_list
 from situate.operators.joins import sized_broadcast
 
+# ---- fixed values: grading messages ------------------------------------------
+APPROVAL_MISMATCH = "critic 승인 불일치"
+ID_MISMATCH = "strategy_id 불일치"
+MISSING_KEYWORD = "필수 키워드 누락: "
+FORBIDDEN_KEYWORD = "금지 키워드 포함: "
+# ------------------------------------------------------------------------------
+
 
 def first_k_trials(trials: DataFrame, k: int) -> DataFrame:
     """The first ``k`` trials of each case in (case_id, trial) order.
@@ -66,19 +73,19 @@ def grade_cases(cases: DataFrame, results: DataFrame) -> DataFrame:
     act_ids = F.array_sort(F.array_distinct("actual_ids"))
     approval = F.when(
         F.col("approved") != F.col("expected_approved"),
-        F.array(F.concat(F.lit("critic 승인 불일치 (expected="), py_bool(F.col("expected_approved")),
+        F.array(F.concat(F.lit(APPROVAL_MISMATCH + " (expected="), py_bool(F.col("expected_approved")),
                          F.lit(", actual="), py_bool(F.col("approved")), F.lit(")"))),
     ).otherwise(F.array().cast("array<string>"))
     ids = F.when(
         exp_ids != act_ids,
-        F.array(F.concat(F.lit("strategy_id 불일치 (expected="), py_str_list(exp_ids), F.lit(", actual="),
+        F.array(F.concat(F.lit(ID_MISMATCH + " (expected="), py_str_list(exp_ids), F.lit(", actual="),
                          py_str_list(act_ids), F.lit(")"))),
     ).otherwise(F.array().cast("array<string>"))
     j = j.withColumn("__text", text)
     missing = F.transform(F.filter("required_keywords", lambda kw: F.instr(F.col("__text"), kw) == 0),
-                          lambda kw: F.concat(F.lit("필수 키워드 누락: "), kw))
+                          lambda kw: F.concat(F.lit(MISSING_KEYWORD), kw))
     present = F.transform(F.filter("forbidden_keywords", lambda kw: F.instr(F.col("__text"), kw) > 0),
-                          lambda kw: F.concat(F.lit("금지 키워드 포함: "), kw))
+                          lambda kw: F.concat(F.lit(FORBIDDEN_KEYWORD), kw))
     reasons = F.concat(approval, ids, missing, present)
     return j.select("case_id", reasons.alias("reasons")).withColumn("passed", F.size("reasons") == 0)
 

@@ -25,9 +25,11 @@ CONTENT_BITS = 0b00011                               # type, category_group
 # sorted order of the item prefixes (category_group_ < precip_ < sky_ < type_ < weekend_)
 SORTED_DIMS = tuple(sorted(DIMENSIONS, key=lambda d: ITEM_PREFIXES[DIMENSIONS.index(d)]))
 
+# ---- fixed values: default mining thresholds ------------------------------------
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.15
 MIN_LIFT = 1.02
+# ------------------------------------------------------------------------------
 
 SUMS = ("n", "clk_sum", "clk_cnt", "c1_cnt", "c1_sum", "conv_sum", "conv_cnt")
 

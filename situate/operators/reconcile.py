@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from situate.functions.formatting import py_float_repr
 from situate.operators.joins import sized_broadcast
 
+# ---- fixed values: tolerance, checked metrics (in order) and issue texts ------
 METRIC_TOLERANCE = 1e-6
 CHECKED_METRICS = ("expected_ctr_gain", "expected_cvr_gain", "support", "confidence", "lift", "strategy_score")
 UNKNOWN_ID_ISSUE = "하층 파이프라인에 없는 strategy_id"
+METRIC_MISMATCH = " 불일치"
+# ------------------------------------------------------------------------------
 
 
 def merge_narratives(strategies: DataFrame, narratives: DataFrame) -> DataFrame:
@@ -42,7 +45,7 @@ def metric_issues(truth: DataFrame, reported: DataFrame, tolerance: float = METR
     rows = F.when(F.col("__known").isNull(), unknown.cast(f"array<{check_t}>")).otherwise(checks.cast(f"array<{check_t}>"))
     long = j.select("strategy_id", "ordinal", F.explode(rows).alias("__c")).select("strategy_id", "ordinal", "__c.*")
     bad = long.where(F.col("metric").isNull() | (F.abs(F.col("actual") - F.col("expected")) > F.lit(tolerance)))
-    text = F.concat(F.col("metric"), F.lit(" 불일치 (expected="), py_float_repr(F.col("expected")),
+    text = F.concat(F.col("metric"), F.lit(METRIC_MISMATCH + " (expected="), py_float_repr(F.col("expected")),
                     F.lit(", actual="), py_float_repr(F.col("actual")), F.lit(")"))
     return bad.withColumn("issue", F.when(F.col("metric").isNull(), F.lit(UNKNOWN_ID_ISSUE)).otherwise(text))
 

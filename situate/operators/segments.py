@@ -18,7 +18,7 @@ FEATURE_COLUMNS = [
     "impression_count", "overall_ctr", "overall_cvr", "outdoor_ctr", "indoor_ctr", "weekend_ratio",
     "clear_weather_ctr", "rainy_weather_ctr", "event_ctr", "tour_ctr",
 ]
-K_MIN, K_MAX, SEED = 3, 6, 42
+K_MIN, K_MAX, SEED = 3, 6, 42  # fixed values: k range and seed
 
 
 def _subset_ctr(cond):

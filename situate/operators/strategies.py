@@ -12,12 +12,14 @@ from situate.functions.labels import format_itemset
 from situate.functions.scoring import strategy_score
 from situate.operators.itemsets import MIN_CONFIDENCE, MIN_LIFT, MIN_SUPPORT, mine_rules
 
+# ---- fixed values: selection thresholds ----------------------------------------
 TOP_N_DEFAULT = 5
 MIN_EXPECTED_CTR_GAIN = 0.0
 MIN_EXPECTED_CVR_GAIN = 0.01
 MIN_STRATEGY_CONFIDENCE = 0.5
 MIN_STRATEGY_CONFIDENCE_FALLBACK = 0.45
 MIN_STRATEGY_LIFT = 1.02
+# ------------------------------------------------------------------------------
 
 STRATEGY_SCHEMA = T.StructType([
     T.StructField("strategy_id", T.StringType()),

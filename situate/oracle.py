@@ -675,7 +675,7 @@ PAGES = """pg AS (
   SELECT CAST(floor(event_id / 100) AS BIGINT) AS page_id, * FROM events),
 pgs AS (
   SELECT page_id, count(*) AS n_rows, min(event_id) AS first_id,
-         CASE page_id % 3 WHEN 0 THEN 'seoul_event' WHEN 1 THEN 'tour' ELSE 'weather' END AS feed,
+         CASE page_id % 3 WHEN 0 THEN 'cultural_event' WHEN 1 THEN 'tour' ELSE 'weather' END AS feed,
          page_id % 17 <> 0 AS ok
   FROM pg GROUP BY page_id)"""
 ORACLE_SQL["decode_envelope"] = with_(PAGES) + """SELECT page_id, feed, item_pos, event_id, user_id, event_type, round(value, 6) AS value

@@ -604,6 +604,6 @@ def q_stream_clean_events(spark, sf):
     landing = scratch_path(spark, "landing_event")
     FS.sink_json(A.v_raw_event(spark, sf), landing)
     out, ckpt = scratch_path(spark, "clean_event"), scratch_path(spark, "clean_event_ckpt")
-    q = start_clean_stream(spark, "seoul_event", landing, out, ckpt)
+    q = start_clean_stream(spark, "cultural_event", landing, out, ckpt)
     q.awaitTermination()
     return spark.read.parquet(out)

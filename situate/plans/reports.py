@@ -33,6 +33,11 @@ RATIO_COLUMNS = ("support", "confidence", "strategy_score", "lift")
 NO_PATTERN_TEXT = "유효 대응 사례가 발굴되지 않았습니다."
 PATTERN_HEADER = "연관규칙 기반 유효 대응 사례:\n"
 TOP_STRATEGY_COUNT = 2
+KPI_HEADER = "📊 KPI"
+STRATEGY_HEADER = "🎯 Top 전략"
+NO_STRATEGY = "없음"
+AGENT_HEADER = "🤖 에이전트"
+APPROVED, REJECTED = "✅ 승인", "❌ 거절"
 # ------------------------------------------------------------------------------
 
 
@@ -119,17 +124,17 @@ def digest_sections(kpis_and_counts: DataFrame, creatives: DataFrame, contexts:
     n_issues = issues.agg(F.count("*").alias("n_issues"))
     row = attach_row(attach_row(attach_row(attach_row(kpis_and_counts, counts), bullets), n_issues), recommendation)
     etl = F.concat(
-        F.lit("📊 KPI\n노출 "), thousands(F.col("impression_count")), F.lit(" | CTR "), percent(F.col("ctr")),
+        F.lit(KPI_HEADER + "\n노출 "), thousands(F.col("impression_count")), F.lit(" | CTR "), percent(F.col("ctr")),
         F.lit(" | CVR "), percent(F.col("cvr")), F.lit(" | CTCVR "), percent(F.col("ctcvr")),
         F.lit("\n소재 "), thousands(F.col("n_creatives")), F.lit(" · 상황 "), thousands(F.col("n_contexts")),
     )
-    strat = F.when(F.size("__b") > 0, F.concat(F.lit("🎯 Top 전략\n"),
+    strat = F.when(F.size("__b") > 0, F.concat(F.lit(STRATEGY_HEADER + "\n"),
                                                F.array_join(F.transform("__b", lambda e: e["b"]), "\n"))
-                   ).otherwise(F.lit("🎯 Top 전략\n없음"))
+                   ).otherwise(F.lit(STRATEGY_HEADER + "\n" + NO_STRATEGY))
     approved = F.col("n_issues") == 0
     summary = truncate_text(py_strip(F.col("recommendation")))
     agent = F.concat(
-        F.lit("🤖 에이전트\nCritic: "), F.when(approved, "✅ 승인").otherwise("❌ 거절"),
+        F.lit(AGENT_HEADER + "\nCritic: "), F.when(approved, APPROVED).otherwise(REJECTED),
         F.lit(" (이슈 "), F.col("n_issues").cast("string"), F.lit("건)"),
         F.when(summary != "", F.concat(F.lit("\n권고: "), summary)).otherwise(F.lit("")),
     )

@@ -294,7 +294,7 @@ def v_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAGE_SIZE = 100
-FEEDS = ("seoul_event", "tour", "weather")
+FEEDS = ("cultural_event", "tour", "weather")
 
 
 def v_pages_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,7 +315,7 @@ def v_pages_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.to_json("items"))
     )
     ok = p % 17 != 0
-    seoul = F.format_string('{"culturalEventInfo":{"list_total_count":%d,"RESULT":{"CODE":"%s"},"row":%s}}',
+    cultural = F.format_string('{"culturalEventInfo":{"list_total_count":%d,"RESULT":{"CODE":"%s"},"row":%s}}',
                             F.col("n_rows"), F.when(ok, "INFO-000").otherwise("ERROR-300"),
                             F.coalesce(payload, F.lit("null")))
     body = F.format_string('{"response":{"header":{"resultCode":"%s"},"body":{"totalCount":%d,"items":%s}}}',
@@ -327,5 +327,5 @@ def v_pages_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(feed_no == 0, FEEDS[0]).when(feed_no == 1, FEEDS[1]).otherwise(FEEDS[2]).alias("feed"),
         ((F.floor(p / 3)) * PAGE_SIZE + 1).cast("bigint").alias("start_index"),
         F.col("n_rows").alias("declared_rows"),
-        F.when(feed_no == 0, seoul).otherwise(body).alias("body"),
+        F.when(feed_no == 0, cultural).otherwise(body).alias("body"),
     )

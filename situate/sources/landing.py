@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 # ---- fixed values: envelope paths and success codes of the three feeds -------
 ENVELOPES = {
-    "seoul_event": {"code": "$.culturalEventInfo.RESULT.CODE", "items": "$.culturalEventInfo.row",
+    "cultural_event": {"code": "$.culturalEventInfo.RESULT.CODE", "items": "$.culturalEventInfo.row",
                     "total": "$.culturalEventInfo.list_total_count", "ok": "INFO-000"},
     "tour": {"code": "$.response.header.resultCode", "items": "$.response.body.items.item",
              "total": "$.response.body.totalCount", "ok": "0000"},

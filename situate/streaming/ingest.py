@@ -15,7 +15,7 @@ from situate import schemas
 from situate.plans.cleaning import transform_events, transform_tour
 
 TRANSFORMS = {
-    "seoul_event": (schemas.RAW_EVENT, transform_events),
+    "cultural_event": (schemas.RAW_EVENT, transform_events),
     "tour": (schemas.RAW_TOUR, transform_tour),
 }
 

@@ -59,7 +59,7 @@ def _page(spark, feed, body):
 def test_envelopes(spark):
     item = {"event_id": 1, "user_id": 2, "event_type": "view", "value": 1.5}
     cases = [
-        ("seoul_event", {"culturalEventInfo": {"RESULT": {"CODE": "INFO-000"}, "row": [item, item]}}, 2, True),
+        ("cultural_event", {"culturalEventInfo": {"RESULT": {"CODE": "INFO-000"}, "row": [item, item]}}, 2, True),
         ("tour", {"response": {"header": {"resultCode": "0000"}, "body": {"items": {"item": item}}}}, 1, True),
         ("weather", {"response": {"header": {"resultCode": "00"}, "body": {"items": ""}}}, 0, True),
         ("weather", {"response": {"header": {"resultCode": "03"}, "body": {"items": {"item": [item]}}}}, 0, False),
@@ -74,7 +74,7 @@ def test_envelopes(spark):
 def test_stream_matches_batch(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     FS.sink_json(A.v_raw_event(spark, SF001), landing)
-    q = start_clean_stream(spark, "seoul_event", landing, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
+    q = start_clean_stream(spark, "cultural_event", landing, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
     q.awaitTermination()
     streamed = spark.read.parquet(os.path.join(tmp_dir, "out"))
     batch = CL.transform_events(A.v_raw_event(spark, SF001))
