@@ -186,17 +186,17 @@ def frequent_itemsets_general(enriched: DataFrame, min_support: float = MIN_SUPP
                                      (F.col("freq") / F.lit(n)).alias("support"))
 
 
-def transaction_matrix(enriched: DataFrame) -> DataFrame:
-    """One boolean column per distinct item (the one-hot export).
+def transaction_matrix(enriched: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One boolean column per distinct item (the one-hot export), plus the ``keep`` columns.
 
     The list of distinct items is bounded by the dimension cardinalities; only that list
     reaches the driver to name the columns.
     """
     vals = item_values(F.col("sky"), F.col("precip"), F.col("is_weekend"), F.col("creative_type"), F.col("category"))
     items = F.array(*[F.concat(F.lit(p), v) for p, v in zip(ITEM_PREFIXES, vals)])
-    tx = enriched.select(items.alias("items"))
+    tx = enriched.select(*keep, items.alias("items"))
     names = sorted(r[0] for r in tx.select(F.explode("items")).distinct().collect())
-    return tx.select(*[F.array_contains("items", n).alias(n) for n in names])
+    return tx.select(*keep, *[F.array_contains("items", n).alias(n) for n in names])
 
 
 def rule_match_counts(enriched: DataFrame, rules: DataFrame) -> DataFrame:

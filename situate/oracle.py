@@ -214,8 +214,8 @@ _ITEMS = {
     "type_event": "creative_type = 'event'", "type_tour": "creative_type = 'tour'",
     "weekend_0": "is_weekend = 0", "weekend_1": "is_weekend = 1",
 }
-ORACLE_SQL["transaction_matrix"] = BASE + "SELECT " + ", ".join(
-    f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS {name}" for name, cond in _ITEMS.items()) + " FROM enr"
+ORACLE_SQL["transaction_matrix"] = BASE + "SELECT impression_id, " + ", ".join(
+    f"coalesce({cond}, false) AS {name}" for name, cond in _ITEMS.items()) + " FROM enr"
 
 ORACLE_SQL["frequent_itemsets"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE) + f"""SELECT array_to_string(items, ',') AS items, size, n,
   {_r('support')} AS support, {_r('ctr')} AS ctr, {_r('cvr')} AS cvr FROM its"""

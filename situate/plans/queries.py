@@ -34,6 +34,7 @@ from situate.operators.rows import conform_schema, dedupe_first, limit_rows
 from situate.operators.sampling import weighted_choice
 from situate.plans import cleaning as CL
 from situate.plans import reports as RP
+from situate.plans.pipeline import load_pipeline_data
 from situate.session import materialize, scratch_path
 from situate.sources import adapters as A
 from situate.sources import files as FS
@@ -160,8 +161,7 @@ def q_context_json_parse(spark, sf):
 
 @query("transaction_matrix")
 def q_transaction_matrix(spark, sf):
-    m = IS.transaction_matrix(enriched_log(spark, sf))
-    return m.agg(*[F.sum(F.col(f"`{c}`").cast("int")).cast("bigint").alias(c) for c in m.columns])
+    return IS.transaction_matrix(enriched_log(spark, sf), keep=("impression_id",))
 
 
 # ---- itemsets and rules ---------------------------------------------------------
@@ -245,9 +245,8 @@ def q_strategy_display(spark, sf):
 
 
 def _pipeline(spark, sf):
-    log = A.v_log(spark, sf)
-    en = enrich_log(log, A.v_creative(spark, sf))
-    return en, kpi_summary(log), ST.top_strategies(en)
+    data = load_pipeline_data(A.v_log(spark, sf), A.v_creative(spark, sf))
+    return data.enriched, data.kpis, data.strategies
 
 
 @query("snapshot")
