@@ -186,12 +186,15 @@ def tour_creatives(tour: DataFrame) -> DataFrame:
 
 
 def creative_catalog(events: DataFrame, tour: DataFrame) -> DataFrame:
-    """U1 + W1 ``build_creative_catalog``: events then tours, first row per creative_id."""
-    ev = event_creatives(events).withColumn("__src", F.lit(0))
-    tr = tour_creatives(tour).withColumn("__src", F.lit(1))
-    both = ev.unionByName(tr)
-    first = dedupe_first(both, ["creative_id"], ["__src", "ordinal"])
-    return conform_schema(first, schemas.CREATIVE)
+    """U1 + W1 ``build_creative_catalog``: events then tours, first row per creative_id.
+
+    Event ids are positions (``event_%06d``), unique by construction, and cannot collide with
+    ``tour_…`` ids, so only the tour side needs the keep-first aggregate: the events are never
+    shuffled for the dedupe.
+    """
+    ev = event_creatives(events)
+    tr = dedupe_first(tour_creatives(tour), ["creative_id"], ["ordinal"])
+    return conform_schema(ev.unionByName(tr), schemas.CREATIVE)
 
 
 def context_catalog(weather: DataFrame) -> DataFrame:
