@@ -35,16 +35,28 @@ def kpi_metrics(log: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     return log.groupBy(*group_by).agg(*aggs) if group_by else log.agg(*aggs)
 
 
-def log_counts(log: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
-    """A5: impression count and exact distinct users (0 if no ``user_id`` column)."""
-    users = F.countDistinct("user_id") if "user_id" in log.columns else F.lit(0).cast("bigint")
+def _distinct_users(approx_rsd: float | None) -> Column:
+    if approx_rsd is None:
+        return F.countDistinct("user_id")
+    return F.approx_count_distinct("user_id", rsd=approx_rsd)
+
+
+def log_counts(log: DataFrame, group_by: Sequence[str] = (), approx_rsd: float | None = None) -> DataFrame:
+    """A5: impression count and distinct users (0 if no ``user_id`` column).
+
+    Exact by default; ``approx_rsd`` switches to HyperLogLog++ (no shuffle by user at all).
+    """
+    users = _distinct_users(approx_rsd) if "user_id" in log.columns else F.lit(0).cast("bigint")
     aggs = [F.count("*").alias("impression_count"), users.alias("user_count")]
     return log.groupBy(*group_by).agg(*aggs) if group_by else log.agg(*aggs)
 
 
-def kpi_summary(log: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
-    """A4 + A5 in one aggregate (one pass over the log): counts, distinct users, CTR, CVR, CTCVR."""
-    aggs = [F.count("*").alias("impression_count"), F.countDistinct("user_id").alias("user_count"),
+def kpi_summary(log: DataFrame, group_by: Sequence[str] = (), approx_rsd: float | None = None) -> DataFrame:
+    """A4 + A5 in one aggregate (one pass over the log): counts, distinct users, CTR, CVR, CTCVR.
+
+    ``approx_rsd`` (e.g. 0.01) counts users with HyperLogLog++ instead of an exact distinct.
+    """
+    aggs = [F.count("*").alias("impression_count"), _distinct_users(approx_rsd).alias("user_count"),
             ctr_expr().alias("ctr"), cvr_expr().alias("cvr"), ctcvr_expr().alias("ctcvr")]
     return log.groupBy(*group_by).agg(*aggs) if group_by else log.agg(*aggs)
 

@@ -38,3 +38,15 @@ def test_grouped_and_counts(spark):
     assert got == {"a": 0.5, "b": 1.0}
     c = log_counts(df).first()
     assert (c.impression_count, c.user_count) == (3, 2)
+
+
+def test_kpi_summary_exact_and_approx(spark):
+    from situate.operators.metrics import kpi_summary
+
+    df = spark.range(20000).selectExpr("id % 1000 AS user_id", "CAST(id % 3 = 0 AS INT) AS clicked",
+                                       "CAST(id % 6 = 0 AS INT) AS converted")
+    exact = kpi_summary(df).first()
+    assert (exact.impression_count, exact.user_count) == (20000, 1000)
+    assert exact.cvr == pytest.approx(0.5)
+    approx = kpi_summary(df, approx_rsd=0.02).first()
+    assert abs(approx.user_count - 1000) <= 60
