@@ -47,6 +47,6 @@ def test_kpi_summary_exact_and_approx(spark):
                                        "CAST(id % 6 = 0 AS INT) AS converted")
     exact = kpi_summary(df).first()
     assert (exact.impression_count, exact.user_count) == (20000, 1000)
-    assert exact.cvr == pytest.approx(0.5)
+    assert exact.cvr == pytest.approx(3334 / 6667)
     approx = kpi_summary(df, approx_rsd=0.02).first()
     assert abs(approx.user_count - 1000) <= 60
