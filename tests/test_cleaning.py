@@ -120,3 +120,13 @@ def test_column_date_functions_agree_with_transform(spark):
     by_fn = raw.select("ordinal", d["start"].alias("start_date"), d["end"].alias("end_date"))
     by_plan = CL.transform_events(raw).select("ordinal", "start_date", "end_date")
     assert by_fn.exceptAll(by_plan).count() == 0 and by_plan.exceptAll(by_fn).count() == 0
+
+
+def test_numeric_coercion_like_to_numeric(spark):
+    from situate.functions.text import coerce_double, coerce_int
+
+    vals = [" 12 ", "1e3", "-0.5", ".5", "inf", "1,000", "n/a", "", None, "7.9", "3000000000"]
+    rows = spark.createDataFrame([(v,) for v in vals], "v string").select(
+        coerce_double(F.col("v")).alias("d"), coerce_int(F.col("v")).alias("i")).collect()
+    assert [r.d for r in rows] == [12.0, 1000.0, -0.5, 0.5, float("inf"), None, None, None, None, 7.9, 3e9]
+    assert [r.i for r in rows] == [12, 1000, 0, 0, None, None, None, None, None, 7, None]
