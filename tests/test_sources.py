@@ -87,3 +87,24 @@ def test_parse_json_context_path(spark):
     typed = enrich_log(log, A.v_creative(spark, SF001)).select("impression_id", "sky", "precip", "is_weekend")
     text = enrich_log(log.drop("context"), A.v_creative(spark, SF001)).select("impression_id", "sky", "precip", "is_weekend")
     assert typed.exceptAll(text).count() == 0
+
+
+def test_tour_stream_matches_batch(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing_tour")
+    FS.sink_json(A.v_raw_tour(spark, SF001), landing)
+    q = start_clean_stream(spark, "tour", landing, os.path.join(tmp_dir, "out_t"), os.path.join(tmp_dir, "ck_t"))
+    q.awaitTermination()
+    streamed = spark.read.parquet(os.path.join(tmp_dir, "out_t"))
+    batch = CL.transform_tour(A.v_raw_tour(spark, SF001))
+    assert streamed.count() == batch.count()
+    assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_snapshot_names_never_collide(spark, tmp_dir):
+    import datetime as dt
+
+    when = dt.datetime(2026, 6, 3, 5, 0, 0, tzinfo=dt.UTC)
+    a = FS.sink_snapshot(spark.range(1), tmp_dir, "creatives", when=when)
+    b = FS.sink_snapshot(spark.range(2), tmp_dir, "creatives", when=when)
+    assert a.endswith("creatives_20260603_050000") and b.endswith("creatives_20260603_050000_1")
+    assert spark.read.parquet(a).count() == 1 and spark.read.parquet(b).count() == 2
