@@ -108,3 +108,16 @@ def test_snapshot_names_never_collide(spark, tmp_dir):
     b = FS.sink_snapshot(spark.range(2), tmp_dir, "creatives", when=when)
     assert a.endswith("creatives_20260603_050000") and b.endswith("creatives_20260603_050000_1")
     assert spark.read.parquet(a).count() == 1 and spark.read.parquet(b).count() == 2
+
+
+def test_landing_gaps_missing_and_short(spark):
+    item = {"event_id": 1, "user_id": 2, "event_type": "view", "value": 1.0}
+    ok = lambda n: json.dumps({"response": {"header": {"resultCode": "00"}, "body": {"items": {"item": [item] * n}}}})
+    bad = json.dumps({"response": {"header": {"resultCode": "99"}, "body": {"items": ""}}})
+    pages = spark.createDataFrame(
+        [(1, "weather", 1, 3, ok(3)), (2, "weather", 4, 3, bad), (3, "weather", 7, 3, ok(1))],
+        "page_id long, feed string, start_index long, declared_rows long, body string")
+    dec = LD.decode_pages(pages, ITEM_SCHEMA)
+    targets = spark.createDataFrame([("weather", 9)], "feed string, target long")
+    gaps = {(r.start_index, r.end_index, r.status, r.n_items) for r in LD.landing_gaps(dec, 3, targets).collect()}
+    assert gaps == {(4, 6, "missing", 0), (7, 9, "short", 1)}
