@@ -121,3 +121,24 @@ def test_landing_gaps_missing_and_short(spark):
     targets = spark.createDataFrame([("weather", 9)], "feed string, target long")
     gaps = {(r.start_index, r.end_index, r.status, r.n_items) for r in LD.landing_gaps(dec, 3, targets).collect()}
     assert gaps == {(4, 6, "missing", 0), (7, 9, "short", 1)}
+
+
+def test_raw_json_directory_of_arrays(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "landed")
+    os.makedirs(d)
+    for i in range(3):
+        with open(os.path.join(d, f"page_{i}.json"), "w", encoding="utf-8") as f:
+            f.write("\n  " + json.dumps([{"TITLE": f"t{i}_{j}"} for j in range(i + 1)]))
+    assert FS.scan_raw_json(spark, d, schemas.RAW_EVENT).count() == 6
+    with open(os.path.join(d, "page_bad.json"), "w", encoding="utf-8") as f:
+        f.write('{"TITLE": "x"}')
+    with pytest.raises(ValueError):
+        FS.scan_raw_json(spark, d, schemas.RAW_EVENT)
+
+
+def test_zero_weight_never_chosen(spark):
+    from situate.operators.sampling import weighted_choice
+
+    df = spark.createDataFrame([(1, 1, 0.0), (1, 2, 1.0), (2, 3, 0.0)], "k int, rid int, w double")
+    got = {r.k: r.rid for r in weighted_choice(df, ["k"], F.col("w"), ["rid"]).collect()}
+    assert got == {1: 2}
