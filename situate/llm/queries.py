@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from situate.llm import decontaminate as DC
 from situate.llm import exact_dedup as ED
+from situate.llm import token_store as TS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -26,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """Where the public tokenizer file lies (never copied here)."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -44,6 +52,12 @@ def op4_exact_dedup(spark, sf_dir):
     return ED.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op6_token_store")
+def op6_token_store(spark, sf_dir):
+    manifest = TS.write_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
+    return TS.read_tokens(spark, manifest)
+
+
 @query("op7_decontamination", rf"""
 WITH i AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
