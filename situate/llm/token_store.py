@@ -7,8 +7,8 @@ hash over the distinct keys. A slot stores a 32-bit fingerprint and the key's fi
 one pilot, one slot, one fingerprint and one range read; a foreign key fails the fingerprint (chance
 2^-32) or the stored key.
 
-Encoding: the tokenizer never joins text across a blank that a visible character follows, so texts are
-cut there, each distinct piece of a chunk is encoded by the library once per worker, and ids are
+Encoding: the tokenizer never joins text across a blank that a visible character follows, nor from an
+ASCII letter to another ASCII character that is none, so texts are cut there, each distinct piece of a chunk is encoded by the library once per worker, and ids are
 gathered. Memory is bounded by the chunk and the worker's piece cache, which is emptied when full.
 
 A null text is empty: the end id alone. A null key has rows (they come first) but no slot. Repeated keys
@@ -32,12 +32,17 @@ from pyspark.sql import functions as F
 from situate.llm import textnum as X
 from situate.session import scratch_path
 
-CACHED_PIECES = 1 << 20
+CACHED_PIECES = 1 << 21
 BUCKET_KEYS = 4
 #: bytes that may follow a blank at which text is cut: visible ASCII and lead bytes of blocks without white space
 AFTER_BLANK = np.ones(256, bool)
 AFTER_BLANK[:33] = AFTER_BLANK[127] = False
 AFTER_BLANK[[0xC2, 0xE1, 0xE2, 0xE3]] = False
+#: a letter of ASCII always ends its piece where any other ASCII byte follows
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = True
+AFTER_LETTER = np.zeros(256, bool)
+AFTER_LETTER[:128] = ~LETTER[:128]
 
 
 # ---- minimal perfect hash -------------------------------------------------------------------------
@@ -120,7 +125,7 @@ class PieceEncoder:
         self.pool[0] = self.end_id
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         length = np.fromiter(map(len, got), np.int64, len(got))
         total = int(length.sum())
         while self.used + total > len(self.pool):
@@ -140,6 +145,7 @@ class PieceEncoder:
         mark = np.zeros(n, bool)
         mark[:-1] = (data[:-1] == 32) & AFTER_BLANK[data[1:]]
         mark[off[1:][full] - 1] = False
+        mark[1:] |= LETTER[data[:-1]] & AFTER_LETTER[data[1:]]
         mark[off[:-1][full]] = True
         starts = np.flatnonzero(mark)
         ends = np.append(starts[1:], n)[:len(starts)]
