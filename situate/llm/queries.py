@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from situate.llm import decontaminate as DC
 from situate.llm import exact_dedup as ED
+from situate.llm import near_dedup as ND
 from situate.llm import token_store as TS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +88,28 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN its USING (doc_id)
 def op7_decontamination(spark, sf_dir):
     hits = DC.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return DC.hit_report(hits)
+
+
+@query("op10_near_dedup", rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS MATERIALIZED (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+link AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * common >= 80 * (na.n + nb.n - common)),
+reach AS (
+  SELECT a AS doc_id, a AS c FROM link
+  UNION SELECT l.b, r.c FROM reach r JOIN link l ON l.a = r.doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(r.c, d.doc_id) AS component_id,
+       coalesce(r.c, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(c) AS c FROM reach GROUP BY doc_id) r USING (doc_id)
+""")
+def op10_near_dedup(spark, sf_dir):
+    return ND.near_duplicates(table(spark, sf_dir, "documents"), n=4)
