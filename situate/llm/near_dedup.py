@@ -11,10 +11,11 @@ documents are linked when intersection / union >= ``threshold``, confirmed on th
 2. In each band bucket every member meets the bucket's smallest id only; the collision-corrected
    estimate from bit counts drops hopeless pairs, each document confirms its best such pivot on the full
    sets, and confirmed links are contracted to components.
-3. Buckets that still hold several components are compared by signature in blocks of ``BLOCK`` members,
-   so no bucket has to fit a task and no pair within a component is looked at: first the best pair of
-   each two components is confirmed and contracted, then every pair left whose estimate is within
-   ``SIGMAS`` standard deviations of the threshold. Nothing is capped.
+3. Buckets that still hold several components are compared by signature in cells of two blocks of about
+   ``BLOCK`` members, so no bucket has to fit a task; pairs within a component aren't looked at, and a
+   pair belongs to the first band in which it agrees. Members with a pair whose estimate is within
+   ``SIGMAS`` standard deviations of the threshold (or above) meet again with their texts, and every such
+   pair is confirmed inside its cell; only one link for each two components leaves it. Nothing is capped.
 
 Texts, links and components stay distributed; iterations are cut by checkpoint() in the shared folder.
 Null text is empty. Repeated rows (equal id) yield a row each. Extra columns are ignored.
@@ -27,7 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from situate.llm import textnum as X
@@ -149,37 +150,120 @@ def _estimated(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(estimate(a, b), pa.float64())], names=["a", "b", "est"])
 
 
-def _cross_pairs(least: float, percent: int, best_only: bool):
-    """Pairs of different components within a block pair of one bucket that the estimate lets pass."""
-    def run(pdf):
-        import pandas as pd
-
-        side = pdf["side"].to_numpy()
-        left, right = (pdf[side != 1], pdf[side != 0])  # side 2: both, a block with itself
-        own = bool((side == 2).any())
-        out = []
-        sig_r = np.frombuffer(b"".join(right["sig"]), np.uint64).reshape(len(right), -1)
-        sig_l = np.frombuffer(b"".join(left["sig"]), np.uint64).reshape(len(left), -1)
-        n_r, c_r, d_r = (right[c].to_numpy() for c in ("n", "comp", "doc"))
-        for i, (n, c, d) in enumerate(zip(left["n"].to_numpy(), left["comp"].to_numpy(), left["doc"].to_numpy())):
-            ok = (c_r != c) & (100 * np.minimum(n_r, n) >= percent * np.maximum(n_r, n))
-            if own:
-                ok &= d_r > d
-            j = np.flatnonzero(ok)
-            if len(j):
-                est = estimate(sig_l[i][None, :], sig_r[j])
-                good = est >= least
-                if good.any():
-                    j, est = j[good], est[good]
-                    out.append(pd.DataFrame({"a": d, "b": d_r[j], "comp_a": c, "comp_b": c_r[j], "est": est}))
-        if not out:
-            return pd.DataFrame({"a": [], "b": [], "comp_a": [], "comp_b": [], "est": []}).astype({"a": "int64", "b": "int64", "comp_a": "int64", "comp_b": "int64", "est": "float64"})
-        out = pd.concat(out)
-        swap = out["comp_a"] > out["comp_b"]
-        out.loc[swap, ["a", "b", "comp_a", "comp_b"]] = out.loc[swap, ["b", "a", "comp_b", "comp_a"]].to_numpy()
-        if best_only:
-            out = out.sort_values(["est", "a", "b"], ascending=[False, True, True]).drop_duplicates(["comp_a", "comp_b"])
-        return out
+def _groups(batches, key: tuple[str, ...]):
+    """Arrow tables of whole groups' rows, from a partition sorted by ``key`` (one or more groups each)."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        cols = [np.asarray(batch.column(k)) for k in key]
+        last = np.ones(batch.num_rows, bool)
+        for c in cols:
+            last &= c == c[-1]
+        begin = int(np.argmax(last))  # the last group may go on in the next batch
+        if begin == 0 and len(held) > 1 and all(np.asarray(held[0].column(k))[-1] == c[0] for k, c in zip(key, cols)):
+            continue
+        held[-1] = batch.slice(0, begin)
+        table = pa.Table.from_batches(held)
+        held = [batch.slice(begin)]
+        if table.num_rows:
+            yield table
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _cuts(table: pa.Table, key: tuple[str, ...]) -> np.ndarray:
+    new = np.ones(table.num_rows, bool)
+    new[1:] = False
+    for k in key:
+        c = np.asarray(table.column(k))
+        new[1:] |= c[1:] != c[:-1]
+    return np.append(np.flatnonzero(new), table.num_rows)
+
+
+CELL = ("key", "lo", "hi")
+
+
+def _matrix(column, kind) -> np.ndarray:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if pa.types.is_list(column.type):
+        return np.asarray(column.flatten()).reshape(len(column), -1)
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def _open_pairs(table: pa.Table, least: float, percent: int):
+    """For each cell: (its first row, left rows, right rows) of the pairs to confirm there.
+
+    A pair is between different components, may be similar by size and estimate, and belongs to the
+    first band in which the two agree, so each pair is met in one bucket only."""
+    sig, bands = _matrix(table.column("sig"), np.uint64), _matrix(table.column("bands"), np.int64)
+    n, comp, doc, side, band = (np.asarray(table.column(c)) for c in ("n", "comp", "doc", "side", "band"))
+    cuts = _cuts(table, CELL)
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        left, right = a + np.flatnonzero(side[a:b] != 1), a + np.flatnonzero(side[a:b] != 0)
+        if not len(left) or not len(right):
+            continue
+        step, us, them = max(1, 65536 // len(right)), [], []
+        for i in range(0, len(left), step):
+            l = left[i:i + step, None]
+            ok = (comp[l] != comp[right]) & (100 * np.minimum(n[l], n[right]) >= percent * np.maximum(n[l], n[right]))
+            ok &= (side[l] != 2) | (doc[l] < doc[right])
+            x, y = np.nonzero(ok)
+            x, y = left[i + x], right[y]
+            good = estimate(sig[x], sig[y]) >= least
+            x, y = x[good], y[good]
+            own = np.argmax(bands[x] == bands[y], axis=1) == band[a]
+            us.append(x[own])
+            them.append(y[own])
+        us, them = np.concatenate(us), np.concatenate(them)
+        if len(us):
+            yield a, us, them
+
+
+def _open_members(least: float, percent: int):
+    """The rows of each cell that have a pair to confirm."""
+    def run(batches):
+        for table in _groups(batches, CELL):
+            rows = [np.union1d(us, them) for _, us, them in _open_pairs(table, least, percent)]
+            if rows:
+                yield from table.select([*CELL, "band", "side", "doc", "comp"]).take(pa.array(np.concatenate(rows))).to_batches()
+    return run
+
+
+def _links(n: int, least: float, percent: int):
+    """Confirms each cell's pairs on the full sets; a link for each two components that have one."""
+    def run(batches):
+        for table in _groups(batches, CELL):
+            doc, comp = np.asarray(table.column("doc")), np.asarray(table.column("comp"))
+            text = table.column("text")
+            out = []
+            for _, us, them in _open_pairs(table, least, percent):
+                rows = np.union1d(us, them)
+                sets, begin = shingle_sets(*X.utf8(text.take(pa.array(rows))), n)
+                parent: dict[int, int] = {}
+
+                def root(c):
+                    while parent.setdefault(c, c) != c:
+                        parent[c] = c = parent[parent[c]]
+                    return c
+
+                at, to = np.searchsorted(rows, us), np.searchsorted(rows, them)
+                for i in np.unique(at).tolist():
+                    own = sets[begin[i]:begin[i + 1]]
+                    mine = to[at == i]
+                    size = np.diff(begin)[mine]
+                    near = sets[X.ragged(begin[mine], size)]
+                    pos = np.minimum(np.searchsorted(own, near), len(own) - 1)
+                    both = np.add.reduceat((own[pos] == near).astype(np.int64), np.cumsum(size) - size)
+                    for j in mine[100 * both >= percent * (len(own) + size - both)].tolist():
+                        one, two = root(int(comp[rows[i]])), root(int(comp[rows[j]]))
+                        if one != two:
+                            parent[one] = two
+                            out.append((int(doc[rows[i]]), int(doc[rows[j]])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
     return run
 
 
@@ -212,9 +296,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     reps = feats.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("doc"))
     firsts = feats.join(reps, "set_key").where("doc_id = doc").dropDuplicates(["doc"])
     sigs = materialize(firsts.select("doc", F.col("n_shingles").alias("n"), "sig", "bands"))
-    slots = sigs.select("doc", F.explode("bands").alias("key"))
+    slots = sigs.select("doc", F.posexplode("bands").alias("band", "key"))
     buckets = slots.groupBy("key").agg(F.min("doc").alias("pivot"), F.count("*").alias("size")).where("size > 1")
-    members = materialize(slots.join(buckets, "key").select("key", "doc", "pivot", "size"))
+    members = materialize(slots.join(buckets, "key").select("key", "band", "doc", "pivot"))
     brief = sigs.select("doc", "n", "sig")
     known = members.select("doc").distinct()
     text_path = scratch_path(spark, "minhash-texts")
@@ -235,23 +319,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     best = scored.where(F.col("est") >= least).groupBy("a").agg(F.max(F.struct("est", (-F.col("b")).alias("b"))).alias("m")).select("a", (-F.col("m.b")).alias("b"))
     edges = materialize(confirmed(best))
 
-    # what is left between components of one bucket: the best pair of each two, then every pair
-    for best_only in (True, False):
-        comps = connected_components(edges)
-        named = members.join(comps.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("comp", "doc").alias("comp"))
-        open_ = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi")
-        cells = named.join(open_.select("key", "size"), "key").join(brief, "doc")
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        cells = cells.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-        cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        cells = cells.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "doc", "comp", "n", "sig",
-                             F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
-        pairs = cells.groupBy("key", "lo", "hi").applyInPandas(_cross_pairs(least, percent, best_only), "a long, b long, comp_a long, comp_b long, est double")
-        if best_only:
-            pairs = pairs.groupBy("comp_a", "comp_b").agg(F.max(F.struct("est", "a", "b")).alias("m")).select("m.a", "m.b")
-        else:
-            pairs = pairs.select("a", "b").distinct()
-        edges = materialize(edges.union(confirmed(pairs)))
+    # what is left between components of one bucket
+    comps = connected_components(edges)
+    named = members.join(comps.withColumnRenamed("node", "doc"), "doc", "left").select("key", "band", "doc", F.coalesce("comp", "doc").alias("comp"))
+    left = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi")
+    cells = named.join(left.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "key")
+    cells = cells.withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "band",
+                         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "doc", "comp")
+    some = materialize(cells.join(sigs, "doc").repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(_open_members(least, percent), cells.schema))
+    full = some.join(sigs, "doc").join(texts, "doc").repartition(*CELL).sortWithinPartitions(*CELL)
+    edges = materialize(edges.union(full.mapInArrow(_links(n, least, percent), "a long, b long")))
     comps = connected_components(edges)
     final = reps.join(comps.withColumnRenamed("node", "doc"), "doc", "left").select("set_key", F.coalesce("comp", "doc").alias("comp"))
     out = feats.select("doc_id", "n_shingles", "set_key").join(final, "set_key", "left")
