@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from situate.llm import decontaminate as DC
 from situate.llm import exact_dedup as ED
 from situate.llm import near_dedup as ND
 from situate.llm import token_store as TS
+from situate.llm import toxicity as TX
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -28,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(ident: str = "doc_id", parts: int = 4) -> Column:
+    """Rows that no model may learn from."""
+    return F.crc32(F.col(ident).cast("string").cast("binary")) % parts == 2
+
+
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     """Where the public tokenizer file lies (never copied here)."""
     import public_tokenizers
@@ -38,6 +45,13 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = TX.train(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    return TX.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query("op4_exact_dedup", r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
