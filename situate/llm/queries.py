@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from situate.llm import decontaminate as DC
 from situate.llm import exact_dedup as ED
+from situate.llm import mixing as MX
 from situate.llm import near_dedup as ND
 from situate.llm import token_store as TS
 from situate.llm import toxicity as TX
@@ -67,6 +68,65 @@ def op4_exact_dedup(spark, sf_dir):
     return ED.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def mix_levels() -> dict[str, Column]:
+    """The tree of ``documents``: four domains made of the sources' numbers, then language, then source."""
+    number = F.expr("try_cast(regexp_extract(source, '([0-9]+)', 1) AS BIGINT) % 4")
+    return {"domain": F.concat(F.lit("d"), F.coalesce(number, F.lit(0)).cast("string")), "lang": F.col("lang"), "source": F.col("source")}
+
+
+MIX_WEIGHTS = {"domain": {"d0": 2, "d1": 3, "d2": 3, "d3": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}, "source": {}}
+MIX_SEED = 11
+
+
+def _fill_sql(level: str, keys: str, budget: str, weight: str) -> str:
+    """One level's common table expressions: have, order, saturation, given."""
+    part = f"PARTITION BY {', '.join(keys.split(', ')[:-1])}" if ", " in keys else ""
+    last = keys.split(", ")[-1]
+    return f"""
+{level}_n AS (SELECT {keys}, CAST(sum(tokens) * 2 AS BIGINT) AS have, CAST({weight} AS BIGINT) AS weight FROM leaf GROUP BY {keys}),
+{level}_b AS ({budget}),
+{level}_o AS (
+  SELECT *, coalesce(sum(have) OVER ({part} ORDER BY have / weight, {last} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         sum(weight) OVER ({part} ORDER BY have / weight, {last} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM {level}_b),
+{level}_f AS (
+  SELECT *, bool_and(have * rest <= weight * (budget - before)) OVER ({part} ORDER BY have / weight, {last}) AS full_ FROM {level}_o),
+{level} AS (
+  SELECT {keys}, CASE WHEN full_ THEN have ELSE
+    weight * (budget - coalesce(sum(CASE WHEN full_ THEN have END) OVER ({part}), 0)) // sum(CASE WHEN NOT full_ THEN weight END) OVER ({part}) END AS given
+  FROM {level}_f)"""
+
+
+@query("op5_mixing", rf"""
+WITH doc AS (
+  SELECT doc_id, 'd' || coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT) % 4, 0) AS domain,
+         coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         CAST(coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0) AS BIGINT) AS tokens
+  FROM documents),
+leaf AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens FROM doc GROUP BY ALL),
+{_fill_sql("l1", "domain", "SELECT *, (SELECT CAST(sum(tokens) AS BIGINT) FROM leaf) * 6 // 5 AS budget FROM l1_n",
+           "CASE domain WHEN 'd0' THEN 2 WHEN 'd1' THEN 3 WHEN 'd2' THEN 3 WHEN 'd3' THEN 2 ELSE 1 END")},
+{_fill_sql("l2", "domain, lang", "SELECT l2_n.*, l1.given AS budget FROM l2_n JOIN l1 USING (domain)",
+           "CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 WHEN 'es' THEN 2 ELSE 1 END")},
+{_fill_sql("l3", "domain, lang, source", "SELECT l3_n.*, l2.given AS budget FROM l3_n JOIN l2 USING (domain, lang)", "1")},
+p AS (
+  SELECT leaf.*, given, CASE WHEN tokens > 0 THEN least(2, given // tokens) ELSE 2 END AS epochs,
+         CASE WHEN (CASE WHEN tokens > 0 THEN least(2, given // tokens) ELSE 2 END) < 2 THEN given - (given // tokens) * tokens ELSE -1 END AS want
+  FROM leaf JOIN l3 USING (domain, lang, source)),
+r AS (
+  SELECT doc.*, epochs, want,
+         sum(doc.tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('{MIX_SEED}:' || epochs || ':' || doc_id)) AS upto
+  FROM doc JOIN p USING (domain, lang, source))
+SELECT doc_id, tokens, CAST(epochs + CASE WHEN upto <= want THEN 1 ELSE 0 END AS INTEGER) AS copies
+FROM r WHERE epochs + CASE WHEN upto <= want THEN 1 ELSE 0 END > 0
+""")
+def op5_mixing(spark, sf_dir):
+    """A budget of 1.2 times the corpus in at most two epochs."""
+    mix = MX.select_mixture(table(spark, sf_dir, "documents"), F.expr("supply * 6 div 5"), MIX_WEIGHTS, MIX_SEED, 2, mix_levels())
+    return mix.select("doc_id", F.col("mix_tokens").alias("tokens"), "copies")
+
+
 @query("op6_token_store")
 def op6_token_store(spark, sf_dir):
     manifest = TS.write_tokens(table(spark, sf_dir, "documents"), tokenizer_file())

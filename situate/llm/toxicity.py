@@ -317,8 +317,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     return fit([r[1] for r in rows], np.array([r[2] for r in rows]), counts.get(1, 0) / max(1, sum(counts.values())))
 
 
-def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, score, predicted per document row, and the ``keep`` columns."""
+def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+          keep_text: bool = False) -> DataFrame:
+    """doc_id, score, predicted per document row, and the ``keep`` columns (not doc_id, text or score);
+    with ``keep_text`` also text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -330,9 +332,9 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                 a, b = m["scale"]
                 x = text_logits(m, data, off).astype(np.float64)
                 p = np.where(np.isnan(x), m["none"], 1 / (1 + np.exp(-np.clip(a * np.nan_to_num(x) + b, -50, 50))))
-            others = [c for c in batch.schema.names if c != "text"]
+            others = [c for c in batch.schema.names if keep_text or c != "text"]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in others] + [pa.array(p, pa.float64())], names=[*others, "score"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), *[F.col(k) for k in keep], F.col(text_col).alias("text"))
-    schema = rows.drop("text").withColumn("score", F.lit(0.0)).schema
+    schema = (rows if keep_text else rows.drop("text")).withColumn("score", F.lit(0.0)).schema
     return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
