@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from situate.llm import decontaminate as DC
 from situate.llm import exact_dedup as ED
+from situate.llm import language as LG
 from situate.llm import mixing as MX
 from situate.llm import near_dedup as ND
 from situate.llm import token_store as TS
@@ -46,6 +47,13 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query("op2_language")
+def op2_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = LG.train(docs.where(~held_out()))
+    return LG.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query("op3_toxicity")
 def op3_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
