@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from situate.llm import ctw as CT
 from situate.llm import decontaminate as DC
 from situate.llm import exact_dedup as ED
 from situate.llm import language as LG
@@ -47,6 +48,12 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query("op1_ctw")
+def op1_ctw(spark, sf_dir):
+    scored = CT.score(table(spark, sf_dir, "documents"), ~held_out(parts=7))
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op2_language")
 def op2_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
