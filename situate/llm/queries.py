@@ -13,6 +13,7 @@ from situate.llm import exact_dedup as ED
 from situate.llm import language as LG
 from situate.llm import mixing as MX
 from situate.llm import near_dedup as ND
+from situate.llm import pii as PI
 from situate.llm import token_store as TS
 from situate.llm import toxicity as TX
 
@@ -179,6 +180,11 @@ def op7_decontamination(spark, sf_dir):
     return DC.hit_report(hits)
 
 
+@query("op8_pii")
+def op8_pii(spark, sf_dir):
+    return PI.report(PI.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 @query("op10_near_dedup", rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w
