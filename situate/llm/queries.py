@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from situate.llm import ctw as CT
 from situate.llm import decontaminate as DC
 from situate.llm import exact_dedup as ED
+from situate.llm import html_text as HT
 from situate.llm import language as LG
 from situate.llm import mixing as MX
 from situate.llm import near_dedup as ND
@@ -185,6 +186,13 @@ def op8_pii(spark, sf_dir):
     return PI.report(PI.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+@query("op9_html_text")
+def op9_html_text(spark, sf_dir):
+    """The whole text of every page, with its length and line count."""
+    text = HT.extract(table(spark, sf_dir, "pages"))
+    return text.select("page_id", "text", F.length("text").alias("n_chars"), F.size(F.split("text", "\n")).alias("n_lines"))
+
+
 @query("op10_near_dedup", rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w
