@@ -14,7 +14,8 @@ value of every run that occurs anywhere in the input is broadcast as a hash tabl
 it fits.
 
 The base model is add-one word frequencies: words of a block of documents are sent once per block to the
-words' counts, which grow with the corpus and are joined by shuffle, never broadcast.
+words' counts, which grow with the corpus and are joined by shuffle, never broadcast; the counts come
+back to the block, so what moves is a row per block and word, in proportion to the input.
 
 Null text is empty: one end token, the code length of the end byte. Repeated rows are scored each by
 itself. With no training rows every bit costs one bit. Extra columns are ignored.
@@ -37,7 +38,7 @@ DEPTH = 5
 MAX_RUNS = 1 << 23
 END = 10
 MERGE_AT = 3_000_000
-BLOCK_WORDS, BLOCK_TEXTS = 2_000_000, 1 << 16
+BLOCK_WORDS, BLOCK_TEXTS = 4_000_000, 1 << 16
 
 
 # ---- byte runs -------------------------------------------------------------------------------------
@@ -376,7 +377,7 @@ def score(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text"
     texts = total.get(TEXT, (0, 0))[0]
     n = total.get(WORD, (0, 0))[0] + texts
     v = total.get(WORD, (0, 0))[1] + (texts > 0)
-    sums = done.where("learn is null").select("place", "key", "post").join(words, "key").select("place", "post", "c").mapInArrow(_base_sums, "place long, s double, known long")
+    sums = done.where("learn is null").select("place", "key", "post").join(words, "key").select("place", "post", "c").repartition("place").mapInArrow(_base_sums, "place long, s double, known long")
     sums = sums.groupBy("place").agg(F.sum("s").alias("s"), F.sum("known").alias("known"))
     each = done.where("learn is not null").select("place", "doc_id", "learn", "n_tokens", "score").join(sums, "place", "left")
     end = math.log10(texts + 1)
