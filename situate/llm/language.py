@@ -111,9 +111,12 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     for r in rows.select("text").mapInArrow(_frequencies, "dim long, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect():
         df[r["dim"]] = r["n"]
     idf = np.log((1 + total) / (1 + df)).astype(np.float32) + np.float32(0.05)
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    few = rows.select("id", "lang").withColumn("k", F.row_number().over(first)).where(F.col("k") <= sample).select("id").distinct()
-    got = sorted((r["lang"], r["id"], r["text"]) for r in rows.join(few, "id").collect())
+    few = rows.select("id", "lang", F.xxhash64("id").alias("h"))
+    for by in (("lang", F.pmod("h", F.lit(64))), ("lang",)):  # a language with most rows is first cut down in 64 parts
+        first = Window.partitionBy(*by).orderBy("h", "id")
+        few = few.withColumn("k", F.row_number().over(first)).where(F.col("k") <= sample).drop("k")
+    few = few.select("id").distinct()  # at most ``sample`` ids a language
+    got = sorted((r["lang"], r["id"], r["text"]) for r in rows.join(F.broadcast(few), "id").collect())
     data, off = X.utf8(pa.array([r[2] for r in got], pa.string()))
     text, dim, w, begin = vectors(data, off, idf)
     rng, names, parts, radius = np.random.default_rng(seed), [], [], {}
