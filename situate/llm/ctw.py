@@ -61,7 +61,7 @@ def runs(seq: np.ndarray, off: np.ndarray, depth: int) -> np.ndarray:
     """For each byte the number made of its ``depth`` bytes before and itself (the last byte)."""
     n = len(seq)
     key = seq.astype(np.uint64)
-    for d in range(1, depth + 1):
+    for d in range(1, min(depth, n - 1) + 1):
         key[d:] |= seq[:n - d].astype(np.uint64) << np.uint64(8 * d)
     length = np.diff(off)
     for d in range(depth):  # the d-th byte of a text has d bytes of its own before it
@@ -76,6 +76,7 @@ def runs(seq: np.ndarray, off: np.ndarray, depth: int) -> np.ndarray:
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Stirling's series after a shift by eight."""
+    x = np.asarray(x, np.float64)
     small = x < 8
     y = np.where(small, x + 8, x)
     product = np.ones_like(x)
@@ -205,9 +206,10 @@ def _subtrees(depth: int):
     """Per partition of whole contexts of two bytes: a row per run (key, its eight decisions) and a row
     per node of depth 2 (key, zeros, ones, log weighted probability)."""
     def run(batches):
-        table = pa.Table.from_batches(list(batches)) if batches else None
-        if table is None or not table.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         keys, n = np.asarray(table.column("key")).view(np.uint64), np.asarray(table.column("n"))
         p, own, zero, one, weighted = subtree(keys, n, depth, 2)
         for i in range(0, len(keys), 1 << 15):

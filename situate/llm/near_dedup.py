@@ -79,7 +79,7 @@ def pack(mins: np.ndarray) -> np.ndarray:
     """Packed signatures: the low BITS bits of each (scrambled) minimum, uint64 words."""
     low = ((mins ^ (mins >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(12)) & np.uint32((1 << BITS) - 1)
     per = 64 // BITS
-    low = low.astype(np.uint64).reshape(len(mins), -1, per) << (np.arange(per, dtype=np.uint64) * np.uint64(BITS))
+    low = low.astype(np.uint64).reshape(len(mins), PERMS // per, per) << (np.arange(per, dtype=np.uint64) * np.uint64(BITS))
     return np.bitwise_or.reduce(low, axis=2)
 
 
