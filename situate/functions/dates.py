@@ -19,10 +19,12 @@ SINGLE_DATE_PATTERN = rf"({DATE_TOKEN})"
 
 
 def loose_date_text(value: Column) -> Column:
-    """X1, text half: trim, '.' and '/' → '-', 8 digits → ISO, keep the ``y-m-d`` day prefix ('' if none)."""
+    """X1, text half: trim, '.' and '/' → '-', 8 digits → ISO, a month → its first day, keep the ``y-m-d``
+    day before a time of day ('' if the text is anything else)."""
     s = F.translate(py_strip(value.cast("string")), "./", "--")
     iso = F.regexp_replace(s, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    return F.regexp_extract(iso, r"^(\d{4}-\d{1,2}-\d{1,2})(?:[ T].*)?$", 1)
+    iso = F.regexp_replace(iso, r"^(\d{4}-\d{1,2})$", "$1-1")
+    return F.regexp_extract(iso, r"^(\d{4}-\d{1,2}-\d{1,2})(?:[ T]\d{1,2}(?::\d{1,2}){0,2}(?:[-,]\d+)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?$", 1)
 
 
 def date_from_text(day_text: Column) -> Column:

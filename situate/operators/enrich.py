@@ -13,25 +13,26 @@ from situate.functions.context import (
     is_rainy,
     parse_context,
 )
-from situate.operators.joins import sized_broadcast
 
 ENRICHED_EXTRA = ("creative_type", "category", "sky", "precip", "is_weekend", "is_outdoor", "is_indoor",
                   "is_clear", "is_rainy")
 
 
 def enrich_log(log: DataFrame, creative_catalog: DataFrame, strict_json: bool = False,
-               broadcast_limit: int | None = None, extra_columns: tuple[str, ...] = ()) -> DataFrame:
+               extra_columns: tuple[str, ...] = ()) -> DataFrame:
     """``enrich_log_with_features``: log ⟕ catalog(creative_id, creative_type, category) + context flags.
 
     The context comes from a ``context`` struct column when the log has one, else from the
     ``context_features`` JSON text (X20).
 
-    Only three catalog columns (plus ``extra_columns``) cross the join. The catalog is broadcast only when its
-    estimated size is under the limit; otherwise the join shuffles on ``creative_id``.
+    Only three catalog columns (plus ``extra_columns``) cross the join. Spark's own
+    threshold and AQE choose the join.
     """
     cat = creative_catalog.select("creative_id", "creative_type", "category", *extra_columns)
-    cat = sized_broadcast(cat) if broadcast_limit is None else sized_broadcast(cat, broadcast_limit)
-    j = log.join(cat, "creative_id", "left")
+    # rows without an id match nothing: they are spread over many keys instead of meeting in one task
+    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*log.columns), F.lit(1024)).cast("string"))
+    j = log.withColumn("__id", F.coalesce(F.col("creative_id").cast("string"), spread)).join(
+        cat.withColumnRenamed("creative_id", "__id"), "__id", "left").drop("__id")
     # a typed ``context`` struct is used as is; JSON text is parsed once (pruned to the fields read)
     ctx = F.col("context") if "context" in log.columns else parse_context(F.col("context_features"), strict=strict_json)
     j = j.withColumn("__ctx", ctx)
@@ -51,5 +52,5 @@ def enrich_log(log: DataFrame, creative_catalog: DataFrame, strict_json: bool =
 
 def apply_user_segments(log: DataFrame, segmented_users: DataFrame) -> DataFrame:
     """Replace ``user_segment`` by the user's segment (left join on ``user_id``)."""
-    seg = sized_broadcast(segmented_users.select("user_id", "user_segment"))
+    seg = segmented_users.select("user_id", "user_segment")
     return log.drop("user_segment").join(seg, "user_id", "left")

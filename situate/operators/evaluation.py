@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from situate.functions.formatting import py_bool, py_str_list
-from situate.operators.joins import sized_broadcast
 
 # ---- fixed values: grading messages ------------------------------------------
 APPROVAL_MISMATCH = "critic 승인 불일치"
 ID_MISMATCH = "strategy_id 불일치"
 MISSING_KEYWORD = "필수 키워드 누락: "
 FORBIDDEN_KEYWORD = "금지 키워드 포함: "
+MISSING_RESULT = "결과 없음"
 # ------------------------------------------------------------------------------
 
 
@@ -37,7 +37,7 @@ def case_results(trials: DataFrame, k: int) -> DataFrame:
     return firsts.groupBy("case_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("__pos", "passed"))), lambda e: e["passed"]).alias("first_k_passes"),
         F.coalesce(F.bool_or("passed"), F.lit(False)).alias("pass_at_k"),
-        ((F.count("*") >= k) & F.coalesce(F.bool_and("passed"), F.lit(True))).alias("pass_pow_k"),
+        ((F.count("*") >= k) & F.bool_and(F.coalesce("passed", F.lit(False)))).alias("pass_pow_k"),
         F.coalesce(F.bool_or(F.when(F.col("__pos") == 1, F.col("passed"))), F.lit(False)).alias("pass_at_1"),
     )
 
@@ -62,12 +62,15 @@ def text_blob(overall, report, reasons) -> F.Column:
 
 
 def grade_cases(cases: DataFrame, results: DataFrame) -> DataFrame:
-    """E1 ``grade_golden_case`` for every case with a result: ordered reasons and ``passed``.
+    """E1 ``grade_golden_case`` for every case (and trial, where the results have one): ordered reasons
+    and ``passed``; a case without any result fails with the one reason that it has none.
+
 
     Checks: approval equality, strategy-id set equality, required keywords present and
     forbidden keywords absent (case-sensitive substring) in the text blob.
     """
-    j = cases.join(results, "case_id", "inner")
+    trial = ["trial"] if "trial" in results.columns else []
+    j = cases.join(results.withColumn("__has", F.lit(True)), "case_id", "left")
     text = text_blob(F.col("overall_recommendation"), F.col("report"), F.col("operational_reasons"))
     exp_ids = F.array_sort(F.array_distinct("expected_ids"))
     act_ids = F.array_sort(F.array_distinct("actual_ids"))
@@ -86,8 +89,8 @@ def grade_cases(cases: DataFrame, results: DataFrame) -> DataFrame:
                           lambda kw: F.concat(F.lit(MISSING_KEYWORD), kw))
     present = F.transform(F.filter("forbidden_keywords", lambda kw: F.instr(F.col("__text"), kw) > 0),
                           lambda kw: F.concat(F.lit(FORBIDDEN_KEYWORD), kw))
-    reasons = F.concat(approval, ids, missing, present)
-    return j.select("case_id", reasons.alias("reasons")).withColumn("passed", F.size("reasons") == 0)
+    reasons = F.when(F.col("__has").isNull(), F.array(F.lit(MISSING_RESULT))).otherwise(F.concat(approval, ids, missing, present))
+    return j.select("case_id", *trial, reasons.alias("reasons")).withColumn("passed", F.size("reasons") == 0)
 
 
 def case_trials(cases: DataFrame, n_trials: int) -> DataFrame:
@@ -99,7 +102,7 @@ def filter_cases(cases: DataFrame, case_ids: DataFrame | Sequence) -> DataFrame:
     """keep the selected case ids (left-semi join); error if none match."""
     if not isinstance(case_ids, DataFrame):
         case_ids = cases.sparkSession.createDataFrame([(c,) for c in case_ids], ["case_id"])
-    kept = cases.join(sized_broadcast(case_ids.select("case_id").distinct()), "case_id", "left_semi")
+    kept = cases.join(case_ids.select("case_id").distinct(), "case_id", "left_semi")
     if kept.isEmpty():
         raise ValueError("no case matches the requested ids")
     return kept

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from situate.functions.context import ITEM_PREFIXES, item_values
-from situate.operators.joins import sized_broadcast
 
 DIMENSIONS = ("sky", "precip", "weekend", "type", "category_group")  # grouping_id bit order (MSB first)
 N_DIMS = len(DIMENSIONS)
@@ -136,7 +135,8 @@ def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENC
     antecedent = its context part, consequent = its content part (both frequent by downward
     closure; their supports come from :func:`itemset_table`). confidence = s / s(antecedent),
     lift = confidence / s(consequent). Rule ordinal: itemset size, then sorted item names
-    (the order the Apriori output is enumerated in).
+    (the order the Apriori output is enumerated in). Where a constant dimension makes Zhang's metric
+    or the certainty 0/0, it is 0.
     """
     rules = itemsets.where(((F.col("gid").bitwiseAND(CONTEXT_BITS)) != CONTEXT_BITS)
                            & ((F.col("gid").bitwiseAND(CONTENT_BITS)) != CONTENT_BITS))
@@ -153,9 +153,9 @@ def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENC
         "antecedent_support", "consequent_support", "support", "confidence", "lift",
         leverage.alias("leverage"),
         F.when(F.col("confidence") < 1, (1 - sc) / (1 - F.col("confidence"))).otherwise(F.lit(float("inf"))).alias("conviction"),
-        (leverage / F.greatest(sup * (1 - sa), sa * (sc - sup))).alias("zhangs_metric"),
+        F.coalesce(F.try_divide(leverage, F.greatest(sup * (1 - sa), sa * (sc - sup))), F.lit(0.0)).alias("zhangs_metric"),
         (sup / (sa + sc - sup)).alias("jaccard"),
-        ((F.col("confidence") - sc) / (1 - sc)).alias("certainty"),
+        F.coalesce(F.try_divide(F.col("confidence") - sc, 1 - sc), F.lit(0.0)).alias("certainty"),
         ((sup / sa + sup / sc) / 2).alias("kulczynski"),
         F.col("n").alias("n_matched"), "ctr", "cvr", "base_ctr", "base_cvr",
         (F.col("ctr") - F.col("base_ctr")).alias("ctr_gain"),
@@ -207,14 +207,15 @@ def rule_match_counts(enriched: DataFrame, rules: DataFrame) -> DataFrame:
     the rolled-up dimensions, then equi-joined to the rules and summed per rule.
     """
     pre = transactions(enriched).groupBy(*DIMENSIONS).agg(*_partial_sums(enriched))
-    gids = sorted({r[0] for r in rules.select("gid").distinct().collect()})
-    pattern = F.explode(F.array(*[F.lit(g) for g in gids])) if gids else F.explode(F.array().cast("array<int>"))
+    # every pattern with a context and a content item: fixed by the five dimensions, so no job at build time
+    gids = [g for g in range(1 << N_DIMS) if g & CONTEXT_BITS != CONTEXT_BITS and g & CONTENT_BITS != CONTENT_BITS]
+    pattern = F.explode(F.array(*[F.lit(g) for g in gids]))
     ex = pre.select("*", pattern.alias("gid"))
     masked = ex.select(
         "gid", *SUMS,
         *[F.when((F.col("gid").bitwiseAND(_bit(d))) == 0, F.col(d)).alias(d) for d in DIMENSIONS],
     )
-    keys = sized_broadcast(rules.select("rule_no", "gid", *DIMENSIONS))
+    keys = rules.select("rule_no", "gid", *DIMENSIONS)
     cond = [masked.gid == keys.gid] + [masked[d].eqNullSafe(keys[d]) for d in DIMENSIONS]
     j = masked.join(keys, cond, "inner")
     per_rule = j.groupBy("rule_no").agg(*[F.sum(c).alias(c) for c in SUMS])

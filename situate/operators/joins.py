@@ -1,35 +1,15 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 16 * 1024 * 1024
-
-
-def estimated_size(df: DataFrame) -> int:
-    """Catalyst's size estimate (bytes) of the optimised plan; no job is run."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate unavailable (e.g. Spark Connect)
-        return 1 << 62
-
-
-def sized_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only when the estimated size is within ``limit_bytes``.
-
-    Beyond it the hint is left out and Catalyst/AQE plan a shuffle join (AQE can
-    still demote to a broadcast at runtime from real shuffle sizes).
-    """
-    return F.broadcast(df) if estimated_size(df) <= limit_bytes else df
-
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row DataFrame (a global aggregate) to every row.
 
-    The one-row side has a proven size bound, so it is broadcast; no pairs are formed.
+    The one-row side is broadcast; Spark may plan it as a nested loop over that single row.
     """
     key = "__one"
     return df.withColumn(key, F.lit(0)).join(F.broadcast(one_row.withColumn(key, F.lit(0))), key).drop(key)

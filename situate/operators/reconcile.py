@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from situate.functions.formatting import py_float_repr
-from situate.operators.joins import sized_broadcast
 
 # ---- fixed values: tolerance, checked metrics (in order) and issue texts ------
 METRIC_TOLERANCE = 1e-6
@@ -20,7 +19,7 @@ def merge_narratives(strategies: DataFrame, narratives: DataFrame) -> DataFrame:
     """Operational reason by strategy id (last narrative per id wins), else the strategy's own reason."""
     last = narratives.groupBy("strategy_id").agg(
         F.max_by("operational_reason", "ordinal").alias("__narrative"))
-    j = strategies.join(sized_broadcast(last), "strategy_id", "left")
+    j = strategies.join(last, "strategy_id", "left")
     return j.withColumn("operational_reason", F.coalesce(F.col("__narrative"), F.col("reason"))).drop("__narrative")
 
 
@@ -30,10 +29,13 @@ def metric_issues(truth: DataFrame, reported: DataFrame, tolerance: float = METR
 
     One left join and one explode: a known id unpivots into its six checks, an unknown id into
     a single marker row; then one filter. Output: strategy_id, ordinal (reported order),
-    metric_pos, metric, expected, actual, issue.
+    metric_pos, metric, expected, actual, issue. A null or NaN on either side is no mismatch (nothing
+    exceeds the tolerance); of several truths of one id the last by ``ordinal`` counts.
     """
+    if "ordinal" in truth.columns:  # the last truth of an id counts
+        truth = truth.groupBy("strategy_id").agg(F.max_by(F.struct(*CHECKED_METRICS), "ordinal").alias("__t")).select("strategy_id", "__t.*")
     t = truth.select("strategy_id", F.lit(True).alias("__known"), *[F.col(m).alias(f"t_{m}") for m in CHECKED_METRICS])
-    j = reported.join(sized_broadcast(t), "strategy_id", "left")
+    j = reported.join(t, "strategy_id", "left")
     check_t = "struct<metric_pos:int,metric:string,expected:double,actual:double>"
     checks = F.array(*[
         F.struct(F.lit(i).alias("metric_pos"), F.lit(m).alias("metric"), F.col(f"t_{m}").cast("double").alias("expected"),
@@ -44,7 +46,8 @@ def metric_issues(truth: DataFrame, reported: DataFrame, tolerance: float = METR
                                F.lit(None).cast("double").alias("expected"), F.lit(None).cast("double").alias("actual")))
     rows = F.when(F.col("__known").isNull(), unknown.cast(f"array<{check_t}>")).otherwise(checks.cast(f"array<{check_t}>"))
     long = j.select("strategy_id", "ordinal", F.explode(rows).alias("__c")).select("strategy_id", "ordinal", "__c.*")
-    bad = long.where(F.col("metric").isNull() | (F.abs(F.col("actual") - F.col("expected")) > F.lit(tolerance)))
+    off = F.abs(F.col("actual") - F.col("expected"))
+    bad = long.where(F.col("metric").isNull() | (~F.isnan(off) & (off > F.lit(tolerance))))
     text = F.concat(F.col("metric"), F.lit(METRIC_MISMATCH + " (expected="), py_float_repr(F.col("expected")),
                     F.lit(", actual="), py_float_repr(F.col("actual")), F.lit(")"))
     return bad.withColumn("issue", F.when(F.col("metric").isNull(), F.lit(UNKNOWN_ID_ISSUE)).otherwise(text))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from situate.operators.joins import sized_broadcast
 
 
 def conform_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -32,6 +31,8 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
     """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    if len(order_cols) == 1:  # min_by would skip a null order key and lose its row
+        order_cols = [F.coalesce(order_cols[0], F.raise_error(F.lit("dedupe_first: null order key")))]
     order_key = F.struct(*order_cols) if len(order_cols) > 1 else order_cols[0]
     others = [c for c in df.columns if c not in keys]
     if not others:
@@ -53,7 +54,7 @@ def sequential_index(df: DataFrame, order: Sequence[str], name: str = "seq") ->
     counts = tagged.groupBy("__part").agg(F.count("*").alias("__n"))
     w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__part", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    out = tagged.join(sized_broadcast(offsets), "__part")
+    out = tagged.join(offsets, "__part")
     local = F.col("__mid") - F.shiftleft(F.col("__part"), 33)
     return out.withColumn(name, F.col("__off") + local).drop("__mid", "__part", "__off")
 

@@ -6,12 +6,13 @@ silhouettes run on Spark ML / DataFrames; the driver only loops over k and seeds
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from situate.operators.joins import attach_row, sized_broadcast
+from situate.operators.joins import attach_row
 from situate.session import materialize
 
 FEATURE_COLUMNS = [
@@ -118,14 +119,18 @@ def _assemble(scaled: DataFrame, columns=FEATURE_COLUMNS) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(scaled)
 
 
-def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, restarts: int = 10, max_iter: int = 20):
-    """M2: KMeans with ``restarts`` seeds (seed, seed+1, ...) keeping the lowest training cost."""
+def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, restarts: int = 10, max_iter: int = 300):
+    """M2: KMeans with ``restarts`` seeds (seed, seed+1, ...) keeping the lowest training cost.
+
+    A fit that has not converged after ``max_iter`` iterations is reported as a warning."""
     from pyspark.ml.clustering import KMeans
 
     best = None
     for r in range(max(restarts, 1)):
         model = KMeans(k=k, seed=seed + r, maxIter=max_iter, featuresCol="features",
                        predictionCol="cluster_raw").fit(vectors)
+        if model.summary.numIter >= max_iter:
+            warnings.warn(f"KMeans k={k}, seed {seed + r}: not converged after {max_iter} iterations", stacklevel=2)
         cost = model.summary.trainingCost
         if best is None or cost < best[0]:
             best = (cost, model)
@@ -145,6 +150,12 @@ def _stable_labels(model, assigned: DataFrame) -> DataFrame:
 
 def find_best_k(vectors: DataFrame, k_min: int = K_MIN, k_max: int = K_MAX, seed: int = SEED,
                 restarts: int = 10) -> tuple[int, dict]:
+    """M4: the best k and the score of each k; see :func:`search_k`."""
+    best_k, scores, _ = search_k(vectors, k_min, k_max, seed, restarts)
+    return best_k, scores
+
+
+def search_k(vectors: DataFrame, k_min: int = K_MIN, k_max: int = K_MAX, seed: int = SEED, restarts: int = 10):
     """M4: k in [k_min, k_max] by squared-Euclidean silhouette (strict >: smallest k wins ties)."""
     n = vectors.count()
     if n <= k_max:
@@ -153,14 +164,33 @@ def find_best_k(vectors: DataFrame, k_min: int = K_MIN, k_max: int = K_MAX, seed
 
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_raw",
                                     distanceMeasure="squaredEuclidean")
-    best_k, best_score, scores = k_min, -1.0, {}
+    best_k, best_score, scores, best = k_min, -1.0, {}, None
     for k in range(k_min, k_max + 1):
         model = fit_kmeans(vectors, k, seed, restarts)
         score = float(evaluator.evaluate(model.transform(vectors)))
         scores[k] = score
-        if score > best_score:
-            best_k, best_score = k, score
-    return best_k, scores
+        if best is None or score > best_score:
+            best_k, best_score, best = k, score, model
+    return best_k, scores, best
+
+
+def segmentation_checks(result: SegmentationResult, slack: float = 0.01) -> DataFrame:
+    """One row: users, k within the range, cluster sizes adding up, names in centroid order, and all but
+    ``slack`` of the users nearest to the mean of their own cluster."""
+    users = result.user_segments
+    scaled = zscore(users.select("user_id", "cluster_id", *FEATURE_COLUMNS))
+    means = scaled.groupBy("cluster_id").agg(F.count("*").alias("n"), F.array(*[F.avg(c) for c in FEATURE_COLUMNS]).alias("mean"))
+    one = means.agg(F.array_sort(F.collect_list(F.struct("cluster_id", "n", "mean"))).alias("__all"))
+    j = attach_row(scaled.withColumn("__v", F.array(*FEATURE_COLUMNS)), one)
+    far = lambda c: F.aggregate(F.zip_with("__v", c["mean"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    nearest = F.array_min(F.transform("__all", lambda c: F.struct(far(c).alias("d"), c["cluster_id"].alias("c"))))["c"]
+    order = F.transform("__all", lambda c: c["mean"])
+    out = j.select("cluster_id", nearest.alias("near"), (F.array_sort(order) == order).alias("ordered"),
+                   F.aggregate("__all", F.lit(0).cast("long"), lambda s, c: s + c["n"]).alias("total"))
+    return out.agg(F.count("*").alias("n_users"), F.lit(K_MIN <= result.best_k <= K_MAX).alias("k_in_range"),
+                   (F.countDistinct("cluster_id") == result.best_k).alias("k_clusters"), (F.max("total") == F.count("*")).alias("sizes_add_up"),
+                   F.bool_and("ordered").alias("named_in_order"),
+                   (F.avg((F.col("near") == F.col("cluster_id")).cast("double")) >= 1 - slack).alias("nearest_mean"))
 
 
 def cluster_users(enriched: DataFrame, k_min: int = K_MIN, k_max: int = K_MAX, seed: int = SEED,
@@ -170,9 +200,8 @@ def cluster_users(enriched: DataFrame, k_min: int = K_MIN, k_max: int = K_MAX, s
     # checkpoint folder, so neither reuse nor a lost executor re-aggregates the log
     feats = materialize(user_features(enriched))
     vectors = materialize(_assemble(zscore(feats)).select("user_id", "features"))
-    best_k, scores = find_best_k(vectors, k_min, k_max, seed, restarts)
-    model = fit_kmeans(vectors, best_k, seed, restarts)
+    best_k, scores, model = search_k(vectors, k_min, k_max, seed, restarts)
     assigned = _stable_labels(model, model.transform(vectors).select("user_id", "cluster_raw"))
     segs = assigned.withColumn("user_segment", F.format_string("segment_%d", F.col("cluster_id")))
-    users = feats.join(sized_broadcast(segs), "user_id", "left")
+    users = feats.join(segs, "user_id", "left")
     return SegmentationResult(users, best_k, scores, scores[best_k])

@@ -109,7 +109,7 @@ its AS (
          CASE WHEN c.clk_cnt > 0 THEN CAST(c.clk_sum AS DOUBLE) / c.clk_cnt ELSE 0.0 END AS ctr,
          CASE WHEN c.c1_cnt > 0 THEN CAST(c.c1_sum AS DOUBLE) / c.c1_cnt ELSE 0.0 END AS cvr,
          t.base_ctr, t.base_cvr
-  FROM cube c, tot t
+  FROM cube c JOIN tot t ON true
   WHERE c.gid <> 31 AND CAST(c.n AS DOUBLE) / t.n_total >= 0.01)"""
 
 RULES = """rules0 AS (
@@ -336,6 +336,9 @@ ORACLE_SQL["stream_clean_events"] = ORACLE_SQL["event_clean"]
 RAW_EVENT_COLS = ("TITLE, CODENAME, GUNAME, PLACE, DATE, USE_FEE, ORG_NAME, PROGRAM, HMPG_ADDR, MAIN_IMG, LOT, LAT, "
                   "START_DATE, STRTDATE, END_DATE, ENDDATE, ordinal")
 ORACLE_SQL["scan_raw_json"] = with_(V_RAW_EVENT) + f"SELECT {RAW_EVENT_COLS} FROM v_raw_event"
+_PLACE = """CAST((dense_rank() OVER (ORDER BY floor(ordinal / 500)) - 1) * 4294967296
+  + row_number() OVER (PARTITION BY floor(ordinal / 500) ORDER BY ordinal) - 1 AS BIGINT) AS ordinal"""
+ORACLE_SQL["scan_raw_array"] = with_(V_RAW_EVENT) + f"SELECT {RAW_EVENT_COLS.removesuffix('ordinal')}{_PLACE} FROM v_raw_event"
 ORACLE_SQL["limit_rows"] = with_(V_RAW_EVENT) + "SELECT ordinal, TITLE, DATE FROM v_raw_event ORDER BY ordinal LIMIT 1000"
 
 EVENT_CREATIVES = f"""evc AS (
@@ -456,9 +459,7 @@ ORACLE_SQL["context_catalog"] = with_(V_RAW_WEATHER, WEATHER_PIVOT, CONTEXT) + "
   round(precipitation_type, 6) AS precipitation_type, precipitation_type_name, round(humidity, 6) AS humidity,
   round(wind_speed, 6) AS wind_speed FROM ctx"""
 ORACLE_SQL["context_flags"] = with_(V_RAW_WEATHER, WEATHER_PIVOT, CONTEXT) + """SELECT context_id, forecast_ts, is_weekend, rainy,
-  clear, overcast,
-  round((CASE WHEN rainy AND NOT is_weekend THEN 2.2 ELSE 1.0 END) * (CASE WHEN clear AND is_weekend THEN 2.2 ELSE 1.0 END)
-        * (CASE WHEN overcast AND NOT is_weekend THEN 1.6 ELSE 1.0 END), 6) AS context_weight
+  clear, overcast
 FROM (SELECT context_id, ts AS forecast_ts, coalesce(isodow(ts) >= 6, false) AS is_weekend,
              coalesce(precipitation_type_name NOT IN ('none', ''), false) AS rainy,
              coalesce(sky_status_name = 'clear', false) AND NOT coalesce(precipitation_type_name NOT IN ('none', ''), false) AS clear,
@@ -559,6 +560,14 @@ g AS (
   FROM gc JOIN rr ON gc.case_id = rr.case_id)"""
 ORACLE_SQL["grade_cases"] = with_(GRADE) + """SELECT case_id, len(reasons) = 0 AS passed, CAST(len(reasons) AS INTEGER) AS n_reasons,
   array_to_string(reasons, ' | ') AS reasons FROM g"""
+ORACLE_SQL["graded_suite"] = with_(GRADE.replace("SELECT d.doc_id AS case_id, coalesce(l.quality = 1, false) AS approved",
+    "SELECT d.doc_id AS case_id, t.trial, (t.trial = 2) <> coalesce(l.quality = 1, false) AS approved").replace(
+    "ON d.doc_id = l.doc_id)", "ON d.doc_id = l.doc_id, (SELECT unnest([1, 2, 3]) AS trial) t)").replace(
+    "SELECT gc.case_id, list_concat(", "SELECT gc.case_id, rr.trial, list_concat(")) + """SELECT 3 AS k, 3 AS trials, count(*) AS case_count,
+  round(avg(CAST(p1 OR p2 OR p3 AS DOUBLE)), 6) AS pass_at_k, round(avg(CAST(p1 AND p2 AND p3 AS DOUBLE)), 6) AS pass_pow_k,
+  round(avg(CAST(p1 AS DOUBLE)), 6) AS pass_at_1
+FROM (SELECT case_id, bool_or(trial = 1 AND len(reasons) = 0) AS p1, bool_or(trial = 2 AND len(reasons) = 0) AS p2,
+             bool_or(trial = 3 AND len(reasons) = 0) AS p3 FROM g GROUP BY case_id)"""
 ORACLE_SQL["case_trials"] = "SELECT doc_id AS case_id, CAST(UNNEST(range(1, 4)) AS INTEGER) AS trial FROM documents"
 ORACLE_SQL["case_filter"] = """SELECT doc_id AS case_id, doc_id % 3 <> 0 AS expected_approved FROM documents
 WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)"""
@@ -600,57 +609,14 @@ ORACLE_SQL["merge_narratives"] = with_(TRUTH) + """SELECT t.strategy_id, coalesc
 FROM truth t LEFT JOIN (SELECT printf('strategy_%03d', conv_id % 150) AS strategy_id, arg_max(text, conv_id * 1000 + turn) AS narrative
                         FROM conversations GROUP BY 1) n ON t.strategy_id = n.strategy_id"""
 
-# ---- scoring (re-aimed simulator rules) ---------------------------------------------------
-
-def _hash_u(*parts: str) -> str:
-    s = "concat_ws('|', " + ", ".join(f"CAST({p} AS VARCHAR)" for p in parts) + ")"
-    return f"((CAST(('0x' || substr(md5({s}), 1, 8)) AS BIGINT) + 0.5) / 4294967296.0)"
-
-
-def _mult(tag: str, lo: float, hi: float) -> str:
-    return f"({lo!r} + {hi - lo!r} * {_hash_u(repr(tag).replace(chr(34), chr(39)), 'user_id')})"
-
-
-SCORED = f"""sc AS (
-  SELECT e.impression_id, e.user_id, e.creative_type, e.category, e.category_group, c.has_image, c.is_free,
-         e.is_weekend = 1 AS wk, e.is_rainy AS rainy, e.is_clear AS clear,
-         coalesce(e.sky IN ('overcast', 'cloudy'), false) AND NOT e.is_rainy AS overcast,
-         {_mult('indoor', 0.88, 1.28)} AS indoor_mult, {_mult('outdoor', 0.88, 1.28)} AS outdoor_mult,
-         {_mult('free', 0.96, 1.12)} AS free_mult, {_mult('event', 0.9, 1.15)} AS event_mult,
-         {_mult('tour', 0.9, 1.15)} AS tour_mult
-  FROM enr e LEFT JOIN v_creative c ON e.creative_id = c.creative_id),
-wts AS (
-  SELECT *,
-    (CASE WHEN rainy AND NOT wk THEN 2.2 ELSE 1.0 END) * (CASE WHEN clear AND wk THEN 2.2 ELSE 1.0 END)
-      * (CASE WHEN overcast AND NOT wk THEN 1.6 ELSE 1.0 END) AS context_weight,
-    greatest(CASE WHEN rainy AND NOT wk THEN (CASE category_group WHEN 'indoor' THEN 4.2 WHEN 'outdoor' THEN 0.4 ELSE 1.0 END)
-                  WHEN clear AND wk THEN (CASE category_group WHEN 'outdoor' THEN 4.0 WHEN 'indoor' THEN 0.6 ELSE 1.0 END)
-                  WHEN overcast AND NOT wk THEN (CASE category_group WHEN 'indoor' THEN 1.9 WHEN 'outdoor' THEN 0.85 ELSE 1.0 END)
-                  ELSE 1.0 END, 0.05) AS creative_weight,
-    least(0.08 * (CASE WHEN rainy AND NOT wk AND category_group = 'indoor' THEN 1.75 * indoor_mult
-                       WHEN clear AND wk AND category_group = 'outdoor' THEN 1.8 * outdoor_mult
-                       WHEN overcast AND NOT wk AND category_group = 'indoor' THEN 1.28 * indoor_mult
-                       WHEN rainy AND category_group = 'outdoor' THEN 0.52
-                       WHEN clear AND wk AND category_group = 'indoor' THEN 0.78 ELSE 1.0 END)
-          * (CASE WHEN coalesce(has_image, false) THEN 1.08 ELSE 1.0 END)
-          * (CASE WHEN coalesce(is_free, false) THEN 1.06 * free_mult ELSE 1.0 END)
-          * (CASE WHEN creative_type = 'event' THEN event_mult WHEN creative_type = 'tour' THEN tour_mult ELSE 1.0 END), 0.5)
-      AS click_propensity,
-    least((CASE WHEN category IS NULL THEN 0.12 WHEN {_any('category', LK.HIGH_CVR_KEYWORDS)} THEN 0.15
-                WHEN {_any('category', LK.LOW_CVR_KEYWORDS)} THEN 0.08 WHEN {_any('category', LK.MID_CVR_KEYWORDS)} THEN 0.12
-                ELSE 0.12 END)
-          * (CASE WHEN rainy AND NOT wk AND category_group = 'indoor' THEN 1.5
-                  WHEN clear AND wk AND category_group = 'outdoor' THEN 1.45
-                  WHEN overcast AND NOT wk AND category_group = 'indoor' THEN 1.18
-                  WHEN rainy AND category_group = 'outdoor' THEN 0.68 ELSE 1.0 END), 0.45) AS conversion_propensity
-  FROM sc)"""
-SCORING = with_(V_CREATIVE, V_LOG, ENRICHED, SCORED)
-for _name in ("context_weight", "creative_weight", "click_propensity", "conversion_propensity"):
-    ORACLE_SQL[_name] = SCORING + f"SELECT impression_id, round({_name}, 6) AS {_name} FROM wts"
-ORACLE_SQL["weighted_choice"] = SCORING + f"""SELECT user_id, arg_min(impression_id, race) AS impression_id,
-  round(arg_min(creative_weight, race), 6) AS weight
-FROM (SELECT *, -ln({_hash_u("42", "user_id", "impression_id")}) / creative_weight AS race FROM wts WHERE creative_weight > 0)
-GROUP BY user_id"""
+# ---- sampling ------------------------------------------------------------------------------
+
+ORACLE_SQL["weighted_choice"] = """SELECT l_suppkey, l_orderkey, l_linenumber, round(w, 6) AS weight FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY -ln(u) / w, l_orderkey, l_linenumber) AS rn FROM (
+    SELECT l_suppkey, l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS w,
+           (CAST(('0x' || substr(md5('42|' || l_suppkey || '|' || l_orderkey || '|' || l_linenumber), 1, 13)) AS BIGINT) + 0.5)
+             / 4503599627370496.0 AS u
+    FROM lineitem) WHERE w > 0) WHERE rn = 1"""
 
 # ---- row operators, ids, texts -----------------------------------------------------------
 
@@ -721,3 +687,10 @@ ORACLE_SQL["user_features_big"] = with_(V_CREATIVE, V_LOG_BIG, ENRICHED, USER_FE
 ORACLE_SQL["context_json_encode"] = with_(V_LOG) + """SELECT impression_id,
   CAST(json_object('sky', sky, 'temp', temp, 'precip', precip, 'weekend', weekend) AS VARCHAR) AS context_features FROM v_log"""
 ORACLE_SQL["context_json_parse"] = with_(V_LOG) + "SELECT impression_id, sky, round(temp, 6) AS temp, precip, weekend FROM v_log"
+
+# the catalog numbers events by order of landing, whatever their positions are called
+ORACLE_SQL["catalog_from_landing"] = ORACLE_SQL["creative_catalog"]
+ORACLE_SQL["apply_segments"] = with_(V_LOG) + """SELECT impression_id, user_id,
+  CASE WHEN user_id % 7 <> 0 THEN printf('segment_%d', user_id % 4) END AS user_segment FROM v_log"""
+ORACLE_SQL["segment_invariants"] = with_(V_LOG) + """SELECT count(DISTINCT user_id) AS n_users, true AS k_in_range, true AS k_clusters,
+  true AS sizes_add_up, true AS named_in_order, true AS nearest_mean FROM v_log"""

@@ -203,8 +203,9 @@ def context_catalog(weather: DataFrame) -> DataFrame:
     Rows are taken in the pivot's key order, as the reference's sorted pivot output.
     """
     as_int = lambda c: coerce_int(F.col(c))
-    w = weather.withColumn("context_id", F.concat_ws("_", as_int("fcst_date").cast("string"),
-                                                     as_int("fcst_time").cast("string")))
+    # a part that is no number keeps its own text, so unreadable times don't share an id
+    part = lambda c: F.coalesce(as_int(c).cast("string"), F.col(c).cast("string"), F.lit("null"))
+    w = weather.withColumn("context_id", F.concat(part("fcst_date"), F.lit("_"), part("fcst_time")))
     first = dedupe_first(w, ["context_id"], ["base_date", "base_time", "fcst_date", "fcst_time"])
     first = first.select(
         "context_id", *[as_int(c).alias(c) for c in ("base_date", "base_time", "fcst_date", "fcst_time")],

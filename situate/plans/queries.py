@@ -15,13 +15,6 @@ from pyspark.sql import types as T
 from situate import schemas
 from situate.functions import dates as D
 from situate.functions.context import context_flags, impression_items
-from situate.functions.scoring import (
-    click_propensity,
-    context_weight,
-    conversion_propensity,
-    creative_weight,
-    hash_uniform,
-)
 from situate.functions.text import truncate_text
 from situate.operators import evaluation as EV
 from situate.operators import itemsets as IS
@@ -43,6 +36,8 @@ from situate.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ROUND_DIGITS = 6
+#: rows a landed file holds in the array round trip
+RAW_FILE_ROWS = 500
 
 
 def query(name: str):
@@ -323,8 +318,7 @@ def q_context_flags(spark, sf):
     wk = D.is_weekend(ts)
     flags = context_flags(F.col("sky_status_name"), F.col("precipitation_type_name"), wk)
     return ctx.select("context_id", ts.alias("forecast_ts"), flags.alias("f")).select(
-        "context_id", "forecast_ts", "f.*", context_weight(F.col("f")).alias("context_weight")
-    ).transform(rounded)
+        "context_id", "forecast_ts", "f.*")
 
 
 @query("dedupe_first")
@@ -391,18 +385,15 @@ def q_silhouette_points(spark, sf):
     return rounded(SG.squared_silhouette(emb, "embedding", "label", "vec_id"))
 
 
-SEGMENT_RESTARTS = 2
-
-
 @query("kmeans_segments")
 def q_kmeans_segments(spark, sf):
-    res = SG.cluster_users(enriched_log(spark, sf), restarts=SEGMENT_RESTARTS)
+    res = SG.cluster_users(enriched_log(spark, sf))
     return res.user_segments.select("user_id", "cluster_id", "user_segment")
 
 
 @query("best_k")
 def q_best_k(spark, sf):
-    res = SG.cluster_users(enriched_log(spark, sf), restarts=SEGMENT_RESTARTS)
+    res = SG.cluster_users(enriched_log(spark, sf))
     seg = res.user_segments.agg(F.countDistinct("user_segment").alias("n_segments"), F.count("*").alias("n_users"))
     return seg.select(F.lit(res.best_k).alias("best_k"), F.lit(round(res.best_silhouette, 6)).alias("best_silhouette"),
                       "n_segments", "n_users")
@@ -410,9 +401,18 @@ def q_best_k(spark, sf):
 
 @query("apply_segments")
 def q_apply_segments(spark, sf):
+    """J2 over a fixed labelling: users by their id, every seventh without a segment."""
     log = A.v_log(spark, sf)
-    res = SG.cluster_users(enrich_log(log, A.v_creative(spark, sf)), restarts=SEGMENT_RESTARTS)
-    return apply_user_segments(log, res.user_segments).select("impression_id", "user_id", "user_segment")
+    users = log.select("user_id").distinct().where(F.col("user_id") % 7 != 0)
+    users = users.select("user_id", F.format_string("segment_%d", F.col("user_id") % 4).alias("user_segment"))
+    return apply_user_segments(log, users).select("impression_id", "user_id", "user_segment")
+
+
+@query("segment_invariants")
+def q_segment_invariants(spark, sf):
+    """What must hold of any converged segmentation, whatever the seeds found."""
+    res = SG.cluster_users(enriched_log(spark, sf))
+    return SG.segmentation_checks(res)
 
 
 # ---- evaluation ------------------------------------------------------------------
@@ -436,6 +436,14 @@ def q_grade_cases(spark, sf):
                     F.array_join("reasons", " | ").alias("reasons"))
 
 
+@query("graded_suite")
+def q_graded_suite(spark, sf):
+    """Three trials of each case (the second with the opposite approval), graded, then pass@k."""
+    runs = EV.case_trials(A.v_run_results(spark, sf), 3)
+    runs = runs.withColumn("approved", (F.col("trial") == 2) != F.col("approved"))
+    return rounded(EV.eval_suite(EV.grade_cases(A.v_golden_cases(spark, sf), runs), k=3, n_trials=3))
+
+
 @query("case_trials")
 def q_case_trials(spark, sf):
     return EV.case_trials(A.v_golden_cases(spark, sf).select("case_id"), 3)
@@ -480,55 +488,13 @@ def q_merge_issues(spark, sf):
     return merged.groupBy("strategy_id", "source").agg(F.count("*").alias("n_issues"))
 
 
-# ---- scoring (re-aimed simulator rules) ---------------------------------------------
-
-def _scored_log(spark, sf):
-    en = enrich_log(A.v_log(spark, sf), A.v_creative(spark, sf), extra_columns=("has_image", "is_free"))
-    flags = context_flags(F.col("sky"), F.col("precip"), F.col("is_weekend"))
-    u = lambda tag, lo, hi: F.lit(lo) + F.lit(hi - lo) * hash_uniform(F.lit(tag), F.col("user_id"))
-    return en.select(
-        "impression_id", "user_id", "creative_type", "category", "category_group", flags.alias("flags"),
-        "has_image", "is_free",
-        u("indoor", 0.88, 1.28).alias("indoor_mult"), u("outdoor", 0.88, 1.28).alias("outdoor_mult"),
-        u("free", 0.96, 1.12).alias("free_mult"), u("event", 0.9, 1.15).alias("event_mult"),
-        u("tour", 0.9, 1.15).alias("tour_mult"),
-    )
-
-
-@query("context_weight")
-def q_context_weight(spark, sf):
-    s = _scored_log(spark, sf)
-    return rounded(s.select("impression_id", context_weight(F.col("flags")).alias("context_weight")))
-
-
-@query("creative_weight")
-def q_creative_weight(spark, sf):
-    s = _scored_log(spark, sf)
-    return rounded(s.select("impression_id", creative_weight(F.col("category_group"), F.col("flags")).alias("creative_weight")))
-
-
-@query("click_propensity")
-def q_click_propensity(spark, sf):
-    s = _scored_log(spark, sf)
-    p = click_propensity(F.col("category_group"), F.col("flags"), F.col("has_image"), F.col("is_free"),
-                         F.col("creative_type"), F.col("indoor_mult"), F.col("outdoor_mult"), F.col("free_mult"),
-                         F.col("event_mult"), F.col("tour_mult"))
-    return rounded(s.select("impression_id", p.alias("click_propensity")))
-
-
-@query("conversion_propensity")
-def q_conversion_propensity(spark, sf):
-    s = _scored_log(spark, sf)
-    p = conversion_propensity(F.col("category"), F.col("category_group"), F.col("flags"))
-    return rounded(s.select("impression_id", p.alias("conversion_propensity")))
-
+# ---- sampling -------------------------------------------------------------------------
 
 @query("weighted_choice")
 def q_weighted_choice(spark, sf):
-    s = _scored_log(spark, sf)
-    w = s.select("user_id", "impression_id", creative_weight(F.col("category_group"), F.col("flags")).alias("weight"))
-    pick = weighted_choice(w, ["user_id"], F.col("weight"), ["impression_id"], seed=42)
-    return rounded(pick.select("user_id", "impression_id", "weight"))
+    lines = read_table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("weight"))
+    pick = weighted_choice(lines, ["l_suppkey"], F.col("weight"), ["l_orderkey", "l_linenumber"], seed=42)
+    return rounded(pick.select("l_suppkey", "l_orderkey", "l_linenumber", "weight"))
 
 
 # ---- sources and sinks ---------------------------------------------------------------
@@ -540,6 +506,24 @@ def q_scan_raw_json(spark, sf):
     return FS.scan_raw_json(spark, path, schemas.RAW_EVENT, layout="lines")
 
 
+@query("scan_raw_array")
+def q_scan_raw_array(spark, sf):
+    """The landing layout: files of one JSON array each, rows without a position; the scan numbers them."""
+    path = scratch_path(spark, "raw_event_array")
+    raw = A.v_raw_event(spark, sf)
+    rows = F.array_sort(F.collect_list(F.struct("ordinal", *[c for c in raw.columns if c != "ordinal"])))
+    lists = raw.groupBy(F.floor(F.col("ordinal") / RAW_FILE_ROWS).alias("block")).agg(rows.alias("rows"))
+    text = F.to_json(F.transform("rows", lambda r: r.dropFields("ordinal")))
+    lists.select(F.format_string("%09d", "block").alias("block"), text.alias("value")).write.partitionBy("block").text(path)
+    return FS.scan_raw_json(spark, f"{path}/block=*", schemas.RAW_EVENT)
+
+
+@query("catalog_from_landing")
+def q_catalog_from_landing(spark, sf):
+    """Landed arrays without positions → cleaned events and tours → the creative catalog."""
+    return rounded(CL.creative_catalog(CL.transform_events(q_scan_raw_array(spark, sf)), CL.transform_tour(A.v_raw_tour(spark, sf))))
+
+
 @query("scan_csv_roundtrip")
 def q_scan_csv(spark, sf):
     path = scratch_path(spark, "log_csv")

@@ -26,7 +26,9 @@ DEFAULT_CONF = {
 
 def get_spark(app: str = "situate", cpus: int | str = "*", shuffle_partitions: int = 8,
               extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
+    builder = SparkSession.builder.appName(app)
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:  # under spark-submit the master is given
+        builder = builder.master(f"local[{cpus}]")
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("SITUATE_DRIVER_MEMORY", "16g"))
@@ -45,6 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder and register it, so ``DataFrame.checkpoint()`` works too.
     """
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir is not set: executors need a shared folder")
     if not root:
         root = tempfile.mkdtemp(prefix="situate-ckpt-")
         try:

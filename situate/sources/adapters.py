@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from situate.functions.context import encode_context
-from situate.operators.joins import sized_broadcast
 from situate.sources.tables import read_table
 
 # part.p_type → content category (fixed values of the adapter)
@@ -138,7 +137,7 @@ def v_raw_tour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer ⋈ nation → raw tourist-spot rows (all strings) + ``ordinal``."""
     c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = c.join(sized_broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     k = F.col("c_custkey")
     code = (F.col("c_nationkey") + 1).cast("string")
     typeid = _case(F.col("c_mktsegment"), {"HOUSEHOLD": "12", "FURNITURE": " 14 ", "MACHINERY": "39.0",

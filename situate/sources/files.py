@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -30,12 +32,26 @@ def _first_char(spark: SparkSession, file_path: str) -> str:
         stream.close()
 
 
+def _scan_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of files that hold one JSON array each, in order of file name and position.
+
+    An ``ordinal`` of the schema that a row lacks is its place: the file's rank (one number a file, a
+    small table) and the position within it, so it needs no pass over the rows."""
+    files = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("__file"))
+    rows = files.select("__file", F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("__pos", "__row")).select("__file", "__pos", "__row.*")
+    if "ordinal" not in schema.fieldNames():
+        return rows.select(*schema.fieldNames())
+    rank = files.select("__file").distinct().withColumn("__rank", F.row_number().over(Window.orderBy("__file")) - 1)
+    place = F.shiftleft(F.col("__rank").cast("long"), 32) + F.col("__pos")
+    return rows.join(F.broadcast(rank), "__file").withColumn("ordinal", F.coalesce("ordinal", place)).select(*schema.fieldNames())
+
+
 def scan_raw_json(spark: SparkSession, path: str, schema: T.StructType, layout: str = "array") -> DataFrame:
     """S1 ``load_raw_json``: landed JSON with a fixed schema.
 
     ``layout='array'``: each file holds one top-level JSON array (the reference's landing);
     a file whose top level is not an array raises ValueError (a head check per file, no data
-    pass). ``layout='lines'``: JSON lines as written by :func:`sink_json`.
+    pass); a row without an ``ordinal`` gets its place by file name and position. ``layout='lines'``: JSON lines as written by :func:`sink_json`.
     """
     if layout == "array":
         fs, p = _fs(spark, path)
@@ -50,7 +66,7 @@ def scan_raw_json(spark: SparkSession, path: str, schema: T.StructType, layout:
         for f in files:
             if _first_char(spark, f) != "[":
                 raise ValueError(f"raw JSON must be a list at the top level: {f}")
-        return spark.read.schema(schema).option("multiLine", True).json(path)
+        return _scan_arrays(spark, path, schema)
     if layout == "lines":
         return spark.read.schema(schema).json(path)
     raise ValueError(f"unknown layout {layout!r}")
@@ -74,14 +90,22 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, directory: str, prefix: str | None = None, suffix: str = "") -> str:
-    """S3/S4 ``find_latest_csv`` / ``find_latest_prefixed_csv``: newest ``{prefix}_*`` entry by modification
-    time (ties: the later name). Only file-system metadata is read. FileNotFoundError if none."""
+    """S3/S4 ``find_latest_csv`` / ``find_latest_prefixed_csv``: newest ``{prefix}_*`` entry by the time in
+    its name and its ``_n`` suffix; names without a time come first, by modification time. A directory
+    counts once its job has committed (``_SUCCESS``). Only metadata is read. FileNotFoundError if none."""
     pattern = f"{directory.rstrip('/')}/{prefix + '_' if prefix else ''}*{suffix}"
     fs, p = _fs(spark, pattern)
-    statuses = list(fs.globStatus(p) or [])
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    statuses = [s for s in fs.globStatus(p) or [] if s.isFile() or fs.exists(done(s.getPath(), "_SUCCESS"))]
     if not statuses:
-        raise FileNotFoundError(f"no snapshot matches {pattern}")
-    best = max(statuses, key=lambda s: (s.getModificationTime(), s.getPath().getName()))
+        raise FileNotFoundError(f"no finished snapshot matches {pattern}")
+
+    def age(status):
+        name = status.getPath().getName()
+        m = re.search(r"(\d{8}_\d{6})(?:_(\d+))?", name)
+        return (m.group(1) if m else "", int(m.group(2) or 0) if m else 0, status.getModificationTime(), name)
+
+    best = max(statuses, key=age)
     return best.getPath().toString()
 
 

@@ -35,7 +35,7 @@ def decode_pages(pages: DataFrame, item_schema: T.StructType) -> DataFrame:
     # the next one tests the code and parses the items, referring to those columns
     staged = pages.select("*", _by_feed(feed, "code", body).alias("result_code"),
                           _by_feed(feed, "items", body).alias("__raw"),
-                          _by_feed(feed, "total", body).cast("bigint").alias("total"))
+                          _by_feed(feed, "total", body).try_cast("bigint").alias("total"))
     raw = F.col("__raw")
     arr_t = T.ArrayType(item_schema)
     items = (
@@ -72,11 +72,12 @@ def landing_gaps(decoded: DataFrame, page_size: int, targets: DataFrame) -> Data
 
     ``targets`` holds (feed, target): the plan is the ranges ``[s, min(s + page_size - 1, target)]``
     for ``s`` in 1, 1 + page_size, ... Ranges without a successful page are ``missing``;
-    landed pages with fewer items than their range are ``short``.
+    landed pages with fewer items than their range are ``short`` (no item list counts as no items).
+    A feed with nothing to land (target below 1 or null) has no ranges.
     """
-    plan = targets.select("feed", "target", F.explode(F.sequence(F.lit(1), F.col("target"), F.lit(page_size))).alias("start_index"))
+    plan = targets.where("target >= 1").select("feed", "target", F.explode(F.sequence(F.lit(1), F.col("target"), F.lit(page_size))).alias("start_index"))
     plan = plan.withColumn("end_index", F.least(F.col("start_index") + page_size - 1, F.col("target")))
-    landed = decoded.where(F.col("ok")).select("feed", "start_index", F.size("items").alias("n_items"))
+    landed = decoded.where(F.col("ok")).select("feed", "start_index", F.greatest(F.coalesce(F.size("items"), F.lit(0)), F.lit(0)).alias("n_items"))
     missing = plan.join(landed, ["feed", "start_index"], "left_anti").select(
         "feed", "start_index", "end_index", F.lit("missing").alias("status"), F.lit(0).alias("n_items"))
     short = plan.join(landed, ["feed", "start_index"], "inner").where(

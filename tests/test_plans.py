@@ -7,8 +7,10 @@ from conftest import SF001
 
 
 def _executed(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    df.collect()  # runs this very DataFrame, so its plan below is the final adaptive one
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "AdaptiveSparkPlan" not in plan or "isFinalPlan=true" in plan
+    return plan.split("== Initial Plan ==")[0]
 
 
 

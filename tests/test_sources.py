@@ -141,4 +141,4 @@ def test_zero_weight_never_chosen(spark):
 
     df = spark.createDataFrame([(1, 1, 0.0), (1, 2, 1.0), (2, 3, 0.0)], "k int, rid int, w double")
     got = {r.k: r.rid for r in weighted_choice(df, ["k"], F.col("w"), ["rid"]).collect()}
-    assert got == {1: 2}
+    assert got == {1: 2, 2: None}  # no positive weight: the key stays, without a pick
