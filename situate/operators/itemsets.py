@@ -195,7 +195,8 @@ def transaction_matrix(enriched: DataFrame, keep: tuple[str, ...] = ()) -> DataF
     vals = item_values(F.col("sky"), F.col("precip"), F.col("is_weekend"), F.col("creative_type"), F.col("category"))
     items = F.array(*[F.concat(F.lit(p), v) for p, v in zip(ITEM_PREFIXES, vals)])
     tx = enriched.select(*keep, items.alias("items"))
-    names = sorted(r[0] for r in tx.select(F.explode("items")).distinct().collect())
+    # names come from the distinct combinations of the five dimensions, not from an exploded log
+    names = sorted(r[0] for r in tx.select("items").distinct().select(F.explode("items")).distinct().collect())
     return tx.select(*keep, *[F.array_contains("items", n).alias(n) for n in names])
 
 

@@ -688,6 +688,18 @@ ORACLE_SQL["context_json_encode"] = with_(V_LOG) + """SELECT impression_id,
   CAST(json_object('sky', sky, 'temp', temp, 'precip', precip, 'weekend', weekend) AS VARCHAR) AS context_features FROM v_log"""
 ORACLE_SQL["context_json_parse"] = with_(V_LOG) + "SELECT impression_id, sky, round(temp, 6) AS temp, precip, weekend FROM v_log"
 
+ORACLE_SQL["critic_verdict"] = with_(TRUTH) + """SELECT approved, n_issues, summary, '🤖 에이전트' || chr(10) || 'Critic: '
+  || CASE WHEN approved THEN '✅ 승인' ELSE '❌ 거절' END || ' (이슈 ' || n_issues || '건)' || CASE WHEN summary <> '' THEN chr(10) || '권고: '
+  || CASE WHEN length(summary) > 180 THEN substr(summary, 1, 177) || '...' ELSE summary END ELSE '' END AS agent_section
+FROM (SELECT (SELECT count(*) FROM issues) = 0 AS approved,
+             (SELECT count(*) FROM issues) + (SELECT count(*) FROM truth WHERE ordinal % 9 = 0) AS n_issues,
+             (SELECT coalesce(nullif(trim(max(text), E' \\t\\n\\r'), ''), trim(min(text), E' \\t\\n\\r')) FROM conversations) AS summary)"""
+ORACLE_SQL["agent_display"] = FLAGSHIP + f""", narr AS (
+  SELECT printf('strategy_%03d', conv_id % 150) AS sid, arg_max(text, conv_id * 1000 + turn) AS narrative FROM conversations GROUP BY 1)
+SELECT strategy_line AS "전략", condition_text AS "상황 조건", action_text AS "추천 액션", {_fixed('strategy_score', 3)} AS "전략 점수",
+  {_pct('expected_ctr_gain')} AS "CTR 개선", {_pct('expected_cvr_gain')} AS "CVR 개선", coalesce(narrative, reason) AS "운영 제안"
+FROM top LEFT JOIN narr ON top.strategy_id = narr.sid"""
+
 # the catalog numbers events by order of landing, whatever their positions are called
 ORACLE_SQL["catalog_from_landing"] = ORACLE_SQL["creative_catalog"]
 ORACLE_SQL["apply_segments"] = with_(V_LOG) + """SELECT impression_id, user_id,

@@ -267,9 +267,28 @@ def q_digest(spark, sf):
     contexts = CL.context_catalog(CL.transform_weather(A.v_raw_weather(spark, sf)))
     truth = A.v_metrics_truth(spark, sf)
     issues = RC.metric_issues(truth, A.v_metrics_reported(truth))
-    rec = strategies.agg(F.coalesce(F.max(F.when(F.col("rank") == 1, F.col("strategy_name"))), F.lit(""))
-                         .alias("recommendation"))
-    return RP.digest_sections(kpis, A.v_creative(spark, sf), contexts, strategies, issues, rec)
+    decision = strategies.agg(F.lit(True).alias("approved"), F.lit("  ").alias("revised_summary"),
+                              F.max(F.when(F.col("rank") == 1, F.col("strategy_name"))).alias("recommendation"))
+    verdict = RP.critic_verdict(issues, issues, decision)
+    return RP.digest_sections(kpis, A.v_creative(spark, sf), contexts, strategies, verdict)
+
+
+@query("critic_verdict")
+def q_critic_verdict(spark, sf):
+    """A model that approves every report, with its own issues; the longest revision of a conversation counts."""
+    truth = A.v_metrics_truth(spark, sf)
+    found = materialize(RC.metric_issues(truth, A.v_metrics_reported(truth)).select("strategy_id", "issue"))
+    model = truth.where(F.col("ordinal") % 9 == 0).select("strategy_id", F.lit("근거 부족").alias("issue"))
+    talk = read_table(spark, sf, "conversations")
+    decision = talk.agg(F.lit(True).alias("approved"), F.max("text").alias("revised_summary"), F.min("text").alias("recommendation"))
+    verdict = RP.critic_verdict(found, RC.merge_issues(found, model), decision)
+    return verdict.withColumn("agent_section", RP.agent_section(F.col("approved"), F.col("n_issues"), F.col("summary")))
+
+
+@query("agent_display")
+def q_agent_display(spark, sf):
+    strategies = RC.merge_narratives(ST.top_strategies(enriched_log(spark, sf)), A.v_narratives(spark, sf))
+    return RP.strategy_display(strategies, RP.AGENT_DISPLAY_COLUMNS)
 
 
 # ---- cleaning and catalogs ------------------------------------------------------

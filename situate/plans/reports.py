@@ -28,6 +28,8 @@ DISPLAY_COLUMN_LABELS = {
 }
 ANALYSIS_DISPLAY_COLUMNS = ["strategy_name", "strategy_score", "expected_ctr_gain", "expected_cvr_gain",
                             "support", "confidence", "lift", "target_condition", "recommended_action"]
+AGENT_DISPLAY_COLUMNS = ["strategy_name", "target_condition", "recommended_action", "strategy_score",
+                         "expected_ctr_gain", "expected_cvr_gain", "operational_reason"]
 PERCENT_COLUMNS = ("expected_ctr_gain", "expected_cvr_gain")
 RATIO_COLUMNS = ("support", "confidence", "strategy_score", "lift")
 NO_PATTERN_TEXT = "유효 대응 사례가 발굴되지 않았습니다."
@@ -67,11 +69,6 @@ def strategy_display(strategies: DataFrame, display_columns: Sequence[str] = ANA
     return nat.select(*cols)
 
 
-def kpi_row(kpis: DataFrame, counts: DataFrame) -> DataFrame:
-    """One row of counts and KPIs (both inputs are one-row aggregates)."""
-    return attach_row(counts, kpis)
-
-
 def kpi_sentence(table: DataFrame) -> DataFrame:
     """X33 ``build_analyst_summary`` for every row of a (grouped) KPI table."""
     sentence = F.concat(
@@ -106,12 +103,32 @@ def pattern_summary(strategies: DataFrame) -> DataFrame:
     return agg.select(F.size("__l").alias("n_strategies"), text.alias("pattern_summary"))
 
 
+def critic_verdict(metric_issues: DataFrame, merged_issues: DataFrame, decision: DataFrame) -> DataFrame:
+    """The verdict row: approved only if the model approves and no metric issue was found; the number of
+    merged issues; the revised summary, or else the recommendation (both trimmed).
+
+    ``decision``: one row of ``approved``, ``revised_summary``, ``recommendation``; a null approval
+    doesn't approve, null texts are empty."""
+    row = attach_row(attach_row(decision, metric_issues.agg(F.count("*").alias("__found"))), merged_issues.agg(F.count("*").alias("n_issues")))
+    text = lambda c: F.coalesce(py_strip(F.col(c)), F.lit(""))
+    return row.select((F.coalesce("approved", F.lit(False)) & (F.col("__found") == 0)).alias("approved"), "n_issues",
+                      F.coalesce(F.nullif(text("revised_summary"), F.lit("")), text("recommendation")).alias("summary"))
+
+
+def agent_section(approved, n_issues, summary):
+    """The verdict's text section."""
+    short = truncate_text(summary)
+    return F.concat(F.lit(AGENT_HEADER + "\nCritic: "), F.when(approved, APPROVED).otherwise(REJECTED),
+                    F.lit(" (이슈 "), n_issues.cast("string"), F.lit("건)"),
+                    F.when(short != "", F.concat(F.lit("\n권고: "), short)).otherwise(F.lit("")))
+
+
 def digest_sections(kpis_and_counts: DataFrame, creatives: DataFrame, contexts: DataFrame,
-                    strategies: DataFrame, issues: DataFrame, recommendation: DataFrame) -> DataFrame:
+                    strategies: DataFrame, verdict: DataFrame) -> DataFrame:
     """KPI, Top-2 strategy and verdict sections as one report row.
 
-    Inputs: one-row KPI table, the two catalogs (counted), ranked strategies, critic issues,
-    and a one-row ``recommendation`` text table.
+    Inputs: one-row KPI table, the two catalogs (counted), ranked strategies, and the row of
+    :func:`critic_verdict`.
     """
     counts = creatives.agg(F.count("*").alias("n_creatives"))
     counts = attach_row(counts, contexts.agg(F.count("*").alias("n_contexts")))
@@ -121,8 +138,7 @@ def digest_sections(kpis_and_counts: DataFrame, creatives: DataFrame, contexts:
                       F.lit(" (CTR +"), fixed(F.col("expected_ctr_gain") * 100, 1), F.lit("%, lift "),
                       fixed(F.col("lift"), 2), F.lit(")"))
     bullets = top.agg(F.array_sort(F.collect_list(F.struct("rank", bullet.alias("b")))).alias("__b"))
-    n_issues = issues.agg(F.count("*").alias("n_issues"))
-    row = attach_row(attach_row(attach_row(attach_row(kpis_and_counts, counts), bullets), n_issues), recommendation)
+    row = attach_row(attach_row(attach_row(kpis_and_counts, counts), bullets), verdict)
     etl = F.concat(
         F.lit(KPI_HEADER + "\n노출 "), thousands(F.col("impression_count")), F.lit(" | CTR "), percent(F.col("ctr")),
         F.lit(" | CVR "), percent(F.col("cvr")), F.lit(" | CTCVR "), percent(F.col("ctcvr")),
@@ -131,11 +147,5 @@ def digest_sections(kpis_and_counts: DataFrame, creatives: DataFrame, contexts:
     strat = F.when(F.size("__b") > 0, F.concat(F.lit(STRATEGY_HEADER + "\n"),
                                                F.array_join(F.transform("__b", lambda e: e["b"]), "\n"))
                    ).otherwise(F.lit(STRATEGY_HEADER + "\n" + NO_STRATEGY))
-    approved = F.col("n_issues") == 0
-    summary = truncate_text(py_strip(F.col("recommendation")))
-    agent = F.concat(
-        F.lit(AGENT_HEADER + "\nCritic: "), F.when(approved, APPROVED).otherwise(REJECTED),
-        F.lit(" (이슈 "), F.col("n_issues").cast("string"), F.lit("건)"),
-        F.when(summary != "", F.concat(F.lit("\n권고: "), summary)).otherwise(F.lit("")),
-    )
+    agent = agent_section(F.col("approved"), F.col("n_issues"), F.col("summary"))
     return row.select(etl.alias("etl_section"), strat.alias("strategy_section"), agent.alias("agent_section"))
