@@ -37,8 +37,8 @@ from situate.session import materialize, scratch_path
 DEPTH = 5
 MAX_RUNS = 1 << 23
 END = 10
-MERGE_AT = 3_000_000
-BLOCK_WORDS, BLOCK_TEXTS = 4_000_000, 1 << 16
+MERGE_AT = 800_000
+BLOCK_WORDS, BLOCK_TEXTS = 2_500_000, 1 << 16
 
 
 # ---- byte runs -------------------------------------------------------------------------------------
