@@ -116,7 +116,8 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         first = Window.partitionBy(*by).orderBy("h", "id")
         few = few.withColumn("k", F.row_number().over(first)).where(F.col("k") <= sample).drop("k")
     few = few.select("id").distinct()  # at most ``sample`` ids a language
-    got = sorted((r["lang"], r["id"], r["text"]) for r in rows.join(F.broadcast(few), "id").collect())
+    some = rows.join(F.broadcast(few), "id").groupBy("id", "lang").agg(F.min("text").alias("text"))  # one text of a repeated id
+    got = sorted((r["lang"], r["id"], r["text"]) for r in some.collect())
     data, off = X.utf8(pa.array([r[2] for r in got], pa.string()))
     text, dim, w, begin = vectors(data, off, idf)
     rng, names, parts, radius = np.random.default_rng(seed), [], [], {}

@@ -14,7 +14,7 @@ label, language, source or id and runs as one narrow scan: no shuffle, whatever
 
 Null, empty and blank texts score as the least score any window can be given a document for: the
 calibrated prior. An empty table scores nothing; with no labelled rows, or one label only, all scores
-are that label's share (0 if none). Repeated rows score alike. Extra columns are ignored; a label other
+are that label's share (0 if none). Repeated rows score alike, and one text of a repeated id is learnt. Extra columns are ignored; a label other
 than 0 and 1 or null is not learnt.
 """
 
@@ -312,7 +312,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
         chosen += [(r["doc_id"], y) for r in known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
     spark = docs.sparkSession
     few = spark.createDataFrame(chosen, "id long, y int").dropDuplicates(["id"])
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few), "id").select("id", "text", "y").collect()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few), "id")
+    rows = rows.groupBy("id", "y").agg(F.min("text").alias("text")).collect()  # one text an id, however often it is repeated
     rows = sorted((r["id"], r["text"] or "", r["y"]) for r in rows)
     return fit([r[1] for r in rows], np.array([r[2] for r in rows]), counts.get(1, 0) / max(1, sum(counts.values())))
 

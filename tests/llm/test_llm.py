@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -340,6 +341,7 @@ def brute_spans(t):
 def test_base_spans_by_brute_force():
     rng = random.Random(5)
     texts = ["".join(rng.choices("ab@.+- (0123456789)é4111\n", k=rng.randint(0, 80))) for _ in range(4000)]
+    texts += ["".join(rng.choices("ab@@.-", k=rng.randint(0, 60))) for _ in range(2000)]
     data, off = textnum.utf8(pa.array(texts))
     points = textnum.code_points(data)
     got = [[] for _ in texts]
@@ -348,6 +350,33 @@ def test_base_spans_by_brute_force():
     assert got == [brute_spans(t) for t in texts]
 
 
+def test_base_spans_of_long_runs_take_linear_time():
+    n = 1_000_000
+    texts = ["x@" + "a" * n, "a" * n + "@", "@" * n, "a@b.c" + "." * n, "1." * n, "+1" + " " * n]
+    data, off = textnum.utf8(pa.array(texts))
+    begin = time.perf_counter()
+    got = [(t, k) for t, _, k, _, _ in pii.base_spans(data, off)]
+    assert time.perf_counter() - begin < 60
+    assert (3, 0) in got and {k for t, k in got if t != 4} == {0} and sum(t == 4 for t, _ in got) == n // 4
+
+
+def test_samples_hold_one_text_of_a_repeated_id(spark):
+    rows = [(1, "nasty vile words here", "en"), (2, "kind and mild words", "en")] + [(3, "le chat dort bien", "fr")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = {}
+    def fit(texts, label, share):
+        seen["n"] = len(texts)
+        return {"constant": 0.0}
+    own, toxicity.fit = toxicity.fit, fit
+    try:
+        toxicity.train(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int"))
+    finally:
+        toxicity.fit = own
+    assert seen["n"] == 3
+    model = language.train(docs)
+    assert sorted(set(model["names"])) == ["en", "fr"] and model["names"].count("fr") == 1
+
+
 # ---- op 9
 
 def test_html():
