@@ -13,9 +13,11 @@ from situate.functions.lookups import (
 )
 from situate.functions.text import coerce_int, py_strip
 
+# ---- fixed values: date patterns of the free date text ----
 DATE_TOKEN = r"\d{4}[-./]\d{1,2}[-./]\d{1,2}"
 DATE_RANGE_PATTERN = rf"({DATE_TOKEN})\s*[~\-–]\s*({DATE_TOKEN})"
 SINGLE_DATE_PATTERN = rf"({DATE_TOKEN})"
+# -----------------------------------------------------------
 
 
 def loose_date_text(value: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from situate.session import materialize
 
 
 def conform_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -49,8 +50,9 @@ def sequential_index(df: DataFrame, order: Sequence[str], name: str = "seq") ->
     so its broadcast is bounded by the partition count).
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    mid = F.monotonically_increasing_id()
-    tagged = ranged.withColumn("__mid", mid).withColumn("__part", F.shiftright("__mid", 33))
+    # written once, so that the counts and the numbered rows see the same partitions
+    tagged = materialize(ranged.withColumn("__mid", F.monotonically_increasing_id()))
+    tagged = tagged.withColumn("__part", F.shiftright("__mid", 33))
     counts = tagged.groupBy("__part").agg(F.count("*").alias("__n"))
     w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__part", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))

@@ -30,6 +30,7 @@ from situate.functions.lookups import (
 from situate.functions.text import coerce_double, coerce_int, has_text, infer_is_free, join_address, py_strip
 from situate.operators.rows import conform_schema, dedupe_first, sequential_index
 
+# ---- fixed values: raw column → clean column of the two feeds ----
 EVENT_RENAME = {
     "TITLE": "title", "CODENAME": "codename", "GUNAME": "guname", "PLACE": "place", "DATE": "date_text",
     "USE_FEE": "use_fee", "ORG_NAME": "org_name", "PROGRAM": "program", "HMPG_ADDR": "hmpg_addr",
@@ -43,6 +44,7 @@ TOUR_RENAME = {
     "firstimage": "image_url", "firstimage2": "thumbnail_url", "createdtime": "created_time",
     "modifiedtime": "modified_time",
 }
+# ------------------------------------------------------------------
 
 
 def transform_events(raw: DataFrame, keep_ordinal: bool = True) -> DataFrame:
@@ -95,7 +97,8 @@ def transform_tour(raw: DataFrame, keep_ordinal: bool = True) -> DataFrame:
     district_code = F.when(py_strip(F.col("sigungu_code")) != "",
                            coerce_int(F.col("sigungu_code")))
     out = r.select(
-        *[c for c in TOUR_RENAME.values() if c not in ("longitude", "latitude")][:9],
+        "content_id", "content_type_id", "title", "address", "area_code", "sigungu_code",
+        "category_large", "category_middle", "category_small",
         coerce_double(F.col("longitude")).alias("longitude"),
         coerce_double(F.col("latitude")).alias("latitude"),
         "image_url", "thumbnail_url", "created_time", "modified_time",
