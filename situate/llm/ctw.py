@@ -7,15 +7,13 @@ mixes the nodes of all depths 0..``depth`` with the weights that their block pro
 probabilities depend on counts only, so the tree is learnt from counts of byte runs over all training
 texts, and a byte's code length is a function of its run of depth + 1 bytes.
 
-Spark counts the runs (partly merged in each task before the shuffle), computes the subtrees below each
-context of two bytes in parallel, and finishes the two top levels from those subtrees' root nodes. The
-value of every run that occurs anywhere in the input is broadcast as a hash table if at most
-``MAX_RUNS`` runs are distinct; beyond, the tree is one byte shallower, of the same whole counts, until
-it fits.
-
-The base model is add-one word frequencies: words of a block of documents are sent once per block to the
-words' counts, which grow with the corpus and are joined by shuffle, never broadcast; the counts come
-back to the block, so what moves is a row per block and word, in proportion to the input.
+One scan cuts the input into blocks of whole texts (about ``BLOCK_BYTES``, or ``BLOCK_RUNS`` distinct runs)
+and writes the texts and, per block, its distinct runs and words with their counts. Spark sums the counts,
+computes the subtrees below each context of two bytes in parallel, and finishes the two top levels from
+sums over those subtrees' root nodes (at most 65,536 rows reach the driver). The values of runs and the
+counts of words (the base model is add-one word frequencies) are joined to the blocks' rows by shuffle and
+come back to each block, which then scores its own texts: nothing that grows with the corpus is collected
+or broadcast, and the depth is the same at every size.
 
 Null text is empty: one end token, the code length of the end byte. Repeated rows are scored each by
 itself. With no training rows every bit costs one bit. Extra columns are ignored.
@@ -35,10 +33,10 @@ from situate.llm import textnum as X
 from situate.session import materialize, scratch_path
 
 DEPTH = 5
-MAX_RUNS = 1 << 23
 END = 10
 MERGE_AT = 800_000
-BLOCK_WORDS, BLOCK_TEXTS = 2_500_000, 1 << 16
+BLOCK_BYTES, BLOCK_RUNS = 1 << 24, 2_000_000
+SUBTREE_RUNS, PACK = 1 << 16, 1 << 19
 
 
 # ---- byte runs -------------------------------------------------------------------------------------
@@ -163,22 +161,38 @@ def _merged(parts: list) -> list:
     return [(keys[head], np.add.reduceat(n, head) if len(head) else n)]
 
 
-RUN, WORD, TEXT = 0, 1, 2
+RUN, WORD, TEXT, ROW = 0, 1, 2, 3
 
 
-def _counts(depth: int):
-    """Counts of runs (of all texts; those of texts not learnt from count 0) and of training words."""
+def _blocks(depth: int):
+    """The texts with their block; for each block its distinct runs and words with their counts in texts
+    learnt from (0 if in none); and the number of texts learnt from."""
     def run(batches):
-        held, texts = {RUN: [], WORD: []}, 0
+        part, block, size, texts = TaskContext.get().partitionId(), 0, 0, 0
+        held, types = {RUN: [], WORD: []}, None
+
+        def rows(kind, keys, n):
+            m = len(keys)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(m, kind, np.int32)), pa.array(np.full(m, (part << 24) | block)), pa.array(keys), pa.array(n),
+                                               *[pa.nulls(m, t) for t in types]], names=names)
 
-        def rows(kind):
-            for keys, n in held[kind]:
-                for i in range(0, len(keys), 1 << 16):
-                    k = keys[i:i + (1 << 16)].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(n[i:i + (1 << 16)])], names=["kind", "key", "n"])
-            held[kind] = []
+        def flush():
+            for kind in (RUN, WORD):
+                for keys, n in _merged(held[kind]) if held[kind] else []:
+                    for i in range(0, len(keys), 1 << 16):
+                        yield rows(kind, keys[i:i + (1 << 16)].view(np.int64), n[i:i + (1 << 16)])
+                held[kind] = []
 
+        names = ["kind", "block", "key", "n", "doc_id", "learn", "text"]
         for batch, data, off in X.chunks(batches, "text"):
+            types = [batch.column(c).type for c in names[4:]]
+            if size and (size + len(data) > BLOCK_BYTES or sum(len(k) for k, _ in held[RUN]) > BLOCK_RUNS):
+                yield from flush()
+                block, size = block + 1, 0
+            m = batch.num_rows
+            size += len(data) + m
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, ROW, np.int32)), pa.array(np.full(m, (part << 24) | block)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
+                                              *[batch.column(c) for c in names[4:]]], names=names)
             learn = np.asarray(batch.column("learn"))
             texts += int(learn.sum())
             low, starts, ends, first, hashes = X.words(data, off)
@@ -187,18 +201,14 @@ def _counts(depth: int):
             for kind, values, mask in ((RUN, key, np.repeat(learn, np.diff(at))), (WORD, hashes, np.repeat(learn, np.diff(first)))):
                 yes, n = np.unique(values[mask], return_counts=True)
                 held[kind].append((yes, n.astype(np.int64)))
-                if kind == RUN and not learn.all():
+                if not learn.all():
                     no = np.unique(values[~mask])
                     held[kind].append((no, np.zeros(len(no), np.int64)))
                 if sum(len(k) for k, _ in held[kind]) > MERGE_AT:
                     held[kind] = _merged(held[kind])
-                    if len(held[kind][0][0]) > MERGE_AT // 2:
-                        yield from rows(kind)
-        for kind in (RUN, WORD):
-            if held[kind]:
-                held[kind] = _merged(held[kind])
-                yield from rows(kind)
-        yield pa.RecordBatch.from_arrays([pa.array([TEXT], pa.int32()), pa.array([0], pa.int64()), pa.array([texts], pa.int64())], names=["kind", "key", "n"])
+        if types:
+            yield from flush()
+            yield rows(TEXT, np.zeros(1, np.int64), np.array([texts], np.int64))
     return run
 
 
@@ -211,29 +221,30 @@ def _subtrees(depth: int):
             return
         table = pa.Table.from_batches(held)
         keys, n = np.asarray(table.column("key")).view(np.uint64), np.asarray(table.column("n"))
-        p, own, zero, one, weighted = subtree(keys, n, depth, 2)
-        for i in range(0, len(keys), 1 << 15):
-            part = np.ascontiguousarray(p[i:i + (1 << 15)])
-            m = len(part)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(m, np.int32)), pa.array(keys[i:i + m].view(np.int64)),
-                                              pa.array([r.tobytes() for r in part], pa.binary())], names=["kind", "key", "value"])
-        three = np.stack([zero, one, weighted], axis=1)
-        for i in range(0, len(own), 1 << 15):
-            part = three[i:i + (1 << 15)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), np.int32)), pa.array(own[i:i + len(part)]),
-                                              pa.array([r.tobytes() for r in part], pa.binary())], names=["kind", "key", "value"])
+        context = (keys >> np.uint64(8)) & np.uint64(65535)
+        order = np.argsort(context, kind="stable")
+        keys, n, context = keys[order], n[order], context[order]
+        head = np.append(np.flatnonzero(np.append(True, context[1:] != context[:-1])), len(keys))
+        names, begin = ["kind", "key", "value", "zero", "one", "weighted"], 0
+        while begin < len(keys):  # whole contexts, as many as fit
+            end = int(head[max(np.searchsorted(head, begin + SUBTREE_RUNS, side="right") - 1, np.searchsorted(head, begin, side="right"))])
+            own_keys = keys[begin:end]
+            p, own, zero, one, weighted = subtree(own_keys, n[begin:end], depth, 2)
+            for i in range(0, len(own_keys), 1 << 15):
+                part = np.ascontiguousarray(p[i:i + (1 << 15)])
+                m = len(part)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(m, np.int32)), pa.array(own_keys[i:i + m].view(np.int64)),
+                                                  pa.array([r.tobytes() for r in part], pa.binary()), *[pa.nulls(m, pa.float64())] * 3], names=names)
+            m = len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.array(own), pa.nulls(m, pa.binary()), pa.array(zero), pa.array(one), pa.array(weighted)], names=names)
+            begin = end
     return run
 
 
-def _column(df: DataFrame, *names: str) -> list[np.ndarray]:
-    table = df.select(*names).toArrow()
-    return [table.column(n).to_numpy() for n in names]
-
-
 def _hash_table(keys: np.ndarray, values: np.ndarray) -> dict:
     """Open addressing, at most half full; the number of probes of the farthest key."""
     size = 1 << max(4, int(len(keys) * 2).bit_length())
-    slots, out = np.full(size, np.iinfo(np.uint64).max, np.uint64), np.zeros(size, np.float32)
+    slots, out = np.full(size, np.iinfo(np.uint64).max, np.uint64), np.zeros(size, values.dtype)
     at, left, probes = (X._finish(keys) & np.uint64(size - 1)).astype(np.int64), np.arange(len(keys)), 0
     while len(left):
         probes += 1
@@ -264,79 +275,70 @@ def _find(table: dict, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _scores(shared, depth: int):
-    """A row per text, and per block of texts a row per distinct word with the texts it occurs in."""
-    def run(batches):
-        table, part, block = shared.value, TaskContext.get().partitionId(), 0
-        hashes_, places, texts = [], [], 0
+def _packed(batches):
+    """Rows of (block, kind, key, value) as one compressed piece for each block and kind of about PACK rows."""
+    held, many = [], 0
 
-        def flush():
-            h, place = np.concatenate(hashes_), np.concatenate(places)
-            order = np.argsort(h, kind="stable")
-            h, place = h[order], place[order]
-            head = np.append(np.flatnonzero(np.append(True, h[1:] != h[:-1])), len(h)) if len(h) else np.zeros(1, np.int64)
-            ident = (part << 24) | block
-            for i in range(0, len(head) - 1, 1 << 15):
-                cut = head[i:i + (1 << 15) + 1]
-                m = len(cut) - 1
-                own = place[cut[0]:cut[-1]].astype("<u2").tobytes()
-                post = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(((cut - cut[0]) * 2).astype(np.int32)), pa.py_buffer(own)])
-                yield pa.RecordBatch.from_arrays([pa.nulls(m, idtype), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()),
-                                                  pa.array(np.full(m, ident)), pa.array(h[cut[:-1]].view(np.int64)), post], names=names)
-
-        names, idtype = ["doc_id", "learn", "n_tokens", "score", "place", "key", "post"], None
-        for batch, data, off in X.chunks(batches, "text"):
-            idtype = batch.column("doc_id").type
-            for i in range(0, batch.num_rows, BLOCK_TEXTS // 2):
-                piece = batch.slice(i, BLOCK_TEXTS // 2)
-                o = off[i:i + piece.num_rows + 1]
-                low, starts, ends, first, hashes = X.words(data[o[0]:o[-1]], o - o[0])
-                seq, at = sequence(low, starts, ends, first)
-                value = _find(table, runs(seq, at, depth)).astype(np.float64)
-                score, count = np.add.reduceat(value, at[:-1]), np.diff(first)
-                if texts + piece.num_rows > BLOCK_TEXTS or sum(map(len, hashes_)) > BLOCK_WORDS:
-                    yield from flush()
-                    hashes_, places, texts, block = [], [], 0, block + 1
-                m = piece.num_rows
-                ident = ((part << 24) | block) << 16
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("learn"), pa.array(count + 1, pa.int64()), pa.array(score),
-                                                  pa.array(ident + texts + np.arange(m)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], names=names)
-                hashes_.append(hashes)
-                places.append(np.repeat(np.arange(texts, texts + m), count).astype(np.uint16))
-                texts += m
-        if hashes_:
-            yield from flush()
-    return run
+    def flush():
+        block, kind, key, value = (np.concatenate([h[i] for h in held]) for i in range(4))
+        order = np.lexsort((key, kind, block))
+        block, kind, key, value = block[order], kind[order], key[order], value[order]
+        cuts = np.append(np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (kind[1:] != kind[:-1]))), len(block))
+        out = []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            own = value[a:b].astype(np.float32 if kind[a] == RUN else np.float64)
+            planes = [x.view(np.uint8).reshape(b - a, -1).T.tobytes() for x in (np.diff(key[a:b], prepend=np.uint64(0)), own)]
+            out.append(pa.compress(b"".join(planes), codec="zstd", asbytes=True))
+        return pa.RecordBatch.from_arrays([pa.array(block[cuts[:-1]]), pa.array(kind[cuts[:-1]]), pa.array(np.diff(cuts)), pa.array(out, pa.binary())], names=["block", "kind", "size", "data"])
 
+    for batch in batches:
+        if batch.num_rows:
+            held.append([np.asarray(batch.column(0)), np.asarray(batch.column(1)), np.asarray(batch.column(2)).view(np.uint64), np.asarray(batch.column(3))])
+            many += batch.num_rows
+        if many >= PACK:
+            yield flush()
+            held, many = [], 0
+    if held:
+        yield flush()
 
-def _base_sums(batches):
-    """Sums of log10(c + 1) and known words by text place, merged within the partition."""
-    held: list = []
 
-    def merge():
-        place = np.concatenate([h[0] for h in held])
-        keys, inv = np.unique(place, return_inverse=True)
-        return [(keys, np.bincount(inv, weights=np.concatenate([h[1] for h in held]), minlength=len(keys)),
-                 np.bincount(inv, weights=np.concatenate([h[2] for h in held]), minlength=len(keys)))]
+def _unpacked(kind: int, size: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    of = np.dtype(np.float32 if kind == RUN else np.float64)
+    raw = np.frombuffer(pa.decompress(data, decompressed_size=size * (8 + of.itemsize), codec="zstd", asbytes=True), np.uint8)
+    parts = raw[:8 * size].reshape(8, size), raw[8 * size:].reshape(of.itemsize, size)
+    keys, values = (np.ascontiguousarray(x.T).reshape(-1).view(t) for x, t in zip(parts, (np.uint64, of)))
+    return np.cumsum(keys, dtype=np.uint64), values
 
-    def rows():
-        for keys, s, n in held:
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(s), pa.array(n.astype(np.int64))], names=["place", "s", "known"])
 
-    for batch in batches:
-        post = batch.column("post")
-        size = np.diff(np.frombuffer(post.buffers()[1], np.int32)[post.offset:post.offset + len(post) + 1]) // 2
-        places = np.frombuffer(b"".join(post.to_pylist()), "<u2").astype(np.int64)
-        log = np.log10(np.asarray(batch.column("c")) + 1.0)
-        held.append(((np.repeat(np.asarray(batch.column("place")), size) << 16) | places, np.repeat(log, size), np.ones(len(places))))
-        if sum(len(h[0]) for h in held) > MERGE_AT:
-            held = merge()
-            if len(held[0][0]) > MERGE_AT // 2:
-                yield from rows()
-                held = []
-    if held:
-        held = merge()
-        yield from rows()
+def _scores(depth: int):
+    """A row per text, from partitions sorted by block and kind: a block's values stand before its texts."""
+    def run(batches):
+        now, held, tables = None, {RUN: [], WORD: []}, {}
+        for batch in batches:
+            block, kind = np.asarray(batch.column("block")), np.asarray(batch.column("kind"))
+            new = np.append(True, (block[1:] != block[:-1]) | (kind[1:] != kind[:-1])) if len(block) else np.empty(0, bool)
+            cuts = np.append(np.flatnonzero(new), len(block))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if block[a] != now:
+                    now, held, tables = block[a], {RUN: [], WORD: []}, {}
+                piece, k = batch.slice(a, b - a), int(kind[a])
+                if k != ROW:
+                    held[k] += [_unpacked(k, n, data) for n, data in zip(piece.column("size").to_pylist(), piece.column("data").to_pylist())]
+                    continue
+                for k in (RUN, WORD) if not tables else ():
+                    parts = held.pop(k) or [(np.empty(0, np.uint64), np.empty(0, np.float64))]
+                    tables[k] = _hash_table(np.concatenate([x for x, _ in parts]), np.concatenate([v for _, v in parts]))
+                for own, data, off in X.chunks([piece], "text"):
+                    low, starts, ends, first, hashes = X.words(data, off)
+                    seq, at = sequence(low, starts, ends, first)
+                    value = _find(tables[RUN], runs(seq, at, depth)).astype(np.float64)
+                    c, count = _find(tables[WORD], hashes), np.diff(first)
+                    place, m = np.repeat(np.arange(len(count)), count), len(count)
+                    yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("learn"), pa.array(count + 1, pa.int64()),
+                                                      pa.array(np.bincount(place, weights=c > 0, minlength=m).astype(np.int64)),
+                                                      pa.array(np.bincount(place, weights=np.log10(c + 1), minlength=m).astype(np.float64)), pa.array(np.add.reduceat(value, at[:-1]))],
+                                                     names=["doc_id", "learn", "n_tokens", "known", "s", "score"])
+    return run
 
 
 def score(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
@@ -344,44 +346,41 @@ def score(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text"
 
     ``learn``: a boolean expression, true for the rows to learn from; all rows are scored."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).cast("string").alias("text"))
+    ident = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"block long, key long, n long, doc_id {ident}, learn boolean, text string, kind int"
+    path = scratch_path(spark, "ctw-blocks")
+    rows.mapInArrow(_blocks(depth), f"kind int, block long, key long, n long, doc_id {ident}, learn boolean, text string").write.partitionBy("kind").option("compression", "zstd").parquet(path)
+    blocks = spark.read.schema(schema).parquet(path)
     path = scratch_path(spark, "ctw-counts")
-    rows.select("learn", "text").mapInArrow(_counts(depth), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).write.partitionBy("kind").parquet(path)
+    blocks.where(F.col("kind") != ROW).groupBy("kind", "key").agg(F.sum("n").alias("n")).write.partitionBy("kind").parquet(path)
     counts = spark.read.schema("key long, n long, kind int").parquet(path)
     grams = counts.where(F.col("kind") == RUN).select("key", "n")
-    while depth > 2 and grams.count() > MAX_RUNS:
-        depth -= 1
-        grams = grams.groupBy(F.col("key").bitwiseAND((1 << 8 * (depth + 1)) - 1).alias("key")).agg(F.sum("n").alias("n"))
-    tree = materialize(grams.repartition(F.shiftright("key", 8).bitwiseAND(65535)).mapInArrow(_subtrees(depth), "kind int, key long, value binary"))
-    nodes = tree.where("kind = 1").toArrow()
-    own = nodes.column("key").to_numpy()
-    three = np.frombuffer(b"".join(nodes.column("value").to_pylist()), np.float64).reshape(-1, 3)
-    top = top_levels(own, three[:, 0], three[:, 1], three[:, 2])
+    tree = materialize(grams.repartition(F.shiftright("key", 8).bitwiseAND(65535)).mapInArrow(_subtrees(depth), "kind int, key long, value binary, zero double, one double, weighted double"))
+    ordered = F.aggregate(F.array_sort(F.collect_list("weighted")), F.lit(0.0), lambda a, x: a + x)  # the same sum in any order of rows
+    nodes = tree.where("kind = 1").groupBy(F.col("key").bitwiseAND(65535).alias("key")).agg(F.sum("zero").alias("zero"), F.sum("one").alias("one"), ordered.alias("weighted")).toArrow()
+    top = top_levels(*[nodes.column(c).to_numpy() for c in ("key", "zero", "one", "weighted")])
     levels = spark.sparkContext.broadcast(top)
 
     def values(batches):
         for batch in batches:
             keys = np.asarray(batch.column("key")).view(np.uint64)
             p = np.frombuffer(b"".join(batch.column("value").to_pylist()), np.float64).reshape(-1, 8)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(finish(keys, p, levels.value).astype(np.float32))], names=["key", "value"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(finish(keys, p, levels.value))], names=["key", "value"])
 
-    keys, value = _column(tree.where("kind = 0").select("key", "value").mapInArrow(values, "key long, value float"), "key", "value")
-    shared = spark.sparkContext.broadcast(_hash_table(keys.view(np.uint64), value))
-    del keys, value
-    ident = rows.schema["doc_id"].dataType.simpleString()
-    out = scratch_path(spark, "ctw-scores")
-    rows.mapInArrow(_scores(shared, depth), f"doc_id {ident}, learn boolean, n_tokens long, score double, place long, key long, post binary").write.partitionBy("learn").parquet(out)
-    done = spark.read.schema(f"doc_id {ident}, n_tokens long, score double, place long, key long, post binary, learn boolean").parquet(out)
-
-    words = counts.where(F.col("kind") == WORD).where("n > 0").select("key", F.col("n").alias("c"))
+    learnt = tree.where("kind = 0").select("key", "value").mapInArrow(values, "key long, value double").select(F.lit(RUN).alias("kind"), "key", "value")
+    learnt = learnt.union(counts.where(F.col("kind") == WORD).where("n > 0").select("kind", "key", F.col("n").cast("double").alias("value")))
     total = counts.where(F.col("kind") != RUN).groupBy("kind").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).collect()
     total = {r["kind"]: (r["n"], r["v"]) for r in total}
     texts = total.get(TEXT, (0, 0))[0]
     n = total.get(WORD, (0, 0))[0] + texts
     v = total.get(WORD, (0, 0))[1] + (texts > 0)
-    sums = done.where("learn is null").select("place", "key", "post").join(words, "key").select("place", "post", "c").repartition("place").mapInArrow(_base_sums, "place long, s double, known long")
-    sums = sums.groupBy("place").agg(F.sum("s").alias("s"), F.sum("known").alias("known"))
-    each = done.where("learn is not null").select("place", "doc_id", "learn", "n_tokens", "score").join(sums, "place", "left")
+
+    own = blocks.where(F.col("kind").isin(RUN, WORD)).select("block", "kind", "key").join(learnt, ["kind", "key"], "left")
+    own = own.select("block", "kind", "key", F.coalesce("value", F.lit(0.0)).alias("value")).mapInArrow(_packed, "block long, kind int, size long, data binary")
+    own = own.select("*", F.lit(None).cast(ident).alias("doc_id"), F.lit(None).cast("boolean").alias("learn"), F.lit(None).cast("string").alias("text"))
+    texts_ = blocks.where(F.col("kind") == ROW).select("block", "kind", F.lit(None).cast("long").alias("size"), F.lit(None).cast("binary").alias("data"), "doc_id", "learn", "text")
+    each = own.union(texts_).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_scores(depth), f"doc_id {ident}, learn boolean, n_tokens long, known long, s double, score double")
     end = math.log10(texts + 1)
-    return each.select("doc_id", "learn", "n_tokens", (F.coalesce("known", F.lit(0)) + int(texts > 0)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-                       (F.coalesce("s", F.lit(0.0)) + end - F.col("n_tokens") * math.log10(n + v + 1)).alias("base_score"), "score")
+    return each.select("doc_id", "learn", "n_tokens", (F.col("known") + int(texts > 0)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+                       (F.col("s") + end - F.col("n_tokens") * math.log10(n + v + 1)).alias("base_score"), "score")

@@ -112,6 +112,22 @@ def test_ctw_against_the_whole_tree(spark):
         assert got[i]["n_known"] == sum(words[w] > 0 for w in own) + 1 and got[i]["train_tokens"] == n
 
 
+def test_ctw_keeps_its_depth_at_every_size(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [(i, " ".join("".join(rng.choices("abcde", k=rng.randint(1, 6))) for _ in range(rng.randint(0, 12)))) for i in range(40)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    training = [t for i, t in texts if i % 7]
+    whole = {r["doc_id"]: tuple(r) for r in ctw.score(df, F.col("doc_id") % 7 != 0, depth=4).collect()}
+    for name, value in (("MAX_RUNS", 20), ("BLOCK_BYTES", 100), ("SUBTREE_RUNS", 10), ("MERGE_AT", 50)):  # an input far beyond every size of the module
+        monkeypatch.setattr(ctw, name, value, raising=False)
+    monkeypatch.setattr(textnum, "CHUNK", 40)
+    monkeypatch.setattr(textnum.chunks, "__defaults__", (40,))
+    got = {r["doc_id"]: tuple(r) for r in ctw.score(df, F.col("doc_id") % 7 != 0, depth=4).collect()}
+    for i, t in texts:
+        assert got[i][-1] == pytest.approx(brute_ctw(training, t, 4), rel=1e-5)
+        assert got[i] == pytest.approx(whole[i], rel=1e-6)
+
+
 def test_ctw_odd_rows(odd, none):
     got = ctw.score(odd, F.col("doc_id") != 3).collect()
     assert len(got) == odd.count() and all(r["score"] < 0 and math.isfinite(r["base_score"]) for r in got)
