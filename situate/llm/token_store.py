@@ -9,7 +9,8 @@ one pilot, one slot, one fingerprint and one range read; a foreign key fails the
 
 Encoding: the tokenizer never joins text across a blank that a visible character follows, nor from an
 ASCII letter to another ASCII character that is none, so texts are cut there, each distinct piece of a chunk is encoded by the library once per worker, and ids are
-gathered. Memory is bounded by the chunk and the worker's piece cache, which is emptied when full.
+gathered. The tokenizer is used as loaded: what a text holds of an added token's content gets that token's id;
+a text with any is cut around the added tokens the library finds there, never inside one. Memory is bounded by the chunk and the worker's piece cache, which is emptied when full.
 
 A null text is empty: the end id alone. A null key has rows (they come first) but no slot. Repeated keys
 keep all their rows, ordered by text; ``get`` returns the first, ``get_all`` each. An empty table writes
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import zlib
 
 import numpy as np
@@ -114,7 +116,10 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile(b"|".join(re.escape(c.encode()) for c in sorted(added, key=len, reverse=True))) if added else None
+        #: tokens that take blanks along, or match only normalised or whole words, leave their texts uncut
+        self.plain = all(not (t.lstrip or t.rstrip or t.single_word or t.normalized) for t in self.tokenizer.get_added_tokens_decoder().values())
         self.end_id = end_id
         self._empty()
 
@@ -137,6 +142,13 @@ class PieceEncoder:
         self.hashes = np.insert(self.hashes, where, hashes)
         self.at, self.length = np.insert(self.at, where, at), np.insert(self.length, where, length)
 
+    def _whole(self, raw: bytes, off: np.ndarray) -> list[tuple[int, int]]:
+        """Spans that are never cut: each occurrence of an added token within a text, or whole texts."""
+        texts = [(a, b) for a, b in zip(off[:-1].tolist(), off[1:].tolist()) if b > a]
+        if self.added is None or not self.plain:
+            return [] if self.added is None else texts
+        return [m.span() for a, b in texts for m in self.added.finditer(raw, a, b)] if self.added.search(raw) else []
+
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; ids per text)."""
         if len(self.hashes) > CACHED_PIECES:
@@ -145,7 +157,14 @@ class PieceEncoder:
         mark = np.zeros(n, bool)
         mark[:-1] = (data[:-1] == 32) & AFTER_BLANK[data[1:]]
         mark[off[1:][full] - 1] = False
+        raw = data.tobytes()
+        whole = self._whole(raw, off)
+        mark[[a - 1 for a, _ in whole if a]] = False  # a blank before one ends its stretch of text
         mark[1:] |= LETTER[data[:-1]] & AFTER_LETTER[data[1:]]
+        for a, b in whole:
+            mark[a:b] = False
+            mark[a] = True
+            mark[b:b + 1] = True
         mark[off[:-1][full]] = True
         starts = np.flatnonzero(mark)
         ends = np.append(starts[1:], n)[:len(starts)]
@@ -156,7 +175,6 @@ class PieceEncoder:
         inside = pos < len(self.hashes)
         known[inside] = self.hashes[pos[inside]] == hashes[inside]
         if not known.all():
-            raw = data.tobytes()
             new = np.flatnonzero(~known)
             self._learn(hashes[new], [raw[a:b].decode() for a, b in zip(starts[one[new]].tolist(), ends[one[new]].tolist())])
             pos = np.searchsorted(self.hashes, hashes)

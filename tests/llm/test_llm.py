@@ -304,6 +304,20 @@ def test_tokens_round_trip(spark, odd, none):
     assert token_store.read_tokens(spark, token_store.write_tokens(none, tokenizer_file())).count() == 0
 
 
+def test_tokens_of_the_tokenizer_as_loaded(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer_file())
+    texts = ["end.<|endoftext|> next", "two  <|endoftext|>  x", "<|endoftext|><|endoftext|>", "a<|endof", "text|> b", "x <|endoftext|>\n\n y<|endoftext", "|>", None, " <|endoftext|> ", "plain text"]
+    rng = random.Random(3)
+    texts += ["".join(rng.choices(["<|endoftext|>", " ", "a", "é", ".", "\n", "<|", "endoftext"], k=12)) for _ in range(200)]
+    manifest = token_store.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tokenizer_file(), shards=2)
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_store.read_tokens(spark, manifest).collect()}
+    for i, x in enumerate(texts):
+        ids = [*t.encode(x or "", add_special_tokens=False).ids, 0]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), x
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 7, 3000])
 def test_perfect_hash(n):
     keys = np.array(sorted(random.Random(n).sample(range(-10**12, 10**12), n)), np.int64)
