@@ -357,6 +357,17 @@ def test_personal_data(spark, odd, none):
     assert pii.report(pii.find_personal_data(odd)).count() == odd.count() and pii.find_personal_data(none).count() == 0
 
 
+def test_disclosing_terms_of_whole_documents(spark):
+    far = " ".join(f"w{k}" for k in range(30))
+    rows = [(0, "Hermione Li wrote: li@mail.org"), (1, "hermione " + far + " li@mail.org " + far + " Hermione li")] + [(i, f"Hermione Li {far} li@mail.org") for i in range(2, 6)]
+    rows += [(i, far) for i in range(6, 40)] + [(40, "hermione li without")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.find_personal_data(df, alpha=0.8)
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df, found).collect()}
+    assert clean[0].startswith("[TERM] [TERM] ") and clean[1] == f"[TERM] {far} [EMAIL] {far} [TERM] [TERM]"
+    assert all(clean[i] == f"[TERM] [TERM] {far} [EMAIL]" for i in range(2, 6)) and clean[40] == "hermione li without"
+
+
 def brute_spans(t):
     out = []
     for k, p in enumerate((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")):
