@@ -1,13 +1,14 @@
 """The corpus pipeline over ``documents``: five stages, each written as Parquet and read again.
 
 1. toxicity: trained on the labelled rows whose crc32(doc_id) mod 4 isn't 2; documents it rejects go.
-2. near_dedup: one document (the smallest id) of each class of near duplicates stays (5 words, 0.8).
+2. near_dedup: one row (the smallest id, null last) of each class of near duplicates stays (5 words, 0.8).
 3. decontamination: documents with a benchmark passage go.
 4. mixing: the mixture of MIX_WEIGHTS at MIX_SHARE of the tokens, one epoch.
 5. token_output: ids in shards with a minimal perfect hash index, read back per document.
 
 All but the last return the columns of documents. Null text passes stage 1 as an empty text; empty texts
-are nobody's near duplicate. Rows that repeat an id leave stage 2 once. No SQL can express the network or
+are nobody's near duplicate. Stage 2 decides on rows: those that repeat both id and text leave it once, rows
+of one id or of a null id with other texts stay by their own text. No SQL can express the network or
 the tokenizer, so there is no oracle; tests hold each stage against a brute-force version.
 """
 
@@ -35,9 +36,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = near_dedup.near_duplicates(docs, n=5, percent=80)
-    keep = classes.where("kept").select("doc_id").distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    keep = near_dedup.kept_rows(docs, n=5, percent=80)
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), near_dedup.text_key(F.col("text")).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.join(keep, rows["id"].eqNullSafe(keep["doc_id"]) & (rows["key"] == keep["text_key"]), "left_semi")
+    return rows.groupBy("id", "key").agg(F.min("row").alias("row")).select([F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

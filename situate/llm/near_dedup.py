@@ -4,10 +4,10 @@ Shingles are runs of ``n`` words ([^\\x20\\x09-\\x0D]+ after lower-casing A-Z) a
 fewer words is one shingle, a text without words has the empty set and is linked with nothing. Two
 documents are linked when intersection / union >= ``threshold``, confirmed on the full sets.
 
-1. One scan gives each document its set's size and 128-bit digest, the band keys (``BANDS`` bands of
+1. One scan gives each document its set's size and digest, the band keys (``BANDS`` bands of
    ``ROWS`` full minima) and the b-bit signature: the low ``BITS`` bits of each of ``BANDS * ROWS``
-   minima, packed. Documents with equal sets collapse to the smallest id before anything else, so exact
-   copies cost one row each however many they are. A pair at 0.8 shares no band with a chance of 5e-8.
+   minima, packed. Rows with equal sets collapse to one node, named by 63 bits of the set's digest, before
+   anything else, so exact copies cost one row each however many they are, and ids may be null or repeat. A pair at 0.8 shares no band with a chance of 5e-8.
 2. In each band bucket every member meets the bucket's smallest id only; the collision-corrected
    estimate from bit counts drops hopeless pairs, each document confirms its best such pivot on the full
    sets, and confirmed links are contracted to components.
@@ -18,7 +18,8 @@ documents are linked when intersection / union >= ``threshold``, confirmed on th
    pair is confirmed inside its cell; only one link for each two components leaves it. Nothing is capped.
 
 Texts, links and components stay distributed; iterations are cut by checkpoint() in the shared folder.
-Null text is empty. Repeated rows (equal id) yield a row each. Extra columns are ignored.
+Null text is empty. Every row is linked by its own text, whatever its id: repeated ids yield a row each, a
+null id counts as the largest. A class whose ids are all null has a null component_id. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from situate.llm import textnum as X
@@ -113,7 +114,7 @@ def _features(n: int):
             digest, bands, packed, k = [], [], [], 0
             for d in range(len(size)):
                 if size[d]:
-                    digest.append(hashlib.blake2b(sets[begin[d]:begin[d + 1]].tobytes(), digest_size=16).digest())
+                    digest.append(int.from_bytes(hashlib.blake2b(sets[begin[d]:begin[d + 1]].tobytes(), digest_size=8).digest(), "little") >> 1)
                     bands.append(keys[k].view(np.int64))
                     packed.append(sigs[k].tobytes())
                     k += 1
@@ -121,9 +122,9 @@ def _features(n: int):
                     digest.append(None)
                     bands.append(None)
                     packed.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(size, pa.int64()), pa.array(digest, pa.int64()),
                                               pa.array(bands, pa.list_(pa.int64())), pa.array(packed, pa.binary())],
-                                             names=["doc_id", "n_shingles", "set_key", "bands", "sig"])
+                                             names=["doc_id", "text_key", "n_shingles", "doc", "bands", "sig"])
     return run
 
 
@@ -284,25 +285,33 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document row: doc_id, n_shingles, component_id, kept."""
+def text_key(text: Column) -> Column:
+    """Digest of a text; null is empty."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+def row_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document row: doc_id, text_key, n_shingles, class (null without words), component_id
+    (the smallest id of the class, its own without words)."""
     spark = docs.sparkSession
     least = cutoff(percent / 100)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), text_key(text).alias("text_key"))
     path = scratch_path(spark, "minhash")
-    rows.mapInArrow(_features(n), "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary").write.parquet(path)
+    rows.mapInArrow(_features(n), "doc_id long, text_key binary, n_shingles long, doc long, bands array<long>, sig binary").write.parquet(path)
     feats = spark.read.parquet(path)
 
-    reps = feats.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("doc"))
-    firsts = feats.join(reps, "set_key").where("doc_id = doc").dropDuplicates(["doc"])
-    sigs = materialize(firsts.select("doc", F.col("n_shingles").alias("n"), "sig", "bands"))
+    whole = feats.where("doc is not null").groupBy("doc").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("row"),
+                                                              F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    whole = materialize(whole)
+    sigs = whole.select("doc", "n", "sig", "bands")
     slots = sigs.select("doc", F.posexplode("bands").alias("band", "key"))
     buckets = slots.groupBy("key").agg(F.min("doc").alias("pivot"), F.count("*").alias("size")).where("size > 1")
     members = materialize(slots.join(buckets, "key").select("key", "band", "doc", "pivot"))
     brief = sigs.select("doc", "n", "sig")
-    known = members.select("doc").distinct()
+    known = members.select("doc").distinct().join(whole.select("doc", F.col("row.doc_id").alias("id"), F.col("row.text_key").alias("key")), "doc")
     text_path = scratch_path(spark, "minhash-texts")
-    rows.join(known, rows["doc_id"] == known["doc"]).select("doc", "text").dropDuplicates(["doc"]).write.option("compression", "zstd").parquet(text_path)
+    rows.join(known, rows["doc_id"].eqNullSafe(known["id"]) & (rows["text_key"] == known["key"])).select("doc", "text").dropDuplicates(["doc"]).write.option("compression", "zstd").parquet(text_path)
     texts = spark.read.parquet(text_path)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -332,6 +341,22 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     full = some.join(sigs, "doc").join(texts, "doc").repartition(*CELL).sortWithinPartitions(*CELL)
     edges = materialize(edges.union(full.mapInArrow(_links(n, least, percent), "a long, b long")))
     comps = connected_components(edges)
-    final = reps.join(comps.withColumnRenamed("node", "doc"), "doc", "left").select("set_key", F.coalesce("comp", "doc").alias("comp"))
-    out = feats.select("doc_id", "n_shingles", "set_key").join(final, "set_key", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"), F.coalesce("comp", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+    final = whole.select("doc", "least").join(comps.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "least", F.coalesce("comp", "doc").alias("class"))
+    names = final.groupBy("class").agg(F.min("least").alias("component_id"))
+    out = feats.select("doc_id", "text_key", "n_shingles", "doc").join(final.select("doc", "class").join(names, "class"), "doc", "left")
+    return out.select("doc_id", "text_key", "n_shingles", "class", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document row: doc_id, n_shingles, component_id, kept (rows with the smallest id of their class)."""
+    out = row_classes(docs, n, percent, id_col, text_col)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def kept_rows(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key) of the rows to keep: of each class the one with the smallest id (a null id last),
+    then the smallest text_key; all without words."""
+    rows = row_classes(docs, n, percent, id_col, text_col)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    first = rows.where("class is not null").groupBy("class").agg(F.min(order).alias("row")).select("row.doc_id", "row.text_key")
+    return first.union(rows.where("class is null").select("doc_id", "text_key").distinct())

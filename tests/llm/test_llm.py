@@ -528,3 +528,21 @@ def test_pipeline_odd_rows(spark, odd):
             out = stage(spark, docs, SF)
             assert out.columns == docs.columns and out.count() <= docs.count()
         assert P.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_pipeline_near_dedup_decides_on_rows(spark):
+    import corpus_pipeline as P
+
+    def text(seed):
+        return " ".join(f"w{random.Random(seed * 1000 + k).randrange(10**6)}" for k in range(60))
+
+    a, b, c, d, e = (text(i) for i in range(5))
+    rows = [(None, a), (None, b), (None, a + " tail"), (7, c), (7, d), (7, d), (3, e), (None, e), (9, e + " more"), (None, None), (8, None), (8, ""), (8, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en")).repartition(4)
+    got = sorted(((r["doc_id"], r["text"]) for r in P.drop_near_duplicates(spark, docs, SF).collect()), key=str)
+    assert (None, b) in got and len([x for x in got if x[1] in (a, a + " tail")]) == 1  # classes without any id keep one row each
+    assert (7, c) in got and got.count((7, d)) == 1  # one id with two texts
+    assert [x for x in got if x[1] and x[1].startswith(e)] == [(3, e)] and len(got) == 8 and (8, " ") in got
+    out = near_dedup.near_duplicates(docs).collect()
+    ids = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in out if r["n_shingles"] in (56, 57)), key=str)
+    assert ids == sorted([(None, None, True)] * 3 + [(7, 7, True)] * 3 + [(3, 3, True), (None, 3, False), (9, 3, False)], key=str)
