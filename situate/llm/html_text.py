@@ -2,12 +2,13 @@
 
 A tree builder reads tags, comments, raw-text elements and entities, closes elements whose end is implied
 (p, li, dt/dd, option, table parts) and ignores stray end tags. A renderer walks the tree: invisible
-elements (head, script, style, template, hidden, aria-hidden, display:none ...) give nothing, blocks stand
+elements (head, script, style, template, hidden, display:none ...) give nothing, formulas, labels of drawings,
+options and aria-hidden text are shown, blocks stand
 on lines of their own, paragraphs and headings apart by a blank line, lists carry markers and indents,
 table cells are padded to aligned columns, pre keeps its white space, other white space collapses and a no-break space becomes a blank.
 
 One narrow map over pages, one page at a time: no shuffle. A null page gives a null text, an empty one an
-empty text. Nesting beyond ``DEEPEST`` is flattened (its text stays), and nothing recurses, so a page of
+empty text. Nesting beyond ``DEEPEST`` is flattened (its visible text stays), and nothing recurses, so a page of
 a million open tags is read to its end. Repeated rows are rendered alike; an empty table gives none;
 extra columns are ignored.
 """
@@ -26,10 +27,10 @@ TAB = "  "
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noscript iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object svg math audio video canvas select datalist".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas datalist annotation annotation-xml desc metadata".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
-    "header hgroup html legend li main menu nav ol optgroup option p pre search section summary table ul h1 h2 h3 h4 h5 h6 hr caption tr thead tbody tfoot".split())
+    "header hgroup html legend li main menu nav ol optgroup option p pre search section summary table ul h1 h2 h3 h4 h5 h6 hr caption tr thead tbody tfoot text".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl figure hr".split())
 #: an opening tag on the left closes the nearest open element named on the right, but not across the barriers
 IMPLIED = {
@@ -40,7 +41,7 @@ IMPLIED = {
     "tfoot": ({"tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
     "body": ({"head"}, {"html"}),
 }
-CLOSES_P = BLOCK - {"html", "body", "li", "dd", "dt", "caption", "tr", "thead", "tbody", "tfoot", "option", "optgroup", "legend"}
+CLOSES_P = BLOCK - {"html", "body", "li", "dd", "dt", "caption", "tr", "thead", "tbody", "tfoot", "option", "optgroup", "legend", "text"}
 SCOPE = frozenset("td th table caption button html template object".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -60,8 +61,17 @@ def parse(page: str) -> Node:
     """The tree of a page: children are nodes and strings."""
     root = Node("#root")
     stack, at, n = [root], 0, len(page)
+    lost: list[str] = []  # beyond DEEPEST: an invisible element and what is open in it
 
     def close(names, barriers) -> None:
+        for i in range(len(lost) - 1, -1, -1):
+            if lost[i] in names:
+                del lost[i:]
+                return
+            if lost[i] in barriers:
+                return
+        if lost and any(x.tag in names for x in stack):
+            lost.clear()
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in names:
                 del stack[i:]
@@ -72,13 +82,14 @@ def parse(page: str) -> Node:
     while at < n:
         m = TOKEN.search(page, at)
         if not m:
-            stack[-1].children.append(html.unescape(page[at:]))
+            if not lost:
+                stack[-1].children.append(html.unescape(page[at:]))
             break
-        if m.start() > at:
+        if m.start() > at and not lost:
             stack[-1].children.append(html.unescape(page[at:m.start()]))
         at = m.end()
         if m.group(2) is None:
-            if m.group().startswith("<![CDATA["):
+            if m.group().startswith("<![CDATA[") and not lost:
                 stack[-1].children.append(m.group()[9:].removesuffix("]]>"))
             continue
         tag = m.group(2).lower()
@@ -99,8 +110,9 @@ def parse(page: str) -> Node:
                 close({"tr"}, {"table"})
             close({"tr"} if tag == "tr" else set(), {"table"})
         node = Node(tag, attrs)
-        stack[-1].children.append(node)
-        if tag in VOID:
+        if not lost:
+            stack[-1].children.append(node)
+        if tag in VOID or m.group(3).endswith("/") and any(x.tag in ("svg", "math") for x in stack):
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -108,14 +120,18 @@ def parse(page: str) -> Node:
             node.children.append(html.unescape(inner) if tag in ("textarea", "title") else inner)
             at = end.end() if end else n
             continue
-        if len(stack) < DEEPEST:
+        if lost:
+            lost.append(tag)
+        elif len(stack) < DEEPEST:
             stack.append(node)
+        elif unseen(node):
+            lost.append(tag)
     return root
 
 
 def unseen(node: Node) -> bool:
     a = node.attrs
-    return (node.tag in UNSEEN or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
+    return (node.tag in UNSEEN or "hidden" in a
             or node.tag == "input" or (node.tag == "dialog" and "open" not in a) or bool(INVISIBLE.search(a.get("style", ""))))
 
 

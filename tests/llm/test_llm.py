@@ -437,6 +437,15 @@ def test_html():
         assert Counter(re.findall(r"w\d+", html_text.page_text(own))) == Counter(words)
 
 
+def test_html_shows_what_the_page_shows():
+    page = ("<p>f <math><mi>x</mi><mo>=</mo><mn>2</mn></math> <span aria-hidden='true'>icon</span></p><svg><path style='display:none'/><title>t</title><text>one</text><text>two</text></svg>"
+            "<select><option>red<option>blue</select>end")
+    assert html_text.page_text(page).split("\n") == ["f x=2 icon", "", "one", "two", "red", "blue", "end"]
+    deep = "<font>" * 1000
+    assert html_text.page_text(deep + "a <span hidden>no <b>no</b> <span>no</span> no</span>b<p style='display:none'>no<p>c") == "a b\n\nc"
+    assert html_text.page_text(deep + "<div style='display:none'>no<p>no</div>yes") == "yes"
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (2, "<p>a", "x"), (3, "<p>" + "b " * 50000, "x")], "page_id long, html string, text string")
     got = sorted(((r["page_id"], r["text"]) for r in html_text.extract(df).collect()), key=str)
