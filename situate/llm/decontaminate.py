@@ -99,7 +99,7 @@ def _scanner(shared, id_col: str, schema: pa.Schema):
                 base, zero = int(first[d]), int(points[off[d]])
                 spans.append([[int(points[starts[base + s]]) - zero, int(points[ends[base + e - 1]]) - zero] for s, e in r])
             new = {"n_words": pa.array(count, pa.int64()), "ranges": pa.array(ranges, schema.field("ranges").type),
-                   "items": pa.array([sorted(i) for i in items], schema.field("items").type),
+                   "items": pa.array([sorted(i, key=lambda x: (x is None, x or "")) for i in items], schema.field("items").type),
                    "spans": pa.array(spans, schema.field("spans").type)}
             yield pa.RecordBatch.from_arrays([new.get(f.name, None) if f.name in new else batch.column(f.name) for f in schema], schema=schema)
 
@@ -110,7 +110,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str =
               item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES,
               keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document row: the id, ``keep`` columns, text, n_words, ranges (merged hit word
-    ranges), items (ids of items with a window in the text, as sorted strings) and spans (the ranges as
+    ranges), items (ids of items with a window in the text, as sorted strings, null last and once
+    for all items without an id) and spans (the ranges as
     code points of the text). ``keep`` must not name text, n_words, ranges, items or spans."""
     spark = docs.sparkSession
     bench = benchmark.where(F.col(item_text_col).isNotNull()).select(
@@ -125,8 +126,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str =
 
     schema = to_arrow_schema(state.schema)
     for b in range(blocks):
-        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
-        rows = sorted((r["item"], r["text"]) for r in part.collect() if r["item"] is not None)
+        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
+        rows = sorted(((r["item"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or "", r[1]))
         shared = spark.sparkContext.broadcast({"rows": rows, "windows": _item_windows(rows, n)})
         state = state.mapInArrow(_scanner(shared, id_col, schema), state.schema)
     return state

@@ -342,6 +342,19 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.remove(none, bench).count() == 0 and decontaminate.remove(odd, bench.where("item_id < 0")).count() == odd.count()
 
 
+def test_decontamination_by_items_without_id(spark):
+    docs = spark.createDataFrame([(1, "the cat sat on the mat"), (2, "a dog lay here"), (3, "nothing of it")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "cat sat on"), (None, "dog lay"), (4, "the mat")], "item_id long, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR); INSERT INTO documents VALUES (1, 'the cat sat on the mat'), (2, 'a dog lay here'), (3, 'nothing of it')")
+    con.execute("CREATE TABLE benchmark(item_id BIGINT, text VARCHAR); INSERT INTO benchmark VALUES (NULL, 'cat sat on'), (NULL, 'dog lay'), (4, 'the mat')")
+    want = sorted(con.execute(ORACLE_SQL["op7_decontamination"]).fetchall())
+    for block in (1 << 20, 8):
+        hits = decontaminate.find_hits(docs, bench, block_bytes=block)
+        assert sorted(map(tuple, decontaminate.hit_report(hits).collect())) == want
+    assert [r["doc_id"] for r in decontaminate.remove(docs, bench).collect()] == [3]
+
+
 # ---- op 8
 
 def test_personal_data(spark, odd, none):
