@@ -15,6 +15,7 @@ from situate.llm import language as LG
 from situate.llm import mixing as MX
 from situate.llm import near_dedup as ND
 from situate.llm import pii as PI
+from situate.llm import quality_rules as QR
 from situate.llm import token_store as TS
 from situate.llm import toxicity as TX
 
@@ -216,3 +217,35 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(c) AS c FROM rea
 """)
 def op10_near_dedup(spark, sf_dir):
     return ND.near_duplicates(table(spark, sf_dir, "documents"), n=4)
+
+
+@query("op12_quality_rules", rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p8 AS (SELECT doc_id, w, unnest(range(1, len(w) - {QR.MIN_REPEAT} + 2)) AS p FROM d),
+g8 AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, array_to_string(w[p:p + {QR.MIN_REPEAT} - 1], ' ')) AS c FROM p8),
+hit AS (SELECT DISTINCT doc_id, unnest(range(p, p + {QR.MIN_REPEAT})) AS q FROM g8 WHERE c > 1),
+cover AS (SELECT doc_id, count(*) AS n, sum(length(w[q])) AS chars FROM hit JOIN d USING (doc_id) GROUP BY doc_id),
+plong AS (SELECT doc_id, w, unnest(range(1, len(w) - {QR.MAX_LONGEST} + 1)) AS p FROM d JOIN cover USING (doc_id) WHERE n > {QR.MAX_LONGEST}),
+long AS (
+  SELECT DISTINCT doc_id FROM (
+    SELECT doc_id FROM plong GROUP BY doc_id, array_to_string(w[p:p + {QR.MAX_LONGEST}], ' ') HAVING count(*) > 1)),
+lines AS (
+  SELECT doc_id, sum(c - 1) AS n FROM (
+    SELECT doc_id, line, count(*) AS c FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(cover.chars, 0) AS BIGINT) AS repeat_chars, long.doc_id IS NOT NULL AS long_repeat
+  FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN long USING (doc_id)),
+b AS (SELECT *, n_words < {QR.MIN_WORDS} OR 100 * n_repeat_words > {QR.MAX_WORDS_PERCENT} * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, repeat_chars, base_failed,
+       NOT base_failed AND 100 * repeat_chars <= {QR.MAX_CHARS_PERCENT} * word_chars AND NOT long_repeat AS kept
+FROM b
+""")
+def op12_quality_rules(spark, sf_dir):
+    """Repeats of MIN_REPEAT words cover what repeated windows of as many words cover, and a repeat longer
+    than MAX_LONGEST holds a repeated window of one word more: so SQL can say the verdict by windows."""
+    m = QR.measure(table(spark, sf_dir, "documents"))
+    return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "repeat_chars",
+                    QR.base_failed().alias("base_failed"), QR.kept().alias("kept"))
