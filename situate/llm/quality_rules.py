@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from situate.llm import textnum as X
 
@@ -38,6 +37,7 @@ SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, repeat_chars long, "
             "n_repeats long, longest_repeat long, spans array<struct<start:long,end:long>>")
+NAMES = [field.split(" ")[0] for field in MEASURES.split(", ")]
 
 
 def suffix_array(words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -181,11 +181,9 @@ def measures(data: np.ndarray, off: np.ndarray, least: int) -> list[pa.Array]:
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_repeat: int = MIN_REPEAT) -> DataFrame:
     """One row per row of ``docs``: doc_id and MEASURES (``spans``: repeated passages, code points, end exclusive)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    names = ["doc_id", *(f.name for f in T._parse_datatype_string(MEASURES).fields)]
-
     def run(batches):
         for batch, data, off in X.chunks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *measures(data, off, min_repeat)], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *measures(data, off, min_repeat)], names=["doc_id", *NAMES])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {MEASURES}")
 
@@ -203,11 +201,10 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text passes; measured in the same map, nothing is joined."""
     plain = docs.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
     text = f"c{docs.columns.index(text_col)}"
-    fields = [f.name for f in T._parse_datatype_string(MEASURES).fields]
 
     def run(batches):
         for batch, data, off in X.chunks(batches, text):
-            m = {k: np.asarray(v) for k, v in zip(fields[:-1], measures(data, off, MIN_REPEAT))}
+            m = {k: np.asarray(v) for k, v in zip(NAMES[:-1], measures(data, off, MIN_REPEAT))}
             ok = (m["n_words"] >= MIN_WORDS) & (100 * m["n_repeat_words"] <= MAX_WORDS_PERCENT * m["n_words"])
             ok &= (100 * m["repeat_chars"] <= MAX_CHARS_PERCENT * m["word_chars"]) & (m["longest_repeat"] <= MAX_LONGEST)
             yield batch.filter(pa.array(ok))
