@@ -15,6 +15,7 @@ from situate.llm import html_text as HT
 from situate.llm import language as LG
 from situate.llm import mixing as MX
 from situate.llm import near_dedup as ND
+from situate.llm import phrases as PH
 from situate.llm import pii as PI
 from situate.llm import quality_rules as QR
 from situate.llm import token_store as TS
@@ -274,3 +275,30 @@ def op12_quality_rules(spark, sf_dir):
     m = QR.measure(table(spark, sf_dir, "documents"))
     return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "repeat_chars",
                     QR.base_failed().alias("base_failed"), QR.kept().alias("kept"))
+
+
+@query("op13_phrases", rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER_SQL.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[p:p + k - 1], ' ') AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, g, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, g, a, string_split(g, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+s AS (
+  SELECT cuts.lang, cuts.g, cuts.a, cut, x.a AS l, y.a AS r, CAST((CAST(2000000 AS HUGEINT) * cuts.a) // (x.a + y.a) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = array_to_string(cuts.w[1:cut], ' ')
+  JOIN f y ON y.lang = cuts.lang AND y.g = array_to_string(cuts.w[cut + 1:], ' ')),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+parts AS (SELECT lang, a, w, size, unnest(range(1, k - size + 2)) AS p FROM (SELECT *, unnest(range(2, k)) AS size FROM c)),
+inside AS (SELECT DISTINCT lang, array_to_string(w[p:p + size - 1], ' ') AS g, max(a) OVER (PARTITION BY lang, array_to_string(w[p:p + size - 1], ' ')) AS longest FROM parts),
+kept AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, g) WHERE longest IS NULL OR 100 * CAST(longest AS HUGEINT) < 80 * CAST(a AS HUGEINT)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, g AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+""")
+def op13_phrases(spark, sf_dir):
+    return PH.mine_phrases(table(spark, sf_dir, "documents"))
