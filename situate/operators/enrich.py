@@ -13,6 +13,7 @@ from situate.functions.context import (
     is_rainy,
     parse_context,
 )
+from situate.operators.joins import spread_left_join
 
 ENRICHED_EXTRA = ("creative_type", "category", "sky", "precip", "is_weekend", "is_outdoor", "is_indoor",
                   "is_clear", "is_rainy")
@@ -25,14 +26,11 @@ def enrich_log(log: DataFrame, creative_catalog: DataFrame, strict_json: bool =
     The context comes from a ``context`` struct column when the log has one, else from the
     ``context_features`` JSON text (X20).
 
-    Only three catalog columns (plus ``extra_columns``) cross the join. Spark's own
-    threshold and AQE choose the join.
+    Only three catalog columns (plus ``extra_columns``) cross the join, which keeps popular and null ids
+    off the shuffle (:func:`situate.operators.joins.spread_left_join`).
     """
     cat = creative_catalog.select("creative_id", "creative_type", "category", *extra_columns)
-    # rows without an id match nothing: they are spread over many keys instead of meeting in one task
-    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*log.columns), F.lit(1024)).cast("string"))
-    j = log.withColumn("__id", F.coalesce(F.col("creative_id").cast("string"), spread)).join(
-        cat.withColumnRenamed("creative_id", "__id"), "__id", "left").drop("__id")
+    j = spread_left_join(log, cat, "creative_id")
     # a typed ``context`` struct is used as is; JSON text is parsed once (pruned to the fields read)
     ctx = F.col("context") if "context" in log.columns else parse_context(F.col("context_features"), strict=strict_json)
     j = j.withColumn("__ctx", ctx)
@@ -51,6 +49,5 @@ def enrich_log(log: DataFrame, creative_catalog: DataFrame, strict_json: bool =
 
 
 def apply_user_segments(log: DataFrame, segmented_users: DataFrame) -> DataFrame:
-    """Replace ``user_segment`` by the user's segment (left join on ``user_id``)."""
-    seg = segmented_users.select("user_id", "user_segment")
-    return log.drop("user_segment").join(seg, "user_id", "left")
+    """Replace ``user_segment`` by the user's segment (left join on ``user_id``); null users have none."""
+    return spread_left_join(log.drop("user_segment"), segmented_users.select("user_id", "user_segment"), "user_id")
