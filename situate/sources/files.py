@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as _dt
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from situate.sources.json_arrays import scan_json_arrays
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -16,60 +18,54 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def _first_char(spark: SparkSession, file_path: str) -> str:
-    """First non-blank character of a file: reads only the head of the file."""
-    fs, p = _fs(spark, file_path)
-    stream = fs.open(p)
-    try:
-        while True:
-            b = stream.read()
-            if b < 0:
-                return ""
-            ch = chr(b)
-            if ch not in " \t\r\n﻿\xef\xbb\xbf":
-                return ch
-    finally:
-        stream.close()
-
-
-def _scan_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of files that hold one JSON array each, in order of file name and position.
-
-    An ``ordinal`` of the schema that a row lacks is its place: the file's rank (one number a file, a
-    small table) and the position within it, so it needs no pass over the rows."""
-    files = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("__file"))
-    rows = files.select("__file", F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("__pos", "__row")).select("__file", "__pos", "__row.*")
-    if "ordinal" not in schema.fieldNames():
-        return rows.select(*schema.fieldNames())
-    rank = files.select("__file").distinct().withColumn("__rank", F.row_number().over(Window.orderBy("__file")) - 1)
-    place = F.shiftleft(F.col("__rank").cast("long"), 32) + F.col("__pos")
-    return rows.join(F.broadcast(rank), "__file").withColumn("ordinal", F.coalesce("ordinal", place)).select(*schema.fieldNames())
-
-
-def scan_raw_json(spark: SparkSession, path: str, schema: T.StructType, layout: str = "array") -> DataFrame:
+def _files(spark: SparkSession, path: str) -> list:
+    """Status of the files of a path, a pattern or a directory (names with ``_`` or ``.`` first aside)."""
+    fs, p = _fs(spark, path)
+    found = []
+    for status in fs.globStatus(p) or []:
+        found += list(fs.listStatus(status.getPath())) if status.isDirectory() else [status]
+    return [s for s in found if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+
+
+def _records(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """:func:`situate.sources.json_arrays.scan_json_arrays` with each row's ``ordinal`` (file rank · 2^32 + place) where it has none."""
+    records, broken = scan_json_arrays(spark, path, schema)
+    empty = [(s.getPath().toString(),) for s in _files(spark, path) if s.getLen() == 0]  # names only: Spark has no range of them
+    broken = broken.union(spark.createDataFrame(empty, "file string"))
+    if "ordinal" in schema.fieldNames():
+        place = F.shiftleft(F.col("rank").cast("long"), 32) + F.col("record")
+        records = records.withColumn("row", F.col("row").withField("ordinal", F.coalesce("row.ordinal", place)))
+    return records, broken
+
+
+def scan_raw_json(spark: SparkSession, path: str, schema: T.StructType, layout: str = "array", errors: str = "raise") -> DataFrame:
     """S1 ``load_raw_json``: landed JSON with a fixed schema.
 
-    ``layout='array'``: each file holds one top-level JSON array (the reference's landing);
-    a file whose top level is not an array raises ValueError (a head check per file, no data
-    pass); a row without an ``ordinal`` gets its place by file name and position. ``layout='lines'``: JSON lines as written by :func:`sink_json`.
+    ``layout='array'``: each file holds one top-level JSON array (the reference's landing), read in byte ranges.
+    A row without an ``ordinal`` gets its place by file name and position. ``errors='raise'``: a file that isn't one closed
+    array is a ValueError here, a record that doesn't fit the schema fails the query that reads it; ``'quarantine'``: sound
+    records of sound files only, the rest is what :func:`quarantined_records` returns. ``layout='lines'``: JSON lines as written by :func:`sink_json`.
     """
-    if layout == "array":
-        fs, p = _fs(spark, path)
-        statuses = fs.globStatus(p) or []
-        files = []
-        for st in statuses:
-            if st.isDirectory():
-                files.extend(s.getPath().toString() for s in fs.listStatus(st.getPath())
-                             if s.isFile() and not s.getPath().getName().startswith(("_", ".")))
-            else:
-                files.append(st.getPath().toString())
-        for f in files:
-            if _first_char(spark, f) != "[":
-                raise ValueError(f"raw JSON must be a list at the top level: {f}")
-        return _scan_arrays(spark, path, schema)
     if layout == "lines":
         return spark.read.schema(schema).json(path)
-    raise ValueError(f"unknown layout {layout!r}")
+    if layout != "array" or errors not in ("raise", "quarantine"):
+        raise ValueError(f"unknown layout {layout!r} or errors {errors!r}")
+    records, broken = _records(spark, path, schema)
+    if errors == "quarantine":
+        return records.where("problem is null").select("row.*")
+    bad = [r["file"] for r in broken.limit(5).collect()]
+    if bad:
+        raise ValueError(f"raw JSON must be one closed list at the top level: {', '.join(sorted(bad))}")
+    told = F.concat(F.col("file"), F.lit(", record "), F.col("record").cast("string"), F.lit(": "), F.col("problem"))
+    return records.where(F.when(F.col("problem").isNull(), F.lit(True)).otherwise(F.raise_error(told).cast("boolean"))).select("row.*")
+
+
+def quarantined_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(file, record, problem, text) of the landed records that don't fit; a file that isn't one closed array has
+    a row of its own too (record -1)."""
+    records, broken = _records(spark, path, schema)
+    files = broken.select("file", F.lit(-1).cast("long").alias("record"), F.lit("not one closed JSON array").alias("problem"), F.lit(None).cast("string").alias("text"))
+    return records.where("problem is not null").select("file", "record", "problem", "text").unionByName(files)
 
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "encoding": "UTF-8"}
