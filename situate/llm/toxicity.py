@@ -272,6 +272,8 @@ def fit(texts: list[str], label: np.ndarray, share: float, passes: int = PASSES,
             trainer.step(np.where(alive, padded[index], -1), alive.astype(np.float32), y, weight)
 
     windows_1, windows_0 = np.flatnonzero(label[text] > 0), np.flatnonzero(label[text] == 0)
+    if not len(windows_1) or not len(windows_0):  # texts of one label have no words: nothing to tell apart
+        return {"constant": float(share)}
     while trainer.t < LEAST_STEPS // 2:
         learn(np.concatenate([windows_1, rng.choice(windows_0, min(len(windows_0), len(windows_1)), replace=False)]))
     head = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
@@ -306,12 +308,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
           label_col: str = "toxic") -> dict:
     """A model from the labelled documents given (filter them to the training rows first)."""
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1) and doc_id is not null")
+    known = known.groupBy("doc_id").agg(F.max("y").alias("y"))  # an id counts once; with both labels it is toxic
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     chosen = []
     for y in (0, 1):
         chosen += [(r["doc_id"], y) for r in known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
     spark = docs.sparkSession
-    few = spark.createDataFrame(chosen, "id long, y int").dropDuplicates(["id"])
+    few = spark.createDataFrame(chosen, "id long, y int")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few), "id")
     rows = rows.groupBy("id", "y").agg(F.min("text").alias("text")).collect()  # one text an id, however often it is repeated
     rows = sorted((r["id"], r["text"] or "", r["y"]) for r in rows)

@@ -162,6 +162,25 @@ def test_language_rejects_the_unlike(spark):
 
 # ---- op 3
 
+def test_toxicity_without_words_in_a_label(spark):
+    """All texts of one label are blank: the prior, and it ends."""
+    for texts, labels in ((["", "good day to you"], [1, 0]), (["bad words here", " \t"], [1, 0]), (["", " ", ""], [1, 0, 1])):
+        model = toxicity.fit(texts, np.array(labels), 0.25)
+        assert model == {"constant": 0.25}
+    got = toxicity.score(spark.createDataFrame([(1, "good day"), (2, None)], "doc_id long, text string"), model).collect()
+    assert [r["score"] for r in got] == [0.25, 0.25] and {r["predicted"] for r in got} == {0}
+
+
+def test_toxicity_counts_an_id_once(spark, monkeypatch):
+    """Repeated label rows take no second place in the sample; an id with both labels is toxic."""
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit", lambda texts, label, share: seen.update(rows=sorted(zip(texts, label.tolist())), share=share) or {})
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (3, "c")], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 0)] * 5 + [(2, 0), (2, 1), (3, 1), (None, 1), (4, None)], "doc_id long, toxic int")
+    toxicity.train(docs, marks)
+    assert seen["rows"] == [("a", 0), ("b", 1), ("c", 1)] and seen["share"] == pytest.approx(2 / 3)
+
+
 def test_toxicity_learns(spark, odd, none):
     rng = random.Random(3)
     plain = ["ka" + c + d for c in "lmnrst" for d in ("a", "en", "ist", "ol")]
@@ -280,13 +299,36 @@ def test_mixture_odd_rows(odd, none):
     assert mixing.select_mixture(odd, 0, {}, 1, 1, levels).agg(F.sum("mix_tokens")).first()[0] in (0, None)
 
 
+def test_mixing_of_huge_leaves(spark):
+    """8 leaves of 10^13 tokens and uneven weights: products pass 64 bits, budgets stay exact."""
+    rows = [(f"d{i % 2}", "en", f"s{i}", 10 ** 13 + i) for i in range(8)]
+    weights = {"domain": {"d0": 3_000_000, "d1": 1_000_000}, "source": {f"s{i}": 999_983 + i for i in range(8)}}
+    total = 3 * 10 ** 13 + 1
+    got = {(r["domain"], r["source"]): r["budget"] for r in mixing.budgets(spark.createDataFrame(rows, "domain string, lang string, source string, tokens long"), total, weights).collect()}
+    for d, share in (("d0", total * 3 // 4), ("d1", total // 4)):
+        leaves = [i for i in range(8) if f"d{i % 2}" == d]
+        assert [got[d, f"s{i}"] for i in leaves] == [(999_983 + i) * share // sum(999_983 + j for j in leaves) for i in leaves]
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    names = ["epochs", "cut", "want", "tokens", "copies", "mix_tokens", "before", "__id", "name", "upto"]
+    rows = [(i, "a b c " * (i % 4), "en", f"s{i % 3}", *range(len(names))) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` int" for n in names))
+    levels = {"lang": F.col("lang"), "source": F.col("source")}
+    plain = mixing.select_mixture(df.select("doc_id", "text", "lang", "source"), F.expr("supply * 1 div 2"), {}, 3, 1, levels)
+    got = mixing.select_mixture(df, F.expr("supply * 1 div 2"), {}, 3, 1, levels, marks=("t", "n"))
+    assert got.columns == [*df.columns, "t", "n"] and sorted(r["doc_id"] for r in got.collect()) == sorted(r["doc_id"] for r in plain.collect())
+    assert {tuple(r[n] for n in names) for r in got.collect()} == {tuple(range(len(names)))}
+    marked = mixing.select_mixture(df, F.expr("supply * 1 div 2"), {}, 3, 1, levels)
+    assert marked.columns == [c for c in df.columns if c not in ("mix_tokens", "copies")] + ["mix_tokens", "copies"]
+
+
 # ---- op 6
 
 def test_tokens_round_trip(spark, odd, none):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_file())
-    t.encode_special_tokens = True
     extra = ["  a", "a  ", " two  spaces \n x \n\n y", "<|endoftext|> it's we'll 'S", "naïve  x y", "　 x", "á é ́x", "x\x85 y \x1c z", "\U0001f600 \U0001f600", "a​ b  c", "12 34,5 a1b"]
     rows = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()] + [(100 + i, x) for i, x in enumerate(extra)] + [(None, "no key")]
     manifest = token_store.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), tokenizer_file(), shards=3)
