@@ -22,6 +22,7 @@ from situate.llm.queries import MIX_SEED, MIX_WEIGHTS, held_out, mix_levels, tab
 from situate.session import scratch_path
 
 MIX_SHARE = (7, 10)
+MARKS = ("__mix_tokens", "__copies")
 ORACLE_SQL = None
 
 
@@ -48,7 +49,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     up, down = MIX_SHARE
-    return mixing.select_mixture(docs, F.expr(f"supply * {up} div {down}"), MIX_WEIGHTS, MIX_SEED, 1, mix_levels()).drop("mix_tokens", "copies")
+    return mixing.select_mixture(docs, F.expr(f"supply * {up} div {down}"), MIX_WEIGHTS, MIX_SEED, 1, mix_levels(), marks=MARKS).drop(*MARKS)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
