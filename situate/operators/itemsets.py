@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from situate.functions.context import ITEM_PREFIXES, item_values
+from situate.operators.joins import attach_row
 
 DIMENSIONS = ("sky", "precip", "weekend", "type", "category_group")  # grouping_id bit order (MSB first)
 N_DIMS = len(DIMENSIONS)
@@ -57,17 +58,20 @@ def _partial_sums(df: DataFrame) -> list[Column]:
     ]
 
 
-def itemset_cube(enriched: DataFrame) -> DataFrame:
-    """All 32 grouping sets of the five dimensions with counts and click/conversion sums.
+def itemset_cube(enriched: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """The grouping sets of the five dimensions with support >= ``min_support``: counts, click/conversion sums, and
+    the grand total's count and rates.
 
-    Rolled-up dimensions are null; ``gid`` is Spark's grouping_id (bit set = rolled up).
+    Rolled-up dimensions are null; ``gid`` is Spark's grouping_id (bit set = rolled up). The total is one row over the same
+    pre-aggregated table (its exchange is reused), so infrequent rows are gone before the single partition that
+    later windows use: at most 31 / min_support rows reach it, whatever the vocabulary of the log.
     """
     pre = transactions(enriched).groupBy(*DIMENSIONS).agg(*_partial_sums(enriched))
-    cube = pre.cube(*DIMENSIONS).agg(*[F.sum(c).alias(c) for c in SUMS], F.grouping_id().alias("gid"))
-    # the cube table is bounded by the dimension cardinalities (at most 32 × value combinations):
-    # one tiny exchange to a single partition lets every later window / Top-N step run without
-    # further shuffles
-    return cube.withColumn("gid", F.col("gid").cast("int")).repartition(1)
+    total = pre.agg(*[F.sum(c).alias(c) for c in SUMS])
+    total = total.select(F.col("n").alias("n_total"), _ctr().alias("base_ctr"), _cvr().alias("base_cvr"))
+    cube = pre.cube(*DIMENSIONS).agg(*[F.sum(c).alias(c) for c in SUMS], F.grouping_id().alias("gid")).where(F.col("gid") != ALL_ROLLED)
+    frequent = attach_row(cube.withColumn("gid", F.col("gid").cast("int")), total).where(F.col("n") / F.col("n_total") >= F.lit(min_support))
+    return frequent.repartition(1)
 
 
 def _present(dim: str) -> Column:
@@ -89,30 +93,23 @@ def _cvr(prefix: str = "") -> Column:
 
 
 def itemset_table(cube: DataFrame) -> DataFrame:
-    """Cube rows with support, size, items, CTR/CVR, the grand-total baselines and the supports
-    of each row's context part and content part.
+    """Cube rows with support, size, items, CTR/CVR and the supports of each row's context part and
+    content part (frequent too, by downward closure).
 
-    All of it is window arithmetic on the cube table, whose size is bounded by the dimension
-    cardinalities (not by the data), so the log is aggregated exactly once: the context part of
+    All of it is window arithmetic on the frequent rows of the cube, so the log is aggregated exactly once: the context part of
     a row is the row with ``gid | CONTENT_BITS`` and the same context values, i.e. the row of its
     window partition (gid | CONTENT_BITS, sky, precip, weekend) whose content bits are all set;
     likewise for the content part. No self-join, hence no second pass over the log.
     """
-    whole = Window.partitionBy()
-    total = F.max(F.when(F.col("gid") == ALL_ROLLED, F.col("n"))).over(whole)
-    base_ctr = F.max(F.when(F.col("gid") == ALL_ROLLED, _ctr())).over(whole)
-    base_cvr = F.max(F.when(F.col("gid") == ALL_ROLLED, _cvr())).over(whole)
     ctx_dims = [d for d in DIMENSIONS if _bit(d) & CONTEXT_BITS]
     cnt_dims = [d for d in DIMENSIONS if _bit(d) & CONTENT_BITS]
     ante_n = F.max(F.when((F.col("gid").bitwiseAND(CONTENT_BITS)) == CONTENT_BITS, F.col("n"))).over(
         Window.partitionBy(F.col("gid").bitwiseOR(CONTENT_BITS), *ctx_dims))
     cons_n = F.max(F.when((F.col("gid").bitwiseAND(CONTEXT_BITS)) == CONTEXT_BITS, F.col("n"))).over(
         Window.partitionBy(F.col("gid").bitwiseOR(CONTEXT_BITS), *cnt_dims))
-    t = cube.select("*", total.alias("n_total"), base_ctr.alias("base_ctr"), base_cvr.alias("base_cvr"),
-                    ante_n.alias("n_antecedent"), cons_n.alias("n_consequent"))
+    t = cube.select("*", ante_n.alias("n_antecedent"), cons_n.alias("n_consequent"))
     return (
-        t.where(F.col("gid") != ALL_ROLLED)
-        .withColumn("support", F.col("n") / F.col("n_total"))
+        t.withColumn("support", F.col("n") / F.col("n_total"))
         .withColumn("antecedent_support", F.col("n_antecedent") / F.col("n_total"))
         .withColumn("consequent_support", F.col("n_consequent") / F.col("n_total"))
         .withColumn("size", F.lit(N_DIMS) - F.bit_count(F.col("gid")))
@@ -122,9 +119,22 @@ def itemset_table(cube: DataFrame) -> DataFrame:
     )
 
 
-def frequent_itemsets(cube: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+def frequent_itemsets(enriched: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
     """Itemsets with support >= min_support (inclusive), with size, items and CTR/CVR."""
-    return itemset_table(cube).where(F.col("support") >= F.lit(min_support))
+    return itemset_table(itemset_cube(enriched, min_support))
+
+
+def rule_measures(sup: Column, sa: Column, sc: Column, confidence: Column) -> list[Column]:
+    """Further measures of a rule from the supports of itself, its antecedent and its consequent."""
+    leverage = sup - sa * sc
+    return [
+        leverage.alias("leverage"),
+        F.when(confidence < 1, (1 - sc) / (1 - confidence)).otherwise(F.lit(float("inf"))).alias("conviction"),
+        F.coalesce(F.try_divide(leverage, F.greatest(sup * (1 - sa), sa * (sc - sup))), F.lit(0.0)).alias("zhangs_metric"),
+        (sup / (sa + sc - sup)).alias("jaccard"),
+        F.coalesce(F.try_divide(confidence - sc, 1 - sc), F.lit(0.0)).alias("certainty"),
+        ((sup / sa + sup / sc) / 2).alias("kulczynski"),
+    ]
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE,
@@ -145,18 +155,12 @@ def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENC
     j = j.where((F.col("confidence") >= F.lit(min_confidence)) & (F.col("lift") >= F.lit(min_lift)))
     ante_items = F.filter(F.col("items"), lambda x: x.startswith("precip_") | x.startswith("sky_") | x.startswith("weekend_"))
     cons_items = F.filter(F.col("items"), lambda x: x.startswith("type_") | x.startswith("category_group_"))
-    leverage = sup - sa * sc
     out = j.select(
         "gid", *DIMENSIONS, "items", "size",
         ante_items.alias("antecedents"),
         cons_items.alias("consequents"),
         "antecedent_support", "consequent_support", "support", "confidence", "lift",
-        leverage.alias("leverage"),
-        F.when(F.col("confidence") < 1, (1 - sc) / (1 - F.col("confidence"))).otherwise(F.lit(float("inf"))).alias("conviction"),
-        F.coalesce(F.try_divide(leverage, F.greatest(sup * (1 - sa), sa * (sc - sup))), F.lit(0.0)).alias("zhangs_metric"),
-        (sup / (sa + sc - sup)).alias("jaccard"),
-        F.coalesce(F.try_divide(F.col("confidence") - sc, 1 - sc), F.lit(0.0)).alias("certainty"),
-        ((sup / sa + sup / sc) / 2).alias("kulczynski"),
+        *rule_measures(sup, sa, sc, F.col("confidence")),
         F.col("n").alias("n_matched"), "ctr", "cvr", "base_ctr", "base_cvr",
         (F.col("ctr") - F.col("base_ctr")).alias("ctr_gain"),
         (F.col("cvr") - F.col("base_cvr")).alias("cvr_gain"),
@@ -168,7 +172,7 @@ def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENC
 def mine_rules(enriched: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
                min_lift: float = MIN_LIFT) -> DataFrame:
     """``mine_patterns``: enriched log → context → content rules with gains."""
-    return association_rules(frequent_itemsets(itemset_cube(enriched), min_support), min_confidence, min_lift)
+    return association_rules(frequent_itemsets(enriched, min_support), min_confidence, min_lift)
 
 
 def frequent_itemsets_general(enriched: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:

@@ -87,30 +87,30 @@ CUBE = """tx AS (
   SELECT coalesce(sky, 'nan') AS sky, coalesce(precip, 'nan') AS precip, CAST(coalesce(is_weekend, 0) AS VARCHAR) AS weekend,
          coalesce(creative_type, 'nan') AS type, category_group, clicked, converted
   FROM enr),
-cube AS (
+cube AS MATERIALIZED (
   SELECT sky, precip, weekend, type, category_group,
          CAST(GROUPING(sky, precip, weekend, type, category_group) AS INTEGER) AS gid,
          count(*) AS n, sum(clicked) AS clk_sum, count(clicked) AS clk_cnt,
          count(CASE WHEN clicked = 1 THEN converted END) AS c1_cnt,
          sum(CASE WHEN clicked = 1 THEN converted END) AS c1_sum
   FROM tx GROUP BY CUBE (sky, precip, weekend, type, category_group)),
-tot AS (
-  SELECT n AS n_total,
-         CASE WHEN clk_cnt > 0 THEN CAST(clk_sum AS DOUBLE) / clk_cnt ELSE 0.0 END AS base_ctr,
-         CASE WHEN c1_cnt > 0 THEN CAST(c1_sum AS DOUBLE) / c1_cnt ELSE 0.0 END AS base_cvr
+tot AS MATERIALIZED (
+  SELECT *, CASE WHEN clk_cnt > 0 THEN CAST(clk_sum AS DOUBLE) / clk_cnt ELSE 0.0 END AS ctr,
+         CASE WHEN c1_cnt > 0 THEN CAST(c1_sum AS DOUBLE) / c1_cnt ELSE 0.0 END AS cvr
   FROM cube WHERE gid = 31),
-its AS (
-  SELECT c.*, CAST(c.n AS DOUBLE) / t.n_total AS support, CAST(5 - bit_count(c.gid) AS INTEGER) AS size,
-         list_filter([CASE WHEN c.gid & 1 = 0 THEN 'category_group_' || c.category_group END,
-                      CASE WHEN c.gid & 8 = 0 THEN 'precip_' || c.precip END,
-                      CASE WHEN c.gid & 16 = 0 THEN 'sky_' || c.sky END,
-                      CASE WHEN c.gid & 2 = 0 THEN 'type_' || c.type END,
-                      CASE WHEN c.gid & 4 = 0 THEN 'weekend_' || c.weekend END], lambda x: x IS NOT NULL) AS items,
-         CASE WHEN c.clk_cnt > 0 THEN CAST(c.clk_sum AS DOUBLE) / c.clk_cnt ELSE 0.0 END AS ctr,
-         CASE WHEN c.c1_cnt > 0 THEN CAST(c.c1_sum AS DOUBLE) / c.c1_cnt ELSE 0.0 END AS cvr,
-         t.base_ctr, t.base_cvr
-  FROM cube c JOIN tot t ON true
-  WHERE c.gid <> 31 AND CAST(c.n AS DOUBLE) / t.n_total >= 0.01)"""
+its AS MATERIALIZED (
+  SELECT *, string_split(names, ',') AS items FROM (
+    SELECT c.*, CAST(c.n AS DOUBLE) / (SELECT n FROM tot) AS support, CAST(5 - bit_count(c.gid) AS INTEGER) AS size,
+           concat_ws(',', CASE WHEN c.gid & 1 = 0 THEN 'category_group_' || c.category_group END,
+                     CASE WHEN c.gid & 8 = 0 THEN 'precip_' || c.precip END,
+                     CASE WHEN c.gid & 16 = 0 THEN 'sky_' || c.sky END,
+                     CASE WHEN c.gid & 2 = 0 THEN 'type_' || c.type END,
+                     CASE WHEN c.gid & 4 = 0 THEN 'weekend_' || c.weekend END) AS names,
+           CASE WHEN c.clk_cnt > 0 THEN CAST(c.clk_sum AS DOUBLE) / c.clk_cnt ELSE 0.0 END AS ctr,
+           CASE WHEN c.c1_cnt > 0 THEN CAST(c.c1_sum AS DOUBLE) / c.c1_cnt ELSE 0.0 END AS cvr,
+           (SELECT ctr FROM tot) AS base_ctr, (SELECT cvr FROM tot) AS base_cvr
+    FROM cube c WHERE c.gid <> 31)
+  WHERE support >= 0.01)"""
 
 RULES = """rules0 AS (
   SELECT r.*, a.support AS antecedent_support, c.support AS consequent_support,
@@ -217,9 +217,9 @@ _ITEMS = {
 ORACLE_SQL["transaction_matrix"] = BASE + "SELECT impression_id, " + ", ".join(
     f"coalesce({cond}, false) AS {name}" for name, cond in _ITEMS.items()) + " FROM enr"
 
-ORACLE_SQL["frequent_itemsets"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE) + f"""SELECT array_to_string(items, ',') AS items, size, n,
+ORACLE_SQL["frequent_itemsets"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE) + f"""SELECT names AS items, size, n,
   {_r('support')} AS support, {_r('ctr')} AS ctr, {_r('cvr')} AS cvr FROM its"""
-ORACLE_SQL["frequent_itemsets_general"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE) + f"""SELECT array_to_string(items, ',') AS items, n,
+ORACLE_SQL["frequent_itemsets_general"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE) + f"""SELECT names AS items, n,
   {_r('support')} AS support FROM its"""
 ORACLE_SQL["association_rules"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES) + f"""SELECT rule_no, antecedents, consequents,
   {_r('antecedent_support')} AS antecedent_support, {_r('consequent_support')} AS consequent_support,
@@ -238,6 +238,22 @@ ORACLE_SQL["rule_gain"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES) + f"""
   {_r('cvr')} AS cvr, {_r('ctr - base_ctr')} AS ctr_gain, {_r('cvr - base_cvr')} AS cvr_gain FROM rules"""
 ORACLE_SQL["rule_match"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES) + f"""SELECT rule_no, n AS n_matched, {_r('ctr')} AS ctr,
   {_r('cvr')} AS cvr FROM rules"""
+ORACLE_SQL["rule_match_arrays"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES) + f"""SELECT rule_no, n AS n_matched, {_r('ctr')} AS ctr,
+  {_r('cvr')} AS cvr, {_r('ctr - base_ctr')} AS ctr_gain, {_r('cvr - base_cvr')} AS cvr_gain FROM rules
+UNION ALL SELECT 1000000 AS rule_no, n AS n_matched, {_r('ctr')} AS ctr, {_r('cvr')} AS cvr, 0.0 AS ctr_gain, 0.0 AS cvr_gain FROM tot
+UNION ALL SELECT 1000001 AS rule_no, 0 AS n_matched, 0.0 AS ctr, 0.0 AS cvr, 0.0 AS ctr_gain, 0.0 AS cvr_gain"""
+ORACLE_SQL["rules_general"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE, RULES) + f"""SELECT rule_no, antecedents, consequents, n AS n_matched,
+  {_r('support')} AS support, {_r('confidence')} AS confidence, {_r('lift')} AS lift,
+  {_r('(support / antecedent_support + support / consequent_support) / 2')} AS kulczynski FROM rules"""
+# every split: the antecedent rolls up more dimensions than the itemset, the consequent those that the antecedent keeps
+_SIDE = lambda side, gid: " AND ".join(f"({gid} & {bit} <> 0 OR {side}.{d} = r.{d})" for d, bit in (("sky", 16), ("precip", 8), ("weekend", 4), ("type", 2), ("category_group", 1)))
+ORACLE_SQL["rules_lattice"] = with_(V_CREATIVE, V_LOG, ENRICHED, CUBE) + f"""SELECT antecedents, consequents, n_matched, {_r('support')} AS support,
+  {_r('confidence')} AS confidence, {_r('lift')} AS lift
+FROM (SELECT a.names AS antecedents, c.names AS consequents, r.n AS n_matched, r.support, r.support / a.support AS confidence,
+             (r.support / a.support) / c.support AS lift
+      FROM its r JOIN its a ON (a.gid | r.gid) = a.gid AND a.gid <> r.gid AND {_SIDE('a', 'a.gid')}
+      JOIN its c ON c.gid = r.gid + 31 - a.gid AND {_SIDE('c', 'c.gid')})
+WHERE confidence >= 0.15 AND lift >= 1.02"""
 ORACLE_SQL["strategy_score"] = FLAGSHIP + f"SELECT {STRATEGY_COLS} FROM strat2"
 ORACLE_SQL["top_strategies"] = FLAGSHIP + f"SELECT {STRATEGY_COLS}, rank FROM top"
 ORACLE_SQL["top_strategies_big"] = FLAGSHIP_BIG + f"SELECT {STRATEGY_COLS}, rank FROM top"

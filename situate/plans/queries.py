@@ -14,13 +14,14 @@ from pyspark.sql import types as T
 
 from situate import schemas
 from situate.functions import dates as D
-from situate.functions.context import context_flags, impression_items
+from situate.functions.context import CONTENT_PREFIXES, CONTEXT_PREFIXES, context_flags, impression_items
 from situate.functions.text import truncate_text
 from situate.operators import evaluation as EV
 from situate.operators import itemsets as IS
 from situate.operators import reconcile as RC
 from situate.operators import segments as SG
 from situate.operators import strategies as ST
+from situate.operators import wide_itemsets as WI
 from situate.operators.enrich import apply_user_segments, enrich_log
 from situate.operators.metrics import kpi_metrics, kpi_summary, log_counts, per_user_load, scenario_ctr
 from situate.operators.rows import conform_schema, dedupe_first, limit_rows
@@ -163,7 +164,7 @@ def q_transaction_matrix(spark, sf):
 
 @query("frequent_itemsets")
 def q_frequent_itemsets(spark, sf):
-    its = IS.frequent_itemsets(IS.itemset_cube(enriched_log(spark, sf)))
+    its = IS.frequent_itemsets(enriched_log(spark, sf))
     return rounded(its.select(_items_text(F.col("items")).alias("items"), "size", "n", "support", "ctr", "cvr"))
 
 
@@ -208,6 +209,38 @@ def q_rule_match(spark, sf):
     return rounded(IS.rule_match_counts(en, rules))
 
 
+def item_arrays(enriched: DataFrame, prefix: str = "") -> DataFrame:
+    """Transactions as item arrays: items, clicked, converted."""
+    items = impression_items(F.col("sky"), F.col("precip"), F.col("is_weekend"), F.col("creative_type"), F.col("category"))
+    return enriched.select(F.transform(items, lambda x: F.concat(F.lit(prefix), x)).alias("items"), "clicked", "converted")
+
+
+@query("rule_match_arrays")
+def q_rule_match_arrays(spark, sf):
+    """Rules that are nothing but arrays of items of other names; one has no items, one an item that never occurs."""
+    en = enriched_log(spark, sf)
+    rules = IS.mine_rules(en).select("rule_no", F.transform(F.concat("consequents", "antecedents"), lambda x: F.concat(F.lit("it's "), x)).alias("items"))
+    rules = rules.unionByName(spark.createDataFrame([(1_000_000, []), (1_000_001, ["it's sky_clear", "no such item"])], "rule_no int, items array<string>"))
+    return rounded(WI.rule_match_arrays(item_arrays(en, "it's "), rules))
+
+
+@query("rules_general")
+def q_rules_general(spark, sf):
+    """Context → content rules from item arrays alone: bitmap itemsets, then the splits that keep to the sides."""
+    itemsets = materialize(WI.mine_itemsets(item_arrays(enriched_log(spark, sf))))
+    rules = WI.numbered(WI.lattice_rules(itemsets, WI.starts_with_any(CONTEXT_PREFIXES), WI.starts_with_any(CONTENT_PREFIXES)))
+    return rounded(rules.select("rule_no", _items_text(F.col("antecedents")).alias("antecedents"), _items_text(F.col("consequents")).alias("consequents"),
+                                "n_matched", "support", "confidence", "lift", "kulczynski"))
+
+
+@query("rules_lattice")
+def q_rules_lattice(spark, sf):
+    """All rules, whatever the sides."""
+    rules = WI.lattice_rules(materialize(WI.mine_itemsets(item_arrays(enriched_log(spark, sf)))))
+    return rounded(rules.select(_items_text(F.col("antecedents")).alias("antecedents"), _items_text(F.col("consequents")).alias("consequents"), "n_matched",
+                                "support", "confidence", "lift"))
+
+
 # ---- strategies ----------------------------------------------------------------
 
 @query("strategy_score")

@@ -63,7 +63,7 @@ def _brute_force_itemsets(spark, enriched, min_support):
 
 def test_cube_equals_fpgrowth_and_brute_force(spark):
     en = enrich_log(A.v_log(spark, SF001), A.v_creative(spark, SF001))
-    cube = {tuple(r.items): r.n for r in IS.frequent_itemsets(IS.itemset_cube(en), 0.01).collect()}
+    cube = {tuple(r.items): r.n for r in IS.frequent_itemsets(en, 0.01).collect()}
     fp = {tuple(r.items): r.n for r in IS.frequent_itemsets_general(en, 0.01).collect()}
     brute = _brute_force_itemsets(spark, en, 0.01)
     assert cube == brute
@@ -72,7 +72,7 @@ def test_cube_equals_fpgrowth_and_brute_force(spark):
 
 def test_sf001_counts_match_survey_probe(spark):
     en = enrich_log(A.v_log(spark, SF01), A.v_creative(spark, SF01))
-    its = IS.frequent_itemsets(IS.itemset_cube(en))
+    its = IS.frequent_itemsets(en)
     assert its.count() == 496
     assert IS.association_rules(its, 0.0, 0.0).count() == 426
     rules = IS.association_rules(its)
