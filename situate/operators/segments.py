@@ -1,17 +1,17 @@
 """User features and segmentation.
 
-Features are one ``groupBy(user_id)`` of conditional averages. Scaling, KMeans and
-silhouettes run on Spark ML / DataFrames; the driver only loops over k and seeds.
+Features are one ``groupBy(user_id)`` of conditional averages, scaled by one attached row of statistics. The k search
+is :mod:`situate.operators.kmeans`.
 """
 
 from __future__ import annotations
 
-import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from situate.operators import kmeans as KM
 from situate.operators.joins import attach_row
 from situate.session import materialize
 
@@ -113,67 +113,6 @@ class SegmentationResult:
     best_silhouette: float
 
 
-def _assemble(scaled: DataFrame, columns=FEATURE_COLUMNS) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-
-    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(scaled)
-
-
-def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, restarts: int = 10, max_iter: int = 300):
-    """M2: KMeans with ``restarts`` seeds (seed, seed+1, ...) keeping the lowest training cost.
-
-    A fit that has not converged after ``max_iter`` iterations is reported as a warning."""
-    from pyspark.ml.clustering import KMeans
-
-    best = None
-    for r in range(max(restarts, 1)):
-        model = KMeans(k=k, seed=seed + r, maxIter=max_iter, featuresCol="features",
-                       predictionCol="cluster_raw").fit(vectors)
-        if model.summary.numIter >= max_iter:
-            warnings.warn(f"KMeans k={k}, seed {seed + r}: not converged after {max_iter} iterations", stacklevel=2)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    return best[1]
-
-
-def _stable_labels(model, assigned: DataFrame) -> DataFrame:
-    """M5: relabel clusters by sorted centroid so segment names do not depend on the seed."""
-    centers = [tuple(float(x) for x in c) for c in model.clusterCenters()]
-    order = sorted(range(len(centers)), key=lambda i: centers[i])
-    mapping = {raw: new for new, raw in enumerate(order)}
-    pairs = []
-    for raw, new in mapping.items():
-        pairs.extend([F.lit(raw), F.lit(new)])
-    return assigned.withColumn("cluster_id", F.element_at(F.create_map(*pairs), F.col("cluster_raw"))).drop("cluster_raw")
-
-
-def find_best_k(vectors: DataFrame, k_min: int = K_MIN, k_max: int = K_MAX, seed: int = SEED,
-                restarts: int = 10) -> tuple[int, dict]:
-    """M4: the best k and the score of each k; see :func:`search_k`."""
-    best_k, scores, _ = search_k(vectors, k_min, k_max, seed, restarts)
-    return best_k, scores
-
-
-def search_k(vectors: DataFrame, k_min: int = K_MIN, k_max: int = K_MAX, seed: int = SEED, restarts: int = 10):
-    """M4: k in [k_min, k_max] by squared-Euclidean silhouette (strict >: smallest k wins ties)."""
-    n = vectors.count()
-    if n <= k_max:
-        raise ValueError(f"number of users ({n}) must exceed k_max ({k_max})")
-    from pyspark.ml.evaluation import ClusteringEvaluator
-
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_raw",
-                                    distanceMeasure="squaredEuclidean")
-    best_k, best_score, scores, best = k_min, -1.0, {}, None
-    for k in range(k_min, k_max + 1):
-        model = fit_kmeans(vectors, k, seed, restarts)
-        score = float(evaluator.evaluate(model.transform(vectors)))
-        scores[k] = score
-        if best is None or score > best_score:
-            best_k, best_score, best = k, score, model
-    return best_k, scores, best
-
-
 def segmentation_checks(result: SegmentationResult, slack: float = 0.01) -> DataFrame:
     """One row: users, k within the range, cluster sizes adding up, names in centroid order, and all but
     ``slack`` of the users nearest to the mean of their own cluster."""
@@ -195,13 +134,21 @@ def segmentation_checks(result: SegmentationResult, slack: float = 0.01) -> Data
 
 def cluster_users(enriched: DataFrame, k_min: int = K_MIN, k_max: int = K_MAX, seed: int = SEED,
                   restarts: int = 10) -> SegmentationResult:
-    """M6 ``cluster_users``: features → z-score → k search → fit → labelled users."""
-    # the scaled table is read by every fit (k values × restarts): materialise it once in the
-    # checkpoint folder, so neither reuse nor a lost executor re-aggregates the log
+    """M6 ``cluster_users``: features → z-score → k search → labelled users.
+
+    All fits of all k run as one (:mod:`situate.operators.kmeans`); of each k the least cost counts, of
+    the k in [k_min, k_max] the best squared-Euclidean silhouette (strict >: smallest k wins ties). Clusters are numbered by centroid.
+    A row of log without a user forms no segment."""
+    # read by every pass: materialised once in the checkpoint folder, so neither reuse nor a lost executor
+    # re-aggregates the log
     feats = materialize(user_features(enriched))
-    vectors = materialize(_assemble(zscore(feats)).select("user_id", "features"))
-    best_k, scores, model = search_k(vectors, k_min, k_max, seed, restarts)
-    assigned = _stable_labels(model, model.transform(vectors).select("user_id", "cluster_raw"))
-    segs = assigned.withColumn("user_segment", F.format_string("segment_%d", F.col("cluster_id")))
-    users = feats.join(segs, "user_id", "left")
+    points = materialize(zscore(feats).where("user_id is not null").select(F.col("user_id").alias("id"), F.array(*FEATURE_COLUMNS).alias("v")))
+    n = points.count()
+    if n <= k_max:
+        raise ValueError(f"number of users ({n}) must exceed k_max ({k_max})")
+    fits = {k: KM.ordered(c) for k, (_, c) in KM.fit_sets(points, list(range(k_min, k_max + 1)), restarts, seed).items()}
+    scores = KM.silhouettes(points, fits)
+    best_k = max(sorted(scores), key=lambda k: scores[k])
+    segs = KM.assign(points, fits[best_k]).withColumnRenamed("id", "user_id")
+    users = feats.join(segs.withColumn("user_segment", F.format_string("segment_%d", F.col("cluster_id"))), "user_id", "left")
     return SegmentationResult(users, best_k, scores, scores[best_k])

@@ -722,3 +722,63 @@ ORACLE_SQL["apply_segments"] = with_(V_LOG) + """SELECT impression_id, user_id,
   CASE WHEN user_id % 7 <> 0 THEN printf('segment_%d', user_id % 4) END AS user_segment FROM v_log"""
 ORACLE_SQL["segment_invariants"] = with_(V_LOG) + """SELECT count(DISTINCT user_id) AS n_users, true AS k_in_range, true AS k_clusters,
   true AS sizes_add_up, true AS named_in_order, true AS nearest_mean FROM v_log"""
+
+# ---- the k search -------------------------------------------------------------------------
+# seeds by the same hash race, rounds of all sets in one recursion, silhouettes over all pairs
+
+_X = [f"x{i}" for i in range(len(FEATURES))]
+_XS = ", ".join(_X)
+
+
+def _far(a: str, b: str) -> str:
+    return " + ".join(f"({a}.{x} - {b}.{x}) * ({a}.{x} - {b}.{x})" for x in _X)
+
+
+def _u(r: str, j: str) -> str:
+    return f"((CAST(('0x' || substr(md5('42|' || {r} || '|' || {j} || '|' || id), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0)"
+
+
+K_SEARCH = f"""pts AS MATERIALIZED (SELECT user_id AS id, """ + ", ".join(
+    f"CASE WHEN stddev_pop({c}) OVER () > 0 THEN ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () ELSE 0.0 END AS {x}" for c, x in zip(FEATURES, _X)) + f""" FROM uf),
+race AS (
+  SELECT 0 AS j, r, id, {_XS}, CAST('inf' AS DOUBLE) AS far, row_number() OVER (PARTITION BY r ORDER BY -ln({_u('r', '0')}), id) = 1 AS won
+  FROM pts, (SELECT unnest(range(10)) AS r)
+  UNION ALL
+  SELECT j + 1, r, id, {_XS}, far, row_number() OVER (PARTITION BY r ORDER BY CASE WHEN far > 0 THEN -ln({_u('r', '(j + 1)')}) / far ELSE 'inf' END, id) = 1
+  FROM (SELECT p.j, p.r, p.id, {', '.join('p.' + x for x in _X)}, least(p.far, {_far('p', 'w')}) AS far
+        FROM race p JOIN race w ON w.won AND w.r = p.r WHERE p.j < 5)),
+lloyd AS (
+  SELECT 0 AS it, k, r, j AS c, {_XS} FROM race, (SELECT unnest([3, 4, 5, 6]) AS k) WHERE won AND j < k
+  UNION ALL
+  SELECT l.it + 1, l.k, l.r, l.c, {', '.join(f'coalesce(a.{x}, l.{x})' for x in _X)}
+  FROM lloyd l LEFT JOIN (
+    SELECT k, r, c, {', '.join(f'avg({x}) AS {x}' for x in _X)}
+    FROM (SELECT p.*, m.k, m.r, m.c, row_number() OVER (PARTITION BY m.k, m.r, p.id ORDER BY {_far('p', 'm')}, m.c) AS rn FROM pts p, lloyd m)
+    WHERE rn = 1 GROUP BY k, r, c) a ON a.k = l.k AND a.r = l.r AND a.c = l.c
+  WHERE l.it < 100),
+ended AS MATERIALIZED (
+  SELECT l.k, l.r, p.id, l.c, {_far('p', 'l')} AS far FROM pts p, lloyd l WHERE it = 100
+  QUALIFY row_number() OVER (PARTITION BY l.k, l.r, p.id ORDER BY {_far('p', 'l')}, l.c) = 1),
+fit AS MATERIALIZED (SELECT k, arg_min(r, cost * 1000000 + r / 1000000.0) AS r FROM (SELECT k, r, round(sum(far), 6) AS cost FROM ended GROUP BY k, r) GROUP BY k),
+names AS (SELECT l.k, c, CAST(row_number() OVER (PARTITION BY l.k ORDER BY {_XS}) - 1 AS INTEGER) AS cluster_id FROM lloyd l JOIN fit ON fit.k = l.k AND fit.r = l.r WHERE it = 100),
+lab AS MATERIALIZED (SELECT e.k, e.id, cluster_id FROM ended e JOIN fit ON fit.k = e.k AND fit.r = e.r JOIN names n ON n.k = e.k AND n.c = e.c),
+away AS (
+  SELECT a.k, a.id, a.cluster_id AS own, b.cluster_id AS other, sum({_far('p', 'q')}) AS total, count(*) AS n
+  FROM lab a JOIN lab b ON a.k = b.k JOIN pts p ON p.id = a.id JOIN pts q ON q.id = b.id GROUP BY ALL),
+score AS (
+  SELECT k, avg(CASE WHEN n_own > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0.0 END) AS silhouette
+  FROM (SELECT k, id, max(CASE WHEN own = other THEN n END) AS n_own, max(CASE WHEN own = other THEN total / greatest(n - 1, 1) END) AS a,
+               min(CASE WHEN own <> other THEN total / n END) AS b FROM away GROUP BY k, id) GROUP BY k),
+best AS (SELECT k, silhouette FROM score ORDER BY silhouette DESC, k LIMIT 1)"""
+_SEARCH = "WITH RECURSIVE " + ",\n".join([V_CREATIVE, V_LOG, ENRICHED, USER_FEATURES, K_SEARCH]) + "\n"
+ORACLE_SQL["best_k"] = _SEARCH + """SELECT CAST(best.k AS INTEGER) AS best_k, round(silhouette, 6) AS best_silhouette, count(DISTINCT cluster_id) AS n_segments, count(*) AS n_users
+FROM best JOIN lab USING (k) GROUP BY ALL"""
+ORACLE_SQL["kmeans_segments"] = _SEARCH + """SELECT id AS user_id, cluster_id, printf('segment_%d', cluster_id) AS user_segment FROM best JOIN lab USING (k)"""
+ORACLE_SQL["silhouette_exact"] = """WITH away AS (
+  SELECT a.vec_id, a.label, b.label AS other, sum(sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding),
+           lambda z: (CAST(z[1] AS DOUBLE) - z[2]) * (CAST(z[1] AS DOUBLE) - z[2]))))) AS total, count(*) AS n
+  FROM embeddings a, embeddings b GROUP BY ALL),
+ab AS (
+  SELECT vec_id, label, max(CASE WHEN other = label THEN n END) AS n_own, max(CASE WHEN other = label THEN total / greatest(n - 1, 1) END) AS a,
+         min(CASE WHEN other <> label THEN total / n END) AS b FROM away GROUP BY vec_id, label)
+SELECT vec_id, label, round(CASE WHEN n_own > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0.0 END, 6) AS silhouette FROM ab"""

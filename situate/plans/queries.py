@@ -18,6 +18,7 @@ from situate.functions.context import CONTENT_PREFIXES, CONTEXT_PREFIXES, contex
 from situate.functions.text import truncate_text
 from situate.operators import evaluation as EV
 from situate.operators import itemsets as IS
+from situate.operators import kmeans as KM
 from situate.operators import reconcile as RC
 from situate.operators import segments as SG
 from situate.operators import strategies as ST
@@ -437,6 +438,11 @@ def q_silhouette_points(spark, sf):
     return rounded(SG.squared_silhouette(emb, "embedding", "label", "vec_id"))
 
 
+@query("silhouette_exact")
+def q_silhouette_exact(spark, sf):
+    return rounded(KM.silhouette_exact(read_table(spark, sf, "embeddings"), "embedding", "label", "vec_id"))
+
+
 @query("kmeans_segments")
 def q_kmeans_segments(spark, sf):
     res = SG.cluster_users(enriched_log(spark, sf))
