@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from situate.functions.formatting import py_float_repr
+from situate.operators.rows import first_rows
 
 # ---- fixed values: tolerance, checked metrics (in order) and issue texts ------
 METRIC_TOLERANCE = 1e-6
@@ -17,8 +18,7 @@ METRIC_MISMATCH = " 불일치"
 
 def merge_narratives(strategies: DataFrame, narratives: DataFrame) -> DataFrame:
     """Operational reason by strategy id (last narrative per id wins), else the strategy's own reason."""
-    last = narratives.groupBy("strategy_id").agg(
-        F.max_by("operational_reason", "ordinal").alias("__narrative"))
+    last = first_rows(narratives.where("ordinal is not null"), ["strategy_id"], [F.desc("ordinal")]).select("strategy_id", F.col("operational_reason").alias("__narrative"))
     j = strategies.join(last, "strategy_id", "left")
     return j.withColumn("operational_reason", F.coalesce(F.col("__narrative"), F.col("reason"))).drop("__narrative")
 
@@ -33,7 +33,7 @@ def metric_issues(truth: DataFrame, reported: DataFrame, tolerance: float = METR
     exceeds the tolerance); of several truths of one id the last by ``ordinal`` counts.
     """
     if "ordinal" in truth.columns:  # the last truth of an id counts
-        truth = truth.groupBy("strategy_id").agg(F.max_by(F.struct(*CHECKED_METRICS), "ordinal").alias("__t")).select("strategy_id", "__t.*")
+        truth = first_rows(truth.where("ordinal is not null"), ["strategy_id"], [F.desc("ordinal")])
     t = truth.select("strategy_id", F.lit(True).alias("__known"), *[F.col(m).alias(f"t_{m}") for m in CHECKED_METRICS])
     j = reported.join(t, "strategy_id", "left")
     check_t = "struct<metric_pos:int,metric:string,expected:double,actual:double>"

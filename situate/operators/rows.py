@@ -24,22 +24,22 @@ def conform_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
+def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """The first row of each key in ``order``, all columns. Null keys form their own group.
+
+    A window with row limit 1: each task keeps one row a key before the shuffle (``WindowGroupLimit``), so a hot key
+    reaches its task as one row from each task."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__first", F.row_number().over(w)).where(F.col("__first") == 1).drop("__first")
+
+
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep the first row per key in ``order`` (``drop_duplicates(keep='first')``).
 
-    One aggregate with ``min_by``: partial aggregation on the map side keeps a hot key
-    down to one row per task before the shuffle. Null keys form their own group, as in pandas.
-    """
-    keys = list(keys)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    if len(order_cols) == 1:  # min_by would skip a null order key and lose its row
-        order_cols = [F.coalesce(order_cols[0], F.raise_error(F.lit("dedupe_first: null order key")))]
-    order_key = F.struct(*order_cols) if len(order_cols) > 1 else order_cols[0]
-    others = [c for c in df.columns if c not in keys]
-    if not others:
+    Null keys form their own group, as in pandas; a null order value comes last."""
+    if not [c for c in df.columns if c not in keys]:
         return df.select(*keys).distinct()
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*others), order_key).alias("__row"))
-    return picked.select(*keys, "__row.*").select(*df.columns)
+    return first_rows(df, keys, [(F.col(o) if isinstance(o, str) else o).asc_nulls_last() for o in order])
 
 
 def sequential_index(df: DataFrame, order: Sequence[str], name: str = "seq") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from situate.functions.scoring import hash_uniform
+from situate.operators.rows import first_rows
 
 
 def race_key(weight: Column, seed: int, *row_id: Column) -> Column:
@@ -21,13 +22,11 @@ def weighted_choice(df: DataFrame, keys: Sequence[str], weight: Column, row_id:
                     seed: int = 42) -> DataFrame:
     """One row per key, chosen with probability ∝ weight; same pick on retry or repartition.
 
-    A single ``min_by`` aggregate: partial aggregation keeps one candidate per key per task. Equal
-    race keys are decided by the row id; a key without a positive weight has a null pick.
+    Each task keeps one candidate a key before the shuffle. Equal race keys are decided by the row id; a key
+    without a positive weight has a null pick.
     """
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
     race = race_key(weight, seed, *[F.col(k) for k in keys], *[F.col(r) for r in row_id])
-    order = F.when(F.col("__race").isNotNull(), F.struct("__race", *row_id))
-    picked = df.withColumn("__race", race).groupBy(*keys).agg(
-        F.min_by(F.struct(*others, F.col("__race").alias("race_key")), order).alias("__row"))
-    return picked.select(*keys, "__row.*")
+    picked = first_rows(df.withColumn("race_key", race), keys, [F.col("race_key").asc_nulls_last(), *row_id])
+    return picked.select(*keys, *[F.when(F.col("race_key").isNotNull(), F.col(c)).alias(c) for c in others], "race_key")

@@ -113,28 +113,23 @@ def transform_tour(raw: DataFrame, keep_ordinal: bool = True) -> DataFrame:
 def transform_weather(raw: DataFrame) -> DataFrame:
     """A7 ``transform_weather``: long forecast rows → one wide row per forecast key.
 
-    First non-null value per (key, category) in ingest order (``min_by`` over the ordinal,
-    partial aggregation before the shuffle); null keys and keys without any value are dropped;
-    all six measure columns are always present (null when a category never occurs).
+    First non-null value per (key, category) in ingest order; null keys and keys without any value are dropped;
+    all six measure columns are always present (null when a category never occurs). Values become numbers before the
+    aggregate, so its buffers have a fixed width and nothing is sorted: a text that is no number still is the first value.
     """
     r = conform_schema(raw, schemas.RAW_WEATHER)
     keys = ["baseDate", "baseTime", "fcstDate", "fcstTime"]
-    r = r.where(F.col("category").isin(*FORECAST_CATEGORIES.keys()))
+    r = r.where(F.col("category").isin(*FORECAST_CATEGORIES.keys()) & F.col("fcstValue").isNotNull())
     r = r.where(F.col("baseDate").isNotNull() & F.col("baseTime").isNotNull()
                 & F.col("fcstDate").isNotNull() & F.col("fcstTime").isNotNull())
-    value, ordinal = F.col("fcstValue"), F.col("ordinal")
-    aggs = [
-        F.min_by(F.when(F.col("category") == code, value),
-                 F.when((F.col("category") == code) & value.isNotNull(), ordinal)).alias(name)
-        for code, name in FORECAST_CATEGORIES.items()
-    ]
-    wide = r.groupBy(*keys).agg(*aggs)
+    r = r.select(*keys, "category", "ordinal", coerce_double(F.col("fcstValue")).alias("__value"))
+    at = {name: F.when(F.col("category") == code, F.col("ordinal")) for code, name in FORECAST_CATEGORIES.items()}
+    wide = r.groupBy(*keys).agg(*[F.min_by("__value", place).alias(name) for name, place in at.items()], *[F.min(place).alias(f"__at_{name}") for name, place in at.items()])
     measures = list(FORECAST_CATEGORIES.values())
-    wide = wide.where(F.greatest(*[F.col(m).isNotNull() for m in measures]))
+    wide = wide.where(F.greatest(*[F.col(f"__at_{m}").isNotNull() for m in measures]))
     wide = wide.select(
         F.col("baseDate").alias("base_date"), F.col("baseTime").alias("base_time"),
-        F.col("fcstDate").alias("fcst_date"), F.col("fcstTime").alias("fcst_time"),
-        *[coerce_double(F.col(m)).alias(m) for m in measures],
+        F.col("fcstDate").alias("fcst_date"), F.col("fcstTime").alias("fcst_time"), *measures,
     )
 
     def code_name(col, mapping):

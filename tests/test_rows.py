@@ -22,6 +22,13 @@ def test_dedupe_first(spark):
     assert got == {"a": "early", "b": "only", None: "n0"}
 
 
+def test_dedupe_first_with_null_order_and_many_types(spark):
+    """A null order value comes last, rows of one key are never lost."""
+    df = spark.createDataFrame([("a", None, "x", [1]), ("a", 2, "y", [2]), ("b", None, "z", None)], "k string, ord int, v string, w array<int>")
+    assert {r.k: (r.v, r.w) for r in dedupe_first(df, ["k"], ["ord"]).collect()} == {"a": ("y", [2]), "b": ("z", None)}
+    assert dedupe_first(df, ["k"], ["ord"]).columns == df.columns and dedupe_first(df.where("false"), ["k"], ["ord"]).count() == 0
+
+
 def test_conform_schema(spark):
     df = spark.createDataFrame([("1", "t")], "contentid string, title string")
     out = conform_schema(df, schemas.RAW_TOUR)
