@@ -679,6 +679,22 @@ SELECT p.feed, p.start_index, p.end_index, 'short' AS status, CAST(l.n_items AS
 FROM plan2 p JOIN landed l ON l.feed = p.feed AND l.start_index = p.start_index
 WHERE l.n_items < p.end_index - p.start_index + 1"""
 
+_N_ITEMS = "CASE WHEN page_id % 19 = 0 THEN 0 WHEN page_id % 13 = 0 THEN 1 ELSE n_rows END"
+ORACLE_SQL["landing_gaps_ranges"] = with_(PAGES) + f""", tgt AS (SELECT feed, CAST(sum(n_rows) AS BIGINT) AS target FROM pgs GROUP BY feed),
+want AS (SELECT feed, unnest(range(1, target + 1)) AS p FROM tgt),
+have AS (
+  SELECT DISTINCT feed, unnest(range(a, a + n)) AS p
+  FROM (SELECT feed, CAST(floor(page_id / 3) * 100 + 1 + CASE page_id % 5 WHEN 1 THEN 7 WHEN 2 THEN -13 ELSE 0 END AS BIGINT) AS a, {_N_ITEMS} AS n FROM pgs WHERE ok)),
+miss AS (SELECT feed, p, p - row_number() OVER (PARTITION BY feed ORDER BY p) AS island FROM (SELECT * FROM want EXCEPT SELECT * FROM have))
+SELECT feed, min(p) AS first, max(p) AS last, count(*) AS n_missing FROM miss GROUP BY feed, island"""
+ORACLE_SQL["landing_quarantine"] = with_(PAGES) + """SELECT page_id, feed, item_pos, problem
+FROM (SELECT p.page_id, s.feed, CAST(ROW_NUMBER() OVER (PARTITION BY p.page_id ORDER BY p.event_id) - 1 AS INTEGER) AS item_pos,
+             CASE WHEN p.page_id % 4 = 1 AND p.event_id % 10 = 7 THEN 'not an item of the schema'
+                  WHEN p.page_id % 4 = 2 AND p.event_id % 10 = 3 THEN 'not an object' END AS problem
+      FROM pg p JOIN pgs s ON p.page_id = s.page_id
+      WHERE s.ok AND p.page_id % 19 <> 0 AND (p.page_id % 13 <> 0 OR p.event_id = s.first_id))
+WHERE problem IS NOT NULL"""
+
 # ---- digest ------------------------------------------------------------------------------
 
 _BULLET = (f"CAST(rank AS VARCHAR) || '. ' || strategy_line || ' (CTR +' || {_fixed('expected_ctr_gain * 100', 1)} || '%, lift '"

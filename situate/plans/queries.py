@@ -638,6 +638,30 @@ def q_landing_gaps(spark, sf):
     return LD.landing_gaps(dec, A.PAGE_SIZE, targets)
 
 
+def shifted_pages(spark, sf) -> DataFrame:
+    """Landed pages that don't keep to the plan: some start late, some early (and overlap), some came twice."""
+    pages = A.v_pages_landed(spark, sf)
+    page = F.col("page_id")
+    shift = F.when(page % 5 == 1, 7).when(page % 5 == 2, -13).otherwise(0)
+    pages = pages.withColumn("start_index", F.col("start_index") + shift)
+    return pages.unionByName(pages.where(page % 11 == 0).withColumn("declared_rows", F.lit(0).cast("long")))
+
+
+@query("landing_gaps_ranges")
+def q_landing_gaps_ranges(spark, sf):
+    return LD.landing_gaps_ranges(LD.decode_pages(shifted_pages(spark, sf), ITEM_SCHEMA))
+
+
+@query("landing_quarantine")
+def q_landing_quarantine(spark, sf):
+    """Pages in which an item is damaged: a text instead of an object, a mistyped id, a null."""
+    pages, page = A.v_pages_landed(spark, sf), F.col("page_id")
+    damaged = (F.when(page % 4 == 1, F.regexp_replace("body", r'"event_id":(\d*7),', r'"event_id":"x$1",'))
+               .when(page % 4 == 2, F.regexp_replace("body", r'\{"event_id":\d*3,[^}]*\}', r'"oops"')).otherwise(F.col("body")))
+    bad = LD.quarantined_items(LD.decode_pages(pages.withColumn("body", damaged), ITEM_SCHEMA))
+    return bad.select("page_id", "feed", "item_pos", "problem")
+
+
 @query("stream_clean_events")
 def q_stream_clean_events(spark, sf):
     from situate.streaming.ingest import start_clean_stream
