@@ -18,6 +18,15 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn(key, F.lit(0)).join(F.broadcast(one_row.withColumn(key, F.lit(0))), key).drop(key)
 
 
+def merge_rows(*parts: DataFrame) -> DataFrame:
+    """One row of the columns of several one-row DataFrames (names differ), without a join: their union, then
+    the value of each column that a part has. At most one row a part meets in one task."""
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part, allowMissingColumns=True)
+    return every.agg(*[F.first(f"`{c}`", ignorenulls=True).alias(c) for c in every.columns])
+
+
 def small_enough(df: DataFrame) -> bool:
     """Whether Spark's own size estimate lets it broadcast ``df``: then a join shuffles nothing."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

@@ -43,13 +43,16 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
 
 
 def sequential_index(df: DataFrame, order: Sequence[str], name: str = "seq") -> DataFrame:
-    """0-based position of each row in ``order`` without a single-partition window.
+    """0-based position of each row in ``order`` without a single-partition window, carried by the row itself.
 
     Range-partition on the order, number rows inside each partition, and add the
     running count of the preceding partitions (a table of one row per partition,
-    so its broadcast is bounded by the partition count).
+    so its broadcast is bounded by the partition count). Nulls come last, equal rows in the order of the
+    input: that place is part of the range, so many equal or null values still spread over tasks.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = [*[F.col(c).asc_nulls_last() for c in order], F.col("__place")]
+    placed = df.withColumn("__place", F.monotonically_increasing_id())
+    ranged = placed.repartitionByRange(*ordered).sortWithinPartitions(*ordered).drop("__place")
     # written once, so that the counts and the numbered rows see the same partitions
     tagged = materialize(ranged.withColumn("__mid", F.monotonically_increasing_id()))
     tagged = tagged.withColumn("__part", F.shiftright("__mid", 33))

@@ -650,6 +650,7 @@ FROM documents"""
 
 ORACLE_SQL["scan_csv_roundtrip"] = BASE + """SELECT impression_id, user_id, creative_id, clicked, converted, sky, precip, is_weekend
 FROM enr"""
+ORACLE_SQL["scan_csv_ranges"] = "SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents"
 ORACLE_SQL["scan_latest"] = with_(V_LOG) + "SELECT impression_id, user_id, clicked FROM v_log"
 ORACLE_SQL["sink_snapshot"] = with_(V_CREATIVE) + "SELECT creative_id, creative_type, title, category, has_image, is_free FROM v_creative"
 
@@ -725,7 +726,7 @@ ORACLE_SQL["critic_verdict"] = with_(TRUTH) + """SELECT approved, n_issues, summ
   || CASE WHEN length(summary) > 180 THEN substr(summary, 1, 177) || '...' ELSE summary END ELSE '' END AS agent_section
 FROM (SELECT (SELECT count(*) FROM issues) = 0 AS approved,
              (SELECT count(*) FROM issues) + (SELECT count(*) FROM truth WHERE ordinal % 9 = 0) AS n_issues,
-             (SELECT coalesce(nullif(trim(max(text), E' \\t\\n\\r'), ''), trim(min(text), E' \\t\\n\\r')) FROM conversations) AS summary)"""
+             (SELECT coalesce(nullif(trim(arg_max(text, ROW(length(text), text)), E' \\t\\n\\r'), ''), trim(min(text), E' \\t\\n\\r')) FROM conversations) AS summary)"""
 ORACLE_SQL["agent_display"] = FLAGSHIP + f""", narr AS (
   SELECT printf('strategy_%03d', conv_id % 150) AS sid, arg_max(text, conv_id * 1000 + turn) AS narrative FROM conversations GROUP BY 1)
 SELECT strategy_line AS "전략", condition_text AS "상황 조건", action_text AS "추천 액션", {_fixed('strategy_score', 3)} AS "전략 점수",

@@ -146,13 +146,10 @@ def transform_weather(raw: DataFrame) -> DataFrame:
 def event_creatives(events: DataFrame) -> DataFrame:
     """P5/P6 ``build_event_creatives``: ``event_{position:06d}`` by ingest order, event → creative schema.
 
-    The position is computed on the ordinal alone (column pruning keeps the cleaning out of
-    that pass) and joined back on the ordinal, which is unique per ingested row.
+    The rows carry their number: they are range-partitioned by ordinal once, nothing is joined back, so null and
+    repeated ordinals keep all their rows (nulls last).
     """
-    index = sequential_index(events.select("ordinal"), ["ordinal"], "__seq")
-    indexed = events.join(index, "ordinal")
-    return indexed.select(
-        F.format_string("event_%06d", F.col("__seq")).alias("creative_id"),
+    rows = events.select(
         F.lit("event").alias("creative_type"),
         "title",
         F.col("guname").alias("district"),
@@ -162,6 +159,8 @@ def event_creatives(events: DataFrame) -> DataFrame:
         coerce_double(F.col("lot")).alias("longitude"),
         F.col("ordinal"),
     )
+    numbered = sequential_index(rows, ["ordinal"], "__seq")
+    return numbered.select(F.format_string("event_%06d", F.col("__seq")).alias("creative_id"), *rows.columns)
 
 
 def tour_creatives(tour: DataFrame) -> DataFrame:

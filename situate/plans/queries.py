@@ -300,7 +300,7 @@ def q_digest(spark, sf):
     _, kpis, strategies = _pipeline(spark, sf)
     contexts = CL.context_catalog(CL.transform_weather(A.v_raw_weather(spark, sf)))
     truth = A.v_metrics_truth(spark, sf)
-    issues = RC.metric_issues(truth, A.v_metrics_reported(truth))
+    issues = materialize(RC.metric_issues(truth, A.v_metrics_reported(truth)).select("strategy_id", "issue"))
     decision = strategies.agg(F.lit(True).alias("approved"), F.lit("  ").alias("revised_summary"),
                               F.max(F.when(F.col("rank") == 1, F.col("strategy_name"))).alias("recommendation"))
     verdict = RP.critic_verdict(issues, issues, decision)
@@ -309,12 +309,13 @@ def q_digest(spark, sf):
 
 @query("critic_verdict")
 def q_critic_verdict(spark, sf):
-    """A model that approves every report, with its own issues; the longest revision of a conversation counts."""
+    """A model that approves every report, with its own issues; the longest revision (of equal ones the last) counts."""
     truth = A.v_metrics_truth(spark, sf)
     found = materialize(RC.metric_issues(truth, A.v_metrics_reported(truth)).select("strategy_id", "issue"))
     model = truth.where(F.col("ordinal") % 9 == 0).select("strategy_id", F.lit("근거 부족").alias("issue"))
     talk = read_table(spark, sf, "conversations")
-    decision = talk.agg(F.lit(True).alias("approved"), F.max("text").alias("revised_summary"), F.min("text").alias("recommendation"))
+    longest = F.max(F.struct(F.length("text").alias("n"), "text"))["text"]
+    decision = talk.agg(F.lit(True).alias("approved"), longest.alias("revised_summary"), F.min("text").alias("recommendation"))
     verdict = RP.critic_verdict(found, RC.merge_issues(found, model), decision)
     return verdict.withColumn("agent_section", RP.agent_section(F.col("approved"), F.col("n_issues"), F.col("summary")))
 
@@ -538,7 +539,7 @@ def q_unknown_ids(spark, sf):
 @query("merge_issues")
 def q_merge_issues(spark, sf):
     truth = A.v_metrics_truth(spark, sf)
-    py = RC.metric_issues(truth, A.v_metrics_reported(truth))
+    py = materialize(RC.metric_issues(truth, A.v_metrics_reported(truth)).select("strategy_id", "ordinal", "issue"))
     # model issues: repeats of every python issue on even suppliers plus one new issue per 9th supplier
     model = py.where(F.col("ordinal") % 2 == 0).select("strategy_id", "issue").unionByName(
         truth.where(F.col("ordinal") % 9 == 0).select("strategy_id", F.lit("근거 부족").alias("issue")))
@@ -592,6 +593,14 @@ def q_scan_csv(spark, sf):
         "impression_id", "user_id", "creative_id", "clicked", "converted", "sky", "precip", "is_weekend"))
 
 
+@query("scan_csv_ranges")
+def q_scan_csv_ranges(spark, sf):
+    """Whole texts with line breaks and quotes through CSV, read back in byte ranges."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = FS.write_csv(docs, scratch_path(spark, "documents_csv"))
+    return FS.scan_csv_parallel(spark, path, docs.schema)
+
+
 @query("scan_latest")
 def q_scan_latest(spark, sf):
     folder = scratch_path(spark, "snapshots")

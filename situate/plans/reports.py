@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from situate.functions.formatting import fixed, percent, thousands
 from situate.functions.labels import clause_natural, strategy_line, strategy_natural
 from situate.functions.text import py_strip, truncate_text
-from situate.operators.joins import attach_row
+from situate.operators.joins import attach_row, merge_rows
 
 # ---- fixed values: display labels -------------------------------------------
 DISPLAY_COLUMN_LABELS = {
@@ -109,7 +109,7 @@ def critic_verdict(metric_issues: DataFrame, merged_issues: DataFrame, decision:
 
     ``decision``: one row of ``approved``, ``revised_summary``, ``recommendation``; a null approval
     doesn't approve, null texts are empty."""
-    row = attach_row(attach_row(decision, metric_issues.agg(F.count("*").alias("__found"))), merged_issues.agg(F.count("*").alias("n_issues")))
+    row = merge_rows(decision, metric_issues.agg(F.count("*").alias("__found")), merged_issues.agg(F.count("*").alias("n_issues")))
     text = lambda c: F.coalesce(py_strip(F.col(c)), F.lit(""))
     return row.select((F.coalesce("approved", F.lit(False)) & (F.col("__found") == 0)).alias("approved"), "n_issues",
                       F.coalesce(F.nullif(text("revised_summary"), F.lit("")), text("recommendation")).alias("summary"))
@@ -130,15 +130,13 @@ def digest_sections(kpis_and_counts: DataFrame, creatives: DataFrame, contexts:
     Inputs: one-row KPI table, the two catalogs (counted), ranked strategies, and the row of
     :func:`critic_verdict`.
     """
-    counts = creatives.agg(F.count("*").alias("n_creatives"))
-    counts = attach_row(counts, contexts.agg(F.count("*").alias("n_contexts")))
     top = strategies.where(F.col("rank") <= TOP_STRATEGY_COUNT)
     bullet = F.concat(F.col("rank").cast("string"), F.lit(". "),
                       strategy_line(F.col("target_condition"), F.col("recommended_action")),
                       F.lit(" (CTR +"), fixed(F.col("expected_ctr_gain") * 100, 1), F.lit("%, lift "),
                       fixed(F.col("lift"), 2), F.lit(")"))
     bullets = top.agg(F.array_sort(F.collect_list(F.struct("rank", bullet.alias("b")))).alias("__b"))
-    row = attach_row(attach_row(attach_row(kpis_and_counts, counts), bullets), verdict)
+    row = merge_rows(kpis_and_counts, creatives.agg(F.count("*").alias("n_creatives")), contexts.agg(F.count("*").alias("n_contexts")), bullets, verdict)
     etl = F.concat(
         F.lit(KPI_HEADER + "\n노출 "), thousands(F.col("impression_count")), F.lit(" | CTR "), percent(F.col("ctr")),
         F.lit(" | CVR "), percent(F.col("cvr")), F.lit(" | CTCVR "), percent(F.col("ctcvr")),

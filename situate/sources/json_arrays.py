@@ -27,12 +27,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from situate.session import materialize
+from situate.sources.byte_ranges import PIECES, chunk_rows, ranges, record_batch, whole_texts
 
 CORRUPT = "_corrupt"
 QUOTE, ESCAPE, OPEN_ARRAY, CLOSE_ARRAY, OPEN_OBJECT, CLOSE_OBJECT = (ord(c) for c in '"\\[]{}')
 BLANK = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0D])
 PROFILE = "file string, start long, file_size long, bytes long, first int, state int, parity int, delta long, ends map<long,long>"
-PIECES = "file string, start long, record long, whole boolean, text string"
 
 
 def _chunk_bytes(column) -> tuple[np.ndarray, np.ndarray]:
@@ -64,27 +64,11 @@ def _steps(data: np.ndarray, quotes: np.ndarray, state: int) -> tuple[np.ndarray
     return np.cumsum(step), outside
 
 
-def _ranges(batch):
-    """(file, start, file size, first row, end row) of the runs of one byte range in a batch."""
-    files, starts, sizes = (batch.column(c).to_pylist() for c in ("file", "start", "size"))
-    i = 0
-    for j in range(1, len(files) + 1):
-        if j == len(files) or files[j] != files[i] or starts[j] != starts[i]:
-            yield files[i], starts[i], sizes[i], i, j
-            i = j
-
-
-def _table(rows, spec: str) -> pa.RecordBatch:
-    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "map<long,long>": pa.map_(pa.int64(), pa.int64())}
-    fields = [f.split(" ") for f in spec.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
-
-
 def _profile(batches):
     """Rows of PROFILE: one for each range of the partition and each state that may hold before it."""
     held: dict = {}  # a partition's ranges: a few numbers each
     for batch in batches:
-        for file, start, size, i, j in _ranges(batch):
+        for file, start, size, i, j in ranges(batch):
             data, _ = _chunk_bytes(batch.column("value").slice(i, j - i))
             quotes = _unescaped_quotes(data)
             seen = held.setdefault((file, start), {"size": size, "bytes": 0, "first": None, "parity": 0, "delta": [0, 0], "ends": [{}, {}]})
@@ -100,7 +84,7 @@ def _profile(batches):
             seen["parity"] ^= int(quotes.sum()) % 2
     rows = [(f, s, v["size"], v["bytes"], v["first"], state, v["parity"], v["delta"][state], list(v["ends"][state].items())) for (f, s), v in held.items() for state in (0, 1)]
     if rows:
-        yield _table(rows, PROFILE)
+        yield record_batch(rows, PROFILE)
 
 
 def _records(batches):
@@ -113,7 +97,7 @@ def _records(batches):
     for batch in batches:
         out: list[tuple] = []
         states, depths, before = (batch.column(c).to_pylist() for c in ("state", "depth", "before"))
-        for file, start, _, i, j in _ranges(batch):
+        for file, start, _, i, j in ranges(batch):
             if (file, start) != now:
                 if now and carry[3]:
                     row(out, False, carry[3])
@@ -132,16 +116,11 @@ def _records(batches):
             carry[3] += raw[at:]
             carry[0], carry[1] = (carry[0] + int(quotes.sum())) % 2, carry[1] + int(depth[-1])
         if out:
-            yield _table(out, PIECES)
+            yield record_batch(out, PIECES)
     if now and carry[3]:
         out = []
         row(out, False, carry[3])
-        yield _table(out, PIECES)
-
-
-def _chunks(spark: SparkSession, path: str) -> DataFrame:
-    text = spark.read.option("lineSep", "}").text(path)
-    return text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_size").alias("size"))
+        yield record_batch(out, PIECES)
 
 
 def range_states(chunks: DataFrame) -> DataFrame:
@@ -173,13 +152,11 @@ def scan_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> tu
     a sound record, else it says what is wrong with ``text``; all records of a broken file have one. An empty array has no records,
     a file without a byte is not among the broken ones (Spark doesn't open it).
     The table of ranges (one small row for each split of the input) is broadcast."""
-    chunks = _chunks(spark, path)
+    chunks = chunk_rows(spark, path, "}")
     states = materialize(range_states(chunks))
     known = chunks.join(F.broadcast(states.select("file", "start", "state", "depth", "before")), ["file", "start"], "left")
     pieces = known.select("file", "start", "size", "value", "state", "depth", "before").mapInArrow(_records, PIECES)
-    whole = pieces.where("whole").select("file", "record", "text")
-    parts = pieces.where("not whole").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("start", "text"))).alias("p"))
-    texts = whole.unionByName(parts.select("file", "record", F.array_join("p.text", "").alias("text")))
+    texts = whole_texts(pieces)
     files = states.groupBy("file").agg(F.bool_and(F.coalesce("sound", F.lit(False))).alias("sound"), F.bool_and("braced").alias("braced"))
     texts = texts.join(files.withColumn("rank", F.row_number().over(Window.orderBy("file")) - 1), "file")
     blank, mark, first = r"[\x20\x09\x0A\x0D]*", r"^\x{FEFF}?", F.col("record") == 0

@@ -130,3 +130,12 @@ def test_numeric_coercion_like_to_numeric(spark):
         coerce_double(F.col("v")).alias("d"), coerce_int(F.col("v")).alias("i")).collect()
     assert [r.d for r in rows] == [12.0, 1000.0, -0.5, 0.5, float("inf"), None, None, None, None, 7.9, 3e9]
     assert [r.i for r in rows] == [12, 1000, 0, 0, None, None, None, None, None, 7, None]
+
+
+def test_event_numbers_with_null_and_repeated_ordinals(spark):
+    """Every event keeps its row and gets a number of its own; null ordinals come last."""
+    rows = [(f"e{i}", o) for i, o in enumerate([5, None, 3, 5, None, 1])]
+    raw = spark.createDataFrame(rows, "TITLE string, ordinal long")
+    got = {r["title"]: r["creative_id"] for r in CL.event_creatives(CL.transform_events(raw)).collect()}
+    assert sorted(got.values()) == [f"event_{i:06d}" for i in range(6)]
+    assert got["e5"] == "event_000000" and got["e2"] == "event_000001" and {got["e1"], got["e4"]} == {"event_000004", "event_000005"}

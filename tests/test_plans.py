@@ -43,3 +43,10 @@ def test_first_row_by_order_without_sorted_aggregates(spark):
         plan = _executed(QUERIES[key](spark, SF001))
         assert "SortAggregate" not in plan, key
         assert "WindowGroupLimit" in plan or key == "weather_pivot"
+
+
+def test_digest_without_nested_loops(spark):
+    plan = _executed(QUERIES["digest_sections"](spark, SF001))
+    loops = plan.count("BroadcastNestedLoopJoin")
+    assert loops <= 2 and "CartesianProduct" not in plan  # one-row broadcasts to the cube
+    assert plan.count("FileScan parquet") <= 5
