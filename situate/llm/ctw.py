@@ -302,6 +302,20 @@ def _packed(batches):
         yield flush()
 
 
+def _packed_texts(batches):
+    """Rows of (block, ROW, size, data): a block's texts as compressed Arrow streams of at most one batch each."""
+    for batch in batches:
+        block = np.asarray(batch.column("block"))
+        cuts = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(block)) if len(block) else np.zeros(1, np.int64)
+        own = batch.select(["doc_id", "learn", "text"])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(own.slice(a, b - a))
+            yield pa.RecordBatch.from_arrays([pa.array(block[a:a + 1]), pa.array([ROW], pa.int32()), pa.array([b - a], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                             names=["block", "kind", "size", "data"])
+
+
 def _unpacked(kind: int, size: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
     of = np.dtype(np.float32 if kind == RUN else np.float64)
     raw = np.frombuffer(pa.decompress(data, decompressed_size=size * (8 + of.itemsize), codec="zstd", asbytes=True), np.uint8)
@@ -328,7 +342,8 @@ def _scores(depth: int):
                 for k in (RUN, WORD) if not tables else ():
                     parts = held.pop(k) or [(np.empty(0, np.uint64), np.empty(0, np.float64))]
                     tables[k] = _hash_table(np.concatenate([x for x, _ in parts]), np.concatenate([v for _, v in parts]))
-                for own, data, off in X.chunks([piece], "text"):
+                texts = (t for data in piece.column("data") for t in pa.ipc.open_stream(data.as_buffer()))
+                for own, data, off in X.chunks(texts, "text"):
                     low, starts, ends, first, hashes = X.words(data, off)
                     seq, at = sequence(low, starts, ends, first)
                     value = _find(tables[RUN], runs(seq, at, depth)).astype(np.float64)
@@ -336,13 +351,13 @@ def _scores(depth: int):
                     place, m = np.repeat(np.arange(len(count)), count), len(count)
                     yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("learn"), pa.array(count + 1, pa.int64()),
                                                       pa.array(np.bincount(place, weights=c > 0, minlength=m).astype(np.int64)),
-                                                      pa.array(np.bincount(place, weights=np.log10(c + 1), minlength=m).astype(np.float64)), pa.array(np.add.reduceat(value, at[:-1]))],
-                                                     names=["doc_id", "learn", "n_tokens", "known", "s", "score"])
+                                                      pa.array(np.bincount(place, weights=np.log10(c + 1), minlength=m).astype(np.float64)), pa.array(np.diff(at)), pa.array(np.add.reduceat(value, at[:-1]))],
+                                                     names=["doc_id", "learn", "n_tokens", "known", "s", "n_bytes", "score"])
     return run
 
 
 def score(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
-    """Per row: doc_id, learn, n_tokens, n_known, train_tokens, base_score, score (log10).
+    """Per row: doc_id, learn, n_tokens, n_known, train_tokens, bits_per_byte (code length), base_score, score (log10).
 
     ``learn``: a boolean expression, true for the rows to learn from; all rows are scored."""
     spark = docs.sparkSession
@@ -378,9 +393,9 @@ def score(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text"
 
     own = blocks.where(F.col("kind").isin(RUN, WORD)).select("block", "kind", "key").join(learnt, ["kind", "key"], "left")
     own = own.select("block", "kind", "key", F.coalesce("value", F.lit(0.0)).alias("value")).mapInArrow(_packed, "block long, kind int, size long, data binary")
-    own = own.select("*", F.lit(None).cast(ident).alias("doc_id"), F.lit(None).cast("boolean").alias("learn"), F.lit(None).cast("string").alias("text"))
-    texts_ = blocks.where(F.col("kind") == ROW).select("block", "kind", F.lit(None).cast("long").alias("size"), F.lit(None).cast("binary").alias("data"), "doc_id", "learn", "text")
-    each = own.union(texts_).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_scores(depth), f"doc_id {ident}, learn boolean, n_tokens long, known long, s double, score double")
+    texts_ = blocks.where(F.col("kind") == ROW).select("block", "doc_id", "learn", "text").mapInArrow(_packed_texts, "block long, kind int, size long, data binary")
+    each = own.union(texts_).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_scores(depth), f"doc_id {ident}, learn boolean, n_tokens long, known long, s double, n_bytes long, score double")
     end = math.log10(texts + 1)
     return each.select("doc_id", "learn", "n_tokens", (F.col("known") + int(texts > 0)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+                       (F.col("score") * -math.log2(10) / F.col("n_bytes")).alias("bits_per_byte"),
                        (F.col("s") + end - F.col("n_tokens") * math.log10(n + v + 1)).alias("base_score"), "score")
