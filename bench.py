@@ -23,7 +23,7 @@ HEADLINE = ["kpi_metrics_big", "user_features_big", "association_rules_big", "to
 OTHERS = ["kpi_metrics", "top_strategies", "enrich_log", "frequent_itemsets", "rule_match", "event_clean",
           "tour_clean", "weather_pivot", "creative_catalog", "context_catalog", "grade_cases", "eval_suite",
           "reconcile_metrics", "decode_envelope", "weighted_choice", "silhouette", "digest_sections"]
-LONG = ["kmeans_segments", "frequent_itemsets_general", "transaction_matrix", "scan_csv_roundtrip", "scan_raw_array"]  # timed once
+LONG = ["kmeans_segments", "frequent_itemsets_general", "transaction_matrix", "scan_csv_roundtrip", "scan_raw_array", "rule_match_arrays", "rules_general"]  # timed once
 
 
 def run(spark, name, sf_dir):
