@@ -29,6 +29,7 @@ from situate.functions.lookups import (
 )
 from situate.functions.text import coerce_double, coerce_int, has_text, infer_is_free, join_address, py_strip
 from situate.operators.rows import conform_schema, dedupe_first, sequential_index
+from situate.session import scratch_path
 
 # ---- fixed values: raw column → clean column of the two feeds ----
 EVENT_RENAME = {
@@ -146,8 +147,8 @@ def transform_weather(raw: DataFrame) -> DataFrame:
 def event_creatives(events: DataFrame) -> DataFrame:
     """P5/P6 ``build_event_creatives``: ``event_{position:06d}`` by ingest order, event → creative schema.
 
-    The rows carry their number: they are range-partitioned by ordinal once, nothing is joined back, so null and
-    repeated ordinals keep all their rows (nulls last).
+    The rows carry their number: nothing is joined back, so null and repeated ordinals keep all their rows (nulls
+    last). Cleaned rows are written once, as the range partitioning reads its input twice.
     """
     rows = events.select(
         F.lit("event").alias("creative_type"),
@@ -159,7 +160,9 @@ def event_creatives(events: DataFrame) -> DataFrame:
         coerce_double(F.col("lot")).alias("longitude"),
         F.col("ordinal"),
     )
-    numbered = sequential_index(rows, ["ordinal"], "__seq")
+    path = scratch_path(events.sparkSession, "event-creatives")
+    rows.write.parquet(path)
+    numbered = sequential_index(events.sparkSession.read.parquet(path), ["ordinal"], "__seq")
     return numbered.select(F.format_string("event_%06d", F.col("__seq")).alias("creative_id"), *rows.columns)
 
 
