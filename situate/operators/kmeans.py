@@ -12,19 +12,24 @@ A centroid without points stays. A fit ends when no centroid moves.
 
 from __future__ import annotations
 
+import itertools
 import warnings
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from situate.functions.scoring import hash_uniform
+from situate.session import materialize
 
 #: partial sums come to the driver from this many tasks at most, else Spark adds them up first
 DRIVER_TASKS = 32
-#: points that the exact silhouette compares with each other, and the block of points held at once
-EXACT_POINTS, EXACT_BLOCK = 200_000, 256
+#: the exact silhouette: most points (None: any number), points of a row, points compared with a row at once
+EXACT_POINTS, EXACT_BLOCK, EXACT_TILE = None, 2048, 128
+#: its slices of all points, tasks for each slice at most, and the part of |x|² + |y|² below which a squared distance is taken by differences
+EXACT_SLICES, EXACT_TASKS, EXACT_NEAR = 8, 32, 1e-4
 
 
 def _matrix(column) -> np.ndarray:
@@ -195,43 +200,118 @@ def silhouettes(points: DataFrame, sets: dict[int, np.ndarray]) -> dict[int, flo
     return {r["k"]: r["score"] for r in out.collect()}
 
 
+def _block_rows(batches):
+    """Rows (block, ids, runs, v): EXACT_BLOCK points at most, their labels as runs (label, n), their vectors as doubles."""
+    number = TaskContext.get().partitionId() << 40
+    for batch in batches:
+        kind = batch.schema.field("label").type
+        for i in range(0, batch.num_rows, EXACT_BLOCK):
+            part = batch.slice(i, EXACT_BLOCK)
+            runs = [{"label": k, "n": len(list(g))} for k, g in itertools.groupby(part.column("label").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([part.column("id").to_pylist()], pa.list_(part.schema.field("id").type)),
+                                              pa.array([runs], pa.list_(pa.struct([("label", kind), ("n", pa.int64())]))), pa.array([_matrix(part.column("v")).tobytes()], pa.binary())], names=["block", "ids", "runs", "v"])
+            number += 1
+
+
+def _roots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances [x, y] by |x|² + |y|² - 2 x·y around the mean of x; pairs for which that would lose digits difference by difference."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        centre = x.mean(axis=0)
+        p, q = x - centre, y - centre
+        m, n = (p * p).sum(axis=1), (q * q).sum(axis=1)
+        if not np.isfinite(m.sum() + n.sum()):
+            return np.sqrt(_distances(x, y))
+    out = p @ q.T
+    out *= -2
+    out += m[:, None]
+    out += n
+    near = out < np.add.outer(EXACT_NEAR * m, EXACT_NEAR * n)
+    pairs = int(np.count_nonzero(near))
+    if 16 * pairs > near.size:
+        return np.sqrt(_distances(x, y))
+    if pairs:
+        i, j = np.nonzero(near)
+        d = x[i] - y[j]
+        out[i, j] = (d * d).sum(axis=1)
+    return np.sqrt(out, out=out)
+
+
+class _Away:
+    """Distance sums of a block's points to the labels of a slice, one label after the other."""
+
+    def __init__(self, ids, runs, x):
+        self.ids, self.x, self.labels, self.place, at = ids, x, [], {}, 0
+        for r in runs:
+            self.labels += [r["label"]] * r["n"]
+            self.place[r["label"]] = slice(at, at + r["n"])
+            at += r["n"]
+        self.own, self.n_own, self.other = np.zeros(at), np.zeros(at, np.int64), np.full(at, np.inf)
+        self.label, self.sum, self.n, self.seen = None, None, 0, set()
+
+    def add(self, runs, y):
+        begin = np.cumsum([0] + [r["n"] for r in runs[:-1]])
+        sums = np.concatenate([np.add.reduceat(_roots(self.x[i:i + EXACT_TILE], y), begin, axis=1) for i in range(0, len(self.x), EXACT_TILE)])
+        for k, r in enumerate(runs):
+            if self.sum is None or r["label"] != self.label:
+                self.close()
+                if r["label"] in self.seen:
+                    raise RuntimeError(f"the rows of label {r['label']} don't stand together")
+                self.label, self.sum, self.n = r["label"], np.zeros(len(self.x)), 0
+            self.sum += sums[:, k]
+            self.n += r["n"]
+
+    def close(self):
+        if self.sum is None:
+            return
+        self.seen.add(self.label)
+        mean = self.sum / self.n
+        if (mine := self.place.get(self.label)) is not None:
+            self.own[mine], self.n_own[mine], mean[mine] = self.sum[mine], self.n, np.inf
+        self.other, self.sum = np.minimum(self.other, mean), None
+
+
+def _away(batches):
+    """Rows (block, pos, id, label, own, n_own, other): a block's points against a slice of all points."""
+    held: dict[int, _Away] = {}
+    rows = lambda v, n: np.frombuffer(v.as_buffer(), np.float64).reshape(n, -1)
+    kinds = None
+    for batch in batches:
+        kinds = batch.schema.field("ids").type.value_type, batch.schema.field("runs").type.value_type.field("label").type
+        blocks, others = batch.column("block").to_pylist(), batch.column("other_runs").to_pylist()
+        for i, block in enumerate(blocks):
+            if block not in held:
+                ids = batch.column("ids")[i].as_py()
+                held[block] = _Away(ids, batch.column("runs")[i].as_py(), rows(batch.column("v")[i], len(ids)).copy())
+            held[block].add(others[i], rows(batch.column("other_v")[i], sum(r["n"] for r in others[i])))
+    for block, a in held.items():
+        a.close()
+        n = len(a.ids)
+        yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.array(np.arange(n)), pa.array(a.ids, kinds[0]), pa.array(a.labels, kinds[1]), pa.array(a.own),
+                                          pa.array(a.n_own), pa.array(a.other)], names=["block", "pos", "id", "label", "own", "n_own", "other"])
+
+
 def silhouette_exact(points: DataFrame, vector: str, label: str, id_col: str) -> DataFrame:
     """M3 with Euclidean distance, over all pairs: (id, label, silhouette) of each point.
 
-    The labelled vectors are broadcast once (EXACT_POINTS at most, an error beyond: use the squared form); each task
-    walks over them in blocks and keeps one distance sum for each of its points and clusters, so no pair is ever a
-    row. A cluster of one scores 0, and so does a labelling of one cluster. Rows with a null label or vector have no part."""
-    spark = points.sparkSession
+    Rows of up to EXACT_BLOCK points, in EXACT_SLICES slices by label with each label's points together, meet each other in a
+    cartesian product: a task has some blocks and one slice, streams the slice past them and keeps, for each of its points, the
+    distance sum of the label in hand, of its own label and the least mean of the others. So no pair is ever a row, nothing passes
+    through the driver and a task holds its blocks only. The work is quadratic; EXACT_POINTS, if set, is an error beyond so many points.
+    A cluster of one scores 0, and so does a labelling of one cluster. Rows with a null label or vector have no part."""
     rows = points.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").alias("label"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
     rows = rows.where("label is not null and v is not null")
-    n = rows.count()
-    if n > EXACT_POINTS:
+    if EXACT_POINTS is not None and (n := rows.count()) > EXACT_POINTS:
         raise ValueError(f"{n} points: the exact silhouette compares at most {EXACT_POINTS}")
-    every = rows.select("label", "v").toArrow()
-    names, code = np.unique(np.array(every.column("label").to_pylist()), return_inverse=True) if n else (np.empty(0), np.empty(0, int))
-    order = np.argsort(code, kind="stable")
-    shared = spark.sparkContext.broadcast((_matrix(every.column("v"))[order] if n else np.empty((0, 0)), np.bincount(code, minlength=len(names)), {v: i for i, v in enumerate(names.tolist())}))
-
-    def run(batches):
-        vectors, size, place = shared.value
-        begin = np.cumsum(size) - size
-        for batch in batches:
-            for i in range(0, batch.num_rows, EXACT_BLOCK):
-                part = batch.slice(i, EXACT_BLOCK)
-                x = _matrix(part.column("v"))
-                mine = np.array([place[v] for v in part.column("label").to_pylist()])
-                sums = np.empty((len(x), len(size)))
-                for c, (a, m) in enumerate(zip(begin.tolist(), size.tolist())):
-                    sums[:, c] = sum(np.sqrt(_distances(x, vectors[j:min(j + 4096, a + m)])).sum(axis=1) for j in range(a, a + m, 4096))
-                at = np.arange(len(x))
-                own = sums[at, mine] / np.maximum(size[mine] - 1, 1)
-                others = sums / size
-                others[at, mine] = np.inf
-                other = others.min(axis=1)
-                top = np.maximum(own, other)
-                score = np.where((size[mine] > 1) & (top > 0) & np.isfinite(top), (other - own) / np.where(top > 0, top, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), pa.array(score)], names=["id", "label", "silhouette"])
-
     kind = lambda c: rows.schema[c].dataType.simpleString()
-    out = rows.mapInArrow(run, f"id {kind('id')}, label {kind('label')}, silhouette double")
-    return out.select(F.col("id").alias(id_col), F.col("label").alias(label), "silhouette")
+    together = rows.repartition(EXACT_SLICES, "label").sortWithinPartitions("label")
+    blocks = materialize(together.mapInArrow(_block_rows, f"block long, ids array<{kind('id')}>, runs array<struct<label:{kind('label')},n:long>>, v binary"))
+    slices = blocks.select(F.col("runs").alias("other_runs"), F.col("v").alias("other_v")).hint("shuffle_replicate_nl")
+    mine = blocks.repartition(max(1, min(EXACT_TASKS, blocks.count())))
+    part = mine.crossJoin(slices).mapInArrow(_away, f"block long, pos long, id {kind('id')}, label {kind('label')}, own double, n_own long, other double")
+    sums = part.groupBy("block", "pos", "id", "label").agg(
+        F.sum("own").alias("own"), F.sum("n_own").alias("n_own"), F.when(~F.bool_or(F.isnan("other")), F.min("other")).alias("other"))
+    own = F.col("own") / F.greatest(F.col("n_own") - 1, F.lit(1))
+    top = F.greatest(own, "other")
+    fits = (F.col("n_own") > 1) & F.col("other").isNotNull() & ~F.isnan(top) & (top > 0) & (top < float("inf"))
+    score = F.when(fits, (F.col("other") - own) / top).otherwise(F.lit(0.0))
+    return sums.select(F.col("id").alias(id_col), F.col("label").alias(label), score.alias("silhouette"))

@@ -105,3 +105,22 @@ def test_exact_silhouette_against_every_pair(spark, monkeypatch):
     monkeypatch.setattr(KM, "EXACT_POINTS", 10)
     with pytest.raises(ValueError, match="at most 10"):
         KM.silhouette_exact(df, "v", "label", "id")
+
+
+def test_exact_silhouette_is_compared_in_blocks(spark, monkeypatch):
+    """Close clusters far from the origin, copies, an outlier, repeated and null ids, a label over many blocks; no bound on the points."""
+    assert KM.EXACT_POINTS is None
+    monkeypatch.setattr(KM, "EXACT_BLOCK", 5)
+    monkeypatch.setattr(KM, "EXACT_TILE", 3)
+    rng = random.Random(9)
+    rows = [(i, i % 3 if i % 2 else 0, [1e4 + (i % 3) * 1e-3 + rng.gauss(0, 1e-4), rng.gauss(0, 1e-4)]) for i in range(90)]
+    rows += [(90 + i, 1, [1e4, 0.0]) for i in range(12)] + [(102, 2, [-1e6, 1e6])]
+    want = brute_silhouette(rows)
+    ids = lambda i: None if i == 4 else 7 if i == 8 else i
+    df = spark.createDataFrame([(ids(i), c, v) for i, c, v in rows], "id long, label int, v array<double>").repartition(3)
+    out = KM.silhouette_exact(df, "v", "label", "id")
+    assert "CartesianProduct" in out._jdf.queryExecution().toString()
+    assert sorted(r["silhouette"] for r in out.collect()) == pytest.approx(sorted(want.values()), abs=1e-9)
+    assert sorted(r["id"] is None for r in out.collect()) == [False] * 102 + [True]
+    huge = spark.createDataFrame([(0, "a", [1e200]), (1, "a", [1e200]), (2, "b", [float("inf")]), (3, "b", [0.0]), (4, "c", [float("nan")])], "id long, label string, v array<double>")
+    assert KM.silhouette_exact(huge, "v", "label", "id").count() == 5
