@@ -1,8 +1,8 @@
 """Personal data: base patterns, and information-theoretic sanitisation of the terms around them.
 
 Base spans (e-mail, IP, card and phone numbers) are protected entities. A term is a word (digits, letters,
-characters beyond ASCII; lower-cased A-Z) outside all base spans; it is a candidate for an entity if it
-stands within ``REACH`` words of a span of that entity in any document. Corpus co-occurrence tells how much
+characters beyond ASCII; lower-cased A-Z) outside all base spans; every term of a document is a candidate for every entity of
+that document, however far apart they stand. Corpus co-occurrence tells how much
 a candidate t reveals an entity e: with N documents, n(e), n(t) and n(t, e) of them holding e, t and both,
 
     PMI(t; e) = ln(n(t, e) N / (n(t) n(e)))        IC(e) = ln(N / n(e))
@@ -10,9 +10,9 @@ a candidate t reveals an entity e: with N documents, n(e), n(t) and n(t, e) of t
 and t is disclosed, so generalised or removed wherever it stands in a document that holds e, when n(t, e) >=
 ``SUPPORT`` and PMI(t; e) >= ``ALPHA`` * IC(e). Documents without an entity are left alone.
 
-Counts cover all documents, whole. Pairs and candidates stay distributed; the only broadcasts are Bloom
-filters of ``BLOOM_BITS`` positions over candidate pairs and over terms, which spare rows of words that are
-no candidates (exactly joined after).
+Counts cover all documents, whole. Pairs stay distributed; the only broadcasts are Bloom filters of
+``BLOOM_BITS`` positions over entities, pairs and terms, which spare rows that can't be disclosed: pairs of entities in fewer than
+``SUPPORT`` documents, terms in more documents than any of their pairs allows (exactly counted and joined after).
 A hot entity or term only ever meets sums. Null text is empty; repeated rows count and report each by
 itself; an empty table gives no rows; extra columns are ignored.
 """
@@ -33,7 +33,6 @@ from situate.llm import textnum as X
 from situate.session import materialize, scratch_path
 
 KINDS = ("email", "ip", "card", "phone", "term")
-REACH = 8
 SUPPORT, ALPHA = 2, 0.9
 BLOOM_BITS = 1 << 24
 
@@ -131,11 +130,10 @@ def _by_text(spans: list) -> dict[int, list]:
 
 
 def _scan(batches):
-    """A row per text (place, id, base spans, its text if it has any); a row per (text, entity, candidate
-    term), the term null once for each entity of a text."""
+    """A row per text (place, id, base spans, its text if it has any); a row per (text, entity)."""
     part, number = TaskContext.get().partitionId(), 0
     span = pa.list_(pa.struct([("s", pa.int64()), ("k", pa.int32()), ("e", pa.int64())]))
-    names = ["place", "doc_id", "base", "text", "entity", "term", "kind"]
+    names = ["place", "doc_id", "base", "text", "entity", "kind"]
     for batch, data, off in X.chunks(batches, "text"):
         m = batch.num_rows
         spans = base_spans(data, off)
@@ -148,24 +146,13 @@ def _scan(batches):
         number += m
         ident, text = batch.column("doc_id"), batch.column("text")
         own = pc.if_else(pa.array([bool(x) for x in per], pa.bool_()), text, pa.nulls(m, text.type))
-        none = pa.nulls(m, pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(place), ident, pa.array(per, span), own, none, none, pa.array(np.zeros(m, np.int32))], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(place), ident, pa.array(per, span), own, pa.nulls(m, pa.int64()), pa.array(np.zeros(m, np.int32))], names=names)
         if not spans:
             continue
-        _, starts, ends, first, hashes = X.words(data, off, X.ALNUM)
-        rows = set()
-        for t, own in _by_text(spans).items():
-            lo, hi = int(first[t]), int(first[t + 1])
-            free = _free(starts[lo:hi], ends[lo:hi], own)
-            for a, b, entity in own:
-                rows.add((t, entity, None))
-                left = int(np.searchsorted(ends[lo:hi], a, side="right"))
-                right = int(np.searchsorted(starts[lo:hi], b, side="left"))
-                rows.update((t, entity, int(hashes[lo + w].view(np.int64))) for w in [*range(max(0, left - REACH), left), *range(right, min(hi - lo, right + REACH))] if free[w])
-        rows = sorted(rows, key=lambda r: (r[0], r[1], r[2] is not None, r[2] or 0))
+        rows = sorted({(t, _h64(entity)) for t, _, _, _, entity in spans})
         c = len(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(place[[r[0] for r in rows]]), pa.nulls(c, ident.type), pa.nulls(c, span), pa.nulls(c, text.type),
-                                          *[pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2)], pa.array(np.ones(c, np.int32))], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(place[[t for t, _ in rows]]), pa.nulls(c, ident.type), pa.nulls(c, span), pa.nulls(c, text.type),
+                                          pa.array([e for _, e in rows], pa.int64()), pa.array(np.ones(c, np.int32))], names=names)
 
 
 def pair_bits(entity, term: np.ndarray) -> np.ndarray:
@@ -173,6 +160,11 @@ def pair_bits(entity, term: np.ndarray) -> np.ndarray:
     return (X._finish(np.asarray(entity, np.int64).view(np.uint64) ^ X._finish(term.view(np.uint64))) & np.uint64(BLOOM_BITS - 1)).astype(np.int64)
 
 
+def bits_of(values: np.ndarray) -> np.ndarray:
+    """Positions of entities or terms in a Bloom filter."""
+    return (values.view(np.uint64) & np.uint64(BLOOM_BITS - 1)).astype(np.int64)
+
+
 def _pair_bits(batches):
     for batch in batches:
         bits = pair_bits(np.asarray(batch.column("entity")), np.asarray(batch.column("term")))
@@ -207,6 +199,54 @@ def _together(shared):
     return run
 
 
+def _pairs(shared):
+    """(entity, term, documents) of every term in the documents of each entity that the Bloom filter lets pass, merged in the task."""
+    def run(batches):
+        gate, held, size = np.unpackbits(shared.value), [], 0
+
+        def merge():
+            e, t, n = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((t, e))
+            e, t, n = e[order], t[order], n[order]
+            first = np.flatnonzero(np.append(True, (e[1:] != e[:-1]) | (t[1:] != t[:-1])))
+            return [(e[first], t[first], np.add.reduceat(n, first))]
+
+        def rows():
+            return [pa.RecordBatch.from_arrays([pa.array(x) for x in h], names=["entity", "term", "n"]) for h in held]
+
+        for batch, data, off in X.chunks(batches, "text"):
+            _, starts, ends, first, hashes = X.words(data, off, X.ALNUM)
+            for t, own in _by_text(base_spans(data, off)).items():
+                entities = np.array(sorted({e for _, _, e in own}), np.int64)
+                entities = entities[gate[bits_of(entities)].astype(bool)]
+                lo, hi = int(first[t]), int(first[t + 1])
+                if not len(entities) or lo == hi:
+                    continue
+                term = np.unique(hashes[lo:hi][_free(starts[lo:hi], ends[lo:hi], own)].view(np.int64))
+                for entity in entities:
+                    held.append((np.full(len(term), entity), term, np.ones(len(term), np.int64)))
+                    size += len(term)
+                    if size > 2_000_000:
+                        held = merge()
+                        size = len(held[0][0])
+                        if size > 1_000_000:
+                            yield from rows()
+                            held, size = [], 0
+        if size:
+            held = merge()
+            yield from rows()
+    return run
+
+
+def _passing(shared):
+    """Rows whose term the Bloom filter lets pass."""
+    def run(batches):
+        gate = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(gate[bits_of(np.asarray(batch.column("term")))]))
+    return run
+
+
 def _holding(shared):
     """(term, documents) of words that the Bloom filter lets pass, merged in the task."""
     def run(batches):
@@ -248,25 +288,29 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ident = rows.schema["doc_id"].dataType.simpleString()
     path = scratch_path(spark, "pii")
-    schema = f"place long, doc_id {ident}, base array<struct<s:long,k:int,e:long>>, text string, entity long, term long, kind int"
+    schema = f"place long, doc_id {ident}, base array<struct<s:long,k:int,e:long>>, text string, entity long, kind int"
     rows.mapInArrow(_scan, schema).write.partitionBy("kind").option("compression", "zstd").parquet(path)
     found = spark.read.schema(schema).parquet(path)
     texts = found.where("kind = 0").select("place", "doc_id", "base")
-    near = found.where("kind = 1").select("place", "entity", "term")
+    holders = found.where("kind = 0 and text is not null").select("place", "text")
+    bits = lambda c: F.col(c).bitwiseAND(BLOOM_BITS - 1).alias("b")
 
     total = F.lit(texts.count()).cast("double")
-    entities = near.where("term is null").groupBy("entity").agg(F.count("*").alias("n_e"))
-    candidates = materialize(near.where("term is not null").select("entity", "term").distinct())
-    shared = _gate(spark, candidates.mapInArrow(_pair_bits, "b long"))
-    together = found.where("kind = 0 and text is not null").select("place", "text").mapInArrow(_together(shared), "place long, entity long, term long, s long, e long")
-    together = materialize(together)
-    pairs = together.select("place", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
-    pairs = materialize(pairs.join(candidates, ["entity", "term"]))
-    shared = _gate(spark, pairs.select(F.col("term").bitwiseAND(BLOOM_BITS - 1).alias("b")))
-    holding = rows.select("text").mapInArrow(_holding(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
-    told = pairs.join(holding, "term").join(entities, "entity")
+    # an entity of fewer than ``support`` documents has no pair that meets it
+    entities = materialize(found.where("kind = 1").groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support))
+    pairs = holders.mapInArrow(_pairs(_gate(spark, entities.select(bits("entity")))), "entity long, term long, n long")
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_te")).where(F.col("n_te") >= support)
+    pairs = materialize(pairs.join(entities, "entity"))
+    holding = rows.select("text").mapInArrow(_holding(_gate(spark, pairs.select(bits("term")))), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
+    # PMI >= alpha IC bounds n(t): terms beyond the bound of all their pairs (frequent words) are dropped before pairs meet counts
+    most = F.col("n_te") * F.pow(total / F.col("n_e"), F.lit(1.0 - alpha))
+    useful = pairs.groupBy("term").agg(F.max(most).alias("most")).join(holding, "term").where(F.col("n_t") <= F.col("most") * (1 + 1e-9))
+    useful = materialize(useful.select("term", "n_t"))
+    left = pairs.mapInArrow(_passing(_gate(spark, useful.select(bits("term")))), pairs.schema)
     pmi = F.log(F.col("n_te") * total / (F.col("n_t") * F.col("n_e")))
-    told = told.where(pmi >= alpha * F.log(total / F.col("n_e")) - 1e-12).select("entity", "term")
+    told = left.join(useful, "term").where(pmi >= alpha * F.log(total / F.col("n_e")) - 1e-12).select("entity", "term")
+    told = materialize(told)
+    together = holders.mapInArrow(_together(_gate(spark, told.mapInArrow(_pair_bits, "b long"))), "place long, entity long, term long, s long, e long")
     terms = together.join(told, ["entity", "term"]).groupBy("place").agg(
         F.collect_set(F.struct("s", F.lit(4).alias("k"), "e")).alias("terms"))
     out = texts.join(terms, "place", "left")

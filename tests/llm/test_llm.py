@@ -423,6 +423,15 @@ def test_disclosing_terms_of_whole_documents(spark):
     assert all(clean[i] == f"[TERM] [TERM] {far} [EMAIL]" for i in range(2, 6)) and clean[40] == "hermione li without"
 
 
+def test_disclosing_terms_far_from_their_entity(spark):
+    far = " ".join(f"w{k}" for k in range(30))
+    rows = [(i, f"Hermione {far} li@mail.org") for i in range(4)] + [(i, far) for i in range(4, 40)] + [(40, f"{far} once@mail.org {far} rare")]
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r["spans"] for r in pii.report(found).collect()}
+    at = len("Hermione " + far) + 1
+    assert all(got[i] == f"term:0:8,email:{at}:{at + 11}" for i in range(4)) and got[4] == "" and got[40] == f"email:{len(far) + 1}:{len(far) + 14}"
+
+
 def brute_spans(t):
     out = []
     for k, p in enumerate((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")):
