@@ -36,8 +36,9 @@ def record_batch(rows, spec: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, KINDS[k]) for c, (_, k) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
 
 
-def whole_texts(pieces: DataFrame) -> DataFrame:
-    """(file, record, text): records within a range as they are, the pieces of a record over several ranges put together."""
+def whole_texts(pieces: DataFrame, spanning: DataFrame | None = None) -> DataFrame:
+    """(file, record, text): records within a range as they are, the pieces of a record over several ranges put together.
+    ``spanning``: a frame that has all the pieces which aren't whole, if it is less work than ``pieces``."""
     whole = pieces.where("whole").select("file", "record", "text")
-    parts = pieces.where("not whole").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("start", "text"))).alias("p"))
+    parts = (pieces if spanning is None else spanning).where("not whole").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("start", "text"))).alias("p"))
     return whole.unionByName(parts.select("file", "record", F.array_join("p.text", "").alias("text")))

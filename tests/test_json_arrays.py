@@ -101,3 +101,29 @@ def test_a_large_file_is_read_by_several_tasks(spark, tmp_dir):
     assert os.path.getsize(os.path.join(tmp_dir, "big.json")) > 100e6 and df.rdd.getNumPartitions() >= 4
     row = df.selectExpr("count(*) AS n", "count(DISTINCT ordinal) AS d", "max(ordinal) AS m", "min(length(name)) AS l").first()
     assert tuple(row) == (n, n, n - 1, 960)
+
+
+def test_texts_are_parsed_once_and_not_shuffled(spark, tmp_dir):
+    path = landed(tmp_dir, [json.dumps(records(random.Random(k), 3)) for k in range(4)])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = FS.scan_raw_json(spark, path, SCHEMA)
+        plan = df._jdf.queryExecution()
+        assert plan.optimizedPlan().toString().count("from_json(") == 1
+        assert "SortMergeJoin" not in plan.executedPlan().toString()
+        assert sorted(r["ordinal"] for r in df.collect()) == [(k << 32) + i for k in range(4) for i in range(3)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_landed_files_keep_the_order_of_their_blocks(spark, tmp_dir):
+    """More files than a folder holds, and repeated keys."""
+    from situate.plans import queries as Q
+
+    keys = [k * Q.RAW_FILE_ROWS for k in range(2 * Q.RAW_FOLDER_FILES + 5)] + [3, 3]
+    rows = [(k, 1, "O", 1.0, None, "1-URGENT") for k in keys]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{tmp_dir}/orders.parquet")
+    got = {r["ordinal"]: r["TITLE"] for r in Q.q_scan_raw_array(spark, tmp_dir).collect()}
+    files = len(keys) - 2
+    assert got == {**{k << 32: f"event {k * Q.RAW_FILE_ROWS}" for k in range(files)}, 1: "event 3", 2: "event 3"}
